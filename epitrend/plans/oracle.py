@@ -252,8 +252,9 @@ SELECT event_id, file, Country, last_update, Date FROM dated""",
 SELECT Date, Country, sum(Confirmed) AS Confirmed, sum(Deaths) AS Deaths,
        sum(Recovered) AS Recovered, sum(Active) AS Active
 FROM coerced WHERE Date IS NOT NULL GROUP BY Date, Country""",
+    # Spark's CSV reader returns an empty field, quoted or not, as null.
     "scan_reports": _with(_RAW) + """
-SELECT Country, last_update, Confirmed, Deaths, Recovered,
+SELECT Country, last_update, NULLIF(Confirmed, '') AS Confirmed, Deaths, Recovered,
        CAST(event_id AS VARCHAR) AS event_id, CAST(file AS VARCHAR) AS file
 FROM fx_raw""",
     "hash_split": _with(_REPORTS, _BANDS) + """

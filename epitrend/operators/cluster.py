@@ -69,7 +69,10 @@ def materialize(df: DataFrame) -> DataFrame:
 def kmeans_fit(train: DataFrame, k: int = KMEANS_K, seed: int = SEED,
                features_col: str = FEATURES, key: str = ENTITY,
                partitions: int = 4, max_iter: int = 20) -> KMeansModel:
-    """SparkML K-means with default settings apart from ``k`` and ``seed``."""
+    """SparkML K-means with default settings apart from ``k`` and ``seed``.
+    Raises ``ValueError`` when ``train`` has no rows."""
+    if train.isEmpty():
+        raise ValueError("kmeans_fit: no training rows")
     km = KMeans(k=k, seed=seed, featuresCol=features_col, predictionCol=PREDICTION,
                 maxIter=max_iter)
     return km.fit(canonical_layout(train, key, partitions))
@@ -112,6 +115,8 @@ def k_sweep(train: DataFrame, test: DataFrame, ks: Iterable[int] = SWEEP_KS,
     elbow / silhouette table)."""
     train, test = materialize(train), materialize(test)
     rows = []
+    if train.isEmpty():
+        return train.sparkSession.createDataFrame([], SWEEP_SCHEMA)
     for k in ks:
         model = kmeans_fit(train, k, seed, features_col, key)
         score = silhouette(kmeans_assign(model, test), features_col)

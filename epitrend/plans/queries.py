@@ -180,6 +180,8 @@ def q_assemble_features(spark, d):
 def _kmeans(k):
     def q(spark, d):
         train, test = op.train_test(_assembled(spark, d))
+        if train.isEmpty():  # no entity has every feature at this scale
+            return spark.createDataFrame([], "Country string, prediction int")
         model = op.kmeans_fit(train, k=k)
         return op.kmeans_assign(model, test).select("Country", "prediction")
     return q
@@ -192,6 +194,8 @@ _SIL_SCHEMA = StructType([StructField("k", IntegerType(), False),
 
 def q_silhouette(spark, d):
     train, test = op.train_test(_assembled(spark, d))
+    if train.isEmpty():
+        return spark.createDataFrame([], _SIL_SCHEMA)
     model = op.kmeans_fit(train, k=KMEANS_K)
     score = op.silhouette(op.kmeans_assign(model, test))
     return spark.createDataFrame([(KMEANS_K, op.n_centers(model), score)], _SIL_SCHEMA)

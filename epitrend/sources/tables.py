@@ -6,9 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Relation handles of the read-only driver tables, per session and path: the
+# file listing and footer read happen once instead of once per query. Only
+# the logical relation is kept, no data.
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
     """Read ``<sf_dir>/<name>.parquet``; selecting ``columns`` prunes the scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = _RELATIONS[key] = spark.read.parquet(path)
     return df.select(*columns) if columns else df

@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from epitrend import operators as op
 from epitrend.config import KMEANS_K, REFIT_K, SEED, SWEEP_KS
 from epitrend.plans import params as P
+from epitrend.plans.clean_table import ingest_directory
 from epitrend.session import scratch_path
 from epitrend.sources import fixtures as fx
 from epitrend.sources.csv_reports import scan_reports, write_report_csvs
@@ -160,6 +161,15 @@ def q_scan_reports(spark, d):
     return scan_reports(spark, path, keep=P.RAW_KEEP).drop("source_file")
 
 
+def q_ingest_reports(spark, d):
+    """Raw reports written as CSV (one folder per report, each with several
+    part files) -> scan -> per-report dates -> measures -> roll-up."""
+    path = scratch_path(spark, "reports")
+    for i, variant in enumerate(fx.raw_report_files(spark, d)):
+        variant.write.partitionBy("file").options(header=True).csv(f"{path}/variant_{i}")
+    return ingest_directory(spark, path, report_level="directory")
+
+
 # ---- clustering ---------------------------------------------------------
 
 def _assembled(spark, d):
@@ -236,6 +246,7 @@ QUERIES: dict[str, Query] = {
     "coerce_measures": q_coerce_measures,
     "clean_reports": q_clean_reports,
     "scan_reports": q_scan_reports,
+    "ingest_reports": q_ingest_reports,
     "hash_split": q_hash_split,
     "assemble_features": q_assemble_features,
     "kmeans_k5": _kmeans(KMEANS_K),

@@ -2,7 +2,7 @@
 
 from epitrend.operators.cluster import (assemble_features, best_k, canonical_layout,
                                         hash_split, k_sweep, kmeans_assign, kmeans_fit,
-                                        n_centers, silhouette, train_test)
+                                        materialize, n_centers, silhouette, train_test)
 from epitrend.operators.compare import (baseline_diff, compare_curves, similar_entities,
                                         transpose_features, unpivot_features)
 from epitrend.operators.features import (array_index, band_columns, days_in_bands,
@@ -19,7 +19,7 @@ __all__ = [
     "best_k", "canonical_layout", "coerce_measures", "compare_curves", "country_codes",
     "daily_rollup", "days_in_bands", "detect_dates", "feature_table", "first_crossing",
     "first_day", "hash_split", "k_sweep", "kmeans_assign", "kmeans_fit", "latest_snapshot",
-    "n_centers", "next_value", "normalize_headers", "positive_rows", "qualify_entities",
+    "materialize", "n_centers", "next_value", "normalize_headers", "positive_rows", "qualify_entities",
     "rejected_dates", "resolve_header", "series_list", "silhouette", "similar_entities",
     "top_bottom", "train_test", "transpose_features", "unpivot_features",
 ]

@@ -68,14 +68,17 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def kmeans_fit(train: DataFrame, k: int = KMEANS_K, seed: int = SEED,
                features_col: str = FEATURES, key: str = ENTITY,
-               partitions: int = 4, max_iter: int = 20) -> KMeansModel:
+               partitions: int | None = 4, max_iter: int = 20) -> KMeansModel:
     """SparkML K-means with default settings apart from ``k`` and ``seed``.
+    ``partitions=None``: ``train`` is already in ``canonical_layout``.
     Raises ``ValueError`` when ``train`` has no rows."""
     if train.isEmpty():
         raise ValueError("kmeans_fit: no training rows")
     km = KMeans(k=k, seed=seed, featuresCol=features_col, predictionCol=PREDICTION,
                 maxIter=max_iter)
-    return km.fit(canonical_layout(train, key, partitions))
+    if partitions is not None:
+        train = canonical_layout(train, key, partitions)
+    return km.fit(train)
 
 
 def kmeans_assign(model: KMeansModel, df: DataFrame) -> DataFrame:
@@ -109,16 +112,19 @@ SWEEP_SCHEMA = StructType([
 
 
 def k_sweep(train: DataFrame, test: DataFrame, ks: Iterable[int] = SWEEP_KS,
-            seed: int = SEED, features_col: str = FEATURES, key: str = ENTITY) -> DataFrame:
+            seed: int = SEED, features_col: str = FEATURES, key: str = ENTITY,
+            partitions: int = 4) -> DataFrame:
     """Fit on ``train`` for every k, score on ``test``: one row per k with
     the centres found, the training cost and the test silhouette (the
     elbow / silhouette table)."""
-    train, test = materialize(train), materialize(test)
+    # Laid out and checkpointed once for all fits (the layout is
+    # deterministic, so each fit sees exactly what kmeans_fit would build).
+    train, test = materialize(canonical_layout(train, key, partitions)), materialize(test)
     rows = []
     if train.isEmpty():
         return train.sparkSession.createDataFrame([], SWEEP_SCHEMA)
     for k in ks:
-        model = kmeans_fit(train, k, seed, features_col, key)
+        model = kmeans_fit(train, k, seed, features_col, key, partitions=None)
         score = silhouette(kmeans_assign(model, test), features_col)
         rows.append((int(k), n_centers(model), float(model.summary.trainingCost), score))
     return train.sparkSession.createDataFrame(rows, SWEEP_SCHEMA)

@@ -177,6 +177,12 @@ def _assembled(spark, d):
     return op.assemble_features(feats, op.band_columns(P.FIXTURE_BANDS))
 
 
+def _split(spark, d):
+    # One row per entity, checkpointed once: the emptiness check, the
+    # iterative fits and the scoring reread it instead of the whole plan.
+    return op.train_test(op.materialize(_assembled(spark, d)))
+
+
 def q_hash_split(spark, d):
     return op.hash_split(_features(spark, d), seed=SEED).select("Country", "split")
 
@@ -189,7 +195,7 @@ def q_assemble_features(spark, d):
 
 def _kmeans(k):
     def q(spark, d):
-        train, test = op.train_test(_assembled(spark, d))
+        train, test = _split(spark, d)
         if train.isEmpty():  # no entity has every feature at this scale
             return spark.createDataFrame([], "Country string, prediction int")
         model = op.kmeans_fit(train, k=k)
@@ -203,7 +209,7 @@ _SIL_SCHEMA = StructType([StructField("k", IntegerType(), False),
 
 
 def q_silhouette(spark, d):
-    train, test = op.train_test(_assembled(spark, d))
+    train, test = _split(spark, d)
     if train.isEmpty():
         return spark.createDataFrame([], _SIL_SCHEMA)
     model = op.kmeans_fit(train, k=KMEANS_K)
@@ -212,7 +218,7 @@ def q_silhouette(spark, d):
 
 
 def q_k_sweep(spark, d):
-    train, test = op.train_test(_assembled(spark, d))
+    train, test = _split(spark, d)
     return op.k_sweep(train, test, SWEEP_KS)
 
 

@@ -71,3 +71,11 @@ def test_k_sweep_rows(assembled):
         assert r["training_cost"] >= 0 and 1 <= r["n_centers"] <= r["k"]
         assert r["silhouette"] is None or -1 <= r["silhouette"] <= 1
         assert not (isinstance(r["silhouette"], float) and math.isnan(r["silhouette"]))
+
+
+def test_sweep_matches_single_fits(assembled):
+    train, test = op.train_test(assembled)
+    sweep = {r["k"]: r for r in op.k_sweep(train, test, [2, 4]).collect()}
+    for k in (2, 4):
+        model = op.kmeans_fit(train, k=k)
+        assert sweep[k]["training_cost"] == pytest.approx(model.summary.trainingCost)

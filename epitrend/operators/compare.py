@@ -36,19 +36,23 @@ def baseline_diff(features: DataFrame, baseline: str = BASELINE,
     sum |x_i - b_i| and ``rel_total_diff`` = sum (x_i - b_i) over the feature
     columns. Fails with a clear message if the baseline has no feature row.
 
-    The baseline row is a scalar subquery (one struct, run once), so the
-    feature table is neither joined nor shuffled."""
+    The baseline row is one scalar subquery (an array of its features,
+    referenced once), so the feature table is neither joined nor shuffled,
+    and the entity filter reaches the scan of the subquery's input."""
     names = _feature_cols(features, cols)
     base = (features.where(F.col(entity) == baseline)
-            .select(F.struct(*[F.col(c) for c in names])).scalar())
-    diffs = [F.col(c) - base[c] for c in names]
-    missing = F.raise_error(F.lit(f"baseline {baseline!r} has no row in the feature table"))
-    abs_total = sum((F.abs(d) for d in diffs), F.lit(0))
-    rel_total = sum(diffs, F.lit(0))
-    return features.where(F.col(entity) != baseline).select(
+            .select(F.array(*[F.col(c).cast("long") for c in names])).scalar())
+    base = F.coalesce(base, F.raise_error(
+        F.lit(f"baseline {baseline!r} has no row in the feature table")))
+    values = F.array(*[F.col(c).cast("long") for c in names])
+    paired = (features.where(F.col(entity) != baseline)
+              .select(F.col(entity), values.alias("_x"), base.alias("_b")))
+    diffs = paired.select(entity, F.zip_with("_x", "_b", lambda x, b: x - b).alias("_d"))
+    zero = F.lit(0).cast("long")
+    return diffs.select(
         F.col(entity), F.lit(baseline).alias("baseline"),
-        F.when(base.isNull(), missing).otherwise(abs_total).cast("long").alias("abs_total_diff"),
-        rel_total.cast("long").alias("rel_total_diff"),
+        F.aggregate("_d", zero, lambda acc, x: acc + F.abs(x)).alias("abs_total_diff"),
+        F.aggregate("_d", zero, lambda acc, x: acc + x).alias("rel_total_diff"),
     )
 
 

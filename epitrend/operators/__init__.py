@@ -8,7 +8,7 @@ from epitrend.operators.compare import (baseline_diff, compare_curves, similar_e
 from epitrend.operators.features import (array_index, band_columns, days_in_bands,
                                          feature_table, first_crossing, first_day,
                                          next_value, positive_rows, series_list)
-from epitrend.operators.geo import country_codes
+from epitrend.operators.geo import country_codes, rename_entities
 from epitrend.operators.ingest import (coerce_measures, detect_dates, normalize_headers,
                                        rejected_dates, resolve_header)
 from epitrend.operators.rollup import daily_rollup, qualify_entities
@@ -20,6 +20,6 @@ __all__ = [
     "daily_rollup", "days_in_bands", "detect_dates", "feature_table", "first_crossing",
     "first_day", "hash_split", "k_sweep", "kmeans_assign", "kmeans_fit", "latest_snapshot",
     "materialize", "n_centers", "next_value", "normalize_headers", "positive_rows", "qualify_entities",
-    "rejected_dates", "resolve_header", "series_list", "silhouette", "similar_entities",
+    "rejected_dates", "rename_entities", "resolve_header", "series_list", "silhouette", "similar_entities",
     "top_bottom", "train_test", "transpose_features", "unpivot_features",
 ]

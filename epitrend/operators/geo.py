@@ -27,3 +27,19 @@ def country_codes(df: DataFrame, aliases: DataFrame, entity: str = ENTITY,
     joined = keyed.join(table, "_key", "left").drop("_key")
     measures = [m for m in (*MEASURES, "Active") if m in df.columns]
     return joined.withColumns({m: F.col(m).cast("long") for m in measures})
+
+
+def rename_entities(df: DataFrame, aliases: DataFrame, entity: str = ENTITY,
+                    alias_col: str = "alias", name_col: str = "name",
+                    max_aliases: int = 200_000) -> DataFrame:
+    """Replace ``entity`` by the canonical ``name`` of a matching alias
+    (normalised key, e.g. spelling variants and typos of a country name);
+    names without an alias stay as they are. Apply before ``daily_rollup`` so
+    the variants are summed under one name."""
+    table = (aliases.select(normalized_name(alias_col).alias("_key"), F.col(name_col))
+             .groupBy("_key").agg(F.min(name_col).alias("_canonical")))
+    table = broadcast_if_bounded(table, max_aliases)
+    keyed = df.withColumn("_key", normalized_name(entity))
+    joined = keyed.join(table, "_key", "left")
+    return joined.withColumn(entity, F.coalesce(F.col("_canonical"), F.col(entity))).drop(
+        "_key", "_canonical").select(*df.columns)

@@ -52,3 +52,11 @@ def test_country_codes_normalised_key(spark):
     assert out["Korea, South"]["Country_clean"] == "KOR"
     assert out["Atlantis"]["Country_clean"] is None
     assert isinstance(out["Atlantis"]["Confirmed"], int)
+
+
+def test_rename_entities_before_rollup(spark):
+    df = _rows(spark, [(D1, "Mainland China", 1.0), (D1, "China", 2.0), (D1, "Peru", 4.0)])
+    aliases = spark.createDataFrame([("mainland china", "China")], "alias string, name string")
+    out = {r["Country"]: r["Confirmed"] for r in
+           op.daily_rollup(op.rename_entities(df, aliases)).collect()}
+    assert out == {"China": 3.0, "Peru": 4.0}

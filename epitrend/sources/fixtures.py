@@ -57,23 +57,30 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean table R: one row per nation and calendar day from the first to
     the last order date; running counts of orders (Confirmed), of status F
     (Deaths) and of status O (Recovered); Active recomputed. Doubles."""
-    daily = _counts(["Date", "Country"], _orders_by_nation(spark, sf_dir))
-    orders = read_table(spark, sf_dir, "orders", ["o_orderdate"])
-    day = F.to_date("o_orderdate")
-    span = orders.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
-    nation = read_table(spark, sf_dir, "nation", ["n_name"])
+    status = F.col("o_orderstatus")
+    orders = _orders_by_nation(spark, sf_dir).select(
+        "Date", "Country", F.lit(1).alias("c"),
+        (status == "F").cast("int").alias("d"), (status == "O").cast("int").alias("r"))
+    day = F.col("o_orderdate")
+    span = (read_table(spark, sf_dir, "orders", ["o_orderdate"])
+            .select(F.struct(F.to_date(F.min(day)).alias("lo"),
+                             F.to_date(F.max(day)).alias("hi"))).scalar())
     # Calendar x nation is generated per nation row (no join): its size is
-    # days x nations, independent of the order volume.
-    grid = nation.select(F.col("n_name").alias("Country"),
-                         F.explode(F.sequence(span["lo"], span["hi"])).alias("Date"))
+    # days x nations, independent of the order volume. Its zero rows and the
+    # order rows meet in one aggregate (map-side partial sums on both sides,
+    # one exchange), which also makes every calendar day present.
+    grid = (read_table(spark, sf_dir, "nation", ["n_name"])
+            .select(F.explode(F.sequence(span["lo"], span["hi"])).alias("Date"),
+                    F.col("n_name").alias("Country"),
+                    F.lit(0).alias("c"), F.lit(0).alias("d"), F.lit(0).alias("r")))
+    daily = grid.unionByName(orders).groupBy("Date", "Country").agg(
+        *[F.sum(x).alias(x) for x in ("c", "d", "r")])
     running = Window.partitionBy("Country").orderBy("Date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    dense = grid.join(daily, ["Country", "Date"], "left")
-    out = dense.select(
+    out = daily.select(
         "Date", "Country",
-        *[F.sum(F.coalesce(F.col(c), F.lit(0))).over(running).cast("double").alias(c)
-          for c in ("Confirmed", "Deaths", "Recovered")],
-    )
+        *[F.sum(x).over(running).cast("double").alias(name)
+          for x, name in (("c", "Confirmed"), ("d", "Deaths"), ("r", "Recovered"))])
     return out.withColumn("Active", F.col("Confirmed") - (F.col("Deaths") + F.col("Recovered")))
 
 

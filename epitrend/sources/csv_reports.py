@@ -3,10 +3,16 @@
 A single ``spark.read.csv(dir)`` binds columns by position, so files with
 another header would be read silently wrong. Instead:
 
-1. ``discover_headers``: one distributed text scan keeps the first line of
-   every file (rows of the split that starts at byte 0, first by scan order)
-   and groups file paths by header text. Only paths and header lines reach
-   the driver - the same metadata Spark's own file listing holds there.
+1. ``discover_headers`` finds the first line of every file, distributed, and
+   groups file paths by header text. Only paths and header lines reach the
+   driver: the same metadata Spark's own file listing holds there.
+   - ``method="read"``: a ``binaryFile`` listing that selects only ``path``
+     (no content is read), then each task reads the first line of its files
+     (one ~64 KB read per file, through ``pyarrow.fs``).
+   - ``method="scan"``: a text scan keeping, per file, the first row of the
+     split that starts at byte 0. Works on every Hadoop file system, but
+     reads the input once more.
+   - ``method="auto"``: ``read`` for local, s3 and gcs paths, else ``scan``.
 2. ``scan_reports``: one CSV read per distinct header (not per file), with
    positional all-string columns, then the canonical projection. The
    header groups are unioned by name.
@@ -16,6 +22,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,35 +33,101 @@ from epitrend.functions.columns import strip_bom
 from epitrend.operators.ingest import resolve_header
 
 
-def discover_headers(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv",
-                     sep: str = ",", quote: str = '"') -> list[tuple[list[str], list[str]]]:
-    """``[(header names, file paths)]``, one entry per distinct header line."""
-    paths = [path] if isinstance(path, str) else list(path)
+_ARROW_SCHEMES = {"", "file", "s3", "s3a", "s3n", "gs", "gcs"}
+
+
+def _arrow_uri(path: str) -> str:
+    for old in ("s3a://", "s3n://"):
+        if path.startswith(old):
+            return "s3://" + path[len(old):]
+    return path
+
+
+def _first_line(path: str, chunk: int = 65536) -> str | None:
+    """First line of a file, reading only as far as its first newline."""
+    import pyarrow.fs as pafs
+
+    fs, rel = pafs.FileSystem.from_uri(_arrow_uri(path))
+    buf = b""
+    with fs.open_input_stream(rel) as f:
+        while True:
+            part = f.read(chunk)
+            if not part:
+                break
+            buf += part
+            if b"\n" in part:
+                break
+    if not buf:
+        return None
+    return buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace")
+
+
+def _probe_first_lines(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        files = batch.column(0).to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(files, pa.string()), pa.array([_first_line(f) for f in files], pa.string())],
+            names=["file", "header"])
+
+
+def _headers_by_read(spark: SparkSession, paths: list[str], glob: str) -> DataFrame:
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(paths)
+             .select(F.col("path").alias("file")))
+    return (files.mapInArrow(_probe_first_lines, "file string, header string")
+            .where(F.col("header").isNotNull()))
+
+
+def _headers_by_scan(spark: SparkSession, paths: list[str], glob: str) -> DataFrame:
     lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
              .text(paths)
              .select("value", F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("start")))
-    first = (lines.where(F.col("start") == 0)
-             .withColumn("rid", F.monotonically_increasing_id())
-             .groupBy("file").agg(F.min_by("value", "rid").alias("header")))
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return (lines.where(F.col("start") == 0)
+            .withColumn("rid", F.monotonically_increasing_id())
+            .groupBy("file").agg(F.min_by("value", "rid").alias("header")))
+
+
+def _pick_method(paths: list[str]) -> str:
+    schemes = {urlparse(p).scheme.lower() for p in paths}
+    return "read" if schemes <= _ARROW_SCHEMES else "scan"
+
+
+def discover_headers(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv",
+                     sep: str = ",", quote: str = '"',
+                     method: str = "auto") -> list[tuple[list[str], list[str]]]:
+    """``[(header names, file paths)]``, one entry per distinct header line."""
+    paths = [path] if isinstance(path, str) else list(path)
+    if method == "auto":
+        method = _pick_method(paths)
+    if method == "read":
+        first = _headers_by_read(spark, paths, glob)
+    elif method == "scan":
+        first = _headers_by_scan(spark, paths, glob)
+    else:
+        raise ValueError(f"method must be 'auto', 'read' or 'scan', not {method!r}")
     out = []
-    for row in groups.orderBy("header").collect():
-        names = next(csv.reader([row["header"]], delimiter=sep, quotechar=quote))
-        out.append(([strip_bom(n) for n in names], list(row["files"])))
-    return out
+    for row in first.orderBy("header", "file").collect():
+        if out and out[-1][0] == row["header"]:
+            out[-1][1].append(row["file"])
+        else:
+            out.append((row["header"], [row["file"]]))
+    return [([strip_bom(n) for n in next(csv.reader([h], delimiter=sep, quotechar=quote))], files)
+            for h, files in out]
 
 
 def scan_reports(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv",
                  keep: Sequence[str] = (), sep: str = ",", quote: str = '"',
-                 escape: str = "\\") -> DataFrame:
+                 escape: str = "\\", method: str = "auto") -> DataFrame:
     """All report CSVs under ``path`` as one DataFrame with the canonical
     string columns ``Country, last_update, Confirmed, Deaths, Recovered``,
     the columns named in ``keep`` (null where a file lacks them) and
     ``source_file``. Raises ``ValueError`` naming the files whose header has
     no country, last-update or measure column."""
     parts = []
-    for names, files in discover_headers(spark, path, glob, sep, quote):
+    for names, files in discover_headers(spark, path, glob, sep, quote, method):
         try:
             pos = resolve_header(names)
         except ValueError as e:

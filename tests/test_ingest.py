@@ -101,7 +101,8 @@ def _write(dirpath, name, text):
         fh.write(text)
 
 
-def test_scan_reports_groups_files_by_header(spark):
+@pytest.mark.parametrize("method", ["read", "scan"])
+def test_scan_reports_groups_files_by_header(spark, method):
     d = tempfile.mkdtemp(prefix="epitrend-csv-")
     _write(d, "01-22-2020.csv",
            "Province/State,Country/Region,Last Update,Confirmed,Deaths,Recovered\n"
@@ -115,9 +116,9 @@ def test_scan_reports_groups_files_by_header(spark):
            "Recovered,Active,Combined_Key\n"
            '2,c,d,Peru,2020-04-01 23:45:00,1,2,40,2,1,99,"c, d, Peru"\n')
     _write(d, "notes.txt", "not a report\n")
-    groups = discover_headers(spark, d)
+    groups = discover_headers(spark, d, method=method)
     assert sorted(len(files) for _, files in groups) == [1, 2]
-    out = scan_reports(spark, d)
+    out = scan_reports(spark, d, method=method)
     assert out.count() == 4
     rows = {(r["Country"], r["Confirmed"]) for r in out.collect()}
     assert rows == {("Mexico", "1"), ("Peru", "2"), ("Mexico", "30"), ("Peru", "40")}
@@ -126,11 +127,23 @@ def test_scan_reports_groups_files_by_header(spark):
     assert ("Mexico", "2020-03-22", 29.0) in got and ("Peru", "2020-01-22", 2.0) in got
 
 
-def test_scan_reports_missing_country_names_files(spark):
+@pytest.mark.parametrize("method", ["read", "scan"])
+def test_scan_reports_missing_country_names_files(spark, method):
     d = tempfile.mkdtemp(prefix="epitrend-csv-")
     _write(d, "bad.csv", "Region,Last Update,Confirmed,Deaths,Recovered\nX,1/1/2020,1,1,1\n")
     with pytest.raises(ValueError, match="bad.csv"):
-        scan_reports(spark, d)
+        scan_reports(spark, d, method=method)
+
+
+def test_discovery_reads_quoted_header_and_crlf(spark):
+    d = tempfile.mkdtemp(prefix="epitrend-csv-")
+    _write(d, "q.csv", '"Country, or Region",Last_Update,Confirmed,Deaths,Recovered\r\n'
+                       '"Korea, South",2020-03-01 10:00:00,5,0,1\r\n')
+    for method in ("read", "scan"):
+        (names, files), = discover_headers(spark, d, method=method)
+        assert names[0] == "Country, or Region" and names[-1] == "Recovered"
+    row = scan_reports(spark, d).collect()[0]
+    assert (row["Country"], row["Confirmed"], row["Recovered"]) == ("Korea, South", "5", "1")
 
 
 def test_scan_reports_empty_directory(spark):

@@ -16,9 +16,31 @@ def date_text(col: Column | str) -> Column:
     return F.element_at(F.split(c, "T"), 1)
 
 
+# Shapes of text each pattern can parse: digit groups split by dashes, month
+# 1-12 and day 1-31 with optional leading zeros, ``yy`` exactly two digits;
+# a sign is allowed on every group (Spark takes negative years). Text of
+# another shape cannot parse, so the guard only skips a failing parse, whose
+# exception costs about 7x a successful parse.
+# One deliberate difference: years of more than 5 significant digits are
+# unparsable here. Spark's parser raises a long overflow for some of them
+# (a failed job instead of null); the others are dates after year 99999.
+_SIGN = r"[-+]?"
+_MONTH = rf"{_SIGN}0*(?:[1-9]|1[0-2])"
+_DAY = rf"{_SIGN}0*(?:[1-9]|[12][0-9]|3[01])"
+_YEAR = rf"{_SIGN}0*[0-9]{{1,5}}"
+_SHAPES = {
+    "M-d-y": rf"^{_MONTH}-{_DAY}-{_YEAR}$",
+    "M-d-yy": rf"^{_MONTH}-{_DAY}-{_SIGN}[0-9]{{2}}$",
+    "y-M-d": rf"^{_YEAR}-{_MONTH}-{_DAY}$",
+}
+
+
 def parse_date(text: Column, pattern: str) -> Column:
-    """Null instead of an error for text the pattern does not fit (ANSI on)."""
-    return F.try_to_date(text, pattern)
+    """``try_to_date``: null instead of an error for text the pattern does
+    not fit (ANSI on). Known patterns are tried only on text of their shape."""
+    shape = _SHAPES.get(pattern)
+    parsed = F.try_to_date(text, pattern)
+    return parsed if shape is None else F.when(text.rlike(shape), parsed)
 
 
 def starts_with_year_prefix(d: Column, prefix: str = YEAR_PREFIX) -> Column:

@@ -82,28 +82,23 @@ def detect_dates(df: DataFrame, source: str = "source_file", column: str = LAST_
     so the raw rows are never shuffled."""
     if len(patterns) != 3:
         raise ValueError("detect_dates takes three patterns")
-    text = date_text(column)
-    p1, p2, p3 = (parse_date(text, p) for p in patterns)
-    staged = df.withColumns({"_d1": p1, "_d2": p2, "_d3": p3})
-    staged = staged.withColumns({"_ok1": starts_with_year_prefix(F.col("_d1")),
-                                 "_ok2": starts_with_year_prefix(F.col("_d2"))})
-    tmp = ["_d1", "_d2", "_d3", "_ok1", "_ok2"]
+    staged = df.withColumn("_t", date_text(column))
+    p1, p2, p3 = (parse_date(F.col("_t"), p) for p in patterns)
+    ok1, ok2 = starts_with_year_prefix(p1), starts_with_year_prefix(p2)
     if mode == "row":
-        date = F.coalesce(F.when(F.col("_ok1"), F.col("_d1")),
-                          F.when(F.col("_ok2"), F.col("_d2")), F.col("_d3"))
-        return staged.withColumn("Date", date).drop(*tmp)
+        date = F.coalesce(F.when(ok1, p1), F.when(ok2, p2), p3)
+        return staged.withColumn("Date", date).drop("_t")
     if mode != "file":
         raise ValueError(f"mode must be 'file' or 'row', not {mode!r}")
-    flags = staged.groupBy(source).agg(F.bool_or("_ok1").alias("_any1"),
-                                       F.bool_or("_ok2").alias("_any2"))
+    flags = staged.groupBy(source).agg(F.bool_or(ok1).alias("_any1"),
+                                       F.bool_or(ok2).alias("_any2"))
     flags = broadcast_if_bounded(flags, max_sources, materialize=True)
-    j = staged.join(flags, source)
-    keep = (F.when(F.col("_any1"), F.col("_ok1"))
-            .when(F.col("_any2"), F.col("_ok2")).otherwise(F.lit(True)))
-    date = (F.when(F.col("_any1"), F.col("_d1"))
-            .when(F.col("_any2"), F.col("_d2")).otherwise(F.col("_d3")))
-    return (j.where(keep).withColumn("Date", date)
-            .select(*df.columns, "Date"))
+    # Each row parses only with its source's pattern.
+    any1, any2 = F.col("_any1"), F.col("_any2")
+    picked = staged.join(flags, source).withColumn(
+        "Date", F.when(any1, p1).when(any2, p2).otherwise(p3))
+    keep = F.when(any1 | any2, starts_with_year_prefix(F.col("Date"))).otherwise(F.lit(True))
+    return picked.where(keep).select(*df.columns, "Date")
 
 
 def coerce_measures(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -150,3 +150,39 @@ def test_scan_reports_empty_directory(spark):
     d = tempfile.mkdtemp(prefix="epitrend-csv-")
     _write(d, "readme.txt", "x\n")
     assert scan_reports(spark, d).count() == 0
+
+
+def test_guarded_parse_equals_plain_parse(spark):
+    import random
+
+    from epitrend.functions.dates import parse_date
+
+    rng = random.Random(3)
+    alphabet = "0123456789" * 3 + "---+ T:a"
+    texts = ["012-5-2024", "1-5-+2024", "1-5-24", "1-5-024", "+2024-1-5", "2024-001-05",
+             "20240-01-05", "1-5-20241", "1-5-0", "2-30-2024", "13-5-2024", "0-5-2024",
+             "00012-0031-1999", "", "1-5-2024 ", "1--5-2024"]
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12)))
+              for _ in range(3000)]
+    texts += [f"{rng.randint(0, 14)}-{rng.randint(0, 33)}-{rng.randint(0, 2100)}"
+              for _ in range(2000)]
+    texts += [f"{rng.randint(0, 2100)}-{rng.randint(0, 14)}-{rng.randint(0, 33)}"
+              for _ in range(2000)]
+    # the guard differs only for years of more than 5 significant digits
+    long_year = r"[0-9]*[1-9][0-9]{5}"
+    texts = [t for t in texts if not __import__("re").search(long_year, t)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for p in ("M-d-y", "M-d-yy", "y-M-d"):
+        plain = F.try_to_date("t", p).cast("string")
+        guarded = parse_date(F.col("t"), p).cast("string")
+        diff = df.where(~plain.eqNullSafe(guarded)).select("t").limit(5).collect()
+        assert not diff, (p, diff)
+
+
+def test_long_years_are_unparsable_not_a_failed_job(spark):
+    from epitrend.functions.dates import parse_date
+
+    df = spark.createDataFrame([("1-5-999999",), ("999999-1-5",), ("1-5-002024",)], "t string")
+    got = [r[0] for r in df.select(parse_date(F.col("t"), "M-d-y").cast("string")).collect()]
+    assert got == [None, None, "2024-01-05"]
+    assert df.select(parse_date(F.col("t"), "y-M-d")).collect()[1][0] is None

@@ -66,7 +66,7 @@ def normalize_headers(frames: Sequence[DataFrame], keep: Sequence[str] = ()) ->
 
 def detect_dates(df: DataFrame, source: str = "source_file", column: str = LAST_UPDATE,
                  mode: str = "file", patterns: Sequence[str] = DATE_PATTERNS,
-                 max_sources: int = 1_000_000) -> DataFrame:
+                 max_sources: int = 200_000) -> DataFrame:
     """Add ``Date`` parsed from ``column``.
 
     The text is cut as ``date_text`` does. ``mode="file"`` (the reference

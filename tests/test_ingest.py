@@ -186,3 +186,71 @@ def test_long_years_are_unparsable_not_a_failed_job(spark):
     got = [r[0] for r in df.select(parse_date(F.col("t"), "M-d-y").cast("string")).collect()]
     assert got == [None, None, "2024-01-05"]
     assert df.select(parse_date(F.col("t"), "y-M-d")).collect()[1][0] is None
+
+
+def _reference_file_rule(texts):
+    """The per-file date rule step by step, in plain Python, for texts in the
+    formats M/d/yyyy H:mm, M/d/yy H:mm, yyyy-MM-dd HH:mm:ss, yyyy-MM-ddTHH:mm:ss
+    or junk. Returns the kept (index, date) pairs."""
+    def cut(t):
+        return t.replace("/", "-").split(" ")[0].split("T")[0]
+
+    def mdy(t, two_digit):
+        parts = cut(t).split("-")
+        if len(parts) != 3 or not all(p.isdigit() for p in parts):
+            return None
+        m, d, y = (int(p) for p in parts)
+        if two_digit:
+            if len(parts[2]) != 2:
+                return None
+            y += 2000
+        if len(parts[0]) > 2 or not (1 <= m <= 12):
+            return None
+        try:
+            return dt.date(y, m, d) if y > 0 else None
+        except ValueError:
+            return None
+
+    def ymd(t):
+        parts = cut(t).split("-")
+        if len(parts) != 3 or not all(p.isdigit() for p in parts) or len(parts[0]) != 4:
+            return None
+        try:
+            return dt.date(*(int(p) for p in parts))
+        except ValueError:
+            return None
+
+    first = [mdy(t, False) for t in texts]
+    first = [d if d is not None and str(d.year).startswith("2") and d.year >= 1000 else None
+             for d in first]
+    if any(first):
+        return [(i, d) for i, d in enumerate(first) if d is not None]
+    second = [mdy(t, True) for t in texts]
+    if any(second):
+        return [(i, d) for i, d in enumerate(second) if d is not None]
+    return [(i, ymd(t)) for i, t in enumerate(texts)]
+
+
+def test_detect_dates_file_rule_against_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    rows, expected = [], set()
+    for f in range(40):
+        weights = [rng.random() for _ in range(5)]
+        texts = []
+        for _ in range(rng.randint(1, 12)):
+            d = dt.date(2020, 1, 1) + dt.timedelta(days=rng.randint(0, 900))
+            kind = rng.choices(range(5), weights)[0]
+            texts.append([f"{d.month}/{d.day}/{d.year} 10:05",
+                          f"{d.month}/{d.day}/{d.year % 100:02d} 7:00",
+                          f"{d.isoformat()} 23:45:00",
+                          f"{d.isoformat()}T20:53:02",
+                          "unknown"][kind])
+        for i, t in enumerate(texts):
+            rows.append((f"file{f}", f"{f}:{i}", t, "1", "0", "0"))
+        for i, d in _reference_file_rule(texts):
+            expected.add((f"{f}:{i}", d))
+    df = _raw(spark, rows)
+    got = {(r["Country"], r["Date"]) for r in op.detect_dates(df).collect()}
+    assert got == expected

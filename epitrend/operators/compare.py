@@ -24,10 +24,13 @@ def unpivot_features(features: DataFrame, cols: Sequence[str] | None = None,
 def transpose_features(features: DataFrame, entities: Sequence[str],
                        cols: Sequence[str] | None = None, entity: str = ENTITY) -> DataFrame:
     """Features as rows and the listed entities as columns (values keep their
-    type). The entity list is explicit, so the pivot needs no extra job to
-    find its values and its width is bounded by the caller."""
-    long = unpivot_features(features.where(F.col(entity).isin(list(entities))), cols, entity)
-    return long.groupBy("feature").pivot(entity, list(entities)).agg(F.max("value"))
+    type). The entity list is explicit, so no job is needed to find the
+    columns and the width is bounded by the caller; one conditional aggregate
+    per entity gives the pivot with a single exchange."""
+    names = list(entities)
+    long = unpivot_features(features.where(F.col(entity).isin(names)), cols, entity)
+    return long.groupBy("feature").agg(
+        *[F.max(F.when(F.col(entity) == e, F.col("value"))).alias(e) for e in names])
 
 
 def baseline_diff(features: DataFrame, baseline: str = BASELINE,

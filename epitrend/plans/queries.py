@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from epitrend import operators as op
 from epitrend.config import KMEANS_K, REFIT_K, SEED, SWEEP_KS
 from epitrend.plans import params as P
-from epitrend.plans.clean_table import ingest_directory
+from epitrend.plans.clean_table import clean_raw, ingest_directory
 from epitrend.session import scratch_path
 from epitrend.sources import fixtures as fx
 from epitrend.sources.csv_reports import scan_reports, write_report_csvs
@@ -152,8 +152,7 @@ def q_coerce_measures(spark, d):
 
 
 def q_clean_reports(spark, d):
-    coerced = op.coerce_measures(_dated(spark, d))
-    return op.daily_rollup(coerced.where(F.col("Date").isNotNull()))
+    return clean_raw(_normalized(spark, d), source="file")
 
 
 def q_scan_reports(spark, d):

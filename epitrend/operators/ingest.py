@@ -23,9 +23,10 @@ def resolve_header(names: Sequence[str]) -> dict[str, int]:
     """Canonical name -> position in ``names``.
 
     Entity: the **first** name starting with ``Country``; timestamp: the
-    **last** name starting with ``Last``; measures by exact name. A missing
-    column raises ``ValueError`` (the analysis this follows would index past
-    the header instead)."""
+    **last** name starting with ``Last``; measures by name, ignoring case as
+    Spark's column resolution does (first match). A missing column raises
+    ``ValueError`` (the analysis this follows would index past the header
+    instead)."""
     clean = [strip_bom(n).strip() for n in names]
     country = first_with_prefix(clean, COUNTRY_PREFIX)
     last = last_with_prefix(clean, LAST_UPDATE_PREFIX)
@@ -35,9 +36,10 @@ def resolve_header(names: Sequence[str]) -> dict[str, int]:
     if last is None:
         missing.append(f"a column starting with {LAST_UPDATE_PREFIX!r}")
     pos = {ENTITY: country, LAST_UPDATE: last}
+    lowered = [n.lower() for n in clean]
     for m in MEASURES:
-        if m in clean:
-            pos[m] = clean.index(m)
+        if m.lower() in lowered:
+            pos[m] = lowered.index(m.lower())
         else:
             missing.append(repr(m))
     if missing:

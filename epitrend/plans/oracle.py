@@ -140,19 +140,19 @@ def _with(*ctes: str) -> str:
 def _top_bottom(measure: str) -> str:
     return _with(_REPORTS, _LATEST) + f"""
 (SELECT 'top' AS side, Country, {measure} FROM latest
- ORDER BY {measure} DESC, Country ASC LIMIT 5)
+ ORDER BY {measure} DESC NULLS LAST, Country ASC NULLS FIRST LIMIT 5)
 UNION ALL
 (SELECT 'bottom' AS side, Country, {measure} FROM latest
- ORDER BY {measure} ASC, Country ASC LIMIT 5)"""
+ ORDER BY {measure} ASC NULLS FIRST, Country ASC NULLS FIRST LIMIT 5)"""
 
 
 def _similar(key: str) -> str:
     return _with(_REPORTS, _BANDS, _DIFFS) + f"""
 (SELECT 'most_similar' AS category, Country, abs_total_diff, rel_total_diff FROM diffs
- ORDER BY {key} ASC, Country ASC LIMIT 5)
+ ORDER BY {key} ASC NULLS FIRST, Country ASC NULLS FIRST LIMIT 5)
 UNION ALL
 (SELECT 'most_different' AS category, Country, abs_total_diff, rel_total_diff FROM diffs
- ORDER BY {key} DESC, Country ASC LIMIT 5)"""
+ ORDER BY {key} DESC NULLS LAST, Country ASC NULLS FIRST LIMIT 5)"""
 
 
 _FEATURE_LIST = ", ".join(f"'{c}'" for c in _BAND_COLS)

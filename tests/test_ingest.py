@@ -19,6 +19,11 @@ def test_resolve_header_first_country_last_last():
     assert (pos["Confirmed"], pos["Deaths"], pos["Recovered"]) == (5, 6, 7)
 
 
+def test_resolve_header_measures_ignore_case():
+    pos = resolve_header(["Country", "Last Update", "confirmed", "DEATHS", "Recovered"])
+    assert (pos["Confirmed"], pos["Deaths"]) == (2, 3)
+
+
 def test_resolve_header_bom_and_exact_country():
     pos = resolve_header(["﻿Country", "Last Update", "Confirmed", "Deaths", "Recovered"])
     assert pos["Country"] == 0

@@ -100,16 +100,20 @@ def discover_headers(spark: SparkSession, path: str | Sequence[str], glob: str =
                      method: str = "auto") -> list[tuple[list[str], list[str]]]:
     """``[(header names, file paths)]``, one entry per distinct header line."""
     paths = [path] if isinstance(path, str) else list(path)
-    if method == "auto":
-        method = _pick_method(paths)
-    if method == "read":
-        first = _headers_by_read(spark, paths, glob)
-    elif method == "scan":
-        first = _headers_by_scan(spark, paths, glob)
-    else:
+    if method not in ("auto", "read", "scan"):
         raise ValueError(f"method must be 'auto', 'read' or 'scan', not {method!r}")
+    chosen = _pick_method(paths) if method == "auto" else method
+    finder = _headers_by_read if chosen == "read" else _headers_by_scan
+    try:
+        rows = finder(spark, paths, glob).orderBy("header", "file").collect()
+    except Exception:
+        if method != "auto" or chosen != "read":
+            raise
+        # The executors cannot open the files through pyarrow (scheme or
+        # credentials): fall back to the scan, which uses Spark's file system.
+        rows = _headers_by_scan(spark, paths, glob).orderBy("header", "file").collect()
     out = []
-    for row in first.orderBy("header", "file").collect():
+    for row in rows:
         if out and out[-1][0] == row["header"]:
             out[-1][1].append(row["file"])
         else:

@@ -259,3 +259,19 @@ def test_detect_dates_file_rule_against_brute_force(spark):
     df = _raw(spark, rows)
     got = {(r["Country"], r["Date"]) for r in op.detect_dates(df).collect()}
     assert got == expected
+
+
+def test_discovery_auto_falls_back_to_scan(spark, monkeypatch):
+    from epitrend.sources import csv_reports
+
+    d = tempfile.mkdtemp(prefix="epitrend-csv-")
+    _write(d, "a.csv", "Country,Last Update,Confirmed,Deaths,Recovered\nX,1/1/2020,1,0,0\n")
+
+    def broken(spark, paths, glob):
+        raise RuntimeError("cannot open")
+
+    monkeypatch.setattr(csv_reports, "_headers_by_read", broken)
+    (names, files), = discover_headers(spark, d)
+    assert names[0] == "Country" and len(files) == 1
+    with pytest.raises(RuntimeError):
+        discover_headers(spark, d, method="read")

@@ -5,6 +5,7 @@ clustering results are computed eagerly (model fits are iterative jobs)."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -16,12 +17,14 @@ from epitrend.config import (BANDS, BASELINE, COMPARE_WITH, KMEANS_K, REFIT_K, S
 MEASURE_NAMES = ("Active", "Confirmed", "Deaths", "Recovered")
 
 
-def snapshot_reports(clean: DataFrame, k: int = TOP_K) -> dict[str, DataFrame]:
-    """Latest snapshot and the top / bottom k per measure."""
-    latest = op.latest_snapshot(clean)
-    out = {"latest": latest}
+def snapshot_reports(clean: DataFrame, k: int = TOP_K,
+                     on: str | dt.date | None = None) -> dict[str, DataFrame]:
+    """Snapshot and the top / bottom k per measure, at the latest date or at
+    date ``on`` (the date selector of the dashboard)."""
+    snap = op.latest_snapshot(clean) if on is None else op.as_of_snapshot(clean, on)
+    out = {"snapshot": snap}
     for m in MEASURE_NAMES:
-        out[f"top_bottom_{m.lower()}"] = op.top_bottom(latest, m, k)
+        out[f"top_bottom_{m.lower()}"] = op.top_bottom(snap, m, k)
     return out
 
 

@@ -32,8 +32,10 @@ def test_build_clean_table_qualifies_and_writes(spark):
 def test_analysis_compositions(spark):
     clean = fx.reports(spark, SF01)
     snaps = snapshot_reports(clean)
-    assert snaps["latest"].count() == 25
+    assert snaps["snapshot"].count() == 25
     assert snaps["top_bottom_active"].count() == 10
+    dated = snapshot_reports(clean, on="1998-06-01")["snapshot"]
+    assert {r["Date"].isoformat() for r in dated.collect()} == {"1998-06-01"}
     feats = feature_reports(clean, P.FIXTURE_BANDS, P.BASELINE, compare_with=["NATION_1"])
     assert feats["features"].count() == 25
     assert feats["diffs"].count() == 24

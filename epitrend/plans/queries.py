@@ -1,7 +1,10 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Each reads the driver tables (through ``epitrend.sources.fixtures``) and
-runs one operator of the analysis on the whole tables."""
+runs one operator of the analysis on the whole tables. Operators on the clean
+table read it as stored Parquet (``stored_reports``, built once per session
+and scale), as the analysis does; ``parquet_roundtrip`` times building and
+writing it from the driver tables."""
 
 from __future__ import annotations
 
@@ -31,25 +34,26 @@ def q_daily_rollup(spark, d):
 
 
 def q_qualify_entities(spark, d):
-    return op.qualify_entities(fx.reports(spark, d), **P.QUALIFY)
+    return op.qualify_entities(fx.stored_reports(spark, d), **P.QUALIFY)
 
 
 def q_latest_snapshot(spark, d):
-    return op.latest_snapshot(fx.reports(spark, d))
+    return op.latest_snapshot(fx.stored_reports(spark, d))
 
 
 def q_as_of_snapshot(spark, d):
-    return op.as_of_snapshot(fx.reports(spark, d), P.AS_OF)
+    return op.as_of_snapshot(fx.stored_reports(spark, d), P.AS_OF)
 
 
 def _top_bottom(measure):
     def q(spark, d):
-        return op.top_bottom(op.latest_snapshot(fx.reports(spark, d)), measure)
+        return op.top_bottom(op.latest_snapshot(fx.stored_reports(spark, d)), measure)
     return q
 
 
 def q_country_codes(spark, d):
-    return op.country_codes(op.latest_snapshot(fx.reports(spark, d)), fx.alias_table(spark, d))
+    snapshot = op.latest_snapshot(fx.stored_reports(spark, d))
+    return op.country_codes(snapshot, fx.alias_table(spark, d))
 
 
 def q_parquet_roundtrip(spark, d):
@@ -58,7 +62,7 @@ def q_parquet_roundtrip(spark, d):
 
 
 def q_register_view(spark, d):
-    register_view(fx.reports(spark, d), "epitrend_reports")
+    register_view(fx.stored_reports(spark, d), "epitrend_reports")
     return spark.sql("SELECT * FROM epitrend_reports "
                      "WHERE Date = (SELECT max(Date) FROM epitrend_reports)")
 
@@ -66,35 +70,35 @@ def q_register_view(spark, d):
 # ---- features -----------------------------------------------------------
 
 def q_first_day(spark, d):
-    return op.first_day(fx.reports(spark, d))
+    return op.first_day(fx.stored_reports(spark, d))
 
 
 def q_next_value(spark, d):
-    return op.next_value(fx.reports(spark, d)).select("Date", "Country", "Confirmed",
+    return op.next_value(fx.stored_reports(spark, d)).select("Date", "Country", "Confirmed",
                                                       "next_Confirmed")
 
 
 def q_first_crossing(spark, d):
-    return op.first_crossing(fx.reports(spark, d), P.THRESHOLD)
+    return op.first_crossing(fx.stored_reports(spark, d), P.THRESHOLD)
 
 
 def q_series_list(spark, d):
-    s = op.series_list(fx.reports(spark, d))
+    s = op.series_list(fx.stored_reports(spark, d))
     return s.select("Country", F.size("series").cast("long").alias("length"),
                     F.element_at("series", 1).alias("first_value"),
                     F.element_at("series", -1).alias("last_value"))
 
 
 def q_array_index(spark, d):
-    return op.array_index(op.series_list(fx.reports(spark, d)), P.THRESHOLD)
+    return op.array_index(op.series_list(fx.stored_reports(spark, d)), P.THRESHOLD)
 
 
 def q_days_in_bands(spark, d):
-    return op.days_in_bands(fx.reports(spark, d), P.FIXTURE_BANDS)
+    return op.days_in_bands(fx.stored_reports(spark, d), P.FIXTURE_BANDS)
 
 
 def _features(spark, d):
-    return op.feature_table(fx.reports(spark, d), P.FIXTURE_BANDS)
+    return op.feature_table(fx.stored_reports(spark, d), P.FIXTURE_BANDS)
 
 
 def q_feature_table(spark, d):
@@ -126,7 +130,7 @@ def q_similar_by_rel(spark, d):
 
 
 def q_compare_curves(spark, d):
-    return op.compare_curves(fx.reports(spark, d), *P.CURVES)
+    return op.compare_curves(fx.stored_reports(spark, d), *P.CURVES)
 
 
 # ---- raw report ingestion -----------------------------------------------

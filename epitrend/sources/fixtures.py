@@ -1,6 +1,9 @@
 """Report-shaped inputs derived from the driver tables.
 
 ``reports``          the clean table R: cumulative daily counts per nation.
+``stored_reports``   R written once per session and scale to Parquet in the
+                     shared scratch folder and read back, as the analysis
+                     keeps its clean table.
 ``report_rows``      the same counts at (date, nation, priority) grain, not
                      cumulative: several rows per (Date, Country) to roll up.
 ``raw_report_files`` raw string reports E with drifting headers and date
@@ -13,9 +16,12 @@ grows with the tables.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from epitrend.session import scratch_path
 from epitrend.sources.tables import read_table
 
 
@@ -84,6 +90,23 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("Active", F.col("Confirmed") - (F.col("Deaths") + F.col("Recovered")))
 
 
+_STORED: dict[str, tuple[SparkSession, str]] = {}
+_STORED_LOCK = threading.Lock()
+
+
+def stored_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R as a stored Parquet table: built from the driver tables and written
+    on first use in this session, then read (stage 1 writes the clean table
+    once; the analyses read it)."""
+    with _STORED_LOCK:
+        hit = _STORED.get(sf_dir)
+        if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+            path = scratch_path(spark, "reports")
+            reports(spark, sf_dir).write.mode("overwrite").parquet(path)
+            _STORED[sf_dir] = hit = (spark, path)
+    return spark.read.parquet(hit[1])
+
+
 def _raw_columns(events: DataFrame) -> DataFrame:
     i = F.col("event_id")
     file = (F.col("user_id") % 4)

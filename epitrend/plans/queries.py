@@ -21,7 +21,7 @@ from epitrend.plans import params as P
 from epitrend.plans.clean_table import clean_raw, ingest_directory
 from epitrend.session import scratch_path
 from epitrend.sources import fixtures as fx
-from epitrend.sources.csv_reports import scan_reports, write_report_csvs
+from epitrend.sources.csv_reports import scan_reports
 from epitrend.sources.parquet import read_clean, register_view, write_clean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,17 +160,15 @@ def q_clean_reports(spark, d):
 
 
 def q_scan_reports(spark, d):
-    path = write_report_csvs(fx.raw_report_files(spark, d), scratch_path(spark, "reports"))
+    path = fx.stored_report_csvs(spark, d)
     return scan_reports(spark, path, keep=P.RAW_KEEP).drop("source_file")
 
 
 def q_ingest_reports(spark, d):
-    """Raw reports written as CSV (one folder per report, each with several
-    part files) -> scan -> per-report dates -> measures -> roll-up."""
-    path = scratch_path(spark, "reports")
-    for i, variant in enumerate(fx.raw_report_files(spark, d)):
-        variant.write.partitionBy("file").options(header=True).csv(f"{path}/variant_{i}")
-    return ingest_directory(spark, path, report_level="directory")
+    """Raw report CSVs (one folder per report, each with several part files)
+    -> scan -> per-report dates -> measures -> roll-up."""
+    return ingest_directory(spark, fx.stored_report_csvs(spark, d, by_report=True),
+                            report_level="directory")
 
 
 # ---- clustering ---------------------------------------------------------

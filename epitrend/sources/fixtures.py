@@ -107,6 +107,23 @@ def stored_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(hit[1])
 
 
+def stored_report_csvs(spark: SparkSession, sf_dir: str, by_report: bool = False) -> str:
+    """Folder of raw report CSVs (``raw_report_files`` written with headers),
+    written on first use in this session: one folder per header variant,
+    or with ``by_report`` one folder per report (``file=<n>``), each holding
+    several part files. Returns the folder."""
+    key = f"{sf_dir}#csv{'-by-report' if by_report else ''}"
+    with _STORED_LOCK:
+        hit = _STORED.get(key)
+        if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+            path = scratch_path(spark, "report-csvs")
+            for i, variant in enumerate(raw_report_files(spark, sf_dir)):
+                w = variant.write.mode("overwrite").options(header=True)
+                (w.partitionBy("file") if by_report else w).csv(f"{path}/variant_{i}")
+            _STORED[key] = hit = (spark, path)
+    return hit[1]
+
+
 def _raw_columns(events: DataFrame) -> DataFrame:
     i = F.col("event_id")
     file = (F.col("user_id") % 4)

@@ -12,7 +12,9 @@ another header would be read silently wrong. Instead:
    - ``method="scan"``: a text scan keeping, per file, the first row of the
      split that starts at byte 0. Works on every Hadoop file system, but
      reads the input once more.
-   - ``method="auto"``: ``read`` for local, s3 and gcs paths, else ``scan``.
+   - ``method="auto"``: ``read`` for local, s3 and gcs paths holding at
+     least ``read_above_bytes`` (from the listing, no content read), else
+     ``scan``; a failed ``read`` falls back to ``scan``.
 2. ``scan_reports``: one CSV read per distinct header (not per file), with
    positional all-string columns, then the canonical projection. The
    header groups are unioned by name.
@@ -72,10 +74,14 @@ def _probe_first_lines(batches):
             names=["file", "header"])
 
 
+def _listing(spark: SparkSession, paths: list[str], glob: str) -> DataFrame:
+    # binaryFile reads a file's content only when ``content`` is selected.
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true").load(paths))
+
+
 def _headers_by_read(spark: SparkSession, paths: list[str], glob: str) -> DataFrame:
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(paths)
-             .select(F.col("path").alias("file")))
+    files = _listing(spark, paths, glob).select(F.col("path").alias("file"))
     return (files.mapInArrow(_probe_first_lines, "file string, header string")
             .where(F.col("header").isNotNull()))
 
@@ -90,19 +96,27 @@ def _headers_by_scan(spark: SparkSession, paths: list[str], glob: str) -> DataFr
             .groupBy("file").agg(F.min_by("value", "rid").alias("header")))
 
 
-def _pick_method(paths: list[str]) -> str:
+def _pick_method(spark: SparkSession, paths: list[str], glob: str,
+                 read_above_bytes: int) -> str:
+    """``read`` when pyarrow can open the paths and the input is large
+    enough for its fixed cost (starting Python workers) to pay off against
+    scanning every byte once more; else ``scan``."""
     schemes = {urlparse(p).scheme.lower() for p in paths}
-    return "read" if schemes <= _ARROW_SCHEMES else "scan"
+    if not schemes <= _ARROW_SCHEMES:
+        return "scan"
+    total = _listing(spark, paths, glob).select(F.sum("length")).first()[0] or 0
+    return "read" if total >= read_above_bytes else "scan"
 
 
 def discover_headers(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv",
-                     sep: str = ",", quote: str = '"',
-                     method: str = "auto") -> list[tuple[list[str], list[str]]]:
+                     sep: str = ",", quote: str = '"', method: str = "auto",
+                     read_above_bytes: int = 1 << 30) -> list[tuple[list[str], list[str]]]:
     """``[(header names, file paths)]``, one entry per distinct header line."""
     paths = [path] if isinstance(path, str) else list(path)
     if method not in ("auto", "read", "scan"):
         raise ValueError(f"method must be 'auto', 'read' or 'scan', not {method!r}")
-    chosen = _pick_method(paths) if method == "auto" else method
+    chosen = (_pick_method(spark, paths, glob, read_above_bytes) if method == "auto"
+              else method)
     finder = _headers_by_read if chosen == "read" else _headers_by_scan
     try:
         rows = finder(spark, paths, glob).orderBy("header", "file").collect()

@@ -271,7 +271,17 @@ def test_discovery_auto_falls_back_to_scan(spark, monkeypatch):
         raise RuntimeError("cannot open")
 
     monkeypatch.setattr(csv_reports, "_headers_by_read", broken)
-    (names, files), = discover_headers(spark, d)
+    (names, files), = discover_headers(spark, d, read_above_bytes=0)
     assert names[0] == "Country" and len(files) == 1
     with pytest.raises(RuntimeError):
         discover_headers(spark, d, method="read")
+
+
+def test_discovery_auto_picks_by_size(spark):
+    from epitrend.sources.csv_reports import _pick_method
+
+    d = tempfile.mkdtemp(prefix="epitrend-csv-")
+    _write(d, "a.csv", "Country,Last Update,Confirmed,Deaths,Recovered\nX,1/1/2020,1,0,0\n")
+    assert _pick_method(spark, [d], "*.csv", 1 << 30) == "scan"
+    assert _pick_method(spark, [d], "*.csv", 1) == "read"
+    assert _pick_method(spark, ["hdfs://nn/x"], "*.csv", 1) == "scan"

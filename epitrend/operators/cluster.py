@@ -9,6 +9,7 @@ in a canonical layout (hash partitions by entity, sorted inside) first.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -113,21 +114,28 @@ SWEEP_SCHEMA = StructType([
 
 def k_sweep(train: DataFrame, test: DataFrame, ks: Iterable[int] = SWEEP_KS,
             seed: int = SEED, features_col: str = FEATURES, key: str = ENTITY,
-            partitions: int = 4) -> DataFrame:
+            partitions: int = 4, parallelism: int = 4) -> DataFrame:
     """Fit on ``train`` for every k, score on ``test``: one row per k with
     the centres found, the training cost and the test silhouette (the
-    elbow / silhouette table)."""
+    elbow / silhouette table). Like SparkML's ``CrossValidator``, up to
+    ``parallelism`` fits run as concurrent Spark jobs; each fit is seeded and
+    reads the same layout, so the result does not depend on it."""
     # Laid out and checkpointed once for all fits (the layout is
     # deterministic, so each fit sees exactly what kmeans_fit would build).
     train, test = materialize(canonical_layout(train, key, partitions)), materialize(test)
-    rows = []
+    spark = train.sparkSession
     if train.isEmpty():
-        return train.sparkSession.createDataFrame([], SWEEP_SCHEMA)
-    for k in ks:
+        return spark.createDataFrame([], SWEEP_SCHEMA)
+
+    def one(k: int) -> tuple:
         model = kmeans_fit(train, k, seed, features_col, key, partitions=None)
         score = silhouette(kmeans_assign(model, test), features_col)
-        rows.append((int(k), n_centers(model), float(model.summary.trainingCost), score))
-    return train.sparkSession.createDataFrame(rows, SWEEP_SCHEMA)
+        return (int(k), n_centers(model), float(model.summary.trainingCost), score)
+
+    ks = list(ks)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
+        rows = list(pool.map(one, ks))
+    return spark.createDataFrame(rows, SWEEP_SCHEMA)
 
 
 def best_k(sweep: DataFrame) -> int | None:

@@ -76,6 +76,13 @@ def test_k_sweep_rows(assembled):
 def test_sweep_matches_single_fits(assembled):
     train, test = op.train_test(assembled)
     sweep = {r["k"]: r for r in op.k_sweep(train, test, [2, 4]).collect()}
+    serial = {r["k"]: r for r in op.k_sweep(train, test, [2, 4], parallelism=1).collect()}
+    for k in (2, 4):
+        # tree aggregation sums partial costs in task-completion order, so
+        # the last digit may differ between any two runs
+        assert sweep[k]["n_centers"] == serial[k]["n_centers"]
+        assert sweep[k]["training_cost"] == pytest.approx(serial[k]["training_cost"], rel=1e-12)
+        assert sweep[k]["silhouette"] == pytest.approx(serial[k]["silhouette"])
     for k in (2, 4):
         model = op.kmeans_fit(train, k=k)
         assert sweep[k]["training_cost"] == pytest.approx(model.summary.trainingCost)

@@ -16,6 +16,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from epitrend.config import ENTITY, KMEANS_K, SEED, SWEEP_KS, TRAIN_RATIO
@@ -133,8 +134,10 @@ def k_sweep(train: DataFrame, test: DataFrame, ks: Iterable[int] = SWEEP_KS,
         return (int(k), n_centers(model), float(model.summary.trainingCost), score)
 
     ks = list(ks)
+    # The fits keep the caller's job group and scheduler pool.
+    task = inheritable_thread_target(one)
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
-        rows = list(pool.map(one, ks))
+        rows = list(pool.map(task, ks))
     return spark.createDataFrame(rows, SWEEP_SCHEMA)
 
 

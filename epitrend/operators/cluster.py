@@ -135,7 +135,7 @@ def k_sweep(train: DataFrame, test: DataFrame, ks: Iterable[int] = SWEEP_KS,
 
     ks = list(ks)
     # The fits keep the caller's job group and scheduler pool.
-    task = inheritable_thread_target(one)
+    task = inheritable_thread_target(spark)(one)
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
         rows = list(pool.map(task, ks))
     return spark.createDataFrame(rows, SWEEP_SCHEMA)

@@ -81,3 +81,14 @@ def test_whole_stage_codegen_and_no_python_in_features(clean):
     text = buf.getvalue()
     assert "*(" in text                     # whole-stage codegen spans
     assert "Python" not in text and "ArrowEval" not in text
+
+
+def test_similar_entities_sides_share_the_feature_shuffle(clean):
+    diffs = op.baseline_diff(op.feature_table(clean), "NATION_0")
+    df = op.similar_entities(diffs, "abs")
+    df.collect()  # reuse is decided in the final (AQE) plan
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    text = buf.getvalue()
+    assert "ReusedExchange" in text and "ReusedSubquery" in text

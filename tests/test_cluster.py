@@ -86,3 +86,38 @@ def test_sweep_matches_single_fits(assembled):
     for k in (2, 4):
         model = op.kmeans_fit(train, k=k)
         assert sweep[k]["training_cost"] == pytest.approx(model.summary.trainingCost)
+
+
+def _brute_silhouette(points, labels):
+    import numpy as np
+
+    x = np.asarray(points, dtype=float)
+    y = np.asarray(labels)
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)  # squared Euclidean
+    scores = []
+    for i in range(len(x)):
+        own = y == y[i]
+        if own.sum() == 1:
+            scores.append(0.0)
+            continue
+        a = d[i, own].sum() / (own.sum() - 1)
+        b = min(d[i, y == c].mean() for c in set(y.tolist()) if c != y[i])
+        scores.append((b - a) / max(a, b))
+    return float(np.mean(scores))
+
+
+def test_silhouette_equals_brute_force(assembled):
+    for k in (2, 3, 5):
+        pred = op.kmeans_assign(op.kmeans_fit(assembled, k=k), assembled).collect()
+        want = _brute_silhouette([r["features"].toArray() for r in pred],
+                                 [r["prediction"] for r in pred])
+        got = op.silhouette(op.kmeans_assign(op.kmeans_fit(assembled, k=k), assembled))
+        assert got == pytest.approx(want, rel=1e-9, abs=1e-12)
+
+
+def test_training_cost_equals_brute_force(assembled):
+    train, _ = op.train_test(assembled)
+    model = op.kmeans_fit(train, k=4)
+    centers = model.clusterCenters()
+    want = sum(min(_sqdist(r["features"], c) for c in centers) for r in train.collect())
+    assert model.summary.trainingCost == pytest.approx(want, rel=1e-9)

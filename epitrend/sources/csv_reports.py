@@ -169,11 +169,14 @@ def scan_reports(spark: SparkSession, path: str | Sequence[str], glob: str = "*.
     return out
 
 
-def write_report_csvs(files: Sequence[DataFrame], path: str) -> str:
+def write_report_csvs(files: Sequence[DataFrame], path: str, by_report: bool = False,
+                      report_col: str = "file") -> str:
     """Write each header variant below ``path`` as CSV with a header line.
 
-    Spark writes every variant in parallel as several part files; each part
-    file carries its variant's header, like a directory of daily reports."""
+    Spark writes every variant in parallel as several part files, each
+    carrying its variant's header, like a directory of daily reports. With
+    ``by_report`` each report (``report_col``) gets its own folder."""
     for i, df in enumerate(files):
-        df.write.mode("overwrite").options(header=True, quoteAll=False).csv(f"{path}/variant_{i}")
+        w = df.write.mode("overwrite").options(header=True)
+        (w.partitionBy(report_col) if by_report else w).csv(f"{path}/variant_{i}")
     return path

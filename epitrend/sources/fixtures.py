@@ -116,10 +116,10 @@ def stored_report_csvs(spark: SparkSession, sf_dir: str, by_report: bool = False
     with _STORED_LOCK:
         hit = _STORED.get(key)
         if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
-            path = scratch_path(spark, "report-csvs")
-            for i, variant in enumerate(raw_report_files(spark, sf_dir)):
-                w = variant.write.mode("overwrite").options(header=True)
-                (w.partitionBy("file") if by_report else w).csv(f"{path}/variant_{i}")
+            from epitrend.sources.csv_reports import write_report_csvs
+
+            path = write_report_csvs(raw_report_files(spark, sf_dir),
+                                     scratch_path(spark, "report-csvs"), by_report)
             _STORED[key] = hit = (spark, path)
     return hit[1]
 

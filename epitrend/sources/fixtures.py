@@ -8,6 +8,8 @@
                      cumulative: several rows per (Date, Country) to roll up.
 ``raw_report_files`` raw string reports E with drifting headers and date
                      formats, one DataFrame per header variant.
+``stored_report_csvs`` E written once per session and scale as CSV report
+                     files (the input of the directory scan).
 ``alias_table``      entity name -> three-letter code, for ``country_codes``.
 
 All of them are plain Spark plans over the driver tables, so their work
@@ -124,6 +126,8 @@ def stored_report_csvs(spark: SparkSession, sf_dir: str, by_report: bool = False
 
 
 def _raw_columns(events: DataFrame) -> DataFrame:
+    # Value rules of FIXTURES.md section 4: every event becomes one report
+    # row; the modulo tests choose formats, nulls and junk, they drop no rows.
     i = F.col("event_id")
     file = (F.col("user_id") % 4)
     ts = F.col("ts")

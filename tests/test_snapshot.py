@@ -60,3 +60,22 @@ def test_rename_entities_before_rollup(spark):
     out = {r["Country"]: r["Confirmed"] for r in
            op.daily_rollup(op.rename_entities(df, aliases)).collect()}
     assert out == {"China": 3.0, "Peru": 4.0}
+
+
+def test_qualify_against_brute_force(spark):
+    import random
+
+    rng = random.Random(9)
+    rows, expected = [], set()
+    on = dt.date(2020, 5, 3)
+    for e in range(120):
+        days = rng.sample(range(-20, 20), rng.randint(0, 12))
+        values = {d: float(rng.randint(300, 400)) for d in days}
+        for d, v in values.items():
+            rows.append((on + dt.timedelta(days=d), f"E{e}", v))
+        if len(days) >= 6 and values.get(0, 0.0) > 350:
+            expected.add(f"E{e}")
+    out = op.qualify_entities(_rows(spark, rows), min_rows=6, on=on, gt=350)
+    got_rows = out.collect()
+    assert {r["Country"] for r in got_rows} == expected
+    assert len(got_rows) == sum(1 for r in rows if r[1] in expected)

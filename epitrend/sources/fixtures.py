@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from epitrend.session import scratch_path
 from epitrend.sources.csv_reports import write_report_csvs
+from epitrend.sources.parquet import write_clean
 from epitrend.sources.tables import read_table
 
 
@@ -104,8 +105,7 @@ def stored_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _STORED_LOCK:
         hit = _STORED.get(sf_dir)
         if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
-            path = scratch_path(spark, "reports")
-            reports(spark, sf_dir).write.mode("overwrite").parquet(path)
+            path = write_clean(reports(spark, sf_dir), scratch_path(spark, "reports"))
             _STORED[sf_dir] = hit = (spark, path)
     return spark.read.parquet(hit[1])
 

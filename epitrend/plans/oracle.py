@@ -251,6 +251,10 @@ SELECT event_id, file, Country, last_update, Date FROM dated""",
     "clean_reports": _with(_RAW, _DATED, _COERCED) + """
 SELECT Date, Country, sum(Confirmed) AS Confirmed, sum(Deaths) AS Deaths,
        sum(Recovered) AS Recovered, sum(Active) AS Active
+FROM coerced WHERE Date IS NOT NULL GROUP BY Date, Country""",
+    "stream_ingest_reports": _with(_RAW, _DATED, _COERCED) + """
+SELECT Date, Country, sum(Confirmed) AS Confirmed, sum(Deaths) AS Deaths,
+       sum(Recovered) AS Recovered, sum(Active) AS Active
 FROM coerced WHERE Date IS NOT NULL GROUP BY Date, Country""",
     "ingest_reports": _with(_RAW, _DATED, _COERCED) + """
 SELECT Date, Country, sum(Confirmed) AS Confirmed, sum(Deaths) AS Deaths,

@@ -22,6 +22,7 @@ from epitrend.plans.clean_table import clean_raw, ingest_directory
 from epitrend.session import scratch_path
 from epitrend.sources import fixtures as fx
 from epitrend.sources.csv_reports import scan_reports
+from epitrend.streaming import read_rollup, start_ingest
 from epitrend.sources.parquet import read_clean, register_view, write_clean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,6 +172,16 @@ def q_ingest_reports(spark, d):
                             report_level="directory")
 
 
+def q_stream_ingest_reports(spark, d):
+    """The same report folder ingested by the stream (available-now trigger)
+    into per-epoch partial sums, then summed again."""
+    out = scratch_path(spark, "stream-out")
+    query = start_ingest(spark, fx.stored_report_csvs(spark, d, by_report=True), out,
+                         report_level="directory")
+    query.awaitTermination()
+    return read_rollup(spark, out)
+
+
 # ---- clustering ---------------------------------------------------------
 
 def _assembled(spark, d):
@@ -254,6 +265,7 @@ QUERIES: dict[str, Query] = {
     "clean_reports": q_clean_reports,
     "scan_reports": q_scan_reports,
     "ingest_reports": q_ingest_reports,
+    "stream_ingest_reports": q_stream_ingest_reports,
     "hash_split": q_hash_split,
     "assemble_features": q_assemble_features,
     "kmeans_k5": _kmeans(KMEANS_K),

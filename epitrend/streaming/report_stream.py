@@ -8,8 +8,10 @@ to ``<out>/epoch=<id>``, overwriting that folder: a batch replayed after a
 failure rewrites the same output, so the result is exactly-once.
 
 Daily sums are additive across reports, so ``read_rollup`` re-sums the
-epochs into the clean table. The date choice is per report, which lives in a
-single batch, so batching does not change the result.
+epochs into the clean table. A report that arrives within one batch (one
+file, or all its part files together) gets the same date choice as in batch
+ingestion; one whose part files are split across batches is decided per
+batch. ``maxFilesPerTrigger`` bounds the files per batch.
 """
 
 from __future__ import annotations

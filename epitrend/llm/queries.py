@@ -2,18 +2,44 @@
 
 from __future__ import annotations
 
+from epitrend.llm import minhash, quality, secrets, substring
 from epitrend.llm.bpe import encode_digests
 from epitrend.llm.common import table
 from epitrend.llm.packing import pack_documents
 
 
+def op2_secrets(spark, d):
+    docs = table(spark, d, "documents")
+    return secrets.scan(docs, secrets.train_from_documents(docs))
+
+
 def op4_packing(spark, d):
     return pack_documents(table(spark, d, "documents"))
 
 
+def op5_substring_dedup(spark, d):
+    return substring.measure(table(spark, d, "documents"))
+
+
+def op6_minhash(spark, d):
+    return minhash.near_duplicates(table(spark, d, "documents"))
+
+
+def op8_quality(spark, d):
+    docs = table(spark, d, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, d, "labels")))
+
+
 def op9_bpe(spark, d):
     return encode_digests(table(spark, d, "documents"))
 
 
-QUERIES = {"op4_packing": op4_packing, "op9_bpe": op9_bpe}
+QUERIES = {
+    "op2_secrets": op2_secrets,
+    "op4_packing": op4_packing,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_minhash": op6_minhash,
+    "op8_quality": op8_quality,
+    "op9_bpe": op9_bpe,
+}
 ORACLE_SQL: dict[str, str] = {}

@@ -1,0 +1,183 @@
+"""Near-duplicates, substring dedup and components against brute force."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from epitrend.llm.components import components
+from epitrend.llm.minhash import BUCKETS, estimate, keep_one, near_duplicates, shingles, sketch
+from epitrend.llm.substring import chunk_ends, chunks, measure, remove_repeats, removed_runs
+
+SCHEMA = "doc_id long, text string, lang string, rep string, n string, key string, component string"
+EXTRA = ("x", "clash", "clash", "clash", "clash")
+
+
+def _words(r, n):
+    return ["".join(r.choices("abcdefghij", k=r.randint(2, 8))) for _ in range(n)]
+
+
+def _corpus():
+    r = random.Random(1)
+    out, docs = [], [_words(r, r.randint(1, 300)) for _ in range(40)]
+    for d in docs:
+        out.append(d)
+        for _ in range(r.choice([0, 0, 1, 4])):
+            e = list(d)
+            for _ in range(r.randint(0, max(1, len(d) // 40))):
+                e[r.randrange(len(e))] = "new" + str(r.randint(0, 99))
+            out.append(e)
+    chain = _words(r, 400)
+    for k in range(30):  # neighbours are near, the ends are not
+        out.append(chain[4 * k:4 * k + 260])
+    hub = _words(r, 200)
+    for _ in range(60):
+        e = list(hub)
+        e[r.randrange(200)] = "edit%d" % r.randint(0, 10**6)
+        out.append(e)
+    texts = [" ".join(d).replace(" ", r.choice([" ", "\n", "\t "])) for d in out]
+    return texts + [None, "", " \n ", "One two", "one TWO", "ONE\ttwo", "É è five words here", "é è five words here"]
+
+
+def _set(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def _brute(rows, percent):
+    ids = sorted(i for i, _ in rows if i is not None)
+    sets = {i: _set(t) for i, t in rows}
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x, i in enumerate(ids):
+        for j in ids[x + 1:]:
+            a, b = sets[i], sets[j]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                p, q = sorted((find(i), find(j)))
+                root[q] = p
+    return {i: find(i) for i in ids}, sets
+
+
+@pytest.mark.parametrize("percent", [85, 80])
+def test_near_duplicates_equal_brute_force(spark, percent):
+    rows = list(enumerate(_corpus()))
+    random.Random(4).shuffle(rows)
+    df = spark.createDataFrame([(i, t, *EXTRA) for i, t in rows] + [(None, rows[0][1], *EXTRA)] + [(7, rows[[i for i, _ in rows].index(7)][1], *EXTRA)], SCHEMA)
+    want, sets = _brute(rows, percent)
+    got = near_duplicates(df, percent).collect()
+    assert len(got) == len(rows) + 2
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert r.n_shingles == len(sets[r.doc_id])
+            assert r.component_id == want[r.doc_id] and r.kept == (r.doc_id == r.component_id)
+    kept = keep_one(df, percent)
+    assert kept.columns == df.columns
+    assert sorted({r.doc_id for r in kept.collect() if r.doc_id is not None}) == sorted({i for i, c in want.items() if i == c})
+
+
+def test_blocks_of_a_large_bucket(spark, monkeypatch):
+    monkeypatch.setattr("epitrend.llm.minhash.BLOCK", 7)
+    rows = list(enumerate(_corpus()))
+    want, _ = _brute(rows, 85)
+    got = near_duplicates(spark.createDataFrame([(i, t, *EXTRA) for i, t in rows], SCHEMA)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert near_duplicates(empty).count() == 0 and measure(empty).count() == 0
+    assert remove_repeats(empty).columns == empty.columns
+
+
+def test_estimate_is_close():
+    r = np.random.default_rng(2)
+    errors = []
+    for share in (0.5, 0.8, 0.95):
+        for _ in range(40):
+            all_ = np.unique(r.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2))
+            r.shuffle(all_)
+            cut = int(len(all_) * (1 - share) / 2)
+            a, b = np.sort(all_[cut:]), np.sort(all_[:-cut])
+            true = len(np.intersect1d(a, b)) / len(all_)
+            eq = np.array([(sketch(a) == sketch(b)).mean()])
+            errors.append(estimate(eq, np.array([len(a)]), np.array([len(b)]))[0] - true)
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.06
+
+
+def test_registers_of_small_and_large_sets():
+    for n in (1, 2, 5, 127, 5000):
+        s = sketch(np.unique(np.random.default_rng(n).integers(0, 1 << 64, n, dtype=np.uint64)))
+        assert s.shape == (BUCKETS,) and s.dtype == np.uint16
+    assert len(shingles("a b c d e f")) == 2 and len(shingles("a b")) == 1
+
+
+def test_components_equal_brute_force(spark):
+    r = random.Random(9)
+    links = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1070)] + [(5, 5)]
+    root: dict = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        if a != b:
+            p, q = sorted((find(a), find(b)))
+            root[q] = p
+    got = {x.node: x.component for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: find(i) for i in root}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_chunks_resist_shifts():
+    r = random.Random(2)
+    raw = " ".join(_words(r, 2000)).encode()
+    a = {d for *_, d in chunks(raw) if d}
+    b = {d for *_, d in chunks(raw[:500] + b"inserted" + raw[500:]) if d}
+    assert len(a - b) <= 4
+    assert chunk_ends(b"") .tolist() == [] and chunk_ends("é".encode() * 3000)[-1] == 6000
+    for e in chunk_ends("é€".encode() * 3000).tolist()[:-1]:
+        assert ("é€".encode() * 3000)[:e].decode()
+
+
+def test_substring_dedup_equals_brute_force(spark):
+    r = random.Random(8)
+    passage = " ".join(_words(r, 80))
+    texts = [" ".join(_words(r, 150)) for _ in range(20)]
+    texts += [t + " " + passage + " " + " ".join(_words(r, 60)) for t in (" ".join(_words(r, 50)) for _ in range(9))]
+    texts += [texts[0], texts[3], None, "", "é" * 4000, passage + " " + passage, "a" * 5000]
+    rows = list(enumerate(texts))
+    owner: dict = {}
+    for i, t in rows:
+        for *_, d in chunks((t or "").encode()):
+            if d:
+                owner.setdefault(d, i)
+    df = spark.createDataFrame([(i, t, *EXTRA) for i, t in rows] + [(2, texts[2], *EXTRA), (None, texts[2], *EXTRA)], SCHEMA)
+    got = measure(df).collect()
+    assert len(got) == len(rows) + 2
+    cut = {x.doc_id: x.text for x in remove_repeats(df).collect()}
+    for x in got:
+        if x.doc_id is None:
+            continue
+        raw = (texts[x.doc_id] or "").encode()
+        found = {int.from_bytes(d[:8], "big", signed=True) for *_, d in chunks(raw) if d and owner[d] < x.doc_id}
+        spans = removed_runs(raw, found)
+        kept = b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(raw)]))
+        assert (x.n_bytes, x.n_removed, x.n_spans) == (len(raw), sum(e - s for s, e in spans), len(spans))
+        assert x.kept_sha256 == hashlib.sha256(kept).hexdigest()
+        assert cut[x.doc_id] == (None if texts[x.doc_id] is None else kept.decode())
+    by = {x.doc_id: x for x in got}
+    assert by[29].n_removed > 0.9 * by[29].n_bytes  # an exact copy
+    assert all(by[i].n_removed == 0 for i in range(21))
+    assert all(by[i].n_removed > 0.6 * len(passage) for i in range(21, 29))

@@ -33,9 +33,24 @@ from epitrend.llm.common import text_or_empty
 
 VOCABULARY = "word_bpe_49k.json"
 LEAF = 4096          # characters of unsplit text encoded in one go
-CACHE_WORDS = 300_000  # words a worker keeps before it starts afresh
+CACHE_WORDS = 600_000  # words a worker keeps before it starts afresh
+BATCH_CHARS = 2_000_000  # characters of text whose words are looked up together
 # White space to str.split, but ordinary characters to the vocabulary's splitter.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+# A word of Latin letters, perhaps with one mark after it: two pre-tokens whose
+# letters lower-case and normalise one by one (U+0130 does not).
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([.,;:!?]?)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level letters of the bytes (as Latin-1): printable ones are
+    themselves, the others follow from U+0100 in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -59,7 +74,8 @@ class WordBpe:
         self.split_added = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") \
             if self.added else None
         self.suffix = getattr(self.tok.model, "end_of_word_suffix", None) or ""
-        self.cache: dict[str, object] = {}
+        self.caches: list[dict] = []
+        self.marks: dict[str, list[int]] = {}
 
     # ---- words ----
 
@@ -70,17 +86,44 @@ class WordBpe:
             return re.split(r"[^\S\x1c-\x1f]+", text)
         return text.split()
 
-    def fill(self, words: Sequence[str], make) -> dict[str, object]:
-        """The cache, holding ``make(ids)`` for every given word."""
-        cache = self.cache
-        missing = [w for w in dict.fromkeys(words) if w not in cache]
+    def word_ids(self, words: Sequence[str]) -> Iterator[tuple[str, list[int]]]:
+        """The ids of each word, in any order. Plain words go straight to the
+        merges; any other goes through the whole library."""
+        merge, marks, others = self.tok.model.tokenize, self.marks, []
+        for w in words:
+            m = _PLAIN.fullmatch(w)
+            if m is None:
+                others.append(w)
+                continue
+            core, mark = m.groups()
+            core = core.lower()
+            if not core.isascii():
+                core = core.encode().decode("latin-1").translate(_LETTERS)
+            ids = [t.id for t in merge(core)]
+            if mark:
+                if mark not in marks:
+                    marks[mark] = [t.id for t in merge(mark)]
+                ids += marks[mark]
+            yield w, ids
+        if others:
+            for w, e in zip(others, self.tok.encode_batch_fast(others, add_special_tokens=False)):
+                yield w, e.ids
+
+    def fill(self, texts: Sequence[Sequence[str]], makers) -> list[dict]:
+        """One cache per maker, holding ``maker(ids)`` for every word."""
+        while len(self.caches) < len(makers):
+            self.caches.append({})
+        need = set().union(*texts)
+        missing = need - self.caches[0].keys()
         if missing:
-            if len(cache) + len(missing) > CACHE_WORDS:
-                cache.clear()
-                missing = list(dict.fromkeys(words))
-            for w, e in zip(missing, self.tok.encode_batch_fast(missing, add_special_tokens=False)):
-                cache[w] = make(e.ids)
-        return cache
+            if len(self.caches[0]) + len(missing) > CACHE_WORDS:
+                for c in self.caches:
+                    c.clear()
+                missing = need
+            for w, ids in self.word_ids(missing):
+                for c, make in zip(self.caches, makers):
+                    c[w] = make(ids)
+        return self.caches
 
     def tokens(self, ids) -> list[str]:
         token = self.tok.id_to_token
@@ -187,23 +230,36 @@ def has_long_run(col, leaf: int):
                      r"\x{3000}]{%d}" % (leaf + 1))
 
 
-def _facts(bpe: WordBpe):
-    def make(ids):
-        return len(ids), " ".join(map(str, ids)), bpe.decode(ids)
-    return make
+def grouped_words(bpe: WordBpe, texts) -> Iterator[list[list[str]]]:
+    """The words of the texts in turn, in groups of about ``BATCH_CHARS``."""
+    group, size = [], 0
+    for t in texts:
+        group.append(bpe.words(t))
+        size += len(t)
+        if size >= BATCH_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _strings(bpe: WordBpe):
+    """Ids in decimal and as decoded, each id with a space after it."""
+    spaced = lambda part: "".join([p + " " for p in part])
+    return [lambda ids: spaced(map(str, ids)), lambda ids: spaced(bpe.tokens(ids))]
 
 
-def _digest(facts) -> tuple[int, str, str]:
-    facts = [f for f in facts if f[0]]
-    sha = lambda part: hashlib.sha256(" ".join(part).encode()).hexdigest()
-    return (sum(f[0] for f in facts), sha([f[1] for f in facts]), sha([f[2] for f in facts]))
+def _digest(ids, decoded) -> tuple[int, str, str]:
+    ids, decoded = "".join(ids), "".join(decoded)
+    sha = lambda s: hashlib.sha256(s[:-1].encode()).hexdigest()
+    return ids.count(" "), sha(ids), sha(decoded)
 
 
 def encode_documents(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids``: the ids of every text, whatever its length."""
     return _encoded(docs, vocabulary, leaf, id_col, text_col, "ids array<int>",
-                    lambda bpe: (lambda ids: ids),
+                    lambda bpe: [lambda ids: ids],
                     lambda parts: ([i for p in parts for i in p],))
 
 
@@ -212,7 +268,7 @@ def encode_digests(docs: DataFrame, vocabulary: str | None = None, leaf: int = L
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text; the ids
     themselves stay in the tasks."""
     return _encoded(docs, vocabulary, leaf, id_col, text_col,
-                    "n_tokens long, ids_sha256 string, decoded_sha256 string", _facts, _digest)
+                    "n_tokens long, ids_sha256 string, decoded_sha256 string", _strings, _digest)
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str | None = None,
@@ -231,7 +287,7 @@ def decode_documents(encoded: DataFrame, vocabulary: str | None = None,
         run, f"`{id_col}` {kind}, text string")
 
 
-def _encoded(docs, vocabulary, leaf, id_col, text_col, columns, maker, finish) -> DataFrame:
+def _encoded(docs, vocabulary, leaf, id_col, text_col, columns, makers, finish) -> DataFrame:
     path = vocabulary or vocabulary_path()
     kind = dict(docs.dtypes)[id_col]
     names = [c.split()[0] for c in columns.split(", ")]
@@ -241,13 +297,12 @@ def _encoded(docs, vocabulary, leaf, id_col, text_col, columns, maker, finish) -
 
     def short(batches):
         bpe = load(path, columns)
-        make = maker(bpe)
+        made_of = makers(bpe)
         for b in batches:
             made = []
-            for text in b["text"]:
-                words = bpe.words(text)
-                cache = bpe.fill(words, make)
-                made.append(finish([cache[w] for w in words]))
+            for group in grouped_words(bpe, b["text"]):
+                get = [c.__getitem__ for c in bpe.fill(group, made_of)]
+                made += [finish(*[map(g, words) for g in get]) for words in group]
             yield pd.DataFrame({id_col: b["id"], **dict(zip(names, zip(*made)))}) if made \
                 else pd.DataFrame(columns=[id_col, *names])
 
@@ -282,19 +337,19 @@ def _encoded(docs, vocabulary, leaf, id_col, text_col, columns, maker, finish) -
 
     def assemble(group: pd.DataFrame) -> pd.DataFrame:
         bpe = load(path)
-        make = maker(bpe)
+        made_of = makers(bpe)
         copies = int((group["seq"] == 0).sum())
         group = group.drop_duplicates("seq").sort_values("seq")
         parts, run = [], []
         for k, piece, ids in [*zip(group["kind"], group["piece"], group["ids"]), (0, "", [])]:
             if k < 2 and run:
-                parts.append(make(bpe.tree(run)))
+                parts.append(bpe.tree(run))
                 run = []
             if k:
                 run.append((piece, [int(i) for i in ids]))
             elif len(ids):
-                parts.append(make([int(i) for i in ids]))
-        row = finish(parts)
+                parts.append([int(i) for i in ids])
+        row = finish(*[map(make, parts) for make in made_of])
         return pd.DataFrame({id_col: [group["id"].iloc[0]] * copies,
                              **{n: [v] * copies for n, v in zip(names, row)}})
 

@@ -43,6 +43,14 @@ def test_tree_equals_library_on_random_runs(bpe):
         assert bpe.encode(text, r.randint(3, 40)) == bpe.tok.encode(text, add_special_tokens=False).ids
 
 
+def test_words_equal_library(bpe):
+    r = random.Random(1)
+    words = ["".join(r.choices("aéßñÉIİıſĿſŉz’'.,!9", k=r.randint(1, 9))) for _ in range(3000)]
+    words += ["".join(chr(c) for c in (i,)) + "x." for i in range(0xA1, 0x250)] + ["e\u0301a,", "Straße;", "ÀÉÎ!", "can't."]
+    for w, ids in bpe.word_ids(words):
+        assert ids == bpe.tok.encode(w, add_special_tokens=False).ids, w
+
+
 def test_spark_encoding_round_trip(spark, bpe):
     rows = [(i, t, "x", "clash") for i, t in enumerate(_texts())]
     rows += [(None, "n " + "z" * 80, None, None), (5, "a" * 700, None, None)]

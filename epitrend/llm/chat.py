@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from epitrend.llm.common import materialize
+from epitrend.llm.common import join_on, materialize
 
 PART_TURNS = 64
 BLOCK_ROWS = 512
@@ -37,14 +37,13 @@ def prefixes(turns: DataFrame) -> DataFrame:
     rows = materialize(rows, "turns")
     blocks = 16 + rows.count() // BLOCK_ROWS
     rows = materialize(rows.repartitionByRange(blocks, *key).withColumn("block", F.spark_partition_id()), "blocks")
-    same = lambda a, b, *cols: [a[c].eqNullSafe(b[c]) for c in cols]
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "digest")
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
 
     sizes = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n")) \
         .withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    placed = (rows.join(sizes, same(rows, sizes, "conv_id", "block")).drop(sizes["conv_id"]).drop(sizes["block"])
+    placed = (join_on(rows, sizes, ["conv_id", "block"])
               .withColumn("place", F.col("skip") + F.row_number().over(inside)).drop("skip"))
     turn_hash = lambda seed: F.xxhash64(F.lit(seed), "place", "role", "digest")
     run = materialize(placed.withColumns({"e1": turn_hash(1), "e2": turn_hash(2)})
@@ -52,9 +51,9 @@ def prefixes(turns: DataFrame) -> DataFrame:
     totals = run.groupBy("conv_id", "block").agg(F.bit_xor("e1").alias("t1"), F.bit_xor("e2").alias("t2")) \
         .withColumns({"o1": F.coalesce(F.bit_xor("t1").over(before), F.lit(0)),
                       "o2": F.coalesce(F.bit_xor("t2").over(before), F.lit(0))})
-    out = run.join(totals, same(run, totals, "conv_id", "block"))
-    return out.select(run["conv_id"], "turn", "role", "digest", "place",
-                      F.col("r1").bitwiseXOR(F.col("o1")).alias("p1"), F.col("r2").bitwiseXOR(F.col("o2")).alias("p2"))
+    return join_on(run, totals, ["conv_id", "block"]).select(
+        "conv_id", "turn", "role", "digest", "place",
+        F.col("r1").bitwiseXOR(F.col("o1")).alias("p1"), F.col("r2").bitwiseXOR(F.col("o2")).alias("p2"))
 
 
 def maximal(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -62,7 +61,7 @@ def maximal(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     that are no prefix of another."""
     rows = materialize(prefixes(turns), "prefixes")
     length = rows.groupBy("conv_id").agg(F.max("place").alias("turns"))
-    whole = rows.join(length, rows["conv_id"].eqNullSafe(length["conv_id"])).drop(length["conv_id"])
+    whole = join_on(rows, length, ["conv_id"])
     # min_by would keep a null id last; the least id, null first, is wanted.
     least = F.when(F.max(F.col("conv_id").isNull()), F.lit(None)).otherwise(F.min("conv_id"))
     last = whole.where("place = turns").groupBy("place", "p1", "p2").agg(least.alias("conv_id"))
@@ -73,14 +72,11 @@ def maximal(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 def render(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """``conv_id, part, n_turns, chat`` of the maximal conversations."""
     rows, keep = maximal(turns)
-    keep = keep.withColumn("kept", F.lit(True))
-    places = rows.join(keep, rows["conv_id"].eqNullSafe(keep["conv_id"])).drop(keep["conv_id"]) \
-        .select("conv_id", "turn", "role", "digest", "place")
+    places = join_on(rows, keep, ["conv_id"]).select("conv_id", "turn", "role", "digest", "place")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = turns.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
                          text.alias("text"), F.md5(text.cast("binary")).alias("digest"))
-    both = texts.join(places, [texts[c].eqNullSafe(places[c]) for c in ("conv_id", "turn", "role", "digest")]) \
-        .select(texts["conv_id"], "place", texts["role"], "text")
+    both = join_on(texts, places, ["conv_id", "turn", "role", "digest"]).select("conv_id", "place", "role", "text")
     part = F.floor((F.col("place") - 1) / part_turns).cast("long").alias("part")
     turn_text = lambda t: F.concat(F.lit("<|im_start|>"), t["role"], F.lit("\n"), t["text"], F.lit("<|im_end|>\n"))
     return (both.groupBy("conv_id", part).agg(F.sort_array(F.collect_set(F.struct("place", "role", "text"))).alias("t"))

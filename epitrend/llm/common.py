@@ -26,3 +26,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def join_on(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal ``cols``, null equal to null; the columns come once."""
+    other = right.withColumnsRenamed({c: f"_right_{c}" for c in cols})
+    on = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in cols]
+    return left.join(other, on, how).drop(*[f"_right_{c}" for c in cols])

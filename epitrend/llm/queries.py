@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from epitrend.llm import minhash, quality, secrets, substring
+from epitrend.llm import chat, embeddings, minhash, quality, secrets, substring, suffixes
 from epitrend.llm.bpe import encode_digests
 from epitrend.llm.common import table
 from epitrend.llm.packing import pack_documents
@@ -13,6 +13,10 @@ def op2_secrets(spark, d):
     return secrets.scan(docs, secrets.train_from_documents(docs))
 
 
+def op3_chat(spark, d):
+    return chat.render(table(spark, d, "conversations"))
+
+
 def op4_packing(spark, d):
     return pack_documents(table(spark, d, "documents"))
 
@@ -25,6 +29,10 @@ def op6_minhash(spark, d):
     return minhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op7_embeddings(spark, d):
+    return embeddings.near_duplicates(table(spark, d, "embeddings"))
+
+
 def op8_quality(spark, d):
     docs = table(spark, d, "documents")
     return quality.score(docs, quality.train(docs, table(spark, d, "labels")))
@@ -34,12 +42,19 @@ def op9_bpe(spark, d):
     return encode_digests(table(spark, d, "documents"))
 
 
+def op10_suffixes(spark, d):
+    return suffixes.remove_repeated(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op2_secrets": op2_secrets,
+    "op3_chat": op3_chat,
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_minhash": op6_minhash,
+    "op7_embeddings": op7_embeddings,
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
+    "op10_suffixes": op10_suffixes,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_chat": chat.RENDER_SQL}

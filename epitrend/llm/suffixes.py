@@ -5,7 +5,8 @@ else (same document included) is removed; strings are judged on the input.
 
 1. Each string start is filed under the smallest 64-byte-gram hash within its
    string. Equal strings have equal keys, and neighbouring starts with one key
-   form a run, about 70 starts long. Keys with one run hold no repeat.
+   form a run, about 70 starts long. Keys with one run hold no repeat, unless
+   the key's gram itself occurs twice in the text.
 2. Runs of one key with equal bytes are repeats of each other as a whole.
 3. The different runs of a key are gathered with their bytes, several keys to
    a group, and sorted as suffixes in two stages: only the suffixes smaller than
@@ -120,12 +121,26 @@ def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
     return _mix((prefix[gram:] - prefix[:-gram]) * down[:len(raw) - gram + 1])
 
 
+def _occur_twice(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key is the hash of two or more places."""
+    size = 1 << (32 * len(keys)).bit_length()
+    table = np.zeros(size, bool)
+    low = np.uint64(size - 1)
+    table[keys & low] = True
+    maybe = hashes[table[hashes & low]]
+    own = np.unique(keys)
+    at = np.minimum(np.searchsorted(own, maybe), len(own) - 1)
+    many = np.bincount(at[own[at] == maybe], minlength=len(own)) > 1
+    return many[np.searchsorted(own, keys)]
+
+
 def runs(raw: bytes, length: int = LENGTH, gram: int = GRAM):
-    """``(keys, first starts, numbers of starts)`` of the runs of a text."""
+    """``(keys, first starts, numbers of starts, twice)`` of the runs of a
+    text; only where ``twice`` can a run hold equal strings itself."""
     n = len(raw)
     if n < length:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    low = gram_hashes(np.frombuffer(raw, np.uint8), gram)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    hashes = low = gram_hashes(np.frombuffer(raw, np.uint8), gram)
     width = length - gram + 1  # grams in a string
     span = 1
     while 2 * span <= width:
@@ -134,30 +149,31 @@ def runs(raw: bytes, length: int = LENGTH, gram: int = GRAM):
     if span < width:
         low = np.minimum(low[:len(low) - (width - span)], low[width - span:])
     first = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
-    return low[first], first, np.diff(np.append(first, len(low)))
+    keys = low[first]
+    return keys, first, np.diff(np.append(first, len(low))), _occur_twice(hashes, keys)
 
 
 def _all_runs(docs: DataFrame, kind: str, length: int) -> DataFrame:
-    """``key, digest, id, start, n`` of every run of every text."""
+    """``key, digest, id, start, n, twice`` of every run of every text."""
 
     def run(batches):
         for b in batches:
-            take, keys, digests, starts, counts = [], [], [], [], []
+            take, keys, digests, starts, counts, twice = [], [], [], [], [], []
             for row, text in enumerate(b.column("text").to_pylist()):
                 raw = text.encode()
-                k, s, n = runs(raw, length)
+                k, s, n, t = runs(raw, length)
                 take.append(np.full(len(k), row))
-                keys.append(k), starts.append(s), counts.append(n)
+                keys.append(k), starts.append(s), counts.append(n), twice.append(t)
                 digests += [xxhash.xxh3_64_intdigest(raw[i:i + m + length - 1]) for i, m in zip(s.tolist(), n.tolist())]
             cat = lambda x, t: np.concatenate([*x, np.zeros(0, t)]).astype(t)
             yield pa.RecordBatch.from_arrays([
                 pa.array(cat(keys, np.uint64).view(np.int64)),
                 pa.array(np.array(digests, np.uint64).view(np.int64)),
                 b.column("id").take(pa.array(cat(take, np.int64))),
-                pa.array(cat(starts, np.int64).astype(np.int32)), pa.array(cat(counts, np.int64).astype(np.int32))],
-                names=["key", "digest", "id", "start", "n"])
+                pa.array(cat(starts, np.int64).astype(np.int32)), pa.array(cat(counts, np.int64).astype(np.int32)),
+                pa.array(cat(twice, bool))], names=["key", "digest", "id", "start", "n", "twice"])
 
-    return docs.mapInArrow(run, f"key long, digest long, id {kind}, start int, n int")
+    return docs.mapInArrow(run, f"key long, digest long, id {kind}, start int, n int, twice boolean")
 
 
 def _sorted_repeats(pieces: DataFrame, kind: str, length: int) -> DataFrame:
@@ -209,14 +225,16 @@ def repeated(docs: DataFrame, length: int = LENGTH, hot: int = HOT, group_bytes:
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).where("id is not null")
     kind = dict(rows.dtypes)["id"]
     every = _all_runs(rows.where(F.octet_length("text") >= length), kind, length)
-    shared = every.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    shared = every.groupBy("key").agg(F.count("*").alias("c"), F.max("twice").alias("t")).where("c > 1 or t").select("key")
     # Repeated rows of a document drop out here, where few runs are left.
-    found = materialize(every.join(shared, "key").groupBy("key", "digest", "id", "start").agg(F.max("n").alias("n")), "runs")
-    same = found.groupBy("key", "digest").agg(F.count("*").alias("copies"), F.min(F.struct("id", "start", "n")).alias("one"))
+    found = materialize(every.join(shared, "key")
+                        .groupBy("key", "digest", "id", "start").agg(F.max("n").alias("n"), F.max("twice").alias("twice")), "runs")
+    same = found.groupBy("key", "digest").agg(F.count("*").alias("copies"), F.max("twice").alias("twice"),
+                                               F.min(F.struct("id", "start", "n")).alias("one"))
     same = materialize(same, "same")
     whole = found.join(same.where("copies > 1").select("key", "digest"), ["key", "digest"]).select("id", "start", "n")
 
-    kinds = same.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    kinds = same.groupBy("key").agg(F.count("*").alias("kinds"), F.max("twice").alias("t")).where("kinds > 1 or t").drop("t")
     open_ = same.join(kinds, "key").select("key", (F.col("copies") > 1).alias("whole"), (F.col("kinds") > hot).alias("hot"), "one.*")
     total = open_.agg(F.sum(F.col("n") + length)).first()[0] or 0
     groups = 1 + total // group_bytes

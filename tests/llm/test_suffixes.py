@@ -44,7 +44,7 @@ def test_equal_strings_have_equal_keys():
     keys = []
     for k in (3, 170):
         raw = "".join(r.choices("abcdef ", k=k)).encode() + shared + "".join(r.choices("abcdef ", k=90)).encode()
-        key, start, n = runs(raw)
+        key, start, n, _ = runs(raw)
         assert int(n.sum()) == len(raw) - 199 and start.tolist() == [0, *np.cumsum(n)[:-1].tolist()]
         keys.append(np.repeat(key, n)[k:k + 31].tolist())
     assert keys[0] == keys[1]

@@ -37,9 +37,7 @@ CACHE_WORDS = 600_000  # words a worker keeps before it starts afresh
 BATCH_CHARS = 2_000_000  # characters of text whose words are looked up together
 # White space to str.split, but ordinary characters to the vocabulary's splitter.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-# A word of Latin letters, perhaps with one mark after it: two pre-tokens whose
-# letters lower-case and normalise one by one (U+0130 does not).
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([.,;:!?]?)")
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -75,7 +73,7 @@ class WordBpe:
             if self.added else None
         self.suffix = getattr(self.tok.model, "end_of_word_suffix", None) or ""
         self.caches: list[dict] = []
-        self.marks: dict[str, list[int]] = {}
+        self.parts: dict[str, list] = {}  # what the makers made of a pre-token
 
     # ---- words ----
 
@@ -86,31 +84,49 @@ class WordBpe:
             return re.split(r"[^\S\x1c-\x1f]+", text)
         return text.split()
 
-    def word_ids(self, words: Sequence[str]) -> Iterator[tuple[str, list[int]]]:
-        """The ids of each word, in any order. Plain words go straight to the
+    @staticmethod
+    def plain(word: str) -> tuple[str, str] | None:
+        """A word of Latin letters with ASCII marks after it as the two
+        pre-tokens it has: the letters in lower case and as byte letters, and
+        the marks. The letters lower-case and normalise one by one (U+0130
+        does not). None for any other word."""
+        core = word.rstrip(_MARKS)
+        mark = word[len(core):]
+        if core.isascii():
+            return (core.lower(), mark) if core.isalpha() or not core else None
+        if core.isalpha() and max(core) < "\u0180" and "\u0130" not in core:
+            return core.lower().encode().decode("latin-1").translate(_LETTERS), mark
+        return None
+
+    def word_values(self, words, makers) -> Iterator[tuple[str, list]]:
+        """For each word, in any order, what the makers make of its ids. They
+        must turn joined ids into joined values. Plain words go straight to the
         merges; any other goes through the whole library."""
-        merge, marks, others = self.tok.model.tokenize, self.marks, []
+        merge, parts, others = self.tok.model.tokenize, self.parts, []
+        if len(parts) > CACHE_WORDS:
+            parts.clear()
+
+        def part(piece: str) -> list:
+            made = parts.get(piece)
+            if made is None:
+                ids = [t.id for t in merge(piece)] if piece else []
+                made = parts[piece] = [make(ids) for make in makers]
+            return made
+
         for w in words:
-            m = _PLAIN.fullmatch(w)
-            if m is None:
+            split = self.plain(w)
+            if split is None:
                 others.append(w)
-                continue
-            core, mark = m.groups()
-            core = core.lower()
-            if not core.isascii():
-                core = core.encode().decode("latin-1").translate(_LETTERS)
-            ids = [t.id for t in merge(core)]
-            if mark:
-                if mark not in marks:
-                    marks[mark] = [t.id for t in merge(mark)]
-                ids += marks[mark]
-            yield w, ids
+            elif split[1]:
+                yield w, [a + b for a, b in zip(part(split[0]), part(split[1]))]
+            else:
+                yield w, part(split[0])
         if others:
             for w, e in zip(others, self.tok.encode_batch_fast(others, add_special_tokens=False)):
-                yield w, e.ids
+                yield w, [make(e.ids) for make in makers]
 
     def fill(self, texts: Sequence[Sequence[str]], makers) -> list[dict]:
-        """One cache per maker, holding ``maker(ids)`` for every word."""
+        """One cache per maker, holding its value for every word."""
         while len(self.caches) < len(makers):
             self.caches.append({})
         need = set().union(*texts)
@@ -120,9 +136,12 @@ class WordBpe:
                 for c in self.caches:
                     c.clear()
                 missing = need
-            for w, ids in self.word_ids(missing):
-                for c, make in zip(self.caches, makers):
-                    c[w] = make(ids)
+            if len(makers) == 1:
+                self.caches[0].update((w, v[0]) for w, v in self.word_values(missing, makers))
+            else:
+                for w, values in self.word_values(missing, makers):
+                    for c, v in zip(self.caches, values):
+                        c[w] = v
         return self.caches
 
     def tokens(self, ids) -> list[str]:

@@ -17,6 +17,7 @@ through; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -84,7 +85,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: i
     end = np.array([end_id], "<u4").tobytes()
 
     def make(ids):
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encoded(bpe, group):
         """The ids of each text of a group, as bytes."""

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from epitrend.llm import chat, embeddings, minhash, quality, secrets, substring, suffixes
+from epitrend.llm import chat, embeddings, fingerprints, minhash, quality, secrets, substring, suffixes
 from epitrend.llm.bpe import encode_digests
 from epitrend.llm.common import table
 from epitrend.llm.packing import pack_documents
 
 
+def op1_fingerprints(spark, d):
+    return fingerprints.compare_edited(table(spark, d, "documents"))
+
+
 def op2_secrets(spark, d):
     docs = table(spark, d, "documents")
     return secrets.scan(docs, secrets.train_from_documents(docs))
@@ -47,6 +51,7 @@ def op10_suffixes(spark, d):
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_secrets": op2_secrets,
     "op3_chat": op3_chat,
     "op4_packing": op4_packing,

@@ -244,9 +244,10 @@ def load(path: str, use: str = "") -> WordBpe:
 
 
 def has_long_run(col, leaf: int):
-    """Whether a text holds unsplit text of more than ``leaf`` characters."""
-    return col.rlike(r"[^\s\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}"
-                     r"\x{3000}]{%d}" % (leaf + 1))
+    """Whether a text holds unsplit text of more than ``leaf`` characters. The
+    pattern is tried at word starts only, so it reads a text once."""
+    space = (r"\s\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+    return (F.char_length(col) > leaf) & col.rlike(r"(?:^|[%s])[^%s]{%d}" % (space, space, leaf + 1))
 
 
 def grouped_words(bpe: WordBpe, texts) -> Iterator[list[list[str]]]:

@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections.abc import Iterable
 
 import numpy as np
@@ -57,21 +58,29 @@ def _codes(s: str) -> np.ndarray:
     return np.concatenate([[0], np.where((b > 32) & (b < 127), b - 31, b != 0), [0]])
 
 
+def pair_counts(strings: Iterable[str]) -> np.ndarray:
+    """How often each character follows another; a string begins and ends at 0."""
+    c = _codes("\0".join(strings))
+    return np.bincount(c[:-1] * 96 + c[1:], minlength=96 * 96).reshape(96, 96)
+
+
 class MarkovPair:
-    """Log-likelihood ratio of random over ordinary, per pair of characters."""
+    """Log-likelihood ratio of random over ordinary, per pair of characters,
+    from the pair counts of ordinary and of random strings."""
+
+    def __init__(self, ordinary: np.ndarray, random_: np.ndarray, smoothing: float = 0.5):
+        logs = [np.log((c + smoothing) / (c + smoothing).sum(axis=1, keepdims=True)) for c in (ordinary, random_)]
+        self.ratio = logs[1] - logs[0]
+        # The pair (0, 0) is the count of no strings at all.
+        self.ready = all(c[0, 1:].sum() > 0 for c in (ordinary, random_))
 
-    def __init__(self, samples: Iterable[tuple[str, int]], smoothing: float = 0.5):
+    @classmethod
+    def from_samples(cls, samples: Iterable[tuple[str, int]]) -> MarkovPair:
+        """From strings labelled 1 (random) or 0 (ordinary)."""
         sides: tuple[list[str], list[str]] = ([], [])
         for s, label in samples:
             sides[label].append(s)
-        seen = [len(side) for side in sides]
-        counts = np.full((2, 96, 96), smoothing)
-        for label, side in enumerate(sides):
-            c = _codes("\0".join(side))  # a 0 between two samples ends one and starts the next
-            counts[label] += np.bincount(c[:-1] * 96 + c[1:], minlength=96 * 96).reshape(96, 96)
-        logs = np.log(counts / counts.sum(axis=2, keepdims=True))
-        self.ratio = logs[1] - logs[0]
-        self.ready = min(seen) > 0
+        return cls(*map(pair_counts, sides))
 
     def score(self, token: str) -> float:
         c = _codes(token)
@@ -110,13 +119,13 @@ def random_strings(n: int = RANDOM_SAMPLES, seed: int = 11) -> list[str]:
     return ["".join(r.choices(alphabets[i % len(alphabets)], k=r.randint(20, 64))) for i in range(n)]
 
 
-def identifiers(texts: Iterable[str], seed: int = 11) -> list[str]:
-    """Ordinary identifiers: the texts' own words, alone and joined in the
-    usual ways (snake, kebab, camel, numbered, path)."""
+def identifiers(texts: Iterable[str], seed: int = 11, common: bool = False) -> list[str]:
+    """Ordinary identifiers: the texts' own words, or the common ones, alone and
+    joined in the usual ways (snake, kebab, camel, numbered, path)."""
     r = random.Random(seed)
     out: list[str] = []
-    common = [[r.choice(COMMON) for _ in range(400)] for _ in range(40)]
-    for words in [*common, *(re.findall(r"[A-Za-z]{2,}", text)[:400] for text in texts)]:
+    lists = [[r.choice(COMMON) for _ in range(400)] for _ in range(40 if common else 0)]
+    for words in [*lists, *(re.findall(r"[A-Za-z]{2,}", text)[:400] for text in texts)]:
         for i in range(0, len(words) - 4, 5):
             w = words[i:i + 4]
             out += [w[0], "_".join(w[:3]), "-".join(w[:3]).lower(), "".join(x.title() for x in w),
@@ -128,12 +137,23 @@ def train_from_documents(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMEN
                          id_col: str = "doc_id", text_col: str = "text") -> MarkovPair:
     """Models from generated random strings (label 1) and identifiers made of
     the words of at most ``sample_documents`` documents (label 0), the first by
-    a hash of the id. At most 4,000 characters of each sampled text are used."""
-    rows = (docs.select(F.substring(text_or_empty(text_col), 1, 4000).alias("t"),
-                        F.xxhash64(F.col(id_col)).alias("h"))
-            .orderBy("h", "t").limit(sample_documents).collect())
-    texts = [TOKEN.sub(" ", r.t) for r in rows]
-    return MarkovPair([*((s, 1) for s in random_strings()), *((s, 0) for s in identifiers(texts))])
+    a hash of the id. The sampled ids are few and broadcast, the strings are
+    counted in tasks, and only tables of counts come to the driver."""
+    ids = docs.select(F.col(id_col).alias("_id")).where("_id is not null").distinct() \
+        .orderBy(F.xxhash64("_id"), "_id").limit(sample_documents)
+    texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("t")) \
+        .join(F.broadcast(ids), "_id").select("t").repartition(8, F.xxhash64("t"))
+
+    def count(batches):
+        total = np.zeros((96, 96), np.int64)
+        for b in batches:
+            for t in b["t"]:
+                total += pair_counts(identifiers([TOKEN.sub(" ", t)], seed=zlib.crc32(t.encode())))
+        yield pd.DataFrame({"counts": [total.ravel().tolist()]})
+
+    rows = texts.mapInPandas(count, "counts array<long>").collect()
+    ordinary = sum((np.array(r.counts).reshape(96, 96) for r in rows), np.zeros((96, 96), np.int64))
+    return MarkovPair(ordinary + pair_counts(identifiers([], common=True)), pair_counts(random_strings()))
 
 
 def find_spans(text: str, model: MarkovPair) -> list[tuple[int, int, int]]:

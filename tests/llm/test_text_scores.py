@@ -26,7 +26,7 @@ def _base(text):
 
 def _model():
     words = ["the reading of another thing in general", "die sache wird nicht einfach gemacht"] * 50
-    return secrets.MarkovPair([*((s, 1) for s in secrets.random_strings()), *((s, 0) for s in secrets.identifiers(words))])
+    return secrets.MarkovPair.from_samples([*((s, 1) for s in secrets.random_strings()), *((s, 0) for s in secrets.identifiers(words, common=True))])
 
 
 def test_spans(spark):
@@ -58,7 +58,7 @@ def test_models_tell_random_from_ordinary():
     fresh = secrets.random_strings(500, seed=99)
     hit = sum(model.is_secret(s) for s in fresh if len(s) >= 24)
     assert hit > 0.9 * sum(len(s) >= 24 for s in fresh)
-    assert not secrets.MarkovPair([("abc", 0)]).is_secret("aB3" * 12)
+    assert not secrets.MarkovPair.from_samples([("abc", 0)]).is_secret("aB3" * 12)
 
 
 def test_clean_documents_gain_no_span(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from epitrend.llm import chat, embeddings, fingerprints, minhash, quality, secrets, substring, suffixes
 from epitrend.llm.bpe import encode_digests
 from epitrend.llm.common import table
@@ -61,5 +62,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_suffixes": op10_suffixes,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {"op3_chat": chat.RENDER_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

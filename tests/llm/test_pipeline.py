@@ -1,0 +1,102 @@
+"""The pipeline's stages, each against brute force on its own input."""
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from epitrend.llm import quality, secrets
+from epitrend.llm.bpe import WordBpe, vocabulary_path
+from epitrend.llm.common import table
+from epitrend.llm.substring import chunks, removed_runs
+from tests.conftest import SF001
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _set(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def _rows(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_stages_equal_brute_force(spark):
+    docs = table(spark, SF001, "documents")
+    stages = dict(corpus_pipeline.STAGES)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "substring_dedup", "secrets", "packing"]
+
+    good = stages["quality"](spark, docs, SF001).cache()
+    model = quality.train(docs, table(spark, SF001, "labels"))
+    scores = quality.score(docs, model).collect()
+    assert good.columns == COLUMNS
+    assert sorted(_rows(good)) == sorted(r.doc_id for r in scores if r.score >= quality.THRESHOLD)
+    labels = {r.doc_id: r.quality for r in table(spark, SF001, "labels").collect()}
+    assert sum(labels.get(i) == 1 for i in _rows(docs)) == sum(labels.get(i) == 1 for i in _rows(good))
+
+    single = stages["near_dedup"](spark, good, SF001).cache()
+    sets = {i: _set(r.text) for i, r in _rows(good).items()}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            a, b = sets[i], sets[j]
+            if i < j and a and b and 100 * len(a & b) >= 80 * len(a | b):
+                p, q = sorted((find(i), find(j)))
+                root[q] = p
+    assert sorted(_rows(single)) == sorted(i for i in sets if find(i) == i) and single.columns == COLUMNS
+
+    cut = stages["substring_dedup"](spark, single, SF001).cache()
+    owner: dict = {}
+    texts = {i: r.text.encode() for i, r in sorted(_rows(single).items())}
+    for i, raw in texts.items():
+        for *_, d in chunks(raw):
+            if d:
+                owner.setdefault(d, i)
+    assert cut.columns == COLUMNS and sorted(_rows(cut)) == sorted(texts)
+    for i, r in _rows(cut).items():
+        raw = texts[i]
+        spans = removed_runs(raw, {int.from_bytes(d[:8], "big", signed=True) for *_, d in chunks(raw) if d and owner[d] < i})
+        kept = b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(raw)])).decode()
+        assert r.text == kept and r.n_chars == len(kept)
+
+    clean = stages["secrets"](spark, cut, SF001).cache()
+    pair = secrets.train_from_documents(cut)
+    assert clean.columns == COLUMNS
+    for i, r in _rows(clean).items():
+        assert r.text == secrets.redact_text(_rows_cache(cut)[i].text, pair) and r.n_chars == len(r.text)
+        assert not secrets.base_spans(r.text)
+
+    pieces = stages["packing"](spark, clean, SF001).collect()
+    tok = WordBpe(vocabulary_path()).tok
+    want = {i: len(tok.encode(r.text, add_special_tokens=False).ids) + 1 for i, r in _rows(clean).items()}
+    got: dict = {}
+    for p in pieces:
+        got[p.doc_id] = got.get(p.doc_id, 0) + p.length
+    assert got == want
+
+
+_CACHE: dict = {}
+
+
+def _rows_cache(df):
+    if id(df) not in _CACHE:
+        _CACHE[id(df)] = _rows(df)
+    return _CACHE[id(df)]
+
+
+def test_registered(spark):
+    names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
+    assert len(names) == 11 and "op3_chat" in entry.oracle_sql()
+    assert entry.queries()["pipeline"](spark, SF001).count() > 0
+
+
+def test_stages_take_empty_tables(spark):
+    docs = table(spark, SF001, "documents").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF001)
+        assert out.count() == 0, name

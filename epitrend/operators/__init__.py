@@ -9,17 +9,18 @@ from epitrend.operators.features import (array_index, band_columns, days_in_band
                                          feature_table, first_crossing, first_day,
                                          next_value, positive_rows, series_list)
 from epitrend.operators.geo import country_codes, rename_entities
-from epitrend.operators.ingest import (coerce_measures, detect_dates, normalize_headers,
-                                       rejected_dates, resolve_header)
+from epitrend.operators.ingest import (coerce_measures, detect_dates, finish_partials,
+                                       merge_partials, normalize_headers, rejected_dates,
+                                       rejected_rows, report_partials, resolve_header)
 from epitrend.operators.rollup import daily_rollup, qualify_entities
 from epitrend.operators.snapshot import as_of_snapshot, latest_snapshot, top_bottom
 
 __all__ = [
     "array_index", "as_of_snapshot", "assemble_features", "band_columns", "baseline_diff",
     "best_k", "canonical_layout", "coerce_measures", "compare_curves", "country_codes",
-    "daily_rollup", "days_in_bands", "detect_dates", "feature_table", "first_crossing",
+    "daily_rollup", "days_in_bands", "detect_dates", "feature_table", "finish_partials", "first_crossing",
     "first_day", "hash_split", "k_sweep", "kmeans_assign", "kmeans_fit", "latest_snapshot",
-    "materialize", "n_centers", "next_value", "normalize_headers", "positive_rows", "qualify_entities",
-    "rejected_dates", "rename_entities", "resolve_header", "series_list", "silhouette", "similar_entities",
+    "materialize", "merge_partials", "n_centers", "next_value", "normalize_headers", "positive_rows", "qualify_entities",
+    "rejected_dates", "rejected_rows", "rename_entities", "report_partials", "resolve_header", "series_list", "silhouette", "similar_entities",
     "top_bottom", "train_test", "transpose_features", "unpivot_features",
 ]

@@ -66,6 +66,44 @@ def normalize_headers(frames: Sequence[DataFrame], keep: Sequence[str] = ()) ->
     return out
 
 
+def _date_choice(texts: DataFrame, source: str, mode: str,
+                 patterns: Sequence[str]) -> DataFrame:
+    """``texts`` (distinct ``source, _t``) with ``Date`` and ``_kept``: the date
+    each text gets under its source's choice of pattern."""
+    p1, p2, p3 = (parse_date(F.col("_t"), p) for p in patterns)
+    parsed = texts.withColumns({"_d1": p1, "_d2": p2, "_d3": p3})
+    ok1, ok2 = starts_with_year_prefix(F.col("_d1")), starts_with_year_prefix(F.col("_d2"))
+    if mode == "row":
+        date = F.coalesce(F.when(ok1, F.col("_d1")), F.when(ok2, F.col("_d2")), F.col("_d3"))
+        return parsed.select(source, "_t", date.alias("Date"), F.lit(True).alias("_kept"))
+    flags = parsed.groupBy(F.col(source).alias("_source")).agg(F.bool_or(ok1).alias("_any1"),
+                                                               F.bool_or(ok2).alias("_any2"))
+    any1, any2 = F.col("_any1"), F.col("_any2")
+    date = F.when(any1, F.col("_d1")).when(any2, F.col("_d2")).otherwise(F.col("_d3"))
+    kept = F.when(any1 | any2, starts_with_year_prefix(F.col("Date"))).otherwise(F.lit(True))
+    return (parsed.join(flags, F.col(source).eqNullSafe(F.col("_source")))
+            .withColumn("Date", date).select(source, "_t", "Date", kept.alias("_kept")))
+
+
+def _check_mode(mode: str, patterns: Sequence[str]) -> None:
+    if len(patterns) != 3:
+        raise ValueError("detect_dates takes three patterns")
+    if mode not in ("file", "row"):
+        raise ValueError(f"mode must be 'file' or 'row', not {mode!r}")
+
+
+def _dated(df: DataFrame, source: str, column: str, mode: str, patterns: Sequence[str],
+           max_sources: int) -> DataFrame:
+    """All rows with ``Date`` and ``_kept``."""
+    _check_mode(mode, patterns)
+    staged = df.withColumn("_t", date_text(column))
+    choice = _date_choice(staged.select(source, "_t").distinct(), source, mode, patterns)
+    choice = broadcast_if_bounded(choice, max_sources, materialize=True).withColumnsRenamed(
+        {source: "_choice_source", "_t": "_choice_t"})
+    return staged.join(choice, F.col(source).eqNullSafe(F.col("_choice_source"))
+                       & F.col("_t").eqNullSafe(F.col("_choice_t")))
+
+
 def detect_dates(df: DataFrame, source: str = "source_file", column: str = LAST_UPDATE,
                  mode: str = "file", patterns: Sequence[str] = DATE_PATTERNS,
                  max_sources: int = 200_000) -> DataFrame:
@@ -77,30 +115,64 @@ def detect_dates(df: DataFrame, source: str = "source_file", column: str = LAST_
     does not fit are **dropped**; else the same with the second pattern; else
     the third pattern, keeping unparsed rows with a null ``Date``.
     ``mode="row"`` takes, per row, the first pattern that fits and drops
-    nothing.
-
-    The per-source choice is one aggregate (a row per source) joined back.
-    It is checkpointed and broadcast when it has at most ``max_sources`` rows,
-    so the raw rows are never shuffled."""
-    if len(patterns) != 3:
-        raise ValueError("detect_dates takes three patterns")
-    staged = df.withColumn("_t", date_text(column))
-    p1, p2, p3 = (parse_date(F.col("_t"), p) for p in patterns)
-    ok1, ok2 = starts_with_year_prefix(p1), starts_with_year_prefix(p2)
-    if mode == "row":
-        date = F.coalesce(F.when(ok1, p1), F.when(ok2, p2), p3)
-        return staged.withColumn("Date", date).drop("_t")
-    if mode != "file":
-        raise ValueError(f"mode must be 'file' or 'row', not {mode!r}")
-    flags = staged.groupBy(source).agg(F.bool_or(ok1).alias("_any1"),
-                                       F.bool_or(ok2).alias("_any2"))
-    flags = broadcast_if_bounded(flags, max_sources, materialize=True)
-    # Each row parses only with its source's pattern.
-    any1, any2 = F.col("_any1"), F.col("_any2")
-    picked = staged.join(flags, source).withColumn(
-        "Date", F.when(any1, p1).when(any2, p2).otherwise(p3))
-    keep = F.when(any1 | any2, starts_with_year_prefix(F.col("Date"))).otherwise(F.lit(True))
-    return picked.where(keep).select(*df.columns, "Date")
+    nothing. Rows with a null ``source`` are one source.
+
+    Dates are parsed once per distinct (source, date text). That table is
+    checkpointed and broadcast when it has at most ``max_sources`` rows, so the
+    raw rows are not shuffled; beyond it the join shuffles."""
+    return _dated(df, source, column, mode, patterns, max_sources).where("_kept").select(*df.columns, "Date")
+
+
+def rejected_rows(df: DataFrame, source: str = "source_file", column: str = LAST_UPDATE,
+                  mode: str = "file", patterns: Sequence[str] = DATE_PATTERNS,
+                  max_sources: int = 200_000) -> DataFrame:
+    """The rows that cleaning loses by their date, with ``reason``:
+    ``minority_format`` (another pattern was chosen for their source) or
+    ``unparsed``."""
+    d = _dated(df, source, column, mode, patterns, max_sources)
+    reason = F.when(~F.col("_kept"), F.lit("minority_format")).otherwise(F.lit("unparsed"))
+    return d.where(~F.col("_kept") | F.col("Date").isNull()).select(*df.columns, reason.alias("reason"))
+
+
+def report_partials(raw: DataFrame, source: str = "source_file", column: str = LAST_UPDATE) -> DataFrame:
+    """Mergeable sums per (report, date text, Country): ``report, date_text,
+    Country, n_rows, n_valid, Confirmed, Deaths, Recovered``.
+
+    Measures follow ``coerce_measures``; rows it drops count in ``n_rows``
+    only, and so still have a say in their report's date pattern. One hash
+    aggregate with map-side partial sums; partials of several inputs add up."""
+    m = {c: to_double(c) for c in MEASURES}
+    none = F.lit(True)
+    for c in m.values():
+        none = none & c.isNull()
+    valid = F.col(ENTITY).isNotNull() & ~none
+    return (raw.groupBy(F.col(source).alias("report"), date_text(column).alias("date_text"), F.col(ENTITY))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(valid).alias("n_valid"),
+                 *[F.coalesce(F.sum(F.when(valid, F.coalesce(c, F.lit(0.0)))), F.lit(0.0)).alias(name)
+                   for name, c in m.items()]))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Partials of several inputs as one."""
+    return partials.groupBy("report", "date_text", ENTITY).agg(
+        *[F.sum(c).alias(c) for c in ("n_rows", "n_valid", *MEASURES)])
+
+
+def finish_partials(partials: DataFrame, mode: str = "file",
+                    patterns: Sequence[str] = DATE_PATTERNS) -> DataFrame:
+    """Partials -> one row per (Date, Country), as ``detect_dates``,
+    ``coerce_measures``, dropping null dates and ``daily_rollup`` would give.
+    ``partials`` is read twice: pass a stored table."""
+    _check_mode(mode, patterns)
+    named = partials.withColumnsRenamed({"date_text": "_t", "report": "_report"})
+    choice = _date_choice(named.select("_report", "_t").distinct(), "_report", mode, patterns) \
+        .withColumnsRenamed({"_report": "_choice_report", "_t": "_choice_t"})
+    dated = named.join(choice, F.col("_report").eqNullSafe(F.col("_choice_report"))
+                       & F.col("_t").eqNullSafe(F.col("_choice_t")))
+    used = dated.where(F.col("_kept") & F.col("Date").isNotNull() & (F.col("n_valid") > 0))
+    c, d, r = MEASURES
+    return used.groupBy("Date", ENTITY).agg(*[F.sum(x).alias(x) for x in MEASURES]) \
+        .select("Date", ENTITY, c, d, r, active(c, d, r).alias("Active"))
 
 
 def coerce_measures(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -1,11 +1,10 @@
 """Directory of raw report CSVs -> clean table (stage 1 of the analysis).
 
-    scan_reports -> detect_dates (per report) -> coerce_measures
-      -> drop unparsed dates -> daily_rollup -> qualify_entities -> Parquet
+    scan_reports -> report_partials (checkpointed) -> finish_partials
+      -> qualify_entities -> Parquet
 
-Each step is one of the operators; the whole flow is one Spark plan apart
-from the header discovery and the two small checkpointed aggregates (per
-report date choice, qualifying entities).
+The raw rows are read once for the headers and once for the partial sums;
+date choice and roll-up work on the sums.
 """
 
 from __future__ import annotations
@@ -35,28 +34,39 @@ def report_key(level: str = "file", path_col: str = "source_file") -> Column:
 def clean_raw(raw: DataFrame, source: str = "source_file", date_mode: str = "file") -> DataFrame:
     """Raw canonical string rows -> one row per (Date, Country), unqualified.
 
-    Rows whose date text cannot be parsed are dropped before the roll-up
-    (the reference grouped them under a null date); ``op.rejected_dates``
-    on ``op.detect_dates(raw)`` returns them."""
-    dated = op.detect_dates(raw, source=source, mode=date_mode)
-    coerced = op.coerce_measures(dated).where(F.col("Date").isNotNull())
-    return op.daily_rollup(coerced)
+    The raw rows are read once, into checkpointed partial sums per (report,
+    date text, Country). Rows whose date text cannot be parsed are dropped
+    (the reference grouped them under a null date); ``op.rejected_rows``
+    returns them."""
+    return op.finish_partials(op.materialize(op.report_partials(raw, source)), date_mode)
 
 
-def ingest_directory(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv",
-                     report_level: str = "file", date_mode: str = "file") -> DataFrame:
+def read_directory(spark: SparkSession, path: str | Sequence[str], glob: str | None = "*.csv",
+                   report_level: str = "file", aliases: DataFrame | None = None) -> DataFrame:
+    """Raw rows of all report CSVs below ``path`` with their ``report``;
+    ``aliases`` (alias, name) renames spelling variants of entities."""
+    raw = scan_reports(spark, path, glob).withColumn("report", report_key(report_level))
+    return raw if aliases is None else op.rename_entities(raw, aliases)
+
+
+def ingest_directory(spark: SparkSession, path: str | Sequence[str], glob: str | None = "*.csv",
+                     report_level: str = "file", date_mode: str = "file",
+                     aliases: DataFrame | None = None) -> DataFrame:
     """All report CSVs below ``path`` -> rolled-up clean rows (unqualified)."""
-    raw = scan_reports(spark, path, glob)
-    raw = raw.withColumn("report", report_key(report_level))
-    return clean_raw(raw, source="report", date_mode=date_mode)
+    return clean_raw(read_directory(spark, path, glob, report_level, aliases), "report", date_mode)
 
 
 def build_clean_table(spark: SparkSession, path: str | Sequence[str], out: str,
-                      glob: str = "*.csv", report_level: str = "file",
+                      glob: str | None = "*.csv", report_level: str = "file",
                       min_rows: int = MIN_ROWS, on: str | dt.date = QUALIFY_DATE,
-                      gt: float = QUALIFY_GT,
-                      partition_by: Sequence[str] = ()) -> str:
-    """Stage 1 end to end: CSV directory -> qualified clean table at ``out``."""
-    clean = ingest_directory(spark, path, glob, report_level)
+                      gt: float = QUALIFY_GT, partition_by: Sequence[str] = (),
+                      date_mode: str = "file", aliases: DataFrame | None = None,
+                      rejects: str | None = None) -> str:
+    """Stage 1 end to end: CSV directory -> qualified clean table at ``out``;
+    the rows lost by their dates go to ``rejects`` if a path is given."""
+    clean = ingest_directory(spark, path, glob, report_level, date_mode, aliases)
+    if rejects:
+        raw = read_directory(spark, path, glob, report_level, aliases)
+        op.rejected_rows(raw, "report", mode=date_mode).write.mode("overwrite").parquet(rejects)
     qualified = op.qualify_entities(clean, min_rows=min_rows, on=on, gt=gt)
     return write_clean(qualified, out, partition_by)

@@ -3,6 +3,7 @@ scratch folder taken from ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,17 +32,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
+    """The cluster's shared checkpoint folder, read from the session.
 
-    Read from the session; only when the session names none (local tests) is
-    a fresh folder made and registered as the checkpoint dir.
-    """
+    Only a ``local`` master, whose executors share the driver's disk, gets a
+    fresh folder when none is named; any other master raises, since files in
+    a machine-local folder are lost with their machine."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"master {sc.master!r} needs a shared folder in spark.checkpoint.dir")
         root = tempfile.mkdtemp(prefix="epitrend-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -1,172 +1,129 @@
 """Report CSV directories whose headers drift between files.
 
 A single ``spark.read.csv(dir)`` binds columns by position, so files with
-another header would be read silently wrong. Instead:
-
-1. ``discover_headers`` finds the first line of every file, distributed, and
-   groups file paths by header text. Only paths and header lines reach the
-   driver: the same metadata Spark's own file listing holds there.
-   - ``method="read"``: a ``binaryFile`` listing that selects only ``path``
-     (no content is read), then each task reads the first line of its files
-     (one ~64 KB read per file, through ``pyarrow.fs``).
-   - ``method="scan"``: a text scan keeping, per file, the first row of the
-     split that starts at byte 0. Works on every Hadoop file system, but
-     reads the input once more.
-   - ``method="auto"``: ``read`` for local, s3 and gcs paths holding at
-     least ``read_above_bytes`` (from the listing, no content read), else
-     ``scan``; a failed ``read`` falls back to ``scan``.
-2. ``scan_reports``: one CSV read per distinct header (not per file), with
-   positional all-string columns, then the canonical projection. The
-   header groups are unioned by name.
+another header would be read silently wrong. Instead the files are read as
+lines of text, for any path and any size:
+
+1. ``file_headers`` finds the first non-blank line of every file (one
+   distributed pass; a row per file, checkpointed). Only the distinct headers
+   come to the driver, where each is resolved to column positions.
+2. ``scan_reports`` joins every line with the positions of its file, parses it
+   with ``from_csv`` and picks the canonical columns. All headers share one
+   scan. No path is ever fed back into a reader.
+
+Lines end as in Spark's CSV reader (LF, CRLF or CR), blank lines are skipped,
+and compressed files are read through their codec.
 """
 
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
-from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from epitrend.config import LAST_UPDATE, MEASURES
+from epitrend.config import ENTITY, LAST_UPDATE, MEASURES
 from epitrend.functions.columns import strip_bom
+from epitrend.functions.sizing import broadcast_if_bounded
 from epitrend.operators.ingest import resolve_header
+from epitrend.session import checkpoint_root
 
+MAX_FILES_BROADCAST = 200_000
+CANONICAL = (ENTITY, LAST_UPDATE, *MEASURES)
 
-_ARROW_SCHEMES = {"", "file", "s3", "s3a", "s3n", "gs", "gcs"}
 
+def literal_path(path: str) -> str:
+    """``path`` with glob characters escaped: it names exactly one file."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
-def _arrow_uri(path: str) -> str:
-    for old in ("s3a://", "s3n://"):
-        if path.startswith(old):
-            return "s3://" + path[len(old):]
-    return path
 
+def _lines(spark: SparkSession, paths: Sequence[str], glob: str | None) -> DataFrame:
+    """``value, file, start``: the non-blank lines of all files."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return (reader.text(list(paths))
+            .select("value", F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("start"))
+            .where(F.length(F.trim(F.regexp_replace("value", "﻿", ""))) > 0))
 
-def _first_line(path: str, chunk: int = 65536) -> str | None:
-    """First line of a file, reading only as far as its first newline."""
-    import pyarrow.fs as pafs
-
-    fs, rel = pafs.FileSystem.from_uri(_arrow_uri(path))
-    buf = b""
-    with fs.open_input_stream(rel) as f:
-        while True:
-            part = f.read(chunk)
-            if not part:
-                break
-            buf += part
-            if b"\n" in part:
-                break
-    if not buf:
-        return None
-    return buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace")
-
-
-def _probe_first_lines(batches):
-    import pyarrow as pa
-
-    for batch in batches:
-        files = batch.column(0).to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(files, pa.string()), pa.array([_first_line(f) for f in files], pa.string())],
-            names=["file", "header"])
-
-
-def _listing(spark: SparkSession, paths: list[str], glob: str) -> DataFrame:
-    # binaryFile reads a file's content only when ``content`` is selected.
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(paths))
-
-
-def _headers_by_read(spark: SparkSession, paths: list[str], glob: str) -> DataFrame:
-    files = _listing(spark, paths, glob).select(F.col("path").alias("file"))
-    return (files.mapInArrow(_probe_first_lines, "file string, header string")
-            .where(F.col("header").isNotNull()))
-
-
-def _headers_by_scan(spark: SparkSession, paths: list[str], glob: str) -> DataFrame:
-    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-             .text(paths)
-             .select("value", F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("start")))
-    return (lines.where(F.col("start") == 0)
-            .withColumn("rid", F.monotonically_increasing_id())
-            .groupBy("file").agg(F.min_by("value", "rid").alias("header")))
-
-
-def _pick_method(spark: SparkSession, paths: list[str], glob: str,
-                 read_above_bytes: int) -> str:
-    """``read`` when pyarrow can open the paths and the input is large
-    enough for its fixed cost (starting Python workers) to pay off against
-    scanning every byte once more; else ``scan``."""
-    schemes = {urlparse(p).scheme.lower() for p in paths}
-    if not schemes <= _ARROW_SCHEMES:
-        return "scan"
-    total = _listing(spark, paths, glob).select(F.sum("length")).first()[0] or 0
-    return "read" if total >= read_above_bytes else "scan"
-
-
-def discover_headers(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv",
-                     sep: str = ",", quote: str = '"', method: str = "auto",
-                     read_above_bytes: int = 1 << 30) -> list[tuple[list[str], list[str]]]:
-    """``[(header names, file paths)]``, one entry per distinct header line."""
-    paths = [path] if isinstance(path, str) else list(path)
-    if method not in ("auto", "read", "scan"):
-        raise ValueError(f"method must be 'auto', 'read' or 'scan', not {method!r}")
-    chosen = (_pick_method(spark, paths, glob, read_above_bytes) if method == "auto"
-              else method)
-    finder = _headers_by_read if chosen == "read" else _headers_by_scan
-    try:
-        rows = finder(spark, paths, glob).orderBy("header", "file").collect()
-    except Exception:
-        if method != "auto" or chosen != "read":
-            raise
-        # The executors cannot open the files through pyarrow (scheme or
-        # credentials): fall back to the scan, which uses Spark's file system.
-        rows = _headers_by_scan(spark, paths, glob).orderBy("header", "file").collect()
-    out = []
-    for row in rows:
-        if out and out[-1][0] == row["header"]:
-            out[-1][1].append(row["file"])
-        else:
-            out.append((row["header"], [row["file"]]))
-    return [([strip_bom(n) for n in next(csv.reader([h], delimiter=sep, quotechar=quote))], files)
-            for h, files in out]
-
-
-def scan_reports(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv",
+
+def _headers(lines: DataFrame) -> DataFrame:
+    # The first line lies in the first split that has any; within a split
+    # the generated ids rise with the rows.
+    placed = lines.withColumn("place", F.struct("start", F.monotonically_increasing_id().alias("id")))
+    return placed.where(F.col("start") == 0).groupBy("file").agg(F.min_by("value", "place").alias("header"))
+
+
+def _names(header: str, sep: str, quote: str) -> list[str]:
+    return [strip_bom(n) for n in next(csv.reader([header], delimiter=sep, quotechar=quote))]
+
+
+def file_headers(spark: SparkSession, path: str | Sequence[str], glob: str | None = "*.csv") -> DataFrame:
+    """``file, header``: the header line of every non-empty file."""
+    return _headers(_lines(spark, [path] if isinstance(path, str) else path, glob))
+
+
+def discover_headers(spark: SparkSession, path: str | Sequence[str], glob: str | None = "*.csv",
+                     sep: str = ",", quote: str = '"') -> list[tuple[list[str], int]]:
+    """``[(header names, number of files)]``, one entry per distinct header."""
+    rows = file_headers(spark, path, glob).groupBy("header").count().orderBy("header").collect()
+    return [(_names(r["header"], sep, quote), r["count"]) for r in rows]
+
+
+def _positions(names: list[str], keep: Sequence[str]) -> list[int | None]:
+    """Position of every canonical and kept column; names are compared
+    without surrounding blanks, a kept column may be missing."""
+    pos = resolve_header(names)
+    clean = [strip_bom(n).strip() for n in names]
+    return [*(pos[c] for c in CANONICAL), *(clean.index(k) if k in clean else None for k in keep)]
+
+
+def scan_reports(spark: SparkSession, path: str | Sequence[str], glob: str | None = "*.csv",
                  keep: Sequence[str] = (), sep: str = ",", quote: str = '"',
-                 escape: str = "\\", method: str = "auto") -> DataFrame:
+                 escape: str = "\\") -> DataFrame:
     """All report CSVs under ``path`` as one DataFrame with the canonical
     string columns ``Country, last_update, Confirmed, Deaths, Recovered``,
     the columns named in ``keep`` (null where a file lacks them) and
-    ``source_file``. Raises ``ValueError`` naming the files whose header has
-    no country, last-update or measure column."""
-    parts = []
-    for names, files in discover_headers(spark, path, glob, sep, quote, method):
+    ``source_file``. Raises ``ValueError`` naming a file whose header has
+    no country, last-update or measure column. A line equal to its file's
+    header is a header wherever it stands, as in files joined end to end.
+
+    ``path`` may hold glob characters, as in any Spark reader; ``literal_path``
+    escapes them."""
+    paths = [path] if isinstance(path, str) else list(path)
+    lines = _lines(spark, paths, glob)
+    checkpoint_root(spark)
+    headers = _headers(lines).checkpoint(eager=True)
+    distinct = headers.groupBy("header").agg(F.min("file").alias("file"), F.count(F.lit(1)).alias("n")) \
+        .orderBy("header").collect()
+    if not distinct:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in (*CANONICAL, *keep, "source_file")))
+    known, width = [], 0
+    for row in distinct:
+        names = _names(row["header"], sep, quote)
+        width = max(width, len(names))
         try:
-            pos = resolve_header(names)
+            known.append((row["header"], *_positions(names, keep)))
         except ValueError as e:
-            raise ValueError(f"{e} (files: {files[:5]}{' ...' if len(files) > 5 else ''})") from None
-        schema = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))])
-        df = (spark.read.schema(schema)
-              .options(header=True, enforceSchema=True, sep=sep, quote=quote, escape=escape,
-                       mode="PERMISSIVE")
-              .csv(files))
-        cols = [F.col(f"_c{i}").alias(name) for name, i in pos.items()]
-        extra = [F.col(f"_c{names.index(k)}").alias(k) if k in names
-                 else F.lit(None).cast("string").alias(k) for k in keep]
-        parts.append(df.select(*cols, *extra, F.col("_metadata.file_path").alias("source_file")))
-    if not parts:
-        schema = ", ".join(f"`{c}` string" for c in ("Country", LAST_UPDATE, *MEASURES, *keep,
-                                                      "source_file"))
-        return spark.createDataFrame([], schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            raise ValueError(f"{e} ({row['n']} files, one of them {row['file']})") from None
+    columns = [*CANONICAL, *keep]
+    schema = StructType([StructField("header", StringType()),
+                         *[StructField(f"_p{i}", IntegerType()) for i in range(len(columns))]])
+    # A row per file: broadcast within a checked bound, else joined by shuffle.
+    files = headers.join(F.broadcast(spark.createDataFrame(known, schema)), "header") \
+        .withColumnRenamed("header", "_header")
+    files = broadcast_if_bounded(files, MAX_FILES_BROADCAST)
+    row_schema = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
+    options = {"sep": sep, "quote": quote, "escape": escape, "mode": "PERMISSIVE"}
+    parsed = (lines.join(files, "file").where(F.col("value") != F.col("_header"))
+              .withColumn("_row", F.from_csv("value", row_schema.simpleString()[7:-1].replace(":", " "), options)))
+    fields: Column = F.array(*[F.col(f"_row._c{i}") for i in range(width)])
+    picked = [F.get(F.col("_fields"), F.col(f"_p{i}")).alias(name) for i, name in enumerate(columns)]
+    return parsed.withColumn("_fields", fields).select(*picked, F.col("file").alias("source_file"))
 
 
 def write_report_csvs(files: Sequence[DataFrame], path: str, by_report: bool = False,

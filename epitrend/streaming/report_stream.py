@@ -2,31 +2,33 @@
 
 A file-source stream lists new report files (``binaryFile`` with only the
 ``path`` column selected, so no content is read by the stream itself). Each
-micro-batch runs the batch ingestion (header discovery, per-report date
-choice, measures, roll-up) on its own files and writes the partial daily sums
-to ``<out>/epoch=<id>``, overwriting that folder: a batch replayed after a
-failure rewrites the same output, so the result is exactly-once.
+micro-batch writes the mergeable partial sums of its own files (per report,
+date text and Country) to ``<out>/partials/epoch=<id>``, overwriting that
+folder: a batch replayed after a failure rewrites the same output.
 
-Daily sums are additive across reports, so ``read_rollup`` re-sums the
-epochs into the clean table. A report that arrives within one batch (one
-file, or all its part files together) gets the same date choice as in batch
-ingestion; one whose part files are split across batches is decided per
-batch. ``maxFilesPerTrigger`` bounds the files per batch.
+The date pattern of a report is chosen when the sums are read, over all
+epochs, so the result is that of batch ingestion however the part files of a
+report are spread over batches. The stream's own checkpoint lies in the
+output folder, so starting it again on one folder goes on where it stopped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType)
 
 from epitrend import operators as op
-from epitrend.plans.clean_table import clean_raw, report_key
-from epitrend.session import scratch_path
-from epitrend.sources.csv_reports import scan_reports
+from epitrend.config import ENTITY, MEASURES
+from epitrend.plans.clean_table import report_key
+from epitrend.sources.csv_reports import literal_path, scan_reports
 
 # The binaryFile source's fixed schema (streams need it up front).
 _BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+PARTIALS = StructType([StructField("report", StringType()), StructField("date_text", StringType()),
+                       StructField(ENTITY, StringType()), StructField("n_rows", LongType()),
+                       StructField("n_valid", LongType()),
+                       *[StructField(m, DoubleType()) for m in MEASURES]])
 
 
 def start_ingest(spark: SparkSession, source_dir: str, out_dir: str,
@@ -34,7 +36,11 @@ def start_ingest(spark: SparkSession, source_dir: str, out_dir: str,
                  report_level: str = "file", max_files_per_trigger: int = 1000,
                  available_now: bool = True) -> StreamingQuery:
     """Start the ingestion stream; ``available_now`` processes what is there
-    and stops, otherwise it keeps watching ``source_dir``."""
+    and stops, otherwise it keeps watching ``source_dir``.
+
+    ``checkpoint`` defaults to a folder inside ``out_dir``; one output folder
+    must always be used with the same checkpoint. ``max_files_per_trigger``
+    only bounds the size of a batch: the result does not depend on it."""
     files = (spark.readStream.format("binaryFile").schema(_BINARY_FILE_SCHEMA)
              .option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true")
@@ -44,23 +50,20 @@ def start_ingest(spark: SparkSession, source_dir: str, out_dir: str,
 
     def ingest_batch(batch: DataFrame, epoch: int) -> None:
         # Paths of this batch only (bounded by maxFilesPerTrigger).
-        paths = [r["path"] for r in batch.collect()]
-        if not paths:
-            return
-        raw = scan_reports(spark, paths, glob="*")
-        raw = raw.withColumn("report", report_key(report_level))
-        clean_raw(raw, source="report").write.mode("overwrite").parquet(
-            f"{out_dir}/epoch={epoch}")
+        paths = [literal_path(r["path"]) for r in batch.collect()]
+        if paths:
+            raw = scan_reports(spark, paths, glob=None).withColumn("report", report_key(report_level))
+            op.report_partials(raw, "report").write.mode("overwrite").parquet(
+                f"{out_dir}/partials/epoch={epoch}")
 
     writer = (files.writeStream.foreachBatch(ingest_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
+              .option("checkpointLocation", checkpoint or f"{out_dir}/_checkpoint"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()
 
 
-def read_rollup(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The clean table so far: partial sums of all epochs summed again."""
-    parts = spark.read.parquet(out_dir).drop("epoch")
-    return op.daily_rollup(parts).select(
-        "Date", "Country", *[F.col(c) for c in ("Confirmed", "Deaths", "Recovered", "Active")])
+def read_rollup(spark: SparkSession, out_dir: str, date_mode: str = "file") -> DataFrame:
+    """The clean table so far, from the merged partial sums of all epochs."""
+    parts = spark.read.schema(PARTIALS).parquet(f"{out_dir}/partials")
+    return op.finish_partials(op.materialize(op.merge_partials(parts)), date_mode)

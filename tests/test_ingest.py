@@ -106,8 +106,7 @@ def _write(dirpath, name, text):
         fh.write(text)
 
 
-@pytest.mark.parametrize("method", ["read", "scan"])
-def test_scan_reports_groups_files_by_header(spark, method):
+def test_scan_reports_groups_files_by_header(spark):
     d = tempfile.mkdtemp(prefix="epitrend-csv-")
     _write(d, "01-22-2020.csv",
            "Province/State,Country/Region,Last Update,Confirmed,Deaths,Recovered\n"
@@ -121,9 +120,8 @@ def test_scan_reports_groups_files_by_header(spark, method):
            "Recovered,Active,Combined_Key\n"
            '2,c,d,Peru,2020-04-01 23:45:00,1,2,40,2,1,99,"c, d, Peru"\n')
     _write(d, "notes.txt", "not a report\n")
-    groups = discover_headers(spark, d, method=method)
-    assert sorted(len(files) for _, files in groups) == [1, 2]
-    out = scan_reports(spark, d, method=method)
+    assert sorted(n for _, n in discover_headers(spark, d)) == [1, 2]
+    out = scan_reports(spark, d)
     assert out.count() == 4
     rows = {(r["Country"], r["Confirmed"]) for r in out.collect()}
     assert rows == {("Mexico", "1"), ("Peru", "2"), ("Mexico", "30"), ("Peru", "40")}
@@ -132,21 +130,19 @@ def test_scan_reports_groups_files_by_header(spark, method):
     assert ("Mexico", "2020-03-22", 29.0) in got and ("Peru", "2020-01-22", 2.0) in got
 
 
-@pytest.mark.parametrize("method", ["read", "scan"])
-def test_scan_reports_missing_country_names_files(spark, method):
+def test_scan_reports_missing_country_names_files(spark):
     d = tempfile.mkdtemp(prefix="epitrend-csv-")
     _write(d, "bad.csv", "Region,Last Update,Confirmed,Deaths,Recovered\nX,1/1/2020,1,1,1\n")
     with pytest.raises(ValueError, match="bad.csv"):
-        scan_reports(spark, d, method=method)
+        scan_reports(spark, d)
 
 
 def test_discovery_reads_quoted_header_and_crlf(spark):
     d = tempfile.mkdtemp(prefix="epitrend-csv-")
     _write(d, "q.csv", '"Country, or Region",Last_Update,Confirmed,Deaths,Recovered\r\n'
                        '"Korea, South",2020-03-01 10:00:00,5,0,1\r\n')
-    for method in ("read", "scan"):
-        (names, files), = discover_headers(spark, d, method=method)
-        assert names[0] == "Country, or Region" and names[-1] == "Recovered"
+    (names, files), = discover_headers(spark, d)
+    assert names[0] == "Country, or Region" and names[-1] == "Recovered" and files == 1
     row = scan_reports(spark, d).collect()[0]
     assert (row["Country"], row["Confirmed"], row["Recovered"]) == ("Korea, South", "5", "1")
 
@@ -261,27 +257,106 @@ def test_detect_dates_file_rule_against_brute_force(spark):
     assert got == expected
 
 
-def test_discovery_auto_falls_back_to_scan(spark, monkeypatch):
-    from epitrend.sources import csv_reports
+PLAIN = "Country,Last Update,Confirmed,Deaths,Recovered\n"
 
+
+def _confirmed(df):
+    return sorted((r["Country"], r["Confirmed"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("name", ["sp ace/a b.csv", "a%20b.csv", "a[1].csv", "x{1,2}.csv", "c+d.csv", "q?e*.csv", "é.csv"])
+def test_scan_reports_any_path(spark, name):
+    from epitrend.sources.csv_reports import literal_path
+
+    d = tempfile.mkdtemp(prefix="epitrend-csv-")
+    os.makedirs(os.path.dirname(os.path.join(d, name)), exist_ok=True)
+    _write(d, name, PLAIN + "X,1/1/2020,7,0,0\n")
+    assert _confirmed(scan_reports(spark, d)) == [("X", "7")]
+    one = scan_reports(spark, literal_path(os.path.join(d, name)), glob=None)
+    assert _confirmed(one) == [("X", "7")]
+
+
+@pytest.mark.parametrize("text", [
+    PLAIN.replace("\n", "\r") + "X,1/1/2020,7,0,0\rY,1/1/2020,8,0,0\r",
+    PLAIN.replace("\n", "\r\n") + "X,1/1/2020,7,0,0\r\nY,1/1/2020,8,0,0",
+    "\ufeff" + PLAIN + "X,1/1/2020,7,0,0\nY,1/1/2020,8,0,0\n",
+    "\n  \n" + PLAIN + "X,1/1/2020,7,0,0\n\nY,1/1/2020,8,0,0\n",
+    " Country , Last Update, Confirmed ,Deaths, Recovered\nX,1/1/2020,7,0,0\nY,1/1/2020,8,0,0\n",
+    PLAIN + "X,1/1/2020,7,0,0\n" + PLAIN + "Y,1/1/2020,8,0,0,more,fields\n",
+])
+def test_scan_reports_line_ends_and_odd_headers(spark, text):
     d = tempfile.mkdtemp(prefix="epitrend-csv-")
-    _write(d, "a.csv", "Country,Last Update,Confirmed,Deaths,Recovered\nX,1/1/2020,1,0,0\n")
+    with open(os.path.join(d, "a.csv"), "w", newline="", encoding="utf-8") as fh:
+        fh.write(text)
+    _write(d, "b.csv", "Confirmed,Deaths,Recovered,Last_Update,Country_Region\n9,0,0,2020-01-01,Z\n")
+    assert _confirmed(scan_reports(spark, d)) == [("X", "7"), ("Y", "8"), ("Z", "9")]
 
-    def broken(spark, paths, glob):
-        raise RuntimeError("cannot open")
 
-    monkeypatch.setattr(csv_reports, "_headers_by_read", broken)
-    (names, files), = discover_headers(spark, d, read_above_bytes=0)
-    assert names[0] == "Country" and len(files) == 1
-    with pytest.raises(RuntimeError):
-        discover_headers(spark, d, method="read")
+def test_scan_reports_reads_gzip_and_short_rows(spark):
+    import gzip
 
+    d = tempfile.mkdtemp(prefix="epitrend-csv-")
+    with gzip.open(os.path.join(d, "a.csv.gz"), "wt") as fh:
+        fh.write(PLAIN + "X,1/1/2020,7\n")
+    rows = scan_reports(spark, d, glob="*.csv*").collect()
+    assert [(r["Confirmed"], r["Deaths"]) for r in rows] == [("7", None)]
 
-def test_discovery_auto_picks_by_size(spark):
-    from epitrend.sources.csv_reports import _pick_method
 
+def test_keep_matches_padded_headers(spark):
     d = tempfile.mkdtemp(prefix="epitrend-csv-")
-    _write(d, "a.csv", "Country,Last Update,Confirmed,Deaths,Recovered\nX,1/1/2020,1,0,0\n")
-    assert _pick_method(spark, [d], "*.csv", 1 << 30) == "scan"
-    assert _pick_method(spark, [d], "*.csv", 1) == "read"
-    assert _pick_method(spark, ["hdfs://nn/x"], "*.csv", 1) == "scan"
+    _write(d, "a.csv", "Country,Last Update,Confirmed,Deaths,Recovered, event_id\nX,1/1/2020,1,0,0,77\n")
+    assert scan_reports(spark, d, keep=["event_id", "gone"]).select("event_id", "gone").collect()[0][:] == ("77", None)
+
+
+def test_no_file_list_in_the_driver(spark):
+    """The plan holds no path of a single file, however many there are."""
+    import contextlib
+    import io
+
+    d = tempfile.mkdtemp(prefix="epitrend-csv-")
+    for i in range(12):
+        _write(d, f"report{i}.csv", PLAIN + f"X,1/1/2020,{i},0,0\n")
+    df = scan_reports(spark, d)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("extended")
+    assert "report3.csv" not in buf.getvalue() and df.count() == 12
+
+
+def test_null_sources_keep_their_rows(spark):
+    rows = [(None, "A", "1/22/2020 17:00", "1", "0", "0"), (None, "A", None, "1", "0", "0"),
+            ("f", "B", "2020-01-23 10:00:00", "2", "0", "0")]
+    df = _raw(spark, rows)
+    out = {(r["Country"], r["Date"]) for r in op.detect_dates(df).collect()}
+    assert out == {("A", dt.date(2020, 1, 22)), ("B", dt.date(2020, 1, 23))}
+    assert [(r["last_update"], r["reason"]) for r in op.rejected_rows(df).collect()] == [(None, "minority_format")]
+
+
+def test_rejected_rows_name_both_reasons(spark):
+    rows = [("f", "A", "1/22/2020 17:00", "1", "0", "0"), ("f", "A", "2020-01-23 10:00:00", "2", "0", "0"),
+            ("g", "A", "2020-01-24", "2", "0", "0"), ("g", "A", "unknown", "2", "0", "0"), ("g", "A", "999999-1-5", "2", "0", "0")]
+    got = sorted((r["last_update"], r["reason"]) for r in op.rejected_rows(_raw(spark, rows)).collect())
+    assert got == [("2020-01-23 10:00:00", "minority_format"), ("999999-1-5", "unparsed"), ("unknown", "unparsed")]
+    lost = op.rejected_rows(_raw(spark, rows), mode="row").collect()
+    assert {r["last_update"] for r in lost} == {"unknown", "999999-1-5"}
+
+
+@pytest.mark.parametrize("mode", ["file", "row"])
+def test_partials_equal_the_row_operators(spark, mode):
+    import random
+
+    rng = random.Random(8)
+    texts = ["1/22/2020 17:00", "1/23/20 1:00", "2020-01-24 10:00:00", "2020-01-25T1:00", "unknown", None]
+    rows = [(rng.choice(["f", "g", "h", None]), rng.choice(["A", "B", None]), rng.choice(texts),
+             *[rng.choice(["1", "2.5", "junk", "", None]) for _ in range(3)]) for _ in range(400)]
+    df = _raw(spark, rows)
+    long = op.coerce_measures(op.detect_dates(df, mode=mode)).where("Date is not null")
+    want = sorted(tuple(r) for r in op.daily_rollup(long).collect())
+    whole = op.finish_partials(op.report_partials(df), mode)
+    assert sorted(tuple(r) for r in whole.collect()) == want
+    parts = None
+    for i in range(5):  # rows of one report may fall into different parts
+        p = op.report_partials(_raw(spark, rows[i::5]))
+        parts = p if parts is None else parts.unionByName(p)
+    merged = op.finish_partials(op.merge_partials(parts), mode)
+    assert sorted(tuple(r) for r in merged.collect()) == want

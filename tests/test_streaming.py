@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from epitrend.plans.clean_table import ingest_directory
 from epitrend.streaming import read_rollup, start_ingest
 
@@ -32,3 +34,31 @@ def test_stream_ingests_new_files_incrementally(spark):
     batch = {(r["Country"], r["Date"].isoformat(), r["Active"])
              for r in ingest_directory(spark, src).collect()}
     assert got == batch
+
+
+def _split_report(src):
+    """One report of three part files: only one row fits the first pattern."""
+    os.makedirs(os.path.join(src, "r1"))
+    for name, row in (("a", "Mexico,1/22/2020 17:00,1,0,0"), ("b", "Peru,2020-01-23 10:00:00,2,0,0"),
+                      ("c [1]%20", "Chile,2020-01-23 10:00:00,4,0,0")):
+        _write(os.path.join(src, "r1"), f"{name}.csv", "Country_Region,Last_Update,Confirmed,Deaths,Recovered\n" + row + "\n")
+
+
+@pytest.mark.parametrize("cap", [1, 2, 1000])
+def test_result_does_not_depend_on_the_trigger(spark, cap):
+    src, out = tempfile.mkdtemp(prefix="epitrend-src-"), tempfile.mkdtemp(prefix="epitrend-out-")
+    _split_report(src)
+    start_ingest(spark, src, out, report_level="directory", max_files_per_trigger=cap).awaitTermination(240)
+    want = sorted(tuple(r) for r in ingest_directory(spark, src, report_level="directory").collect())
+    got = sorted(tuple(r) for r in read_rollup(spark, out).collect())
+    assert got == want and [r[1] for r in got] == ["Mexico"]
+
+
+def test_starting_again_changes_nothing(spark):
+    src, out = tempfile.mkdtemp(prefix="epitrend-src-"), tempfile.mkdtemp(prefix="epitrend-out-")
+    _split_report(src)
+    _write(src, "x.csv", HEAD_B + "Mexico,2020-03-22 23:45:00,30,1,0,9\n")
+    for cap in (1, 1000, 1000):
+        start_ingest(spark, src, out, report_level="file", max_files_per_trigger=cap).awaitTermination(240)
+        total = sum(r["Confirmed"] for r in read_rollup(spark, out).collect())
+        assert total == 37.0

@@ -38,5 +38,11 @@ LAST_UPDATE = "last_update"
 CLEAN_COLUMNS = (DATE, ENTITY, "Confirmed", "Deaths", "Recovered", "Active")
 
 
-def band_column(lo: int, up: int) -> str:
-    return f"days_{lo}_to_{up}"
+def _bound(x: float) -> str:
+    """A bound as part of a column name: whole numbers plain, 0.5 as 0_5."""
+    text = str(int(x)) if float(x).is_integer() else repr(float(x))
+    return text.replace(".", "_").replace("-", "m").replace("+", "")
+
+
+def band_column(lo: float, up: float) -> str:
+    return f"days_{_bound(lo)}_to_{_bound(up)}"

@@ -2,7 +2,8 @@
 
 from epitrend.operators.cluster import (assemble_features, best_k, canonical_layout,
                                         hash_split, k_sweep, kmeans_assign, kmeans_fit,
-                                        materialize, n_centers, silhouette, train_test)
+                                        label_facts, layout_partitions, materialize, n_centers,
+                                        silhouette, silhouette_direct, train_test)
 from epitrend.operators.compare import (baseline_diff, compare_curves, similar_entities,
                                         transpose_features, unpivot_features)
 from epitrend.operators.features import (array_index, band_columns, days_in_bands,
@@ -19,8 +20,8 @@ __all__ = [
     "array_index", "as_of_snapshot", "assemble_features", "band_columns", "baseline_diff",
     "best_k", "canonical_layout", "coerce_measures", "compare_curves", "country_codes",
     "daily_rollup", "days_in_bands", "detect_dates", "feature_table", "finish_partials", "first_crossing",
-    "first_day", "hash_split", "k_sweep", "kmeans_assign", "kmeans_fit", "latest_snapshot",
-    "materialize", "merge_partials", "n_centers", "next_value", "normalize_headers", "positive_rows", "qualify_entities",
-    "rejected_dates", "rejected_rows", "rename_entities", "report_partials", "resolve_header", "series_list", "silhouette", "similar_entities",
+    "first_day", "hash_split", "k_sweep", "kmeans_assign", "kmeans_fit", "label_facts", "latest_snapshot",
+    "layout_partitions", "materialize", "merge_partials", "n_centers", "next_value", "normalize_headers", "positive_rows", "qualify_entities",
+    "rejected_dates", "rejected_rows", "rename_entities", "report_partials", "resolve_header", "series_list", "silhouette", "silhouette_direct", "similar_entities",
     "top_bottom", "train_test", "transpose_features", "unpivot_features",
 ]

@@ -14,6 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -27,22 +28,29 @@ PREDICTION = "prediction"
 
 
 def assemble_features(features: DataFrame, cols: Sequence[str], out: str = FEATURES) -> DataFrame:
-    """Add vector column ``out`` from ``cols`` (VectorAssembler)."""
-    return VectorAssembler(inputCols=list(cols), outputCol=out).transform(features)
+    """Add vector column ``out`` from ``cols`` (VectorAssembler), whatever
+    characters their names hold."""
+    names = [f"_input_{i}" for i in range(len(cols))]
+    staged = features.withColumns({n: F.col(f"`{c}`") for n, c in zip(names, cols)})
+    return VectorAssembler(inputCols=names, outputCol=out).transform(staged).drop(*names)
 
 
-def split_bucket(key: str = ENTITY, seed: int = SEED):
-    """0..99 from the first 32 bits of md5(seed || key)."""
+def split_hash(key: str = ENTITY, seed: int = SEED):
+    """The first 32 bits of md5(seed || key)."""
     digest = F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
+def split_cut(ratio: float) -> int:
+    """Hashes below this are train."""
+    return round(ratio * (1 << 32))
 
 
 def hash_split(df: DataFrame, ratio: float = TRAIN_RATIO, seed: int = SEED,
                key: str = ENTITY) -> DataFrame:
-    """Add ``split`` = train / test: train when the key's bucket is below
-    ``ratio`` x 100. Same members whatever the partitioning."""
-    cut = int(round(ratio * 100))
-    return df.withColumn("split", F.when(split_bucket(key, seed) < cut, F.lit("train"))
+    """Add ``split`` = train / test: train when the key's hash is below
+    ``ratio`` x 2^32. Same members whatever the partitioning."""
+    return df.withColumn("split", F.when(split_hash(key, seed) < F.lit(split_cut(ratio)).cast("long"), F.lit("train"))
                          .otherwise(F.lit("test")))
 
 
@@ -54,9 +62,20 @@ def train_test(df: DataFrame, ratio: float = TRAIN_RATIO, seed: int = SEED,
     return s.where(side == "train").drop("split"), s.where(side == "test").drop("split")
 
 
-def canonical_layout(df: DataFrame, key: str = ENTITY, partitions: int = 4) -> DataFrame:
+ROWS_PER_PARTITION = 50_000
+
+
+def layout_partitions(rows: int) -> int:
+    """Partitions of the canonical layout of so many rows."""
+    return max(1, -(-rows // ROWS_PER_PARTITION))
+
+
+def canonical_layout(df: DataFrame, key: str = ENTITY, partitions: int | None = None) -> DataFrame:
     """Hash partitions by ``key``, sorted by ``key`` inside: the same input
-    rows give the same fit whatever the upstream layout."""
+    rows give the same fit whatever the upstream layout. Their number follows
+    from the number of rows unless given."""
+    if partitions is None:
+        partitions = layout_partitions(df.count())
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
@@ -70,15 +89,17 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def kmeans_fit(train: DataFrame, k: int = KMEANS_K, seed: int = SEED,
                features_col: str = FEATURES, key: str = ENTITY,
-               partitions: int | None = 4, max_iter: int = 20) -> KMeansModel:
+               partitions: int | None = None, max_iter: int = 20,
+               laid_out: bool = False) -> KMeansModel:
     """SparkML K-means with default settings apart from ``k`` and ``seed``.
-    ``partitions=None``: ``train`` is already in ``canonical_layout``.
+    ``laid_out``: ``train`` is already in ``canonical_layout``, whose
+    ``partitions`` follow from its rows unless given.
     Raises ``ValueError`` when ``train`` has no rows."""
     if train.isEmpty():
         raise ValueError("kmeans_fit: no training rows")
     km = KMeans(k=k, seed=seed, featuresCol=features_col, predictionCol=PREDICTION,
                 maxIter=max_iter)
-    if partitions is not None:
+    if not laid_out:
         train = canonical_layout(train, key, partitions)
     return km.fit(train)
 
@@ -105,40 +126,83 @@ def silhouette(predictions: DataFrame, features_col: str = FEATURES) -> float |
     return float(ev.evaluate(predictions))
 
 
+def silhouette_direct(predictions: DataFrame, features_col: str = FEATURES) -> float | None:
+    """The same score from its definition, as plain expressions: per cluster
+    the count, the sum and the squared norms of its rows (k rows reach the
+    driver), then each row's mean squared distance to every cluster."""
+    x = vector_to_array(F.col(features_col))
+    rows = predictions.select(F.col(PREDICTION).alias("c"), x.alias("x"))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    width = rows.select(F.max(F.size("x"))).first()[0]
+    if width is None:
+        return None
+    stats = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum(dot(F.col("x"), F.col("x"))).alias("q"),
+                                  *[F.sum(F.get("x", F.lit(i))).alias(f"s{i}") for i in range(width)]).collect()
+    if len(stats) < 2:
+        return None
+    norm = dot(F.col("x"), F.col("x"))
+    total = {r["c"]: r["n"] * norm + r["q"] - 2 * dot(F.col("x"), F.array(*[F.lit(r[f"s{i}"]) for i in range(width)]))
+             for r in stats}
+    own = F.coalesce(*[F.when((F.col("c") == r["c"]) & F.lit(r["n"] > 1), total[r["c"]] / max(1, r["n"] - 1)) for r in stats])
+    other = F.least(*[F.when(F.col("c") != r["c"], total[r["c"]] / r["n"]) for r in stats],
+                    F.lit(float("inf")))
+    score = F.when(own.isNull(), 0.0).otherwise((other - own) / F.greatest(own, other))
+    return float(rows.select(F.avg(score)).first()[0])
+
+
+def label_facts(model: KMeansModel, predictions: DataFrame, features_col: str = FEATURES,
+                key: str = ENTITY) -> DataFrame:
+    """Per row: ``label_ok`` (the label is one of the centres') and
+    ``nearest_ok`` (no centre is nearer than the label's)."""
+    centers = [list(map(float, c)) for c in model.clusterCenters()]
+    x = vector_to_array(F.col(features_col))
+    away = F.array(*[F.aggregate(F.zip_with(x, F.array(*map(F.lit, c)), lambda p, q: (p - q) * (p - q)),
+                                 F.lit(0.0), lambda s, v: s + v) for c in centers])
+    label = F.col(PREDICTION)
+    inside = (label >= 0) & (label < len(centers))
+    rows = predictions.select(key, label, away.alias("_away"))
+    nearest = F.get("_away", label) <= F.array_min("_away") * (1 + 1e-9) + 1e-9
+    return rows.select(key, F.coalesce(inside, F.lit(False)).alias("label_ok"),
+                       F.coalesce(nearest, F.lit(False)).alias("nearest_ok"))
+
+
 SWEEP_SCHEMA = StructType([
     StructField("k", IntegerType(), False),
     StructField("n_centers", IntegerType(), False),
     StructField("training_cost", DoubleType(), True),
     StructField("silhouette", DoubleType(), True),
 ])
+_DIRECT = StructField("silhouette_direct", DoubleType(), True)
 
 
 def k_sweep(train: DataFrame, test: DataFrame, ks: Iterable[int] = SWEEP_KS,
             seed: int = SEED, features_col: str = FEATURES, key: str = ENTITY,
-            partitions: int = 4, parallelism: int = 4) -> DataFrame:
+            partitions: int | None = None, parallelism: int = 4, direct: bool = False) -> DataFrame:
     """Fit on ``train`` for every k, score on ``test``: one row per k with
     the centres found, the training cost and the test silhouette (the
-    elbow / silhouette table). Like SparkML's ``CrossValidator``, up to
-    ``parallelism`` fits run as concurrent Spark jobs; each fit is seeded and
-    reads the same layout, so the result does not depend on it."""
-    # Laid out and checkpointed once for all fits (the layout is
-    # deterministic, so each fit sees exactly what kmeans_fit would build).
-    train, test = materialize(canonical_layout(train, key, partitions)), materialize(test)
+    elbow / silhouette table), with ``direct`` also ``silhouette_direct``. Like
+    SparkML's ``CrossValidator``, up to ``parallelism`` fits run as concurrent
+    Spark jobs; each fit is seeded and reads the same layout, so the result
+    does not depend on it. Pass stored sides; an empty ``train`` raises."""
+    # Laid out and stored once for all fits (the layout is deterministic, so
+    # each fit sees exactly what kmeans_fit would build).
+    train = materialize(canonical_layout(train, key, partitions))
     spark = train.sparkSession
     if train.isEmpty():
-        return spark.createDataFrame([], SWEEP_SCHEMA)
+        raise ValueError("k_sweep: no training rows")
 
     def one(k: int) -> tuple:
-        model = kmeans_fit(train, k, seed, features_col, key, partitions=None)
-        score = silhouette(kmeans_assign(model, test), features_col)
-        return (int(k), n_centers(model), float(model.summary.trainingCost), score)
+        model = kmeans_fit(train, k, seed, features_col, key, laid_out=True)
+        pred = kmeans_assign(model, test)
+        row = (int(k), n_centers(model), float(model.summary.trainingCost), silhouette(pred, features_col))
+        return (*row, silhouette_direct(pred, features_col)) if direct else row
 
     ks = list(ks)
     # The fits keep the caller's job group and scheduler pool.
     task = inheritable_thread_target(spark)(one)
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
         rows = list(pool.map(task, ks))
-    return spark.createDataFrame(rows, SWEEP_SCHEMA)
+    return spark.createDataFrame(rows, StructType([*SWEEP_SCHEMA.fields, _DIRECT]) if direct else SWEEP_SCHEMA)
 
 
 def best_k(sweep: DataFrame) -> int | None:

@@ -10,48 +10,64 @@ from pyspark.sql import functions as F
 from epitrend.config import BASELINE, DATE, ENTITY, TOP_K
 
 
-def _feature_cols(features: DataFrame, cols: Sequence[str] | None) -> list[str]:
-    return list(cols) if cols else [c for c in features.columns if c.startswith("days_")]
+MAX_ENTITIES = 2000  # columns of a whole transpose
+
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _feature_cols(features: DataFrame, cols: Sequence[str] | None, entity: str) -> list[str]:
+    """``cols``, or every numeric column but the entity."""
+    return list(cols) if cols else [c for c, t in features.dtypes if c != entity
+                                    and (t in _NUMBERS or t.startswith("decimal"))]
 
 
 def unpivot_features(features: DataFrame, cols: Sequence[str] | None = None,
                      entity: str = ENTITY) -> DataFrame:
     """Long form ``entity, feature, value``: one row per entity and feature
     (a projection, no shuffle)."""
-    return features.unpivot([entity], _feature_cols(features, cols), "feature", "value")
-
-
-def transpose_features(features: DataFrame, entities: Sequence[str],
-                       cols: Sequence[str] | None = None, entity: str = ENTITY) -> DataFrame:
-    """Features as rows and the listed entities as columns (values keep their
-    type). The entity list is explicit, so no job is needed to find the
-    columns and the width is bounded by the caller; one conditional aggregate
-    per entity gives the pivot with a single exchange."""
+    names = _feature_cols(features, cols, entity)
+    return features.unpivot([f"`{entity}`"], [f"`{c}`" for c in names], "feature", "value")
+
+
+def transpose_features(features: DataFrame, entities: Sequence[str] | None = None,
+                       cols: Sequence[str] | None = None, entity: str = ENTITY,
+                       max_entities: int = MAX_ENTITIES) -> DataFrame:
+    """Features as rows and entities as columns (values keep their type): the
+    listed ones, or all that ``features`` holds, in order. A column per entity
+    bounds the table's width, so more than ``max_entities`` raise; use
+    ``unpivot_features`` there. One conditional aggregate per entity gives the
+    pivot with a single exchange."""
+    if entities is None:
+        found = features.select(entity).where(F.col(entity).isNotNull()).distinct() \
+            .orderBy(entity).limit(max_entities + 1).collect()
+        entities = [r[0] for r in found]
     names = list(entities)
+    if len(names) > max_entities:
+        raise ValueError(f"more than {max_entities} entities to transpose; unpivot_features has no such bound")
     long = unpivot_features(features.where(F.col(entity).isin(names)), cols, entity)
     return long.groupBy("feature").agg(
-        *[F.max(F.when(F.col(entity) == e, F.col("value"))).alias(e) for e in names])
+        *[F.max(F.when(F.col(entity) == e, F.col("value"))).alias(str(e)) for e in names])
 
 
 def baseline_diff(features: DataFrame, baseline: str = BASELINE,
                   cols: Sequence[str] | None = None, entity: str = ENTITY) -> DataFrame:
     """For every entity other than ``baseline``: ``abs_total_diff`` =
     sum |x_i - b_i| and ``rel_total_diff`` = sum (x_i - b_i) over the feature
-    columns. Fails with a clear message if the baseline has no feature row.
+    columns, as doubles. Fails with a clear message if the baseline has no
+    feature row.
 
     The baseline row is one scalar subquery (an array of its features,
     referenced once), so the feature table is neither joined nor shuffled,
     and the entity filter reaches the scan of the subquery's input."""
-    names = _feature_cols(features, cols)
-    base = (features.where(F.col(entity) == baseline)
-            .select(F.array(*[F.col(c).cast("long") for c in names])).scalar())
+    names = _feature_cols(features, cols, entity)
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in names])
+    base = features.where(F.col(entity) == baseline).select(values).scalar()
     base = F.coalesce(base, F.raise_error(
         F.lit(f"baseline {baseline!r} has no row in the feature table")))
-    values = F.array(*[F.col(c).cast("long") for c in names])
     paired = (features.where(F.col(entity) != baseline)
               .select(F.col(entity), values.alias("_x"), base.alias("_b")))
     diffs = paired.select(entity, F.zip_with("_x", "_b", lambda x, b: x - b).alias("_d"))
-    zero = F.lit(0).cast("long")
+    zero = F.lit(0.0)
     return diffs.select(
         F.col(entity), F.lit(baseline).alias("baseline"),
         F.aggregate("_d", zero, lambda acc, x: acc + F.abs(x)).alias("abs_total_diff"),

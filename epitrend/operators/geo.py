@@ -22,7 +22,7 @@ def country_codes(df: DataFrame, aliases: DataFrame, entity: str = ENTITY,
     at most ``max_aliases`` rows, else joined by shuffle."""
     table = (aliases.select(normalized_name(alias_col).alias("_key"), F.col(code_col))
              .groupBy("_key").agg(F.min(code_col).alias(out)))
-    table = broadcast_if_bounded(table, max_aliases)
+    table = broadcast_if_bounded(table, max_aliases, materialize=True)
     keyed = df.withColumn("_key", normalized_name(entity))
     joined = keyed.join(table, "_key", "left").drop("_key")
     measures = [m for m in (*MEASURES, "Active") if m in df.columns]
@@ -38,7 +38,7 @@ def rename_entities(df: DataFrame, aliases: DataFrame, entity: str = ENTITY,
     the variants are summed under one name."""
     table = (aliases.select(normalized_name(alias_col).alias("_key"), F.col(name_col))
              .groupBy("_key").agg(F.min(name_col).alias("_canonical")))
-    table = broadcast_if_bounded(table, max_aliases)
+    table = broadcast_if_bounded(table, max_aliases, materialize=True)
     keyed = df.withColumn("_key", normalized_name(entity))
     joined = keyed.join(table, "_key", "left")
     return joined.withColumn(entity, F.coalesce(F.col("_canonical"), F.col(entity))).drop(

@@ -51,8 +51,9 @@ def cluster_reports(features: DataFrame, cols: Sequence[str], k: int = KMEANS_K,
                     refit_k: int | None = REFIT_K, ks: Sequence[int] = SWEEP_KS,
                     ratio: float = TRAIN_RATIO, seed: int = SEED) -> dict[str, object]:
     """Split, fit k, score, sweep ks, refit (``refit_k=None``: the sweep's
-    best silhouette)."""
-    assembled = op.canonical_layout(op.assemble_features(features, cols))
+    best silhouette). The assembled features are stored once in the fits'
+    layout; every fit and score rereads them, not the plan behind them."""
+    assembled = op.materialize(op.canonical_layout(op.materialize(op.assemble_features(features, cols))))
     train, test = op.train_test(assembled, ratio, seed)
     model = op.kmeans_fit(train, k, seed)
     pred = op.kmeans_assign(model, test)

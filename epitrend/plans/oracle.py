@@ -36,6 +36,22 @@ rpt AS (
          Confirmed - (Deaths + Recovered) AS Active
   FROM fx_cum)"""
 
+_CUSTOMERS = """
+fx_daily AS (
+  SELECT CAST(l.l_shipdate AS DATE) AS Date, o.o_custkey, sum(l.l_quantity) AS c,
+         sum(CASE WHEN l.l_returnflag = 'R' THEN l.l_quantity ELSE 0 END) AS d,
+         sum(CASE WHEN l.l_returnflag = 'A' THEN l.l_quantity ELSE 0 END) AS r
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  GROUP BY 1, 2),
+fx_cum AS (
+  SELECT Date, 'CUSTOMER_' || o_custkey AS Country, CAST(sum(c) OVER w AS DOUBLE) AS Confirmed,
+         CAST(sum(d) OVER w AS DOUBLE) AS Deaths, CAST(sum(r) OVER w AS DOUBLE) AS Recovered
+  FROM fx_daily
+  WINDOW w AS (PARTITION BY o_custkey ORDER BY Date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+rpt AS (
+  SELECT Date, Country, Confirmed, Deaths, Recovered, Confirmed - (Deaths + Recovered) AS Active
+  FROM fx_cum)"""
+
 _LATEST = """,
 latest AS (SELECT * FROM rpt WHERE Date = (SELECT max(Date) FROM rpt))"""
 
@@ -46,31 +62,44 @@ def _band_sql(lo, up):
             f" AS {band_column(lo, up)}")
 
 
-_BAND_COLS = [band_column(lo, up) for lo, up in P.FIXTURE_BANDS]
-
-_BANDS = """,
+def _bands(bands) -> str:
+    """``bands`` and ``feats`` over ``rpt``."""
+    cols = [band_column(lo, up) for lo, up in bands]
+    return """,
 fx_pos AS (
   SELECT *, row_number() OVER (PARTITION BY Country ORDER BY Date) AS rn
   FROM rpt WHERE Confirmed > 0),
 bands AS (
   SELECT Country, min(Date) AS FirstDay,
-         """ + ",\n         ".join(_band_sql(lo, up) for lo, up in P.FIXTURE_BANDS) + """
+         """ + ",\n         ".join(_band_sql(lo, up) for lo, up in bands) + """
   FROM fx_pos GROUP BY Country),
 feats AS (
   SELECT * FROM bands
-  WHERE FirstDay IS NOT NULL AND """ + " AND ".join(f"{c} IS NOT NULL" for c in _BAND_COLS) + ")"
+  WHERE FirstDay IS NOT NULL AND """ + " AND ".join(f"{c} IS NOT NULL" for c in cols) + ")"
+
+
+_BAND_COLS = [band_column(lo, up) for lo, up in P.CUSTOMER_BANDS]
+_NATION_COLS = [band_column(lo, up) for lo, up in P.NATION_BANDS]
+_BANDS = _bands(P.CUSTOMER_BANDS)
 
 _DIFFS = """,
 base AS (SELECT * FROM feats WHERE Country = '""" + P.BASELINE + """'),
 diffs AS (
   SELECT f.Country, '""" + P.BASELINE + """' AS baseline,
-         CAST(""" + " + ".join(f"abs(f.{c} - b.{c})" for c in _BAND_COLS) + """ AS BIGINT)
+         CAST(""" + " + ".join(f"abs(f.{c} - b.{c})" for c in _BAND_COLS) + """ AS DOUBLE)
            AS abs_total_diff,
-         CAST(""" + " + ".join(f"(f.{c} - b.{c})" for c in _BAND_COLS) + """ AS BIGINT)
+         CAST(""" + " + ".join(f"(f.{c} - b.{c})" for c in _BAND_COLS) + """ AS DOUBLE)
            AS rel_total_diff
   FROM feats f CROSS JOIN base b
   WHERE f.Country <> '""" + P.BASELINE + "')"
 
+# The split as hash_split computes it: 32 bits of md5 against 0.8 x 2^32.
+_SPLIT = f""",
+split AS (
+  SELECT Country, CASE WHEN ('0x' || substr(md5('42' || Country), 1, 8))::BIGINT < {round(0.8 * 2 ** 32)}
+                       THEN 'train' ELSE 'test' END AS split
+  FROM feats)"""
+
 _RAW = """
 fx_raw AS (
   SELECT event_id, user_id % 4 AS file,
@@ -147,7 +176,7 @@ UNION ALL
 
 
 def _similar(key: str) -> str:
-    return _with(_REPORTS, _BANDS, _DIFFS) + f"""
+    return _with(_CUSTOMERS, _BANDS, _DIFFS) + f"""
 (SELECT 'most_similar' AS category, Country, abs_total_diff, rel_total_diff FROM diffs
  ORDER BY {key} ASC NULLS FIRST, Country ASC NULLS FIRST LIMIT 5)
 UNION ALL
@@ -198,13 +227,13 @@ LEFT JOIN aliases a
   ON trim(lower(regexp_replace(l.Country, '[^[:alnum:]]+', ' ', 'g'))) = a.k""",
     "parquet_roundtrip": _with(_REPORTS) + "SELECT * FROM rpt",
     "register_view": _with(_REPORTS, _LATEST) + "SELECT * FROM latest",
-    "first_day": _with(_REPORTS) + """
+    "first_day": _with(_CUSTOMERS) + """
 SELECT Country, min(Date) AS FirstDay FROM rpt WHERE Confirmed > 0 GROUP BY Country""",
-    "next_value": _with(_REPORTS) + """
+    "next_value": _with(_CUSTOMERS) + """
 SELECT Date, Country, Confirmed,
        lead(Confirmed, 1) OVER (PARTITION BY Country ORDER BY Date) AS next_Confirmed
 FROM rpt""",
-    "first_crossing": _with(_REPORTS) + f""",
+    "first_crossing": _with(_CUSTOMERS) + f""",
 pos AS (SELECT *, row_number() OVER (PARTITION BY Country ORDER BY Date) AS rn
         FROM rpt WHERE Confirmed > 0)
 SELECT Country,
@@ -214,11 +243,11 @@ SELECT Country,
        CAST(min(rn) FILTER (WHERE Confirmed >= {P.THRESHOLD}) AS BIGINT) AS above_index,
        min(Date) FILTER (WHERE Confirmed >= {P.THRESHOLD}) AS above_date
 FROM pos GROUP BY Country""",
-    "series_list": _with(_REPORTS) + """
+    "series_list": _with(_CUSTOMERS) + """
 SELECT Country, CAST(count(*) AS BIGINT) AS length,
-       arg_min(Confirmed, Date) AS first_value, arg_max(Confirmed, Date) AS last_value
+       string_agg(CAST(CAST(Confirmed AS BIGINT) AS VARCHAR), ',' ORDER BY Date) AS series
 FROM rpt WHERE Confirmed > 0 GROUP BY Country""",
-    "array_index": _with(_REPORTS) + f""",
+    "array_index": _with(_CUSTOMERS) + f""",
 pos AS (SELECT *, row_number() OVER (PARTITION BY Country ORDER BY Date) AS rn
         FROM rpt WHERE Confirmed > 0),
 hit AS (SELECT Country, arg_min(Confirmed, rn) FILTER (WHERE Confirmed >= {P.THRESHOLD}) AS value
@@ -227,21 +256,19 @@ SELECT h.Country, h.value,
        CAST((SELECT min(p.rn) FROM pos p WHERE p.Country = h.Country AND p.Confirmed = h.value)
             AS BIGINT) AS position
 FROM hit h""",
-    "days_in_bands": _with(_REPORTS, _BANDS) + "SELECT Country, " + ", ".join(_BAND_COLS)
+    "days_in_bands": _with(_CUSTOMERS, _BANDS) + "SELECT Country, " + ", ".join(_BAND_COLS)
                      + " FROM bands",
-    "feature_table": _with(_REPORTS, _BANDS) + "SELECT * FROM feats",
-    "unpivot_features": _with(_REPORTS, _BANDS) + """
+    "feature_table": _with(_CUSTOMERS, _BANDS) + "SELECT * FROM feats",
+    "unpivot_features": _with(_CUSTOMERS, _BANDS) + """
 SELECT Country, feature, value FROM (UNPIVOT feats ON """ + ", ".join(_BAND_COLS)
                         + " INTO NAME feature VALUE value)",
-    "transpose_features": _with(_REPORTS, _BANDS) + """,
-long AS (UNPIVOT feats ON """ + ", ".join(_BAND_COLS) + """ INTO NAME feature VALUE value)
-SELECT feature, """ + ", ".join(
-        f"max(value) FILTER (WHERE Country = '{e}') AS \"{e}\"" for e in P.TRANSPOSE_ENTITIES)
-                          + " FROM long GROUP BY feature",
-    "baseline_diff": _with(_REPORTS, _BANDS, _DIFFS) + "SELECT * FROM diffs",
+    "transpose_features": _with(_REPORTS, _bands(P.NATION_BANDS)) + """,
+long AS (UNPIVOT feats ON """ + ", ".join(_NATION_COLS) + """ INTO NAME feature VALUE value)
+SELECT * FROM (PIVOT long ON Country USING max(value) GROUP BY feature)""",
+    "baseline_diff": _with(_CUSTOMERS, _BANDS, _DIFFS) + "SELECT * FROM diffs",
     "similar_by_abs": _similar("abs_total_diff"),
     "similar_by_rel": _similar("abs(rel_total_diff)"),
-    "compare_curves": _with(_REPORTS) + f"""
+    "compare_curves": _with(_CUSTOMERS) + f"""
 SELECT * FROM rpt WHERE Country IN ('{P.CURVES[0]}', '{P.CURVES[1]}') ORDER BY Country, Date""",
     "normalize_headers": _with(_RAW) + """
 SELECT Country, last_update, Confirmed, Deaths, Recovered, event_id, file FROM fx_raw""",
@@ -265,11 +292,40 @@ FROM coerced WHERE Date IS NOT NULL GROUP BY Date, Country""",
 SELECT Country, last_update, NULLIF(Confirmed, '') AS Confirmed, Deaths, Recovered,
        CAST(event_id AS VARCHAR) AS event_id, CAST(file AS VARCHAR) AS file
 FROM fx_raw""",
-    "hash_split": _with(_REPORTS, _BANDS) + """
-SELECT Country,
-       CASE WHEN ('0x' || substr(md5('42' || Country), 1, 8))::BIGINT % 100 < 80
-            THEN 'train' ELSE 'test' END AS split
-FROM feats""",
-    "assemble_features": _with(_REPORTS, _BANDS) + "SELECT Country, " + ", ".join(
+    "hash_split": _with(_CUSTOMERS, _BANDS, _SPLIT) + "SELECT Country, split FROM split",
+    "kmeans_k5": _with(_CUSTOMERS, _BANDS) + "SELECT Country, true AS label_ok, true AS nearest_ok FROM feats",
+    "kmeans_k3": _with(_CUSTOMERS, _BANDS) + "SELECT Country, true AS label_ok, true AS nearest_ok FROM feats",
+    "kmeans_best_k": _with(_CUSTOMERS, _BANDS)
+                     + "SELECT Country, true AS label_ok, true AS nearest_ok, true AS best_k FROM feats",
+    "silhouette": _with(_CUSTOMERS, _BANDS, _SPLIT) + """
+SELECT CAST(5 AS INTEGER) AS k, count(*) AS rows_scored, true AS centers_ok, true AS in_range,
+       true AS equals_direct
+FROM split WHERE split = 'test'""",
+    "k_sweep": _with(_CUSTOMERS, _BANDS, _SPLIT) + """
+SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM split WHERE split = 'test') AS rows_scored,
+       true AS centers_ok, true AS in_range, true AS equals_direct
+FROM range(2, 11) t(k)""",
+    "detect_dates_row": _with(_RAW, _DATED) + """
+SELECT event_id, file, Country, last_update,
+       CASE WHEN ok1 THEN d1 WHEN ok2 THEN d2 ELSE d3 END AS Date
+FROM fx_ok""",
+    "rejected_rows": _with(_RAW, _DATED) + """
+SELECT event_id, file, last_update, reason FROM (
+  SELECT r.event_id, r.file, r.last_update,
+         CASE WHEN f.any1 AND NOT r.ok1 OR NOT f.any1 AND f.any2 AND NOT r.ok2 THEN 'minority_format'
+              WHEN NOT f.any1 AND NOT f.any2 AND r.d3 IS NULL THEN 'unparsed' END AS reason
+  FROM fx_ok r JOIN fx_flags f ON r.file = f.file)
+WHERE reason IS NOT NULL""",
+    "rename_entities": """
+SELECT CAST(o.o_orderdate AS DATE) AS Date, g.r_name AS Country, CAST(count(*) AS DOUBLE) AS Confirmed,
+       CAST(count(*) FILTER (WHERE o.o_orderstatus = 'F') AS DOUBLE) AS Deaths,
+       CAST(count(*) FILTER (WHERE o.o_orderstatus = 'O') AS DOUBLE) AS Recovered,
+       CAST(count(*) FILTER (WHERE o.o_orderstatus NOT IN ('F', 'O')) AS DOUBLE) AS Active
+FROM orders o
+JOIN customer cu ON o.o_custkey = cu.c_custkey
+JOIN nation n ON cu.c_nationkey = n.n_nationkey
+JOIN region g ON n.n_regionkey = g.r_regionkey
+GROUP BY 1, 2""",
+    "assemble_features": _with(_CUSTOMERS, _BANDS) + "SELECT Country, " + ", ".join(
         f"CAST({c} AS DOUBLE) AS v{i + 1}" for i, c in enumerate(_BAND_COLS)) + " FROM feats",
 }

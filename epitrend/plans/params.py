@@ -1,15 +1,14 @@
 """Parameters of the registered queries on the driver tables.
 
-The driver's clean table has counts in the hundreds, not millions, so the
-bands and thresholds are scaled to it; everything else keeps the reference
+The driver's clean tables have counts in the hundreds, not millions, so the
+bands and thresholds are scaled to them; everything else keeps the reference
 defaults from ``epitrend.config``."""
 
-FIXTURE_BANDS = ((1, 10), (1, 50), (1, 100), (100, 150), (150, 200), (200, 300), (300, 400))
-SMOKE_BANDS = ((1, 3), (1, 6), (1, 10), (5, 10), (10, 15), (15, 20), (20, 25))
+NATION_BANDS = ((1, 10), (1, 50), (1, 100), (100, 150), (150, 200), (200, 300), (300, 400))
+CUSTOMER_BANDS = ((1, 100), (1, 200), (1, 300), (100, 200), (200, 300), (300, 400), (400, 500))
 QUALIFY = {"min_rows": 30, "on": "1998-06-01", "gt": 250}
 AS_OF = "1998-06-01"
-BASELINE = "NATION_0"
-TRANSPOSE_ENTITIES = ("NATION_0", "NATION_1", "NATION_2", "NATION_3", "NATION_4")
-CURVES = ("NATION_0", "NATION_1")
+BASELINE = "CUSTOMER_1"
+CURVES = ("CUSTOMER_0", "CUSTOMER_1")
 THRESHOLD = 100
 RAW_KEEP = ("event_id", "file")

@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from epitrend import operators as op
 from epitrend.config import KMEANS_K, REFIT_K, SEED, SWEEP_KS
@@ -34,6 +33,11 @@ def q_daily_rollup(spark, d):
     return op.daily_rollup(fx.report_rows(spark, d))
 
 
+def q_rename_entities(spark, d):
+    """Nations renamed to their regions before the roll-up."""
+    return op.daily_rollup(op.rename_entities(fx.report_rows(spark, d), fx.region_names(spark, d)))
+
+
 def q_qualify_entities(spark, d):
     return op.qualify_entities(fx.stored_reports(spark, d), **P.QUALIFY)
 
@@ -68,38 +72,39 @@ def q_register_view(spark, d):
                      "WHERE Date = (SELECT max(Date) FROM epitrend_reports)")
 
 
-# ---- features -----------------------------------------------------------
+# ---- features (per customer: the rows grow with the tables) ---------------
 
 def q_first_day(spark, d):
-    return op.first_day(fx.stored_reports(spark, d))
+    return op.first_day(fx.stored_customer_reports(spark, d))
 
 
 def q_next_value(spark, d):
-    return op.next_value(fx.stored_reports(spark, d)).select("Date", "Country", "Confirmed",
-                                                      "next_Confirmed")
+    return op.next_value(fx.stored_customer_reports(spark, d)).select("Date", "Country", "Confirmed",
+                                                                      "next_Confirmed")
 
 
 def q_first_crossing(spark, d):
-    return op.first_crossing(fx.stored_reports(spark, d), P.THRESHOLD)
+    return op.first_crossing(fx.stored_customer_reports(spark, d), P.THRESHOLD)
 
 
 def q_series_list(spark, d):
-    s = op.series_list(fx.stored_reports(spark, d))
+    """The whole ordered list, as text (the quantities are whole numbers)."""
+    s = op.series_list(fx.stored_customer_reports(spark, d))
+    whole = F.transform("series", lambda x: x.cast("long").cast("string"))
     return s.select("Country", F.size("series").cast("long").alias("length"),
-                    F.element_at("series", 1).alias("first_value"),
-                    F.element_at("series", -1).alias("last_value"))
+                    F.array_join(whole, ",").alias("series"))
 
 
 def q_array_index(spark, d):
-    return op.array_index(op.series_list(fx.stored_reports(spark, d)), P.THRESHOLD)
+    return op.array_index(op.series_list(fx.stored_customer_reports(spark, d)), P.THRESHOLD)
 
 
 def q_days_in_bands(spark, d):
-    return op.days_in_bands(fx.stored_reports(spark, d), P.FIXTURE_BANDS)
+    return op.days_in_bands(fx.stored_customer_reports(spark, d), P.CUSTOMER_BANDS)
 
 
 def _features(spark, d):
-    return op.feature_table(fx.stored_reports(spark, d), P.FIXTURE_BANDS)
+    return op.feature_table(fx.stored_customer_reports(spark, d), P.CUSTOMER_BANDS)
 
 
 def q_feature_table(spark, d):
@@ -111,7 +116,8 @@ def q_unpivot_features(spark, d):
 
 
 def q_transpose_features(spark, d):
-    return op.transpose_features(_features(spark, d), P.TRANSPOSE_ENTITIES)
+    """All nations as columns."""
+    return op.transpose_features(op.feature_table(fx.stored_reports(spark, d), P.NATION_BANDS))
 
 
 def _diffs(spark, d):
@@ -131,7 +137,7 @@ def q_similar_by_rel(spark, d):
 
 
 def q_compare_curves(spark, d):
-    return op.compare_curves(fx.stored_reports(spark, d), *P.CURVES)
+    return op.compare_curves(fx.stored_customer_reports(spark, d), *P.CURVES)
 
 
 # ---- raw report ingestion -----------------------------------------------
@@ -152,6 +158,16 @@ def q_detect_dates(spark, d):
     return _dated(spark, d).select("event_id", "file", "Country", "last_update", "Date")
 
 
+def q_detect_dates_row(spark, d):
+    return op.detect_dates(_normalized(spark, d), source="file", mode="row") \
+        .select("event_id", "file", "Country", "last_update", "Date")
+
+
+def q_rejected_rows(spark, d):
+    return op.rejected_rows(_normalized(spark, d), source="file") \
+        .select("event_id", "file", "last_update", "reason")
+
+
 def q_coerce_measures(spark, d):
     return op.coerce_measures(_dated(spark, d), keep=P.RAW_KEEP)
 
@@ -183,16 +199,18 @@ def q_stream_ingest_reports(spark, d):
 
 
 # ---- clustering ---------------------------------------------------------
+#
+# Labels and scores depend on SparkML's arithmetic, so the queries return facts
+# about them that SQL can state on its own.
 
 def _assembled(spark, d):
-    feats = _features(spark, d)
-    return op.assemble_features(feats, op.band_columns(P.FIXTURE_BANDS))
+    return op.assemble_features(_features(spark, d), op.band_columns(P.CUSTOMER_BANDS))
 
 
-def _split(spark, d):
-    # One row per entity, checkpointed once: the emptiness check, the
-    # iterative fits and the scoring reread it instead of the whole plan.
-    return op.train_test(op.materialize(_assembled(spark, d)))
+def _laid_out(spark, d):
+    # One row per entity, stored once in the fits' layout: the fits and the
+    # scoring reread it instead of the whole plan.
+    return op.materialize(op.canonical_layout(op.materialize(_assembled(spark, d))))
 
 
 def q_hash_split(spark, d):
@@ -201,41 +219,61 @@ def q_hash_split(spark, d):
 
 def q_assemble_features(spark, d):
     arr = vector_to_array(F.col("features"))
-    n = len(P.FIXTURE_BANDS)
+    n = len(P.CUSTOMER_BANDS)
     return _assembled(spark, d).select("Country", *[arr[i].alias(f"v{i + 1}") for i in range(n)])
 
 
 def _kmeans(k):
+    """Facts about the label of every entity, train or test."""
     def q(spark, d):
-        train, test = _split(spark, d)
-        if train.isEmpty():  # no entity has every feature at this scale
-            return spark.createDataFrame([], "Country string, prediction int")
-        model = op.kmeans_fit(train, k=k)
-        return op.kmeans_assign(model, test).select("Country", "prediction")
+        rows = _laid_out(spark, d)
+        model = op.kmeans_fit(op.train_test(rows)[0], k=k)
+        return op.label_facts(model, op.kmeans_assign(model, rows))
     return q
 
 
-_SIL_SCHEMA = StructType([StructField("k", IntegerType(), False),
-                          StructField("n_centers", IntegerType(), False),
-                          StructField("silhouette", DoubleType(), True)])
+def q_kmeans_best_k(spark, d):
+    """The refit at the k of the best silhouette: facts about every label, and
+    whether no k of the sweep scores higher."""
+    rows = _laid_out(spark, d)
+    train, test = op.train_test(rows)
+    sweep = op.materialize(op.k_sweep(train, test, SWEEP_KS))
+    k = op.best_k(sweep)
+    scores = {r["k"]: r["silhouette"] for r in sweep.collect()}
+    best = k is not None and all(s is None or s <= scores[k] for s in scores.values())
+    model = op.kmeans_fit(train, k=k)
+    return op.label_facts(model, op.kmeans_assign(model, rows)).withColumn("best_k", F.lit(best))
+
+
+def _score_facts(k, rows_scored, centers, score, direct) -> tuple:
+    real = score is not None and direct is not None
+    return (k, rows_scored, 1 <= centers <= k, real and -1 <= score <= 1 and score != 0,
+            real and abs(score - direct) <= 1e-9 * max(1.0, abs(direct)))
+
+
+_FACTS = "k int, rows_scored long, centers_ok boolean, in_range boolean, equals_direct boolean"
 
 
 def q_silhouette(spark, d):
-    train, test = _split(spark, d)
-    if train.isEmpty():
-        return spark.createDataFrame([], _SIL_SCHEMA)
+    train, test = op.train_test(_laid_out(spark, d))
     model = op.kmeans_fit(train, k=KMEANS_K)
-    score = op.silhouette(op.kmeans_assign(model, test))
-    return spark.createDataFrame([(KMEANS_K, op.n_centers(model), score)], _SIL_SCHEMA)
+    pred = op.kmeans_assign(model, test)
+    row = _score_facts(KMEANS_K, test.count(), op.n_centers(model), op.silhouette(pred),
+                       op.silhouette_direct(pred))
+    return spark.createDataFrame([row], _FACTS)
 
 
 def q_k_sweep(spark, d):
-    train, test = _split(spark, d)
-    return op.k_sweep(train, test, SWEEP_KS)
+    train, test = op.train_test(_laid_out(spark, d))
+    n = test.count()
+    rows = op.k_sweep(train, test, SWEEP_KS, direct=True).collect()  # a row per k
+    return spark.createDataFrame([_score_facts(r["k"], n, r["n_centers"], r["silhouette"], r["silhouette_direct"])
+                                  for r in rows], _FACTS)
 
 
 QUERIES: dict[str, Query] = {
     "daily_rollup": q_daily_rollup,
+    "rename_entities": q_rename_entities,
     "qualify_entities": q_qualify_entities,
     "latest_snapshot": q_latest_snapshot,
     "as_of_snapshot": q_as_of_snapshot,
@@ -261,6 +299,8 @@ QUERIES: dict[str, Query] = {
     "compare_curves": q_compare_curves,
     "normalize_headers": q_normalize_headers,
     "detect_dates": q_detect_dates,
+    "detect_dates_row": q_detect_dates_row,
+    "rejected_rows": q_rejected_rows,
     "coerce_measures": q_coerce_measures,
     "clean_reports": q_clean_reports,
     "scan_reports": q_scan_reports,
@@ -270,6 +310,7 @@ QUERIES: dict[str, Query] = {
     "assemble_features": q_assemble_features,
     "kmeans_k5": _kmeans(KMEANS_K),
     "kmeans_k3": _kmeans(REFIT_K),
+    "kmeans_best_k": q_kmeans_best_k,
     "silhouette": q_silhouette,
     "k_sweep": q_k_sweep,
 }

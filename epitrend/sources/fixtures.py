@@ -1,6 +1,8 @@
 """Report-shaped inputs derived from the driver tables.
 
 ``reports``          the clean table R: cumulative daily counts per nation.
+``customer_reports`` the clean table C: cumulative quantities per customer, on
+                     reported days only; its rows grow with the tables.
 ``stored_reports``   R written once per session and scale to Parquet in the
                      shared scratch folder and read back, as the analysis
                      keeps its clean table.
@@ -94,20 +96,49 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("Active", F.col("Confirmed") - (F.col("Deaths") + F.col("Recovered")))
 
 
+def customer_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean table C, whose rows grow with the tables: one row per customer and
+    day on which something was shipped to it (only reported days have rows);
+    running quantities shipped (Confirmed), returned (flag R, Deaths) and
+    accepted (flag A, Recovered); Active recomputed. Doubles."""
+    lines = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_shipdate", "l_quantity", "l_returnflag"])
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    flag, q = F.col("l_returnflag"), F.col("l_quantity")
+    daily = (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+             .groupBy(F.to_date("l_shipdate").alias("Date"), "o_custkey")
+             .agg(F.sum(q).alias("c"), F.sum(F.when(flag == "R", q).otherwise(0.0)).alias("d"),
+                  F.sum(F.when(flag == "A", q).otherwise(0.0)).alias("r")))
+    running = Window.partitionBy("o_custkey").orderBy("Date").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    out = daily.select("Date", F.concat(F.lit("CUSTOMER_"), F.col("o_custkey").cast("string")).alias("Country"),
+                       *[F.sum(x).over(running).alias(name)
+                         for x, name in (("c", "Confirmed"), ("d", "Deaths"), ("r", "Recovered"))])
+    return out.withColumn("Active", F.col("Confirmed") - (F.col("Deaths") + F.col("Recovered")))
+
+
 _STORED: dict[str, tuple[SparkSession, str]] = {}
 _STORED_LOCK = threading.Lock()
 
 
+def _stored(spark: SparkSession, key: str, build) -> DataFrame:
+    with _STORED_LOCK:
+        hit = _STORED.get(key)
+        if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+            path = write_clean(build(), scratch_path(spark, "reports"))
+            _STORED[key] = hit = (spark, path)
+    return spark.read.parquet(hit[1])
+
+
 def stored_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R as a stored Parquet table: built from the driver tables and written
     on first use in this session, then read (stage 1 writes the clean table
     once; the analyses read it)."""
-    with _STORED_LOCK:
-        hit = _STORED.get(sf_dir)
-        if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
-            path = write_clean(reports(spark, sf_dir), scratch_path(spark, "reports"))
-            _STORED[sf_dir] = hit = (spark, path)
-    return spark.read.parquet(hit[1])
+    return _stored(spark, sf_dir, lambda: reports(spark, sf_dir))
+
+
+def stored_customer_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C stored the same way."""
+    return _stored(spark, f"{sf_dir}#customers", lambda: customer_reports(spark, sf_dir))
 
 
 def stored_report_csvs(spark: SparkSession, sf_dir: str, by_report: bool = False) -> str:
@@ -174,6 +205,15 @@ def raw_report_files(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [old, new]
 
 
+def region_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation name (in lower case, with spaces) -> region name, as an alias
+    table of ``rename_entities``: the roll-up after it is per region."""
+    nation = read_table(spark, sf_dir, "nation", ["n_name", "n_regionkey"])
+    region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.lower(F.regexp_replace("n_name", "_", " ")).alias("alias"), F.col("r_name").alias("name"))
+
+
 def alias_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name -> code table: code = first two letters of the region + one letter
     per nation key; the alias is the lower-case name with spaces. Nations of

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 from epitrend import operators as op
 from epitrend.plans import params as P
 from epitrend.sources import fixtures as fx
-from tests.conftest import SF01
+from tests.conftest import SF001
 
 
 @pytest.fixture(scope="module")
 def assembled(spark):
-    feats = op.feature_table(fx.reports(spark, SF01), P.FIXTURE_BANDS)
-    return op.assemble_features(feats, op.band_columns(P.FIXTURE_BANDS)).cache()
+    feats = op.feature_table(fx.customer_reports(spark, SF001), P.CUSTOMER_BANDS)
+    return op.assemble_features(feats, op.band_columns(P.CUSTOMER_BANDS)).cache()
 
 
 def test_split_is_a_partition_and_layout_free(assembled):
@@ -121,3 +121,38 @@ def test_training_cost_equals_brute_force(assembled):
     centers = model.clusterCenters()
     want = sum(min(_sqdist(r["features"], c) for c in centers) for r in train.collect())
     assert model.summary.trainingCost == pytest.approx(want, rel=1e-9)
+
+
+def test_direct_silhouette_equals_brute_force(assembled):
+    for k in (2, 5):
+        pred = op.kmeans_assign(op.kmeans_fit(assembled, k=k), assembled)
+        rows = pred.collect()
+        want = _brute_silhouette([r["features"].toArray() for r in rows], [r["prediction"] for r in rows])
+        assert op.silhouette_direct(pred) == pytest.approx(want, rel=1e-9)
+    assert op.silhouette_direct(pred.withColumn("prediction", F.lit(0))) is None
+
+
+def test_broken_labels_are_noticed(assembled):
+    model = op.kmeans_fit(assembled, k=3)
+    pred = op.kmeans_assign(model, assembled)
+    good = op.label_facts(model, pred)
+    assert good.where("label_ok and nearest_ok").count() == assembled.count() > 0
+    turned = pred.withColumn("prediction", (F.col("prediction") + 1) % 3)
+    assert op.label_facts(model, turned).where("nearest_ok").count() < assembled.count() / 2
+    outside = pred.withColumn("prediction", F.lit(7))
+    assert op.label_facts(model, outside).where("label_ok or nearest_ok").count() == 0
+
+
+def test_fine_ratios_and_empty_sides(spark, assembled):
+    df = spark.range(20000).select(F.col("id").cast("string").alias("Country"))
+    for ratio, low, high in ((0.999, 1, 60), (0.004, 19840, 19980)):
+        n = op.hash_split(df, ratio).where("split = 'test'").count()
+        assert low <= n <= high
+    with pytest.raises(ValueError, match="no training rows"):
+        op.kmeans_fit(assembled.limit(0), k=2)
+    with pytest.raises(ValueError, match="no training rows"):
+        op.k_sweep(assembled.limit(0), assembled, [2])
+
+
+def test_layout_follows_the_rows():
+    assert [op.layout_partitions(n) for n in (0, 1, 50_000, 50_001, 1_000_000)] == [1, 1, 1, 2, 20]

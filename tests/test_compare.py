@@ -50,3 +50,40 @@ def test_compare_curves(spark):
         "Date date, Country string, Confirmed double")
     out = [(r["Country"], r["Date"].day) for r in op.compare_curves(df, "C", "A").collect()]
     assert out == [("A", 1), ("A", 2), ("C", 1), ("C", 2)]
+
+
+def test_differences_are_double(spark):
+    f = spark.createDataFrame([("M", 1.1, 2), ("E", 1.9, 2)], "Country string, x double, y long")
+    df = op.baseline_diff(f, "M")
+    assert [t for c, t in df.dtypes if c.endswith("_diff")] == ["double", "double"]
+    row = df.collect()[0]
+    assert row["abs_total_diff"] == pytest.approx(0.8) and row["rel_total_diff"] == pytest.approx(0.8)
+
+
+def test_fractional_bands_run_through(spark):
+    import datetime as dt
+
+    rows = [(dt.date(2020, 1, d + 1), c, v) for c, s in (("M", (0.2, 0.7, 2.0, 2.6)), ("E", (0.6, 1.0, 3.0, 4.0)))
+            for d, v in enumerate(s)]
+    df = spark.createDataFrame(rows, "Date date, Country string, Confirmed double")
+    bands = [(0.5, 2.5), (0.5, 1.5)]
+    feats = op.feature_table(df, bands)
+    assert op.band_columns(bands) == ["days_0_5_to_2_5", "days_0_5_to_1_5"]
+    assert op.unpivot_features(feats).count() == 4 and op.baseline_diff(feats, "M").count() == 1
+    got = op.assemble_features(feats, op.band_columns(bands))
+    assert got.columns == [*feats.columns, "features"] and got.count() == 2
+
+
+def test_odd_column_names(spark):
+    f = spark.createDataFrame([("M", 1, 2), ("E", 5, 2)], "Country string, `a.b` long, `c d` long")
+    assert op.unpivot_features(f).count() == 4
+    assert op.baseline_diff(f, "M").collect()[0]["abs_total_diff"] == 4.0
+    assert op.assemble_features(f, ["a.b", "c d"]).columns == ["Country", "a.b", "c d", "features"]
+
+
+def test_transpose_of_all_entities(spark):
+    f = _features(spark, [("A", 1, 2, 3, 4, 5, 6, 7), ("B.x", 7, 6, 5, 4, 3, 2, 1)])
+    t = op.transpose_features(f)
+    assert t.columns == ["feature", "A", "B.x"] and t.count() == 7
+    with pytest.raises(ValueError, match="more than 1"):
+        op.transpose_features(f, max_entities=1)

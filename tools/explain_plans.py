@@ -27,7 +27,7 @@ def main(argv):
 
     spark = local_session(8)
     clean = read_clean(spark, write_clean(fx.reports(spark, sf_dir), scratch_path(spark, "plans")))
-    feats = op.feature_table(clean, P.FIXTURE_BANDS)
+    feats = op.feature_table(clean, P.NATION_BANDS)
     cases = [
         ("daily_rollup (raw rows -> clean)", op.daily_rollup(fx.report_rows(spark, sf_dir))),
         ("detect_dates (per-report format)", Q._dated(spark, sf_dir)),
@@ -37,7 +37,7 @@ def main(argv):
         ("feature_table", feats),
         ("baseline_diff", op.baseline_diff(feats, P.BASELINE)),
         ("similar_entities", op.similar_entities(op.baseline_diff(feats, P.BASELINE), "abs")),
-        ("transpose_features", op.transpose_features(feats, P.TRANSPOSE_ENTITIES)),
+        ("transpose_features", op.transpose_features(feats)),
     ]
     out = ["# Physical plans", "",
            f"Generated by `tools/explain_plans.py` on `{os.path.basename(sf_dir)}` with the clean",

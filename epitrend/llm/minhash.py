@@ -9,9 +9,11 @@ registers, corrected for registers that agree by accident, sorts candidates
 out before their full sets are compared.
 
 Documents with equal sets are one class from the start. Each class is compared
-with the smallest class of its buckets first. After that, only buckets whose
-members are still in different components are searched for more links, with
-large buckets cut into blocks; pairs inside one component need no comparison.
+with the smallest class of its buckets first, then with the medoids of buckets
+whose members are still in different components, and at last the full sets of
+all likely pairs across the components that remain in a bucket are compared
+where they meet. Large buckets are cut into blocks. Pairs inside one component
+need no comparison.
 
 Defined results: a null or blank text has an empty set and no links; a
 document with a null ``doc_id`` links with nothing, has a null component and
@@ -168,9 +170,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> D
                 if len(own) >= 64:
                     own.clear()
                 own[i] = shingles(s, words)
-            p, q = own[i], shingles(t, words)
-            shared = len(np.intersect1d(p, q, assume_unique=True))
-            out.append(100 * shared >= percent * (len(p) + len(q) - shared))
+            out.append(_linked(own[i], shingles(t, words), percent))
         return pd.Series(out, dtype=bool)
 
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
@@ -178,34 +178,108 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> D
     return pairs.join(two, "b").join(one, "a").where(linked("a", "x", "y")).select("a", "b")
 
 
-def _rest(members: DataFrame, threshold: float, kind: str) -> DataFrame:
-    """Likely pairs across components inside buckets. A bucket of more than
+def _hashes(words: int):
+    """The full set of a text as bytes."""
+
+    @F.pandas_udf("binary")
+    def hashes(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: shingles(t, words).tobytes())
+
+    return hashes
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Members of buckets dealt into groups ``key, i, j``. A bucket of more than
     ``BLOCK`` classes is cut into blocks by a hash, and every two blocks meet in
     a group of their own, so no group holds more than about two blocks."""
     size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int")
-    rows = (members.join(size, "key").withColumn("own", own)
+    return (members.join(size, "key").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("key", "id", "n", "component", "sketch", "own",
                     F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(g["i"].iloc[0]), int(g["j"].iloc[0])
-        a = g[g["own"] == i]
-        b = a if i == j else g[g["own"] == j]
-        out = []
-        if len(b):
-            y = np.frombuffer(b"".join(b["sketch"]), np.uint16).reshape(-1, BUCKETS)
-            nb, cb, ib = b["n"].to_numpy(float), b["component"].to_numpy(), b["id"].to_numpy()
-            for s, n, c, k in zip(a["sketch"], a["n"], a["component"], a["id"]):
-                near = (cb != c) & (nb >= threshold * n) & (n >= threshold * nb)
-                if near.any():
-                    eq = (y[near] == np.frombuffer(s, np.uint16)).mean(axis=1)
-                    good = estimate(eq, n, nb[near]) >= least_estimate(threshold, n, nb[near])
-                    out += [(min(k, o), max(k, o)) for o in ib[near][good]]
-        return pd.DataFrame(out, columns=["a", "b"])
 
-    return rows.groupBy("key", "i", "j").applyInPandas(run, f"a {kind}, b {kind}").distinct()
+class _Group:
+    """The members of one group as arrays."""
+
+    def __init__(self, g: pd.DataFrame):
+        self.regs = np.frombuffer(b"".join(g["sketch"]), np.uint16).reshape(-1, BUCKETS)
+        self.n, self.component = g["n"].to_numpy(float), g["component"].to_numpy()
+        self.id, self.own = g["id"].to_numpy(), g["own"].to_numpy()
+
+    def likely(self, k: int, rows: np.ndarray, threshold: float) -> np.ndarray:
+        """Those of ``rows`` that may link with row k and are not in its component."""
+        rows = rows[(self.component[rows] != self.component[k]) & (self.n[rows] >= threshold * self.n[k])
+                    & (self.n[k] >= threshold * self.n[rows])]
+        eq = (self.regs[rows] == self.regs[k]).mean(axis=1)
+        n, m = np.full(len(rows), self.n[k]), self.n[rows]
+        return rows[estimate(eq, n, m) >= least_estimate(threshold, n, m)]
+
+    def pairs(self, k: int, rows: np.ndarray) -> list[tuple]:
+        return [(min(self.id[k], self.id[r]), max(self.id[k], self.id[r])) for r in rows]
+
+
+def _medoid_pairs(g: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Stars around medoids: the member that agrees best with the most frequent
+    registers is paired with all that may link with it; these leave, and the
+    rest goes on. Edited copies link with their source more than with each
+    other, and the source is such a medoid. One pair per member at most."""
+    m = _Group(g)
+    left, out = np.arange(len(g)), []
+    while len(left) > 1 and (m.component[left] != m.component[left[0]]).any():
+        regs = np.sort(m.regs[left], axis=0)
+        new = np.vstack([np.ones((1, BUCKETS), bool), regs[1:] != regs[:-1]])
+        run = np.arange(len(left))[:, None] - np.maximum.accumulate(np.where(new, np.arange(len(left))[:, None], 0), axis=0)
+        common = regs[run.argmax(axis=0), np.arange(BUCKETS)]
+        k = left[(m.regs[left] == common).sum(axis=1).argmax()]
+        near = m.likely(k, left, threshold)
+        out += m.pairs(k, near)
+        same = left[m.component[left] == m.component[k]]
+        left = np.setdiff1d(left, np.concatenate([near, same]))
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def _all_links(g: pd.DataFrame, threshold: float, percent: int) -> pd.DataFrame:
+    """The links across components, of the blocks that meet here, found on the
+    full sets of all likely pairs. A pair whose components a link has already
+    joined here is not compared, so there are fewer links than members."""
+    m = _Group(g)
+    sets = [np.frombuffer(s, np.uint64) for s in g["hashes"]]
+    i, j = int(g["i"].iloc[0]), int(g["j"].iloc[0])
+    second = np.flatnonzero(m.own == j)
+    root = {c: c for c in m.component}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out = []
+    for k in np.flatnonzero(m.own == i):
+        rows = m.likely(k, second[second > k] if i == j else second, threshold)
+        for r in rows:
+            x, y = find(m.component[k]), find(m.component[r])
+            if x != y and _linked(sets[k], sets[r], percent):
+                root[max(x, y)] = min(x, y)
+                out += m.pairs(k, [r])
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def _linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * shared >= percent * (len(p) + len(q) - shared)
+
+
+def _mixed(members: DataFrame, label: DataFrame, heads: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one component, with their
+    components and sketches."""
+    placed = members.join(label, members["id"] == label["node"], "left") \
+        .select("key", "id", F.coalesce("component", "id").alias("component"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .where("lo < hi").select("key")
+    return placed.join(mixed, "key").join(heads, "id")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS,
@@ -231,18 +305,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS,
     texts = materialize(docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
                         .join(needed.hint("shuffle_hash"), "id", "left_semi"), "texts")
     stars = members.where("head < id").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    first = _likely(stars, heads, threshold).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = materialize(_likely(stars, heads, threshold).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
     copies_of = classes.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     found = materialize(_verified(first, texts, percent, words), "found")
     label = materialize(components(found), "labels")
-
-    placed = members.join(label, members["id"] == label["node"], "left") \
-        .select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo < hi").select("key")
-    open_ = placed.join(mixed, "key").join(heads, "id")
-    more = _verified(_rest(open_, threshold, kind), texts, percent, words)
-    label = components(found.unionByName(more).unionByName(copies_of))
+    stars = _blocks(_mixed(members, label, heads)).groupBy("key", "i", "j") \
+        .applyInPandas(lambda g: _medoid_pairs(g, threshold), f"a {kind}, b {kind}").distinct()
+    stars = materialize(stars.join(first, ["a", "b"], "left_anti"), "pairs")
+    found = materialize(found.unionByName(_verified(stars, texts, percent, words)), "found")
+    label = materialize(components(found), "labels")
+    open_ = materialize(_mixed(members, label, heads), "open")
+    whole = texts.join(open_.select("id").distinct().hint("shuffle_hash"), "id", "left_semi") \
+        .dropDuplicates(["id"]).select("id", _hashes(words)("text").alias("hashes"))
+    rest = _blocks(open_).join(whole, "id").groupBy("key", "i", "j") \
+        .applyInPandas(lambda g: _all_links(g, threshold, percent), f"a {kind}, b {kind}")
+    found = found.unionByName(rest)
+    label = components(found.unionByName(copies_of))
     return (every.join(label, every["id"] == label["node"], "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.coalesce("component", "id").alias("component_id"),

@@ -242,11 +242,14 @@ def repeated(docs: DataFrame, length: int = LENGTH, hot: int = HOT, group_bytes:
         .groupBy("id").agg(F.collect_list(F.struct("key", "group", "start", "n", "whole")).alias("runs"))
 
     def cut(batches):
+        names = ["key", "group", "id", "start", "whole", "raw"]
         for b in batches:
+            out = []
             for i, text, own in zip(b["id"], b["text"], b["runs"]):
                 raw = text.encode()
-                yield pd.DataFrame([(r["key"], r["group"], i, r["start"], r["whole"], raw[r["start"]:r["start"] + r["n"] + length - 1])
-                                    for r in own], columns=["key", "group", "id", "start", "whole", "raw"]).astype({"group": "Int64"})
+                out += [(r["key"], r["group"], i, r["start"], r["whole"], raw[r["start"]:r["start"] + r["n"] + length - 1])
+                        for r in own]
+            yield pd.DataFrame(out, columns=names).astype({"group": "Int64"})
 
     pieces = materialize(rows.join(per_doc.hint("shuffle_hash"), "id").select("id", "text", "runs").mapInPandas(
         cut, f"key long, group long, id {kind}, start int, whole boolean, raw binary")

@@ -125,15 +125,17 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next``."""
     key = ["id", "h0"]
+    # Both joins below read the texts in this one shape, so they share a shuffle.
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")) \
-        .withColumns({"h0": F.xxhash64("text"), "n": F.char_length("text").cast("long")})
-    order = materialize(followers(rows.groupBy("id", "h0", "n").agg(F.count("*").cast("int").alias("copies"))), "order")
+        .withColumn("h0", F.xxhash64("text"))
+    sizes = rows.select(*key, F.char_length("text").cast("long").alias("n"))
+    order = materialize(followers(sizes.groupBy("id", "h0", "n").agg(F.count("*").cast("int").alias("copies"))), "order")
     # The beginning of a document goes to the one before it.
     before = order.select(F.col("next_id").alias("id"), F.col("next_h0").alias("h0"), F.col("id").alias("to_id"),
                           F.col("h0").alias("to_h0"), F.expr("cast(floor(n / 2) AS int) AS half"))
-    heads = join_on(rows.select("id", "h0", "text"), before, key) \
+    heads = join_on(rows, before, key) \
         .select(F.col("to_id").alias("id"), F.col("to_h0").alias("h0"), F.expr("substring(text, 1, half)").alias("head"))
-    edited = F.concat(F.expr("substring(text, 1, cast(n - floor(n / 2) AS int))"), "head")
+    edited = F.concat(F.expr("substring(text, 1, cast(char_length(text) - floor(char_length(text) / 2) AS int))"), "head")
     quarters = {f"q{i}": F.conv(F.substring("sha", 16 * i + 1, 16), 16, -10).cast("long") for i in range(4)}
     sides = (join_on(rows, heads, key).select(*key, "text", edited.alias("edited"))
              .withColumn("sha", F.sha2(F.col("edited").cast("binary"), 256)).withColumns(quarters)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import csv
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epitrend.config import ENTITY, MEASURES
@@ -10,6 +13,16 @@ from epitrend.functions.names import normalized_name
 from epitrend.functions.sizing import broadcast_if_bounded
 
 
+def iso_aliases(spark: SparkSession) -> DataFrame:
+    """``alias, code``: public ISO 3166-1 alpha-3 codes of the countries that
+    daily reports name most (``data/iso3166_alpha3.csv``). Names that are not
+    listed stay without a code; add them by a union with a table of your own."""
+    with open(os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", "iso3166_alpha3.csv"),
+              encoding="utf-8", newline="") as fh:
+        rows = [(r["alias"], r["code"]) for r in csv.DictReader(fh)]
+    return spark.createDataFrame(rows, "alias string, code string")
+
+
 def country_codes(df: DataFrame, aliases: DataFrame, entity: str = ENTITY,
                   alias_col: str = "alias", code_col: str = "code",
                   out: str = "Country_clean", max_aliases: int = 200_000) -> DataFrame:

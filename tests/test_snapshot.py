@@ -79,3 +79,18 @@ def test_qualify_against_brute_force(spark):
     got_rows = out.collect()
     assert {r["Country"] for r in got_rows} == expected
     assert len(got_rows) == sum(1 for r in rows if r[1] in expected)
+
+
+def test_iso_codes_of_real_names(spark):
+    import datetime as dt
+
+    from epitrend import operators as op
+
+    names = {"Mexico": "MEX", "Korea, South": "KOR", "united kingdom": "GBR", "US": "USA", "Cote d'Ivoire": "CIV",
+             "Guinea-Bissau": "GNB", "Diamond Princess": None, "Others": None}
+    df = spark.createDataFrame([(dt.date(2020, 5, 3), n, 1.0, 0.0, 0.0, 1.0) for n in names],
+                               "Date date, Country string, Confirmed double, Deaths double, Recovered double, Active double")
+    got = {r["Country"]: r["Country_clean"] for r in op.country_codes(df, op.iso_aliases(spark)).collect()}
+    assert got == names
+    codes = [r["code"] for r in op.iso_aliases(spark).collect()]
+    assert all(len(c) == 3 and c.isupper() for c in codes) and len(set(codes)) == len(codes) - 1

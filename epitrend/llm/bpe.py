@@ -33,8 +33,8 @@ from epitrend.llm.common import text_or_empty
 
 VOCABULARY = "word_bpe_49k.json"
 LEAF = 4096          # characters of unsplit text encoded in one go
-CACHE_WORDS = 600_000  # words a worker keeps before it starts afresh
-BATCH_CHARS = 2_000_000  # characters of text whose words are looked up together
+CACHE_WORDS = 1_000_000  # values a worker keeps before it starts afresh
+BATCH_CHARS = 4_000_000  # characters of text whose words are looked up together
 # White space to str.split, but ordinary characters to the vocabulary's splitter.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -73,7 +73,7 @@ class WordBpe:
             if self.added else None
         self.suffix = getattr(self.tok.model, "end_of_word_suffix", None) or ""
         self.caches: list[dict] = []
-        self.parts: dict[str, list] = {}  # what the makers made of a pre-token
+        self.parts: dict[str, tuple] = {}  # what the makers made of a pre-token
 
     # ---- words ----
 
@@ -98,41 +98,38 @@ class WordBpe:
             return core.lower().encode().decode("latin-1").translate(_LETTERS), mark
         return None
 
-    def word_values(self, words, makers) -> Iterator[tuple[str, list]]:
+    def word_values(self, words, makers) -> Iterator[tuple[str, tuple]]:
         """For each word, in any order, what the makers make of its ids. They
         must turn joined ids into joined values. Plain words go straight to the
         merges; any other goes through the whole library."""
         merge, parts, others = self.tok.model.tokenize, self.parts, []
-        if len(parts) > CACHE_WORDS:
+        if len(parts) > CACHE_WORDS // len(makers):
             parts.clear()
-
-        def part(piece: str) -> list:
-            made = parts.get(piece)
-            if made is None:
-                ids = [t.id for t in merge(piece)] if piece else []
-                made = parts[piece] = [make(ids) for make in makers]
-            return made
-
         for w in words:
             split = self.plain(w)
             if split is None:
                 others.append(w)
-            elif split[1]:
-                yield w, [a + b for a, b in zip(part(split[0]), part(split[1]))]
-            else:
-                yield w, part(split[0])
+                continue
+            made = []
+            for piece in split:
+                values = parts.get(piece)
+                if values is None:
+                    ids = [t.id for t in merge(piece)] if piece else []
+                    values = parts[piece] = tuple(make(ids) for make in makers)
+                made.append(values)
+            yield w, made[0] if not split[1] else tuple(a + b for a, b in zip(*made))
         if others:
             for w, e in zip(others, self.tok.encode_batch_fast(others, add_special_tokens=False)):
-                yield w, [make(e.ids) for make in makers]
+                yield w, tuple(make(e.ids) for make in makers)
 
     def fill(self, texts: Sequence[Sequence[str]], makers) -> list[dict]:
         """One cache per maker, holding its value for every word."""
         while len(self.caches) < len(makers):
             self.caches.append({})
         need = set().union(*texts)
-        missing = need - self.caches[0].keys()
+        missing = need.difference(self.caches[0])
         if missing:
-            if len(self.caches[0]) + len(missing) > CACHE_WORDS:
+            if len(self.caches[0]) + len(missing) > CACHE_WORDS // len(makers):
                 for c in self.caches:
                     c.clear()
                 missing = need

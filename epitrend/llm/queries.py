@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from epitrend.llm import chat, embeddings, fingerprints, minhash, quality, secrets, substring, suffixes
+from epitrend.llm import chat, embeddings, fingerprints, minhash, oracle, quality, secrets, substring, suffixes
 from epitrend.llm.bpe import encode_digests
 from epitrend.llm.common import table
 from epitrend.llm.packing import pack_documents
@@ -64,6 +64,11 @@ QUERIES = {
     "op10_suffixes": op10_suffixes,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat": chat.RENDER_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_chat": chat.RENDER_SQL,
+    "op6_minhash": oracle.NEAR_DUPLICATES,
+    "op7_embeddings": oracle.EMBEDDINGS,
+    "op10_suffixes": oracle.REPEATED_STRINGS,
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -34,7 +34,6 @@ from epitrend.llm.common import text_or_empty
 VOCABULARY = "word_bpe_49k.json"
 LEAF = 4096          # characters of unsplit text encoded in one go
 CACHE_WORDS = 1_000_000  # values a worker keeps before it starts afresh
-BATCH_CHARS = 4_000_000  # characters of text whose words are looked up together
 # White space to str.split, but ordinary characters to the vocabulary's splitter.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -72,8 +71,7 @@ class WordBpe:
         self.split_added = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") \
             if self.added else None
         self.suffix = getattr(self.tok.model, "end_of_word_suffix", None) or ""
-        self.caches: list[dict] = []
-        self.parts: dict[str, tuple] = {}  # what the makers made of a pre-token
+        self.parts: dict[str, tuple[int, ...]] = {}
 
     # ---- words ----
 
@@ -98,48 +96,23 @@ class WordBpe:
             return core.lower().encode().decode("latin-1").translate(_LETTERS), mark
         return None
 
-    def word_values(self, words, makers) -> Iterator[tuple[str, tuple]]:
-        """For each word, in any order, what the makers make of its ids. They
-        must turn joined ids into joined values. Plain words go straight to the
-        merges; any other goes through the whole library."""
-        merge, parts, others = self.tok.model.tokenize, self.parts, []
-        if len(parts) > CACHE_WORDS // len(makers):
-            parts.clear()
-        for w in words:
-            split = self.plain(w)
-            if split is None:
-                others.append(w)
-                continue
-            made = []
-            for piece in split:
-                values = parts.get(piece)
-                if values is None:
-                    ids = [t.id for t in merge(piece)] if piece else []
-                    values = parts[piece] = tuple(make(ids) for make in makers)
-                made.append(values)
-            yield w, made[0] if not split[1] else tuple(a + b for a, b in zip(*made))
-        if others:
-            for w, e in zip(others, self.tok.encode_batch_fast(others, add_special_tokens=False)):
-                yield w, tuple(make(e.ids) for make in makers)
-
-    def fill(self, texts: Sequence[Sequence[str]], makers) -> list[dict]:
-        """One cache per maker, holding its value for every word."""
-        while len(self.caches) < len(makers):
-            self.caches.append({})
-        need = set().union(*texts)
-        missing = need.difference(self.caches[0])
-        if missing:
-            if len(self.caches[0]) + len(missing) > CACHE_WORDS // len(makers):
-                for c in self.caches:
-                    c.clear()
-                missing = need
-            if len(makers) == 1:
-                self.caches[0].update((w, v[0]) for w, v in self.word_values(missing, makers))
-            else:
-                for w, values in self.word_values(missing, makers):
-                    for c, v in zip(self.caches, values):
-                        c[w] = v
-        return self.caches
+    def part_ids(self, piece: str) -> tuple[int, ...]:
+        """Ids of a pre-token in byte letters."""
+        ids = self.parts.get(piece)
+        if ids is None:
+            if len(self.parts) >= CACHE_WORDS:
+                self.parts.clear()
+            ids = self.parts[piece] = tuple([t.id for t in self.tok.model.tokenize(piece)]) if piece else ()
+        return ids
+
+    def word_ids(self, word: str) -> tuple[int, ...]:
+        """Ids of a word. A plain word goes straight to the merges; any other
+        goes through the whole library."""
+        split = self.plain(word)
+        if split is None:
+            return tuple(self.tok.encode(word, add_special_tokens=False).ids)
+        core, mark = split
+        return self.part_ids(core) + self.part_ids(mark) if mark else self.part_ids(core)
 
     def tokens(self, ids) -> list[str]:
         token = self.tok.id_to_token
@@ -230,14 +203,40 @@ class WordBpe:
         return out
 
 
-_LOADED: dict[tuple[str, str], WordBpe] = {}
+class WordValues(dict):
+    """What ``make`` makes of each word's ids, computed when first looked up.
+    Begins afresh after ``limit`` words."""
+
+    def __init__(self, bpe: WordBpe, make, limit: int = CACHE_WORDS):
+        super().__init__()
+        self.ids, self.make, self.limit = bpe.word_ids, make, limit
+
+    def __missing__(self, word: str):
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[word] = self.make(self.ids(word))
+        return value
+
+
+_LOADED: dict[str, WordBpe] = {}
+_VALUES: dict[tuple[str, str], list[WordValues]] = {}
 
 
-def load(path: str, use: str = "") -> WordBpe:
-    """The vocabulary, loaded once per Python worker and ``use`` of its cache."""
-    if (path, use) not in _LOADED:
-        _LOADED[path, use] = WordBpe(path)
-    return _LOADED[path, use]
+def load(path: str) -> WordBpe:
+    """The vocabulary, loaded once per Python worker."""
+    if path not in _LOADED:
+        _LOADED[path] = WordBpe(path)
+    return _LOADED[path]
+
+
+def word_values(path: str, use: str, makers) -> list[WordValues]:
+    """The worker's caches for one use of a vocabulary: one for each of the
+    ``makers(bpe)``."""
+    if (path, use) not in _VALUES:
+        bpe = load(path)
+        made = makers(bpe)
+        _VALUES[path, use] = [WordValues(bpe, m, CACHE_WORDS // len(made)) for m in made]
+    return _VALUES[path, use]
 
 
 def has_long_run(col, leaf: int):
@@ -247,19 +246,6 @@ def has_long_run(col, leaf: int):
     return (F.char_length(col) > leaf) & col.rlike(r"(?:^|[%s])[^%s]{%d}" % (space, space, leaf + 1))
 
 
-def grouped_words(bpe: WordBpe, texts) -> Iterator[list[list[str]]]:
-    """The words of the texts in turn, in groups of about ``BATCH_CHARS``."""
-    group, size = [], 0
-    for t in texts:
-        group.append(bpe.words(t))
-        size += len(t)
-        if size >= BATCH_CHARS:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 def _strings(bpe: WordBpe):
     """Ids in decimal and as decoded, each id with a space after it."""
     spaced = lambda part: "".join([p + " " for p in part])
@@ -276,7 +262,7 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, leaf: int =
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids``: the ids of every text, whatever its length."""
     return _encoded(docs, vocabulary, leaf, id_col, text_col, "ids array<int>",
-                    lambda bpe: [lambda ids: ids],
+                    lambda bpe: [list],
                     lambda parts: ([i for p in parts for i in p],))
 
 
@@ -313,13 +299,13 @@ def _encoded(docs, vocabulary, leaf, id_col, text_col, columns, makers, finish)
     out = f"`{id_col}` {kind}, {columns}"
 
     def short(batches):
-        bpe = load(path, columns)
-        made_of = makers(bpe)
+        words_of = load(path).words
+        get = [v.__getitem__ for v in word_values(path, columns, makers)]
         for b in batches:
             made = []
-            for group in grouped_words(bpe, b["text"]):
-                get = [c.__getitem__ for c in bpe.fill(group, made_of)]
-                made += [finish(*[map(g, words) for g in get]) for words in group]
+            for text in b["text"]:
+                words = words_of(text)
+                made.append(finish(*[map(g, words) for g in get]))
             yield pd.DataFrame({id_col: b["id"], **dict(zip(names, zip(*made)))}) if made \
                 else pd.DataFrame(columns=[id_col, *names])
 

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epitrend.llm.bpe import LEAF, grouped_words, load, vocabulary_path
+from epitrend.llm.bpe import LEAF, load, vocabulary_path, word_values
 from epitrend.llm.common import materialize, text_or_empty
 
 CAPACITY = 4096
@@ -87,18 +87,17 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: i
     def make(ids):
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encoded(bpe, group):
-        """The ids of each text of a group, as bytes."""
-        long_words = [any(len(w) > LEAF for w in words) for words in group]
-        get = bpe.fill([[] if odd else words for words, odd in zip(group, long_words)], [make])[0].__getitem__
-        for words, odd in zip(group, long_words):
-            yield make(bpe.encode(" ".join(words))) if odd else b"".join(map(get, words))
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = load(path, "pieces")
+        bpe = load(path)
+        get = word_values(path, "pieces", lambda bpe: [make])[0].__getitem__
         for b in batches:
             cols: list[list] = [[] for _ in range(6)]
-            for i, raw in zip(b["id"], (r for g in grouped_words(bpe, b["text"]) for r in encoded(bpe, g))):
+            for i, text in zip(b["id"], b["text"]):
+                words = bpe.words(text)
+                if max(map(len, words), default=0) > LEAF:
+                    raw = make(bpe.encode(text))
+                else:
+                    raw = b"".join(map(get, words))
                 raw += end
                 for at in range(0, len(raw), 4 * capacity):
                     piece = raw[at:at + 4 * capacity]

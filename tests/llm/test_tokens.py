@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from epitrend.llm.bpe import (WordBpe, decode_documents, encode_digests, encode_documents,
+from epitrend.llm.bpe import (WordBpe, WordValues, decode_documents, encode_digests, encode_documents,
                               vocabulary_path)
 from epitrend.llm.packing import first_fit_decreasing, pack_documents
 
@@ -48,8 +48,9 @@ def test_words_equal_library(bpe):
     words = ["".join(r.choices("aéßñÉIİıſĿſŉz’'.,!9", k=r.randint(1, 9))) for _ in range(3000)]
     words += [chr(i) + "x." for i in range(0xA1, 0x250)] + ["e\u0301a,", "Straße;", "ÀÉÎ!", "can't.", "don'", "!!", "x<|endoftext|>"]
     words += ["word" + "".join(r.choices("!#$%&'*<|>", k=3)) for _ in range(300)]
-    for w, (ids,) in bpe.word_values(words, [list]):
-        assert ids == bpe.tok.encode(w, add_special_tokens=False).ids, w
+    small = WordValues(bpe, list, 7)
+    for w in words:
+        assert small[w] == list(bpe.word_ids(w)) == bpe.tok.encode(w, add_special_tokens=False).ids, w
 
 
 def test_spark_encoding_round_trip(spark, bpe):

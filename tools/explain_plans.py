@@ -35,8 +35,8 @@ def main(argv):
         ("latest_snapshot", op.latest_snapshot(clean)),
         ("top_bottom", op.top_bottom(op.latest_snapshot(clean), "Confirmed")),
         ("feature_table", feats),
-        ("baseline_diff", op.baseline_diff(feats, P.BASELINE)),
-        ("similar_entities", op.similar_entities(op.baseline_diff(feats, P.BASELINE), "abs")),
+        ("baseline_diff", op.baseline_diff(feats, "NATION_0")),
+        ("similar_entities", op.similar_entities(op.baseline_diff(feats, "NATION_0"), "abs")),
         ("transpose_features", op.transpose_features(feats)),
     ]
     out = ["# Physical plans", "",

@@ -274,11 +274,13 @@ def _linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
 
 def _mixed(members: DataFrame, label: DataFrame, heads: DataFrame) -> DataFrame:
     """The members of buckets that hold more than one component, with their
-    components and sketches."""
+    components and sketches. Of buckets with the same members one is enough."""
     placed = members.join(label, members["id"] == label["node"], "left") \
         .select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo < hi").select("key")
+    member = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), F.col("id")))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                      F.count("*").alias("c"), member(1).alias("s1"), member(2).alias("s2")) \
+        .where("lo < hi").groupBy("c", "s1", "s2").agg(F.min("key").alias("key")).select("key")
     return placed.join(mixed, "key").join(heads, "id")
 
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epitrend.llm.common import text_or_empty
+from epitrend.llm.common import materialize, text_or_empty
 
 VOCABULARY = "word_bpe_49k.json"
 LEAF = 4096          # characters of unsplit text encoded in one go
@@ -239,13 +239,6 @@ def word_values(path: str, use: str, makers) -> list[WordValues]:
     return _VALUES[path, use]
 
 
-def has_long_run(col, leaf: int):
-    """Whether a text holds unsplit text of more than ``leaf`` characters. The
-    pattern is tried at word starts only, so it reads a text once."""
-    space = (r"\s\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
-    return (F.char_length(col) > leaf) & col.rlike(r"(?:^|[%s])[^%s]{%d}" % (space, space, leaf + 1))
-
-
 def _strings(bpe: WordBpe):
     """Ids in decimal and as decoded, each id with a space after it."""
     spaced = lambda part: "".join([p + " " for p in part])
@@ -294,57 +287,52 @@ def _encoded(docs, vocabulary, leaf, id_col, text_col, columns, makers, finish)
     path = vocabulary or vocabulary_path()
     kind = dict(docs.dtypes)[id_col]
     names = [c.split()[0] for c in columns.split(", ")]
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    long_run = has_long_run(F.col("text"), leaf)
-    out = f"`{id_col}` {kind}, {columns}"
+    numbers = {c.split()[0]: "Int64" for c in columns.split(", ") if c.endswith(" long")}
+    rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
+    piece_names = ["_id", "_key", "_seq", "_kind", "_piece", "_ids"]
+    piece_schema = f"_id {kind}, _key string, _seq long, _kind int, _piece string, _ids array<int>"
+
+    def pieces_of(bpe, words) -> list[tuple]:
+        """A text with unsplit words as (kind, piece, ids); neighbouring finished
+        ids share a row."""
+        out: list[tuple] = []
+        for w in words:
+            for k, piece, ids in (bpe.pieces(w, leaf) if len(w) > leaf else [(0, "", bpe.word_ids(w))]):
+                if k == 0 and out and out[-1][0] == 0:
+                    out[-1][2].extend(ids)
+                else:
+                    out.append((k, piece, list(ids)))
+        return out
 
-    def short(batches):
-        words_of = load(path).words
-        get = [v.__getitem__ for v in word_values(path, columns, makers)]
-        for b in batches:
-            made = []
-            for text in b["text"]:
-                words = words_of(text)
-                made.append(finish(*[map(g, words) for g in get]))
-            yield pd.DataFrame({id_col: b["id"], **dict(zip(names, zip(*made)))}) if made \
-                else pd.DataFrame(columns=[id_col, *names])
-
-    def cut(batches):
+    def first(batches):
+        """Finished texts (kind -1), and the pieces of those with long words."""
         bpe = load(path)
+        get = [v.__getitem__ for v in word_values(path, columns, makers)]
         for b in batches:
-            for i, text in zip(b["id"], b["text"]):
-                key, seq, got = hashlib.sha256(text.encode()).hexdigest(), 0, []
-                for w in bpe.words(text):
-                    got += bpe.pieces(w, leaf) if len(w) > leaf else \
-                        [(0, "", bpe.tok.encode(w, add_special_tokens=False).ids)]
-                merged: list[tuple[int, str, list[int]]] = []
-                for k, piece, ids in got:  # neighbouring finished ids share a row
-                    if k == 0 and merged and merged[-1][0] == 0:
-                        merged[-1][2].extend(ids)
-                    else:
-                        merged.append((k, piece, list(ids)))
-                for seq in range(0, len(merged), 256):
-                    part = merged[seq:seq + 256]
-                    yield pd.DataFrame({"id": [i] * len(part), "key": key,
-                                        "seq": range(seq, seq + len(part)),
-                                        "kind": [p[0] for p in part],
-                                        "piece": [p[1] for p in part],
-                                        "ids": [p[2] for p in part]})
+            made, cut = [], []
+            for i, text in zip(b["_id"], b["_text"]):
+                words = bpe.words(text)
+                if max(map(len, words), default=0) <= leaf:
+                    made.append((i, None, 0, -1, None, None, *finish(*[map(g, words) for g in get])))
+                else:
+                    key = hashlib.sha256(text.encode()).hexdigest()
+                    cut += [(i, key, seq, *p, *[None] * len(names)) for seq, p in enumerate(pieces_of(bpe, words))]
+            got = pd.DataFrame(made + cut, columns=piece_names + names, dtype=object)
+            yield got.astype({**numbers, "_seq": "int64", "_kind": "int32",
+                              **({"_id": "Int64"} if kind in ("bigint", "int") else {})})
 
     def leaves(batches):
         bpe = load(path)
         for b in batches:
-            b["ids"] = [bpe.leaf(p) if k else ids
-                        for k, p, ids in zip(b["kind"], b["piece"], b["ids"])]
+            b["_ids"] = [bpe.leaf(p) if k else ids for k, p, ids in zip(b["_kind"], b["_piece"], b["_ids"])]
             yield b
 
     def assemble(group: pd.DataFrame) -> pd.DataFrame:
         bpe = load(path)
-        made_of = makers(bpe)
-        copies = int((group["seq"] == 0).sum())
-        group = group.drop_duplicates("seq").sort_values("seq")
+        copies = int((group["_seq"] == 0).sum())
+        group = group.drop_duplicates("_seq").sort_values("_seq")
         parts, run = [], []
-        for k, piece, ids in [*zip(group["kind"], group["piece"], group["ids"]), (0, "", [])]:
+        for k, piece, ids in [*zip(group["_kind"], group["_piece"], group["_ids"]), (0, "", [])]:
             if k < 2 and run:
                 parts.append(bpe.tree(run))
                 run = []
@@ -352,12 +340,14 @@ def _encoded(docs, vocabulary, leaf, id_col, text_col, columns, makers, finish)
                 run.append((piece, [int(i) for i in ids]))
             elif len(ids):
                 parts.append([int(i) for i in ids])
-        row = finish(*[map(make, parts) for make in made_of])
-        return pd.DataFrame({id_col: [group["id"].iloc[0]] * copies,
+        row = finish(*[map(make, parts) for make in makers(bpe)])
+        return pd.DataFrame({id_col: [group["_id"].iloc[0]] * copies,
                              **{n: [v] * copies for n, v in zip(names, row)}})
 
-    piece_schema = f"id {kind}, key string, seq long, kind int, piece string, ids array<int>"
-    grown = (rows.where(long_run).mapInPandas(cut, piece_schema)
-             .repartition("id", "key", "seq").mapInPandas(leaves, piece_schema)
-             .groupBy("id", "key").applyInPandas(assemble, out))
-    return rows.where(~long_run).mapInPandas(short, out).unionByName(grown)
+    # The texts are read once; what this stores has no text but that of long words.
+    staged = materialize(rows.mapInPandas(first, f"{piece_schema}, {columns}"), "encoded")
+    whole = staged.where("_kind = -1").select(F.col("_id").alias(id_col), *names)
+    grown = (staged.where("_kind >= 0").select(*piece_names).repartition("_id", "_key", "_seq")
+             .mapInPandas(leaves, piece_schema)
+             .groupBy("_id", "_key").applyInPandas(assemble, f"`{id_col}` {kind}, {columns}"))
+    return whole.unionByName(grown)

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epitrend.llm.common import materialize, text_or_empty
+from epitrend.llm.common import begin_task, materialize, on_other_use, text_or_empty
 
 VOCABULARY = "word_bpe_49k.json"
 LEAF = 4096          # characters of unsplit text encoded in one go
@@ -222,8 +222,18 @@ _LOADED: dict[str, WordBpe] = {}
 _VALUES: dict[tuple[str, str], list[WordValues]] = {}
 
 
+def _forget() -> None:
+    _VALUES.clear()
+    for bpe in _LOADED.values():
+        bpe.parts.clear()
+
+
+on_other_use(_forget)
+
+
 def load(path: str) -> WordBpe:
     """The vocabulary, loaded once per Python worker."""
+    begin_task("bpe")
     if path not in _LOADED:
         _LOADED[path] = WordBpe(path)
     return _LOADED[path]

@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epitrend.session import scratch_path
 
 
+_CLEAR: list[Callable[[], None]] = []
+_USE = [""]
+
+
+def on_other_use(clear: Callable[[], None]) -> None:
+    """Have ``clear`` called when this Python worker goes on to other work."""
+    _CLEAR.append(clear)
+
+
+def begin_task(use: str) -> None:
+    """The first thing a task's function calls: Spark reuses Python workers, so
+    what tasks of another use keep in this one is dropped."""
+    if _USE[0] != use:
+        _USE[0] = use
+        for clear in _CLEAR:
+            clear()
+
+
 def text_or_empty(col: str = "text") -> Column:
     """The text column with null read as the empty string."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epitrend.llm.common import materialize, text_or_empty
+from epitrend.llm.common import begin_task, materialize, text_or_empty
 from epitrend.llm.components import components
 
 WORDS = 5
@@ -126,6 +126,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = dict(rows.dtypes)["id"]
 
     def run(batches):
+        begin_task("minhash")
         for b in batches:
             n, digest, sk = [], [], []
             for text in b["text"]:
@@ -163,6 +164,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> D
 
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        begin_task("minhash")
         own: dict = {}
         out = []
         for i, s, t in zip(a, x, y):
@@ -204,6 +206,7 @@ class _Group:
     """The members of one group as arrays."""
 
     def __init__(self, g: pd.DataFrame):
+        begin_task("minhash")
         self.regs = np.frombuffer(b"".join(g["sketch"]), np.uint16).reshape(-1, BUCKETS)
         self.n, self.component = g["n"].to_numpy(float), g["component"].to_numpy()
         self.id, self.own = g["id"].to_numpy(), g["own"].to_numpy()

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epitrend.llm.common import text_or_empty
+from epitrend.llm.common import begin_task, text_or_empty
 
 MAX_ROWS = 20_000
 THRESHOLD = 0.3
@@ -162,6 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     schema = ", ".join(["id string", "y double", *(f"{f} double" for f in FEATURES)])
 
     def run(batches):
+        begin_task("quality")
         for b in batches:
             x = np.array([statistics(t) for t in b["t"]]).reshape(len(b), len(FEATURES))
             yield pd.concat([b[["id", "y"]].reset_index(drop=True), pd.DataFrame(x, columns=FEATURES)], axis=1)
@@ -197,6 +198,7 @@ def keep_accepted(docs: DataFrame, model: BoostedTrees, threshold: float = THRES
 def _score_udf(model: BoostedTrees):
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
+        begin_task("quality")
         return pd.Series(_scores(model, texts))
 
     return scored

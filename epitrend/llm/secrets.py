@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epitrend.llm.common import text_or_empty
+from epitrend.llm.common import begin_task, text_or_empty
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -177,6 +177,7 @@ def scan(docs: DataFrame, model: MarkovPair, id_col: str = "doc_id",
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches):
+        begin_task("secrets")
         for b in batches:
             rows = []
             for text in b["text"]:
@@ -209,6 +210,7 @@ def redact(docs: DataFrame, model: MarkovPair, text_col: str = "text") -> DataFr
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
+        begin_task("secrets")
         return texts.map(lambda t: t if t is None else redact_text(t, model))
 
     return docs.withColumn(text_col, clean(F.col(text_col)))

@@ -29,6 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from epitrend.llm.common import begin_task
+
 MIN_CHUNK, MAX_CHUNK = 16, 1024
 MIN_RUN = 100
 MAX_GAP = 64  # bytes of short chunks that a run may reach across
@@ -108,6 +110,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kind = dict(rows.dtypes)["id"]
 
     def run(batches):
+        begin_task("substring")
         for b in batches:
             take, found = [], []
             for row, text in enumerate(b.column("text").to_pylist()):
@@ -149,6 +152,7 @@ def measure(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id",
     kind = dict(rows.dtypes)[id_col]
 
     def run(batches):
+        begin_task("substring")
         for b in batches:
             out = []
             for text, rep in zip(b["_text"], b["_repeats"]):
@@ -180,6 +184,8 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, found: pd.Series) -> pd.Series:
+        begin_task("substring")
+
         def one(text, rep):
             if text is None:
                 return None

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epitrend.llm.common import materialize, text_or_empty
+from epitrend.llm.common import begin_task, materialize, text_or_empty
 from epitrend.llm.minhash import _BYTES, _mix, _Powers
 
 LENGTH = 200
@@ -158,6 +158,7 @@ def _all_runs(docs: DataFrame, kind: str, length: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
+            begin_task("suffixes")
             take, keys, digests, starts, counts, twice = [], [], [], [], [], []
             for row, text in enumerate(b.column("text").to_pylist()):
                 raw = text.encode()

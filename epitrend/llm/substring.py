@@ -1,16 +1,23 @@
-"""Substring dedup by content-defined chunks.
-
-A gear rolling hash over the last 16 bytes cuts a text wherever five of its
-bits are zero, so a chunk (32 bytes on average) depends only on the text around
-it, and an insertion moves no cut beyond its own neighbourhood. A chunk of at
-least ``MIN_CHUNK`` bytes is a repeat when its 128-bit digest occurs in a
-document with a smaller id, or earlier in the same document. Repeats are
-removed in runs: neighbouring repeats, with shorter chunks between them, of
-``min_run`` bytes of repeats or more. So the first occurrence of a passage
-stays, and chance repeats of a few words do no harm.
-
-Only (document, digest) pairs are shuffled for the search, once per distinct
-digest of a document, and counted with map-side partial aggregates.
+"""Substring dedup by short windows of whole words.
+
+A text may be cut before every word, and inside unspaced stretches wherever the
+hash of eight bytes is the smallest of ``WIDTH`` neighbours. From every cut a
+window runs to the first cut ``MIN_CHUNK`` bytes on or later, so windows
+overlap, and each depends only on the text around it. A window is a repeat when
+its 64-bit digest occurs in a document with a smaller id, or earlier in the same
+document. Neighbouring windows that are all repeats make a run, and runs of
+``min_run`` bytes or more are removed. A copied passage thus goes from its
+first whole word to its last (bar a short word at the end), wherever it stands;
+the first occurrence stays, and chance repeats of a few words do no harm.
+
+Windows of all texts would be several times the input, so the search takes two
+steps. Of all ``min_run // 2``-byte strings, those with the smallest hash among
+the ones inside any ``min_run`` bytes are the seeds: a copied passage of
+``min_run`` bytes has one at least, and the same ones in every document. Windows
+are shuffled only from around seeds that two documents share, as (document,
+digest), once per document. Both steps count with map-side partial aggregates.
+So for other documents to make a run, they must share a seed with it; several
+that share shorter strings only do not add up to one.
 
 Defined results: a null text stays null and has no bytes; rows of one
 ``doc_id`` never make each other a repeat; a document with a null ``doc_id``
@@ -20,127 +27,178 @@ keeps what it does not repeat itself and makes no other a repeat.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epitrend.llm.common import begin_task
+from epitrend.llm.common import begin_task, materialize
+from epitrend.llm.minhash import _BYTES, _mix, _Powers
 
-MIN_CHUNK, MAX_CHUNK = 16, 1024
+MIN_CHUNK = 16
 MIN_RUN = 100
-MAX_GAP = 64  # bytes of short chunks that a run may reach across
-_CUT = np.uint32(0xF800)  # five high bits of a 16-byte window
+WIDTH = 16  # places, of which the smallest hash cuts an unspaced stretch
+_GRAM = 8  # bytes of such a hash
+_NEVER = np.uint64((1 << 64) - 1)
+
 
+def _prefix(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes, and what gives the hash of any range of them."""
+    b = np.frombuffer(raw, np.uint8)
+    up, down = _Powers.of(len(b) + 1)
+    prefix = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_BYTES[b] * up[:len(b)], out=prefix[1:])
+    return b, prefix, down
 
-def _gear() -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(20)).integers(0, 1 << 32, 256, dtype=np.uint32)
 
+def _hashes(prefix: np.ndarray, down: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return _mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
-_GEAR = _gear()
 
+def _sliding(f: Callable, a: np.ndarray, width: int) -> np.ndarray:
+    """``f`` over every ``width`` neighbours."""
+    span = 1
+    while 2 * span <= width:
+        a = f(a[:-span], a[span:])
+        span *= 2
+    return f(a[:len(a) - (width - span)], a[width - span:]) if span < width else a
 
-def chunk_ends(raw: bytes) -> np.ndarray:
-    """Ends (exclusive) of the chunks of a UTF-8 text; the last is its length."""
-    n = len(raw)
-    if n == 0:
+
+def _smallest(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Places whose hash is the smallest of some ``width`` neighbours."""
+    if len(hashes) < width:
         return np.zeros(0, np.int64)
-    b = np.frombuffer(raw, np.uint8)
-    h = _GEAR[b]
-    for step in (1, 2, 4, 8):
-        g = h.copy()
-        g[step:] += h[:-step] << np.uint32(step)
-        h = g
-    cut = (h[:-1] & _CUT) == 0
-    cut &= (b[1:] & 0xC0) != 0x80  # never inside a code point
-    ends = np.append(np.flatnonzero(cut) + 1, n)
-    gaps = np.diff(ends, prepend=0)
-    if gaps.max() > MAX_CHUNK:
-        extra = []
-        for e, g in zip(ends[gaps > MAX_CHUNK].tolist(), gaps[gaps > MAX_CHUNK].tolist()):
-            for p in range(e - g + MAX_CHUNK, e, MAX_CHUNK):
-                while b[p] & 0xC0 == 0x80:
-                    p -= 1
-                extra.append(p)
-        ends = np.unique(np.concatenate([ends, extra])).astype(np.int64)
-    return ends
+    low = _sliding(np.minimum, hashes, width)
+    edge = np.zeros(width - 1, np.uint64)
+    best = _sliding(np.maximum, np.concatenate([edge, low, edge]), width)
+    return np.flatnonzero((best == hashes) & (hashes != _NEVER))
+
+
+def _cuts(b: np.ndarray, prefix: np.ndarray, down: np.ndarray) -> np.ndarray:
+    """Places where a text is cut, its start and end included."""
+    n = len(b)
+    space = b <= 32
+    words = np.concatenate([[0], np.flatnonzero(space[:-1] & ~space[1:]) + 1, [n]]).astype(np.int64)
+    found = [words]
+    for i in np.flatnonzero(np.diff(words) > 2 * _GRAM + WIDTH - 2).tolist():
+        # Only places with no cut of a word within eight bytes: their hashes
+        # depend on this stretch alone.
+        at = np.arange(words[i] + _GRAM, words[i + 1] - _GRAM + 1)
+        h = _hashes(prefix, down, at, at + _GRAM)
+        h[(b[at] & 0xC0) == 0x80] = _NEVER  # never inside a code point
+        found.append(at[_smallest(h, WIDTH)])
+    return np.unique(np.concatenate(found))
 
 
-def chunks(raw: bytes) -> Iterator[tuple[int, int, bytes | None]]:
-    """``(start, end, digest)``; chunks under ``MIN_CHUNK`` bytes have none."""
-    at = 0
-    for e in chunk_ends(raw).tolist():
-        yield at, e, xxhash.xxh3_128_digest(raw[at:e]) if e - at >= MIN_CHUNK else None
-        at = e
+def chunk_ends(raw: bytes) -> np.ndarray:
+    """Where windows of a UTF-8 text may end (exclusive); the last is its length."""
+    return _cuts(*_prefix(raw))[1:] if raw else np.zeros(0, np.int64)
+
 
+def _windows(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and digests of the windows of a text."""
+    if not raw:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    b, prefix, down = _prefix(raw)
+    cuts = _cuts(b, prefix, down)
+    to = np.searchsorted(cuts, cuts + MIN_CHUNK)
+    starts, ends = cuts[to < len(cuts)], cuts[to[to < len(cuts)]]
+    return starts, ends, _hashes(prefix, down, starts, ends).view(np.int64)
 
-def removed_runs(raw: bytes, repeats: set[int], min_run: int = MIN_RUN) -> list[tuple[int, int]]:
-    """Byte ranges to remove, given the short digests found in other documents."""
-    seen: set[bytes] = set()
+
+def chunks(raw: bytes) -> Iterator[tuple[int, int, bytes | None]]:
+    """``(start, end, digest)`` of the windows."""
+    for s, e, d in zip(*(x.tolist() for x in _windows(raw))):
+        yield s, e, d.to_bytes(8, "big", signed=True)
+
+
+def removed_runs(raw: bytes, repeats, min_run: int = MIN_RUN) -> list[tuple[int, int]]:
+    """Byte ranges to remove, given the digests found in other documents."""
+    starts, ends, found = _windows(raw)
+    again = np.ones(len(found), bool)
+    again[np.unique(found, return_index=True)[1]] = False
+    if len(repeats):
+        again |= np.isin(found, np.fromiter(repeats, np.int64, len(repeats)))
+    at = np.flatnonzero(again)
     runs: list[tuple[int, int]] = []
-    start = end = weight = 0
-    for s, e, d in chunks(raw):
-        if d is None:
-            continue
-        if d in seen or int.from_bytes(d[:8], "big", signed=True) in repeats:
-            if weight and s - end <= MAX_GAP:
-                end, weight = e, weight + e - s
-                continue
-            if weight >= min_run:
-                runs.append((start, end))
-            start, end, weight = s, e, e - s
-        else:
-            seen.add(d)
-            if weight >= min_run:
-                runs.append((start, end))
-            weight = 0
-    if weight >= min_run:
-        runs.append((start, end))
+    for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(at) else []:
+        s, e = int(starts[run[0]]), int(ends[run[-1]])
+        if e - s >= min_run:
+            if runs and s <= runs[-1][1]:
+                s = runs.pop()[0]
+            runs.append((s, e))
     return runs
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, digest``: the distinct chunk digests of every document."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
-        .where("id is not null and text is not null")
+def _seeds(raw: bytes, min_run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the seeds of a text."""
+    gram = max(1, min_run // 2)
+    if len(raw) < min_run:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, prefix, down = _prefix(raw)
+    at = np.arange(len(raw) - gram + 1)
+    h = _hashes(prefix, down, at, at + gram)
+    at = _smallest(h, min_run - gram + 1)
+    return at, h[at].view(np.int64)
+
+
+def _near(raw: bytes, shared: np.ndarray, min_run: int) -> np.ndarray:
+    """The distinct digests of windows that a passage of ``min_run`` bytes
+    around a shared seed can hold."""
+    at, found = _seeds(raw, min_run)
+    at = at[np.isin(found, shared)]
+    starts, ends, digest = _windows(raw)
+    # Some ``min_run`` bytes hold the window, or are its first if it is longer.
+    reach = min_run - max(1, min_run // 2)
+    first = np.searchsorted(at, np.minimum(ends - min_run, starts))
+    inside = first < len(at)
+    inside[inside] = at[first[inside]] - reach <= starts[inside]
+    return np.unique(digest[inside])
+
+
+def _id_and(rows: DataFrame, name: str, use: Callable) -> DataFrame:
+    """``id`` and a long for each of what ``use`` returns for a row."""
     kind = dict(rows.dtypes)["id"]
 
     def run(batches):
         begin_task("substring")
         for b in batches:
-            take, found = [], []
-            for row, text in enumerate(b.column("text").to_pylist()):
-                own = list(dict.fromkeys(d for *_, d in chunks(text.encode()) if d))
+            take, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for row, cols in enumerate(zip(*(b.column(c).to_pylist() for c in b.schema.names if c != "id"))):
+                own = use(*cols)
                 take.append(np.full(len(own), row))
-                found.append(b"".join(own))
-            raw = b"".join(found)
-            n = len(raw) // 16
-            offsets = pa.array(np.arange(n + 1, dtype=np.int32) * 16)
-            yield pa.RecordBatch.from_arrays([
-                b.column("id").take(pa.array(np.concatenate([*take, np.zeros(0, np.int64)]).astype(np.int64))),
-                pa.BinaryArray.from_buffers(pa.binary(), n, [None, offsets.buffers()[1], pa.py_buffer(raw)])],
-                names=["id", "digest"])
-
-    return rows.mapInArrow(run, f"id {kind}, digest binary")
-
-
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, repeats``: for each document the short digests of its chunks that
-    occur in a document with a smaller id."""
-    found = digests(docs, id_col, text_col)
-    first = (found.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-             .where("first < last").select("digest", "first"))
-    short = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long")
-    return (found.join(first, "digest").where("id > first")
-            .groupBy("id").agg(F.collect_list(short).alias("repeats")))
-
-
-def _with_repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    found = repeats(docs, id_col, text_col).withColumnsRenamed({"id": "_id", "repeats": "_repeats"})
+                found.append(own)
+            yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(np.concatenate(take))),
+                                              pa.array(np.concatenate(found))], names=["id", name])
+
+    return rows.mapInArrow(run, f"id {kind}, {name} long")
+
+
+def _shared(found: DataFrame, name: str, later: bool) -> DataFrame:
+    """For each document the values that it shares with other documents, or
+    with documents of smaller ids."""
+    first = (found.groupBy(name).agg(F.min("id").alias("first"), F.max("id").alias("last"))
+             .where("first < last").select(name, "first"))
+    both = found.join(first, name)
+    return (both.where("id > first") if later else both).groupBy("id").agg(F.collect_list(name).alias(f"{name}s"))
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
+    """``id, repeats``: for each document the digests of its windows that occur
+    in a document with a smaller id, near a seed that both share."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
+        .where("id is not null").where(F.octet_length("text") >= min_run)
+    seeds = _id_and(rows, "seed", lambda text: np.unique(_seeds(text.encode(), min_run)[1]))
+    near = rows.join(_shared(seeds, "seed", False).hint("shuffle_hash"), "id").select("id", "text", "seeds")
+    found = materialize(_id_and(near, "digest", lambda text, own: _near(text.encode(), np.array(own), min_run)), "windows")
+    return _shared(found, "digest", True).withColumnRenamed("digests", "repeats")
+
+
+def _with_repeats(docs: DataFrame, min_run: int, id_col: str, text_col: str) -> DataFrame:
+    found = repeats(docs, id_col, text_col, min_run).withColumnsRenamed({"id": "_id", "repeats": "_repeats"})
     return docs.join(found.hint("shuffle_hash"), docs[id_col] == found["_id"], "left").drop("_id")
 
 
@@ -148,7 +206,7 @@ def measure(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, text`` per document;
     ``text`` is what is kept."""
-    rows = _with_repeats(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")), id_col, "_text")
+    rows = _with_repeats(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")), min_run, id_col, "_text")
     kind = dict(rows.dtypes)[id_col]
 
     def run(batches):
@@ -157,7 +215,7 @@ def measure(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id",
             out = []
             for text, rep in zip(b["_text"], b["_repeats"]):
                 raw = (text or "").encode()
-                spans = removed_runs(raw, set() if rep is None else set(map(int, rep)), min_run)
+                spans = removed_runs(raw, () if rep is None else rep, min_run)
                 kept = _without(raw, spans)
                 out.append((len(raw), sum(e - s for s, e in spans), len(spans),
                             hashlib.sha256(kept).hexdigest(), None if text is None else kept.decode()))
@@ -180,7 +238,7 @@ def _without(raw: bytes, spans) -> bytes:
 def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """``docs`` with repeated passages cut out of the text column."""
-    rows = _with_repeats(docs, id_col, text_col)
+    rows = _with_repeats(docs, min_run, id_col, text_col)
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, found: pd.Series) -> pd.Series:
@@ -190,7 +248,7 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_i
             if text is None:
                 return None
             raw = text.encode()
-            return _without(raw, removed_runs(raw, set() if rep is None else set(map(int, rep)), min_run)).decode()
+            return _without(raw, removed_runs(raw, () if rep is None else rep, min_run)).decode()
         return pd.Series([one(t, r) for t, r in zip(texts, found)], dtype=object)
 
     return rows.withColumn(text_col, cut(F.col(text_col), F.col("_repeats"))).drop("_repeats")

@@ -181,3 +181,44 @@ def test_substring_dedup_equals_brute_force(spark):
     assert by[29].n_removed > 0.9 * by[29].n_bytes  # an exact copy
     assert all(by[i].n_removed == 0 for i in range(21))
     assert all(by[i].n_removed > 0.6 * len(passage) for i in range(21, 29))
+
+
+def _again(earlier, raw, length=100):
+    """Mask of the bytes in strings of ``length`` bytes that start earlier."""
+    seen = {d[i:i + length] for d in earlier for i in range(len(d) - length + 1)}
+    mask = np.zeros(len(raw), bool)
+    for i in range(len(raw) - length + 1):
+        if raw[i:i + length] in seen:
+            mask[i:i + length] = True
+        seen.add(raw[i:i + length])
+    return mask
+
+
+@pytest.mark.parametrize("kind,letters,most_left", [("words", 8, 0.02), ("short", 5, 0.02), ("long", 14, 0.02), ("unspaced", 8, 0.2), ("wide", 8, 0.2)])
+def test_planted_passages_are_removed_whole(spark, kind, letters, most_left):
+    r = random.Random(letters)
+    gap = "" if kind in ("unspaced", "wide") else " "
+    signs = "去来木水火土山川人口" if kind == "wide" else "abcdefghij"
+
+    def words(n):
+        return gap.join("".join(r.choices(signs, k=r.randint(1 if kind == "short" else 2, letters))) for _ in range(n))
+
+    passages = [words(51) for _ in range(150)]
+    texts = [gap.join([words(r.randint(0, 30)), p, words(r.randint(0, 30))]) for p in passages * 2]
+    rows = [(i, t, *EXTRA) for i, t in enumerate(texts)]
+    got = {x.doc_id: x for x in measure(spark.createDataFrame(rows, SCHEMA)).collect()}
+    left = total = 0
+    for i, text in enumerate(texts):
+        raw = text.encode()
+        if i < len(passages):
+            assert got[i].text == text
+            continue
+        mask = _again([texts[i - len(passages)].encode()], raw)
+        assert got[i].n_spans == 1  # none is missed
+        kept = got[i].text.encode()
+        n = got[i].n_removed
+        assert any(mask[k:k + n].all() and raw[:k] + raw[k + n:] == kept for k in range(len(kept) + 1))  # nothing else is lost
+        left += int(mask.sum()) - n
+        total += int(mask.sum())
+    print(kind, left / total)
+    assert left <= most_left * total, left / total

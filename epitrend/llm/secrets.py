@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and Markov models of random strings.
 
 Two first-order character models, one of random strings and one of ordinary
-identifiers, are trained from labelled samples. A token outside the fixed
+identifiers, are trained from generated strings and from the words of all
+documents. A token outside the fixed
 patterns' matches is a secret when it is long enough, mixes character classes,
 and the log-likelihood ratio of the two models is at least ``min_ratio`` per
 character and ``min_total`` in all.
@@ -22,7 +23,8 @@ import hashlib
 import random
 import re
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -37,8 +39,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "markov")
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+WORD = re.compile(r"[A-Za-z]{2,}")
 PLACEHOLDER = "[SECRET]"
-SAMPLE_DOCUMENTS = 4000  # documents whose words train the model of identifiers
 RANDOM_SAMPLES = 4000    # generated random strings that train the other model
 MIN_RATIO, MIN_TOTAL = 0.6, 16.0
 
@@ -52,10 +54,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+#: Character classes of the models: 0 start and end, 1 other, then ASCII.
+_CLASS = np.array([b - 31 if 32 < b < 127 else int(b != 0) for b in range(256)])
+
+
 def _codes(s: str) -> np.ndarray:
-    """Character classes of the models: 0 start and end, 1 other, then ASCII."""
-    b = np.frombuffer(s.encode("ascii", "replace"), np.uint8).astype(np.int64)
-    return np.concatenate([[0], np.where((b > 32) & (b < 127), b - 31, b != 0), [0]])
+    return _CLASS[np.frombuffer(b"\0" + s.encode("ascii", "replace") + b"\0", np.uint8)]
 
 
 def pair_counts(strings: Iterable[str]) -> np.ndarray:
@@ -119,41 +123,51 @@ def random_strings(n: int = RANDOM_SAMPLES, seed: int = 11) -> list[str]:
     return ["".join(r.choices(alphabets[i % len(alphabets)], k=r.randint(20, 64))) for i in range(n)]
 
 
+def _joined(words: Iterable[str], r: random.Random) -> Iterator[str]:
+    for w in batched(words, 5):
+        if len(w) == 5:
+            w = w[:4]
+            yield from (w[0], "_".join(w[:3]), "-".join(w[:3]).lower(), "".join([x.title() for x in w]),
+                        f"{w[0]}_{w[1]}_{int(r.random() * 3000)}", "/".join(w), "_".join(w[:2]).upper())
+
+
+def _own(texts: Iterable[str], r: random.Random) -> Iterator[str]:
+    for text in texts:
+        yield from _joined((m[0] for m in WORD.finditer(text)), r)
+
+
 def identifiers(texts: Iterable[str], seed: int = 11, common: bool = False) -> list[str]:
-    """Ordinary identifiers: the texts' own words, or the common ones, alone and
-    joined in the usual ways (snake, kebab, camel, numbered, path)."""
+    """Ordinary identifiers: all the texts' own words, or the common ones, alone
+    and joined in the usual ways (snake, kebab, camel, numbered, path)."""
     r = random.Random(seed)
     out: list[str] = []
-    lists = [[r.choice(COMMON) for _ in range(400)] for _ in range(40 if common else 0)]
-    for words in [*lists, *(re.findall(r"[A-Za-z]{2,}", text)[:400] for text in texts)]:
-        for i in range(0, len(words) - 4, 5):
-            w = words[i:i + 4]
-            out += [w[0], "_".join(w[:3]), "-".join(w[:3]).lower(), "".join(x.title() for x in w),
-                    f"{w[0]}_{w[1]}_{r.randint(0, 2999)}", "/".join(w), "_".join(w[:2]).upper()]
-    return out
+    for words in [[r.choice(COMMON) for _ in range(400)] for _ in range(40 if common else 0)]:
+        out += _joined(words, r)
+    return [*out, *_own(texts, r)]
 
 
-def train_from_documents(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS,
-                         id_col: str = "doc_id", text_col: str = "text") -> MarkovPair:
+def train_from_documents(docs: DataFrame, text_col: str = "text") -> MarkovPair:
     """Models from generated random strings (label 1) and identifiers made of
-    the words of at most ``sample_documents`` documents (label 0), the first by
-    a hash of the id. The sampled ids are few and broadcast, the strings are
-    counted in tasks, and only tables of counts come to the driver."""
-    ids = docs.select(F.col(id_col).alias("_id")).where("_id is not null").distinct() \
-        .orderBy(F.xxhash64("_id"), "_id").limit(sample_documents)
-    texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("t")) \
-        .join(F.broadcast(ids), "_id").select("t").repartition(8, F.xxhash64("t"))
+    all words of all documents (label 0). The strings are counted in tasks, the
+    counts added per pair of characters, and only the sums come to the driver."""
 
     def count(batches):
-        total = np.zeros((96, 96), np.int64)
+        begin_task("secrets")
+        total = np.zeros(96 * 96, np.int64)
         for b in batches:
             for t in b["t"]:
-                total += pair_counts(identifiers([TOKEN.sub(" ", t)], seed=zlib.crc32(t.encode())))
-        yield pd.DataFrame({"counts": [total.ravel().tolist()]})
-
-    rows = texts.mapInPandas(count, "counts array<long>").collect()
-    ordinary = sum((np.array(r.counts).reshape(96, 96) for r in rows), np.zeros((96, 96), np.int64))
-    return MarkovPair(ordinary + pair_counts(identifiers([], common=True)), pair_counts(random_strings()))
+                own = _own([TOKEN.sub(" ", t)], random.Random(zlib.crc32(t.encode())))
+                for some in batched(own, 8192):
+                    total += pair_counts(some).ravel()
+        pairs = np.flatnonzero(total)
+        yield pd.DataFrame({"pair": pairs, "n": total[pairs]})
+
+    sums = docs.select(text_or_empty(text_col).alias("t")).mapInPandas(count, "pair int, n long") \
+        .groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    ordinary = np.zeros(96 * 96, np.int64)
+    for r in sums:
+        ordinary[r.pair] = r.n
+    return MarkovPair(ordinary.reshape(96, 96) + pair_counts(identifiers([], common=True)), pair_counts(random_strings()))
 
 
 def find_spans(text: str, model: MarkovPair) -> list[tuple[int, int, int]]:

@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+from pyspark.sql import functions as F
 
 from epitrend.llm import quality, secrets
 from tests.conftest import SF01
@@ -66,6 +67,17 @@ def test_clean_documents_gain_no_span(spark):
     assert secrets.scan(docs, secrets.train_from_documents(docs)).where("n_markov > 0").count() == 0
 
 
+def test_all_words_of_all_documents_train(spark):
+    ids = [r.id for r in spark.range(4200).orderBy(F.xxhash64("id"), "id").collect()]
+    late = set(ids[4000:])  # once beyond the sample
+    rows = [(i, "word " * 600 + " ".join(["XJ" if i in late else "ZQ"] * 200)) for i in ids]
+    got = secrets.train_from_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    code = lambda c: ord(c) - 31
+    for a, b in ("ZQ", "XJ"):  # one beyond 400 words, the other in late documents besides
+        assert got.ratio[code(a), code(b)] < -3
+    assert got.ratio[code("Z"), code("X")] > 0
+
+
 def test_trees_equal_a_walk_by_hand():
     r = np.random.default_rng(1)
     x = r.normal(size=(800, 5))

@@ -3,8 +3,9 @@
 A document's set holds the 64-bit hashes of its distinct word shingles. The
 sketch splits them over 128 buckets and stores, per bucket, the smallest
 hash's count of leading zeros (6 bits) and the 10 bits after its first one;
-empty buckets borrow from others by a fixed random order. Bands of five
-registers bring candidates together. Jaccard similarity estimated from equal
+empty buckets borrow from others by a fixed random order. Bands of registers,
+as long as the threshold allows (``band_rows``: five at 85%, four at 80%), bring
+candidates together. Jaccard similarity estimated from equal
 registers, corrected for registers that agree by accident, sorts candidates
 out before their full sets are compared.
 
@@ -32,14 +33,15 @@ from epitrend.llm.common import begin_task, materialize, text_or_empty
 from epitrend.llm.components import components
 
 WORDS = 5
-BUCKETS, BAND_ROWS = 128, 5
-BANDS = BUCKETS // BAND_ROWS
+BUCKETS = 128
+MISSED = 1e-6  # share of pairs at the threshold that may agree in no band
 MANTISSA = 10
 BLOCK = 512  # classes of one bucket compared with as many others in a task
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _BYTES = np.random.Generator(np.random.PCG64(6)).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BORROW = np.random.Generator(np.random.PCG64(7)).integers(0, BUCKETS, (BUCKETS, 64))
+_BORROW_LAST = np.random.Generator(np.random.PCG64(8)).permuted(np.tile(np.arange(BUCKETS), (BUCKETS, 1)), axis=1)
 
 
 class _Powers:
@@ -99,11 +101,20 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
         ok = full[_BORROW[empty]]
         pick = _BORROW[empty, ok.argmax(axis=1)]
         none = ~ok.any(axis=1)
-        pick[none] = np.flatnonzero(full)[empty[none] % full.sum()]
+        if none.any():
+            last = _BORROW_LAST[empty[none]]
+            pick[none] = last[np.arange(len(last)), full[last].argmax(axis=1)]
         reg[empty] = reg[pick]
     return reg
 
 
+def band_rows(threshold: float) -> int:
+    """Registers a band: the most with which at most ``MISSED`` of the pairs at
+    the threshold agree in no band."""
+    missed = lambda r: (1 - threshold ** r) ** (BUCKETS // r)
+    return max((r for r in range(1, BUCKETS + 1) if missed(r) <= MISSED), default=1)
+
+
 def estimate(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Jaccard similarity from the share of equal registers. Two unrelated
     minima with rates n and m fall into one register with probability
@@ -300,8 +311,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS,
     classes = materialize(some.join(copies, "digest", "left")
                           .select("id", F.coalesce("rep", "id").alias("rep"), "n", "sketch"), "classes")
     heads = classes.where("id = rep").select("id", "n", "sketch")
-    keys = F.array(*[F.xxhash64(F.substring("sketch", 2 * BAND_ROWS * i + 1, 2 * BAND_ROWS), F.lit(i))
-                     for i in range(BANDS)])
+    per_band = band_rows(threshold)
+    keys = F.array(*[F.xxhash64(F.substring("sketch", 2 * per_band * i + 1, 2 * per_band), F.lit(i))
+                     for i in range(BUCKETS // per_band)])
     banded = heads.select("id", F.explode(keys).alias("key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last")) \
         .where("head < last").select("key", "head")

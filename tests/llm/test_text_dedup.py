@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from epitrend.llm.components import components
-from epitrend.llm.minhash import BUCKETS, estimate, keep_one, near_duplicates, shingles, sketch
+from epitrend.llm.minhash import BUCKETS, band_rows, estimate, keep_one, near_duplicates, shingles, sketch
 from epitrend.llm.substring import chunk_ends, chunks, measure, remove_repeats, removed_runs
 
 SCHEMA = "doc_id long, text string, lang string, rep string, n string, key string, component string"
@@ -121,6 +121,19 @@ def test_registers_of_small_and_large_sets():
     assert len(shingles("a b c d e f")) == 2 and len(shingles("a b")) == 1
 
 
+@pytest.mark.parametrize("sizes", [(4, 5, 4), (8, 10, 8), (45, 45, 40)])
+def test_pairs_at_the_threshold_share_a_band(sizes):
+    for t in (0.8, 0.85):
+        assert (1 - t ** band_rows(t)) ** (BUCKETS // band_rows(t)) <= 1e-6
+    n, m, both = sizes
+    rows = band_rows(0.8)
+    r = np.random.default_rng(1)
+    for _ in range(6000):
+        x = r.integers(0, 1 << 64, n + m - both, dtype=np.uint64)
+        same = sketch(np.sort(x[:n])) == sketch(np.sort(x[n - both:]))
+        assert same[:BUCKETS // rows * rows].reshape(-1, rows).all(axis=1).any()
+
+
 def test_components_equal_brute_force(spark):
     r = random.Random(9)
     links = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1070)] + [(5, 5)]

@@ -51,6 +51,42 @@ SELECT t.vec_id, CAST(coalesce(g.n, 0) AS BIGINT) AS n_links, c.component_id,
        t.vec_id = c.component_id AS kept
 FROM embeddings t JOIN component c ON c.id = t.vec_id LEFT JOIN degree g ON g.x = t.vec_id"""
 
+NEIGHBOURS = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pair AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_distance(a.e, b.e) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS r FROM pair)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 10"""
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda c: floor(256 * c)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_inner_product(a.x, b.x) AS BIGINT) AS s
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)),
+positive AS (
+  SELECT anchor_id, id, s FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, id) AS r FROM pair WHERE same)
+  WHERE r <= 5),
+negative AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.s AS positive_score, n.s AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.s DESC, n.id) AS r
+  FROM positive p JOIN pair n ON n.anchor_id = p.anchor_id AND NOT n.same
+  WHERE 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negative WHERE r <= 5"""
+
 # Texts as hexadecimal bytes, two digits a byte. Repeated starts at most 200
 # apart cover one run of bytes.
 REPEATED_STRINGS = """

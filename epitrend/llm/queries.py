@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from epitrend.llm import chat, embeddings, fingerprints, minhash, oracle, quality, secrets, substring, suffixes
+from epitrend.llm import (chat, embeddings, fingerprints, hilbert, minhash, negatives, oracle, quality, secrets,
+                          substring, suffixes, whitening)
 from epitrend.llm.bpe import encode_digests
 from epitrend.llm.common import table
 from epitrend.llm.packing import pack_documents
@@ -51,6 +52,18 @@ def op10_suffixes(spark, d):
     return suffixes.remove_repeated(table(spark, d, "documents"))
 
 
+def op11_whitening(spark, d):
+    return whitening.whiten(table(spark, d, "embeddings"))
+
+
+def op12_hilbert(spark, d):
+    return hilbert.search(table(spark, d, "embeddings"))
+
+
+def op13_negatives(spark, d):
+    return negatives.mine(table(spark, d, "embeddings"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_secrets": op2_secrets,
@@ -62,6 +75,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_suffixes": op10_suffixes,
+    "op11_whitening": op11_whitening,
+    "op12_hilbert": op12_hilbert,
+    "op13_negatives": op13_negatives,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -69,6 +85,10 @@ ORACLE_SQL: dict[str, str] = {
     "op6_minhash": oracle.NEAR_DUPLICATES,
     "op7_embeddings": oracle.EMBEDDINGS,
     "op10_suffixes": oracle.REPEATED_STRINGS,
+    # Exact search: up to 2,049 distinct vectors (sf0.1 has 2,000) every window
+    # holds the whole table; above, recall is measured instead.
+    "op12_hilbert": oracle.NEIGHBOURS,
+    "op13_negatives": oracle.HARD_NEGATIVES,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

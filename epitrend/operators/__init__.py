@@ -10,18 +10,18 @@ from epitrend.operators.features import (array_index, band_columns, days_in_band
                                          feature_table, first_crossing, first_day,
                                          next_value, positive_rows, series_list)
 from epitrend.operators.geo import country_codes, iso_aliases, rename_entities
-from epitrend.operators.ingest import (coerce_measures, detect_dates, finish_partials,
+from epitrend.operators.ingest import (coerce_measures, dated_partials, detect_dates, finish_partials,
                                        merge_partials, normalize_headers, rejected_dates,
-                                       rejected_rows, report_partials, resolve_header)
+                                       rejected_rows, report_partials, resolve_header, sum_dated)
 from epitrend.operators.rollup import daily_rollup, qualify_entities
 from epitrend.operators.snapshot import as_of_snapshot, latest_snapshot, top_bottom
 
 __all__ = [
     "array_index", "as_of_snapshot", "assemble_features", "band_columns", "baseline_diff",
     "best_k", "canonical_layout", "coerce_measures", "compare_curves", "country_codes",
-    "daily_rollup", "days_in_bands", "detect_dates", "feature_table", "finish_partials", "first_crossing",
+    "daily_rollup", "dated_partials", "days_in_bands", "detect_dates", "feature_table", "finish_partials", "first_crossing",
     "first_day", "hash_split", "iso_aliases", "k_sweep", "kmeans_assign", "kmeans_fit", "label_facts", "latest_snapshot",
     "layout_partitions", "materialize", "merge_partials", "n_centers", "next_value", "normalize_headers", "positive_rows", "qualify_entities",
-    "rejected_dates", "rejected_rows", "rename_entities", "report_partials", "resolve_header", "series_list", "silhouette", "silhouette_direct", "similar_entities",
+    "rejected_dates", "rejected_rows", "rename_entities", "report_partials", "resolve_header", "series_list", "silhouette", "silhouette_direct", "similar_entities", "sum_dated",
     "top_bottom", "train_test", "transpose_features", "unpivot_features",
 ]

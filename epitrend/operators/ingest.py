@@ -158,10 +158,10 @@ def merge_partials(partials: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in ("n_rows", "n_valid", *MEASURES)])
 
 
-def finish_partials(partials: DataFrame, mode: str = "file",
-                    patterns: Sequence[str] = DATE_PATTERNS) -> DataFrame:
-    """Partials -> one row per (Date, Country), as ``detect_dates``,
-    ``coerce_measures``, dropping null dates and ``daily_rollup`` would give.
+def dated_partials(partials: DataFrame, mode: str = "file",
+                   patterns: Sequence[str] = DATE_PATTERNS) -> DataFrame:
+    """Partials -> ``report, Date, Country, Confirmed, Deaths, Recovered``: the
+    sums that a report adds to each date, under its own choice of pattern.
     ``partials`` is read twice: pass a stored table."""
     _check_mode(mode, patterns)
     named = partials.withColumnsRenamed({"date_text": "_t", "report": "_report"})
@@ -170,11 +170,24 @@ def finish_partials(partials: DataFrame, mode: str = "file",
     dated = named.join(choice, F.col("_report").eqNullSafe(F.col("_choice_report"))
                        & F.col("_t").eqNullSafe(F.col("_choice_t")))
     used = dated.where(F.col("_kept") & F.col("Date").isNotNull() & (F.col("n_valid") > 0))
+    return used.groupBy(F.col("_report").alias("report"), "Date", ENTITY).agg(*[F.sum(x).alias(x) for x in MEASURES])
+
+
+def sum_dated(dated: DataFrame) -> DataFrame:
+    """``dated_partials`` -> one row per (Date, Country) with Active."""
     c, d, r = MEASURES
-    return used.groupBy("Date", ENTITY).agg(*[F.sum(x).alias(x) for x in MEASURES]) \
+    return dated.groupBy("Date", ENTITY).agg(*[F.sum(x).alias(x) for x in MEASURES]) \
         .select("Date", ENTITY, c, d, r, active(c, d, r).alias("Active"))
 
 
+def finish_partials(partials: DataFrame, mode: str = "file",
+                    patterns: Sequence[str] = DATE_PATTERNS) -> DataFrame:
+    """Partials -> one row per (Date, Country), as ``detect_dates``,
+    ``coerce_measures``, dropping null dates and ``daily_rollup`` would give.
+    ``partials`` is read twice: pass a stored table."""
+    return sum_dated(dated_partials(partials, mode, patterns).drop("report"))
+
+
 def coerce_measures(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Measures to double and Active recomputed, in the reference's order:
     malformed text -> null; drop rows without ``Country``; drop rows whose

@@ -53,3 +53,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/epitrend/{name}-{uuid.uuid4().hex}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path, as Spark sees them."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if there is no such folder."""
+    fs, p = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)

@@ -152,10 +152,18 @@ def _best(dist: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((first, dist))[:k]
 
 
+def _some(rows: DataFrame, n: int) -> pd.DataFrame:
+    """Up to ``n`` rows, those of the smallest hashes. The tasks send about
+    twice as many between them, however many tasks there are."""
+    share = min(1.0, 2 * n / max(1, rows.count()))
+    few = rows.where(F.pmod(F.xxhash64("cid"), F.lit(1 << 30)) < math.ceil(share * (1 << 30)))
+    return few.orderBy(F.pmod(F.xxhash64("cid"), F.lit(1 << 30)), "cid").limit(n).toPandas()
+
+
 def build_index(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The curves' blocks (``part, seq, curve, dim, n, cids, firsts, asked, v``)
     and their headers with the rank of their first row."""
-    pick = classes.select("cid", "dim", "v").orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).toPandas()
+    pick = _some(classes.select("cid", "dim", "v"), SAMPLE)
     grid = _Grid({int(d): _matrix(g["v"], int(d)) for d, g in pick.groupby("dim")})
 
     def place(batches):
@@ -206,7 +214,7 @@ def calibrate(classes: DataFrame, blocks: DataFrame, headers: DataFrame, recall:
     largest = headers.groupBy("curve", "dim").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
     if largest is None or largest <= LEAST + 1:
         return LEAST
-    trials = classes.where("asked").select("cid", "dim", "v").orderBy(F.xxhash64("cid"), "cid").limit(TRIALS).toPandas()
+    trials = _some(classes.where("asked").select("cid", "dim", "v"), TRIALS)
     if not len(trials):
         return LEAST
     by_dim = {int(d): (list(g["cid"]), _matrix(g["v"], int(d))) for d, g in trials.groupby("dim")}

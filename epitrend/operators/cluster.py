@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from epitrend.config import ENTITY, KMEANS_K, SEED, SWEEP_KS, TRAIN_RATIO
 from epitrend.session import checkpoint_root
@@ -166,13 +166,35 @@ def label_facts(model: KMeansModel, predictions: DataFrame, features_col: str =
                        F.coalesce(nearest, F.lit(False)).alias("nearest_ok"))
 
 
+def center_facts(model: KMeansModel, train: DataFrame, features_col: str = FEATURES,
+                 max_iter: int = 20) -> dict[str, object]:
+    """What a finished fit must show: ``n_centers``; ``used``, the centres that
+    have members in ``train``; ``means_ok``: every centre is the mean of its
+    members within 1e-9, unless the fit stopped at ``max_iter``; ``cost``, the
+    squared distances to the members' centres added up. The means are one
+    aggregate, k rows reach the driver."""
+    centers = [list(map(float, c)) for c in model.clusterCenters()]
+    width = len(centers[0])
+    x = vector_to_array(F.col(features_col))
+    pred = kmeans_assign(model, train).select(F.col(PREDICTION).alias("c"), x.alias("x"))
+    own = F.get(F.array(*[F.array(*map(F.lit, c)) for c in centers]), F.col("c"))
+    away = F.aggregate(F.zip_with("x", own, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
+    stats = pred.groupBy("c").agg(F.sum(away).alias("cost"),
+                                  *[F.avg(F.get("x", F.lit(i))).alias(f"m{i}") for i in range(width)]).collect()
+    near = all(abs(r[f"m{i}"] - centers[r["c"]][i]) <= 1e-9 * max(1.0, abs(centers[r["c"]][i]))
+               for r in stats for i in range(width))
+    return {"n_centers": len(centers), "used": len(stats), "means_ok": near or model.summary.numIter >= max_iter,
+            "cost": sum(r["cost"] for r in stats)}
+
+
 SWEEP_SCHEMA = StructType([
     StructField("k", IntegerType(), False),
     StructField("n_centers", IntegerType(), False),
     StructField("training_cost", DoubleType(), True),
     StructField("silhouette", DoubleType(), True),
 ])
-_DIRECT = StructField("silhouette_direct", DoubleType(), True)
+_DIRECT = [StructField("silhouette_direct", DoubleType(), True), StructField("cost_direct", DoubleType(), True),
+           StructField("stopped", BooleanType(), True)]
 
 
 def k_sweep(train: DataFrame, test: DataFrame, ks: Iterable[int] = SWEEP_KS,
@@ -180,7 +202,10 @@ def k_sweep(train: DataFrame, test: DataFrame, ks: Iterable[int] = SWEEP_KS,
             partitions: int | None = None, parallelism: int = 4, direct: bool = False) -> DataFrame:
     """Fit on ``train`` for every k, score on ``test``: one row per k with
     the centres found, the training cost and the test silhouette (the
-    elbow / silhouette table), with ``direct`` also ``silhouette_direct``. Like
+    elbow / silhouette table), with ``direct`` also both from their definitions
+    (``silhouette_direct``, ``cost_direct``) and whether the fit was ``stopped`` by
+    its number of iterations: SparkML's cost is then that of the centres one
+    step before the last. Like
     SparkML's ``CrossValidator``, up to ``parallelism`` fits run as concurrent
     Spark jobs; each fit is seeded and reads the same layout, so the result
     does not depend on it. Pass stored sides; an empty ``train`` raises."""
@@ -195,14 +220,15 @@ def k_sweep(train: DataFrame, test: DataFrame, ks: Iterable[int] = SWEEP_KS,
         model = kmeans_fit(train, k, seed, features_col, key, laid_out=True)
         pred = kmeans_assign(model, test)
         row = (int(k), n_centers(model), float(model.summary.trainingCost), silhouette(pred, features_col))
-        return (*row, silhouette_direct(pred, features_col)) if direct else row
+        return (*row, silhouette_direct(pred, features_col), center_facts(model, train, features_col)["cost"],
+                model.summary.numIter >= 20) if direct else row
 
     ks = list(ks)
     # The fits keep the caller's job group and scheduler pool.
     task = inheritable_thread_target(spark)(one)
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
         rows = list(pool.map(task, ks))
-    return spark.createDataFrame(rows, StructType([*SWEEP_SCHEMA.fields, _DIRECT]) if direct else SWEEP_SCHEMA)
+    return spark.createDataFrame(rows, StructType([*SWEEP_SCHEMA.fields, *_DIRECT]) if direct else SWEEP_SCHEMA)
 
 
 def best_k(sweep: DataFrame) -> int | None:
@@ -210,3 +236,26 @@ def best_k(sweep: DataFrame) -> int | None:
     row = (sweep.where(F.col("silhouette").isNotNull())
            .orderBy(F.col("silhouette").desc(), F.col("k").asc()).first())
     return None if row is None else int(row["k"])
+
+
+def chord_distances(points: Sequence[tuple[int, float]]) -> dict[int, float]:
+    """How far each (k, cost) lies under the chord from the first to the last
+    k, both axes scaled to 0 .. 1. A cost above that of a smaller k counts as
+    the smaller k's: its centres would do as well. Empty without a fall."""
+    low, best = [], float("inf")
+    for k, cost in sorted(points):
+        best = min(best, cost)
+        low.append((k, best))
+    if len(low) < 2 or not low[0][1] > low[-1][1]:
+        return {}
+    (k0, c0), (k1, c1) = low[0], low[-1]
+    return {k: 1 - (k - k0) / (k1 - k0) - (c - c1) / (c0 - c1) for k, c in low}
+
+
+def elbow_k(sweep: DataFrame) -> int | None:
+    """The knee of the cost curve: the k whose cost lies farthest under the
+    chord of the curve (smallest k on ties); None if the cost never falls or no
+    k lies between the ends. ``sweep`` has a row per k."""
+    rows = [(r["k"], r["training_cost"]) for r in sweep.select("k", "training_cost").collect()]
+    away = chord_distances(rows)
+    return min(away, key=lambda k: (-away[k], k)) if len(away) > 2 else None

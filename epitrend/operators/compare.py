@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from epitrend.config import BASELINE, DATE, ENTITY, TOP_K
+from epitrend.functions.ranks import numbered
+from epitrend.functions.sizing import broadcast_if_bounded
 
 
 MAX_ENTITIES = 2000  # columns of a whole transpose
@@ -98,3 +100,38 @@ def compare_curves(df: DataFrame, a: str, b: str, entity: str = ENTITY,
                    date: str = DATE) -> DataFrame:
     """The rows of entities ``a`` and ``b``, ordered by entity and date."""
     return df.where(F.col(entity).isin(a, b)).orderBy(entity, date)
+
+
+def aligned_curves(df: DataFrame, threshold: float, measure: str = "Confirmed", entity: str = ENTITY,
+                   date: str = DATE) -> DataFrame:
+    """``entity, index, value``: every curve from its first row at or above
+    ``threshold`` on (index 0), one index per reported row. One window per
+    entity, bounded by the calendar; rows before the crossing are dropped."""
+    w = Window.partitionBy(entity).orderBy(date)
+    value = F.col(measure)
+    crossed = df.withColumn("_over", F.max((value >= threshold).cast("int")).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).where("_over = 1")
+    return crossed.select(entity, (F.row_number().over(w) - 1).cast("long").alias("index"), value.alias("value"))
+
+
+def curve_distances(df: DataFrame, baseline: str, threshold: float, measure: str = "Confirmed",
+                    entity: str = ENTITY, date: str = DATE, max_days: int = 100_000) -> DataFrame:
+    """How close every entity's curve is to that of ``baseline``, both counted
+    from their first crossing of ``threshold``: ``n_common`` indexes that both
+    have, ``mean_gap`` and ``max_gap`` of their values there, and ``rank``, 1 for
+    the closest (ties by entity). Entities that never cross have no row; a
+    ``baseline`` that never crosses raises ``ValueError``.
+
+    An equi-join on the index with the baseline's curve, which has a row per
+    calendar day at most and is broadcast behind that check. ``rank`` is counted
+    in sorted ranges, not in one task."""
+    curves = aligned_curves(df, threshold, measure, entity, date)
+    base = aligned_curves(df.where(F.col(entity) == baseline), threshold, measure, entity, date)
+    if base.isEmpty():
+        raise ValueError(f"baseline {baseline!r} never reaches {threshold}")
+    base = broadcast_if_bounded(base.select("index", F.col("value").alias("_base")), max_days)
+    gap = F.abs(F.col("value") - F.col("_base"))
+    others = curves.where(F.col(entity) != baseline)
+    gaps = others.join(base, "index").groupBy(entity).agg(
+        F.count(F.lit(1)).alias("n_common"), F.avg(gap).alias("mean_gap"), F.max(gap).alias("max_gap"))
+    return numbered(gaps, ["mean_gap", entity], "rank")

@@ -13,14 +13,31 @@ from epitrend.functions.names import normalized_name
 from epitrend.functions.sizing import broadcast_if_bounded
 
 
+def listed_aliases() -> list[tuple[str, str]]:
+    """(name, alpha-3 code) as the data files list them: common names of
+    countries, and spellings that daily reports use (``report_spellings.csv``)."""
+    rows = []
+    for name in ("iso3166_alpha3.csv", "report_spellings.csv"):
+        with open(os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", name), encoding="utf-8", newline="") as fh:
+            rows += [(r["alias"], r["code"]) for r in csv.DictReader(fh)]
+    return rows
+
+
+def locale_names(spark: SparkSession) -> list[tuple[str, str]]:
+    """(English name, alpha-3 code) of every ISO 3166-1 country that the JVM
+    knows: 249 of them."""
+    locale = spark._jvm.java.util.Locale
+    countries = [locale("", c) for c in locale.getISOCountries()]
+    return [(c.getDisplayCountry(locale.ENGLISH), c.getISO3Country()) for c in countries]
+
+
 def iso_aliases(spark: SparkSession) -> DataFrame:
-    """``alias, code``: public ISO 3166-1 alpha-3 codes of the countries that
-    daily reports name most (``data/iso3166_alpha3.csv``). Names that are not
-    listed stay without a code; add them by a union with a table of your own."""
-    with open(os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", "iso3166_alpha3.csv"),
-              encoding="utf-8", newline="") as fh:
-        rows = [(r["alias"], r["code"]) for r in csv.DictReader(fh)]
-    return spark.createDataFrame(rows, "alias string, code string")
+    """``alias, code``: ISO 3166-1 alpha-3 codes of all 249 countries under the
+    JVM's English names, common names and spellings of daily reports. Names that
+    no country has (ships, ``Others``, ``Channel Islands``) stay without a code; add
+    yours by a union with a table of your own."""
+    rows = dict.fromkeys([*listed_aliases(), *locale_names(spark)])
+    return spark.createDataFrame(list(rows), "alias string, code string")
 
 
 def country_codes(df: DataFrame, aliases: DataFrame, entity: str = ENTITY,

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epitrend.config import DATE, ENTITY, TOP_K
+from epitrend.config import CLEAN_COLUMNS, DATE, ENTITY, TOP_K
 
 
 def latest_snapshot(df: DataFrame, date: str = DATE) -> DataFrame:
@@ -25,6 +26,26 @@ def as_of_snapshot(df: DataFrame, on: str | dt.date, date: str = DATE) -> DataFr
     return df.where(F.col(date) == F.lit(on).cast("date"))
 
 
+def value_as_of(df: DataFrame, on: str | dt.date, cols: Sequence[str] = CLEAN_COLUMNS[2:], max_age: int | None = None,
+                entity: str = ENTITY, date: str = DATE) -> DataFrame:
+    """Per entity the last observation up to ``on``: ``cols`` of that row, its
+    date ``observed`` and its ``age`` in days. Entities that did not report on
+    ``on`` keep their last values; those without a row up to it, or with one
+    older than ``max_age`` days, are absent.
+
+    One aggregate: the date filter reaches the scan, and each task sends one row
+    per entity. Needs the key (date, entity) to be unique, as it is in the
+    clean table."""
+    day = F.lit(on).cast("date")
+    rows = df.where((F.col(date) <= day) & F.col(entity).isNotNull())
+    if max_age is not None:
+        rows = rows.where(F.col(date) >= F.date_sub(day, max_age))
+    last = rows.groupBy(entity).agg(F.max_by(F.struct(date, *cols), F.col(date)).alias("_last"))
+    return last.select(entity, F.col(f"_last.{date}").alias("observed"),
+                       F.date_diff(day, F.col(f"_last.{date}")).cast("long").alias("age"),
+                       *[F.col("_last").getField(c).alias(c) for c in cols])
+
+
 def top_bottom(snapshot: DataFrame, measure: str, k: int = TOP_K,
                entity: str = ENTITY) -> DataFrame:
     """The ``k`` highest and ``k`` lowest entities by ``measure``, labelled

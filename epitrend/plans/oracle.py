@@ -4,6 +4,7 @@ the same Parquet tables, registered as views). Fixtures are CTEs."""
 from __future__ import annotations
 
 from epitrend.config import band_column
+from epitrend.operators.geo import listed_aliases
 from epitrend.plans import params as P
 
 _REPORTS = """
@@ -186,6 +187,49 @@ UNION ALL
 
 _FEATURE_LIST = ", ".join(f"'{c}'" for c in _BAND_COLS)
 
+_LABELS = """SELECT Country, true AS label_ok, true AS nearest_ok, {n} AS n_centers, {n} AS used, true AS means_ok
+FROM feats"""
+
+_COUNTRIES = "[" + ", ".join(f"'{n}'" for n in P.COUNTRY_NAMES) + "]"
+_SPELLED = f"""
+named AS (SELECT c_custkey, {_COUNTRIES}[c_nationkey + 1] AS name FROM customer),
+spelled AS (
+  SELECT c_custkey, CASE c_custkey % 8
+           WHEN 0 THEN name
+           WHEN 1 THEN upper(name) || '*'
+           WHEN 2 THEN substr(name, 1, 1) || substr(name, 3)
+           WHEN 3 THEN substr(name, 1, 3) || substr(name, 3)
+           WHEN 4 THEN name || 'x'
+           WHEN 5 THEN substr(name, 1, 1) || substr(name, 3) || 'x'
+           WHEN 6 THEN 'zzzz' || name
+           ELSE substr(name, 1, 5) || substr(name, 7) END AS Country
+  FROM named)"""
+
+
+def _key_sql(text: str) -> str:
+    return f"trim(lower(regexp_replace({text}, '[^[:alnum:]]+', ' ', 'g')))"
+
+
+# The nearest listed names of each spelling, all pairs compared.
+_MATCHED = _SPELLED + """,
+listed AS (
+  SELECT """ + _key_sql("a") + """ AS alias, min(c) AS code FROM (VALUES
+    """ + ", ".join("('" + a.replace("'", "''") + f"', '{c}')" for a, c in listed_aliases()) + """) t(a, c) GROUP BY 1),
+key AS (SELECT DISTINCT Country, """ + _key_sql("Country") + """ AS k FROM spelled),
+near AS (
+  SELECT k.Country, l.code, levenshtein(k.k, l.alias) AS distance
+  FROM key k JOIN listed l ON levenshtein(k.k, l.alias) <= least(3, length(k.k) // 4)),
+least_off AS (SELECT Country, min(distance) AS distance FROM near GROUP BY 1),
+best AS (
+  SELECT n.Country, n.distance, list_sort(list_distinct(list(n.code))) AS codes
+  FROM near n JOIN least_off m ON n.Country = m.Country AND n.distance = m.distance GROUP BY 1, 2),
+matched AS (
+  SELECT k.Country, CASE WHEN len(b.codes) = 1 THEN b.codes[1] END AS code,
+         CASE WHEN b.distance = 0 THEN 'exact' WHEN len(b.codes) = 1 THEN 'approximate'
+              WHEN len(b.codes) > 1 THEN 'ambiguous' ELSE 'unmatched' END AS status,
+         CAST(b.distance AS INTEGER) AS distance, array_to_string(b.codes, ',') AS candidates
+  FROM key k LEFT JOIN best b ON b.Country = k.Country)"""
+
 ORACLE_SQL: dict[str, str] = {
     "daily_rollup": """
 WITH rows AS (
@@ -262,9 +306,11 @@ FROM hit h""",
     "unpivot_features": _with(_CUSTOMERS, _BANDS) + """
 SELECT Country, feature, value FROM (UNPIVOT feats ON """ + ", ".join(_BAND_COLS)
                         + " INTO NAME feature VALUE value)",
+    # The columns are named: a PIVOT that looks for them itself cannot be a view.
     "transpose_features": _with(_REPORTS, _bands(P.NATION_BANDS)) + """,
 long AS (UNPIVOT feats ON """ + ", ".join(_NATION_COLS) + """ INTO NAME feature VALUE value)
-SELECT * FROM (PIVOT long ON Country USING max(value) GROUP BY feature)""",
+SELECT feature, """ + ", ".join(f"max(value) FILTER (WHERE Country = 'NATION_{i}') AS \"NATION_{i}\"" for i in range(25)) + """
+FROM long GROUP BY feature""",
     "baseline_diff": _with(_CUSTOMERS, _BANDS, _DIFFS) + "SELECT * FROM diffs",
     "similar_by_abs": _similar("abs_total_diff"),
     "similar_by_rel": _similar("abs(rel_total_diff)"),
@@ -293,8 +339,10 @@ SELECT Country, last_update, NULLIF(Confirmed, '') AS Confirmed, Deaths, Recover
        CAST(event_id AS VARCHAR) AS event_id, CAST(file AS VARCHAR) AS file
 FROM fx_raw""",
     "hash_split": _with(_CUSTOMERS, _BANDS, _SPLIT) + "SELECT Country, split FROM split",
-    "kmeans_k5": _with(_CUSTOMERS, _BANDS) + "SELECT Country, true AS label_ok, true AS nearest_ok FROM feats",
-    "kmeans_k3": _with(_CUSTOMERS, _BANDS) + "SELECT Country, true AS label_ok, true AS nearest_ok FROM feats",
+    "kmeans_k5": _with(_CUSTOMERS, _BANDS) + _LABELS.format(n=5),
+    "kmeans_k3": _with(_CUSTOMERS, _BANDS) + _LABELS.format(n=3),
+    "kmeans_elbow_k": _with(_CUSTOMERS, _BANDS) + _LABELS.format(n="true"),
+    "kmeans_elbow": "SELECT CAST(k AS INTEGER) AS k, true AS equals_direct, true AS not_rising, true AS not_farther FROM range(2, 11) t(k)",
     "kmeans_best_k": _with(_CUSTOMERS, _BANDS)
                      + "SELECT Country, true AS label_ok, true AS nearest_ok, true AS best_k FROM feats",
     "silhouette": _with(_CUSTOMERS, _BANDS, _SPLIT) + """
@@ -326,6 +374,30 @@ JOIN customer cu ON o.o_custkey = cu.c_custkey
 JOIN nation n ON cu.c_nationkey = n.n_nationkey
 JOIN region g ON n.n_regionkey = g.r_regionkey
 GROUP BY 1, 2""",
+    "value_as_of": _with(_CUSTOMERS) + f"""
+SELECT e.Country, r.Date AS observed, date_diff('day', r.Date, DATE '{P.AS_OF_LATE}') AS age,
+       r.Confirmed, r.Deaths, r.Recovered, r.Active
+FROM (SELECT DISTINCT Country, DATE '{P.AS_OF_LATE}' AS day FROM rpt) e
+ASOF JOIN rpt r ON e.Country = r.Country AND e.day >= r.Date""",
+    "match_names": _with(_MATCHED) + """
+SELECT s.Country, count(*) AS n, m.code, m.status, m.distance, m.candidates
+FROM spelled s JOIN matched m ON m.Country = s.Country GROUP BY ALL""",
+    "approximate_codes": _with(_MATCHED) + """
+SELECT s.Country, s.c_custkey, m.code AS Country_clean FROM spelled s JOIN matched m ON m.Country = s.Country""",
+    "band_state": _with(_CUSTOMERS, _BANDS) + "SELECT Country, " + ", ".join(_BAND_COLS) + " FROM bands",
+    "curve_distances": _with(_CUSTOMERS) + f""",
+crossing AS (SELECT Country, min(Date) AS day FROM rpt WHERE Confirmed >= {P.THRESHOLD} GROUP BY 1),
+curve AS (
+  SELECT r.Country, r.Confirmed AS v, row_number() OVER (PARTITION BY r.Country ORDER BY r.Date) AS i
+  FROM rpt r JOIN crossing c ON c.Country = r.Country AND r.Date >= c.day),
+gap AS (
+  SELECT a.Country, count(*) AS n_common, avg(abs(a.v - b.v)) AS mean_gap, max(abs(a.v - b.v)) AS max_gap
+  FROM curve a JOIN curve b ON a.i = b.i AND b.Country = '{P.BASELINE}' AND a.Country <> b.Country GROUP BY 1)
+SELECT *, row_number() OVER (ORDER BY mean_gap, Country) AS rank FROM gap""",
+    "refresh_reports": _with(_RAW, _DATED, _COERCED) + """
+SELECT Date, Country, sum(Confirmed) AS Confirmed, sum(Deaths) AS Deaths,
+       sum(Recovered) AS Recovered, sum(Active) AS Active
+FROM coerced WHERE Date IS NOT NULL GROUP BY Date, Country""",
     "assemble_features": _with(_CUSTOMERS, _BANDS) + "SELECT Country, " + ", ".join(
         f"CAST({c} AS DOUBLE) AS v{i + 1}" for i, c in enumerate(_BAND_COLS)) + " FROM feats",
 }

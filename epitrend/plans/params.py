@@ -12,3 +12,9 @@ BASELINE = "CUSTOMER_1"
 CURVES = ("CUSTOMER_0", "CUSTOMER_1")
 THRESHOLD = 100
 RAW_KEEP = ("event_id", "file")
+AS_OF_LATE = "1998-01-01"
+BAND_STATE_CUT = "1998-03-17"  # the first part of the calendar that the state covers
+# Country names given to the 25 nations, in the order of their keys.
+COUNTRY_NAMES = ("Australia", "Austria", "Brazil", "Chile", "Colombia", "Egypt", "Estonia", "France", "Germany",
+                 "Greece", "India", "Indonesia", "Iran", "Iraq", "Italy", "Japan", "Mexico", "Nigeria", "Norway",
+                 "Peru", "Slovakia", "Slovenia", "Spain", "Switzerland", "Uruguay")

@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 
 from epitrend import operators as op
 from epitrend.config import KMEANS_K, REFIT_K, SEED, SWEEP_KS
+from epitrend.operators.geo import listed_aliases
 from epitrend.plans import params as P
 from epitrend.plans.clean_table import clean_raw, ingest_directory
-from epitrend.session import scratch_path
+from epitrend.plans.refresh import read_refreshed, refresh
+from epitrend.session import delete_folder, scratch_path
 from epitrend.sources import fixtures as fx
-from epitrend.sources.csv_reports import scan_reports
+from epitrend.sources.csv_reports import scan_reports, write_report_csvs
 from epitrend.streaming import read_rollup, start_ingest
 from epitrend.sources.parquet import read_clean, register_view, write_clean
 
@@ -72,6 +74,26 @@ def q_register_view(spark, d):
                      "WHERE Date = (SELECT max(Date) FROM epitrend_reports)")
 
 
+def q_value_as_of(spark, d):
+    """The last values of every customer up to a day on which few reported."""
+    return op.value_as_of(fx.stored_customer_reports(spark, d), P.AS_OF_LATE)
+
+
+def q_match_names(spark, d):
+    """Misspelt country names resolved against the listed ones, with the number
+    of customers that report under each."""
+    rows = fx.spelled_reports(spark, d, P.COUNTRY_NAMES)
+    listed = spark.createDataFrame(listed_aliases(), "alias string, code string")
+    found = op.match_names(rows, listed)
+    return rows.groupBy("Country").agg(F.count(F.lit(1)).alias("n")).join(found, "Country") \
+        .withColumn("candidates", F.array_join("candidates", ","))
+
+
+def q_approximate_codes(spark, d):
+    listed = spark.createDataFrame(listed_aliases(), "alias string, code string")
+    return op.approximate_codes(fx.spelled_reports(spark, d, P.COUNTRY_NAMES), listed)
+
+
 # ---- features (per customer: the rows grow with the tables) ---------------
 
 def q_first_day(spark, d):
@@ -103,6 +125,16 @@ def q_days_in_bands(spark, d):
     return op.days_in_bands(fx.stored_customer_reports(spark, d), P.CUSTOMER_BANDS)
 
 
+def q_band_state(spark, d):
+    """Stored states of the first part of the calendar, extended by the rest,
+    then finished to the days in bands."""
+    clean, path = fx.stored_customer_reports(spark, d), scratch_path(spark, "band-state")
+    first = clean.where(F.col("Date") < F.lit(P.BAND_STATE_CUT).cast("date"))
+    for part in (first, clean):
+        op.extend_band_state(part, path, P.CUSTOMER_BANDS, length="quarter")
+    return op.finish_band_states(op.read_band_state(spark, path, P.CUSTOMER_BANDS), P.CUSTOMER_BANDS)
+
+
 def _features(spark, d):
     return op.feature_table(fx.stored_customer_reports(spark, d), P.CUSTOMER_BANDS)
 
@@ -140,6 +172,10 @@ def q_compare_curves(spark, d):
     return op.compare_curves(fx.stored_customer_reports(spark, d), *P.CURVES)
 
 
+def q_curve_distances(spark, d):
+    return op.curve_distances(fx.stored_customer_reports(spark, d), P.BASELINE, P.THRESHOLD)
+
+
 # ---- raw report ingestion -----------------------------------------------
 
 def _normalized(spark, d):
@@ -198,6 +234,18 @@ def q_stream_ingest_reports(spark, d):
     return read_rollup(spark, out)
 
 
+def q_refresh_reports(spark, d):
+    """A store built from early reports and refreshed after corrections: one
+    variant is written again, one report is new and one withdrawn."""
+    source, store = scratch_path(spark, "changing-csvs"), scratch_path(spark, "store")
+    write_report_csvs(fx.early_report_files(spark, d), source, by_report=True)
+    refresh(spark, source, store, report_level="directory")
+    write_report_csvs(fx.raw_report_files(spark, d)[1:], source, by_report=True, first=1)
+    delete_folder(spark, f"{source}/variant_2")
+    refresh(spark, source, store, report_level="directory")
+    return read_refreshed(spark, store)
+
+
 # ---- clustering ---------------------------------------------------------
 #
 # Labels and scores depend on SparkML's arithmetic, so the queries return facts
@@ -224,14 +272,21 @@ def q_assemble_features(spark, d):
 
 
 def _kmeans(k):
-    """Facts about the label of every entity, train or test."""
+    """Facts about the label of every entity, train or test, and about the
+    centres: their number, and that they are their members' means."""
     def q(spark, d):
         rows = _laid_out(spark, d)
-        model = op.kmeans_fit(op.train_test(rows)[0], k=k)
-        return op.label_facts(model, op.kmeans_assign(model, rows))
+        train = op.train_test(rows)[0]
+        model = op.kmeans_fit(train, k=k)
+        return _with_centers(model, train, op.label_facts(model, op.kmeans_assign(model, rows)))
     return q
 
 
+def _with_centers(model, train, facts):
+    c = op.center_facts(model, train)
+    return facts.withColumns({"n_centers": F.lit(c["n_centers"]), "used": F.lit(c["used"]), "means_ok": F.lit(c["means_ok"])})
+
+
 def q_kmeans_best_k(spark, d):
     """The refit at the k of the best silhouette: facts about every label, and
     whether no k of the sweep scores higher."""
@@ -245,6 +300,33 @@ def q_kmeans_best_k(spark, d):
     return op.label_facts(model, op.kmeans_assign(model, rows)).withColumn("best_k", F.lit(best))
 
 
+def q_kmeans_elbow(spark, d):
+    """The cost curve of the sweep and its knee: per k that the cost is what the
+    centres cost, that it does not rise, and that no k lies farther under the
+    chord than the chosen one."""
+    train, test = op.train_test(_laid_out(spark, d))
+    sweep = op.materialize(op.k_sweep(train, test, SWEEP_KS, direct=True))
+    rows = sweep.orderBy("k").collect()  # a row per k
+    k, away = op.elbow_k(sweep), op.chord_distances([(r["k"], r["training_cost"]) for r in rows])
+    out = []
+    for i, r in enumerate(rows):
+        direct = abs(r["training_cost"] - r["cost_direct"]) <= 1e-9 * r["cost_direct"] \
+            or r["stopped"] and r["cost_direct"] <= r["training_cost"]
+        falls = i == 0 or r["training_cost"] <= rows[i - 1]["training_cost"]
+        out.append((r["k"], direct, falls, k is not None and (away[r["k"]], -r["k"]) <= (away[k], -k)))
+    return spark.createDataFrame(out, "k int, equals_direct boolean, not_rising boolean, not_farther boolean")
+
+
+def q_kmeans_elbow_k(spark, d):
+    """The refit at the knee of the cost curve."""
+    rows = _laid_out(spark, d)
+    train, test = op.train_test(rows)
+    k = op.elbow_k(op.k_sweep(train, test, SWEEP_KS))
+    model = op.kmeans_fit(train, k=k)
+    facts = _with_centers(model, train, op.label_facts(model, op.kmeans_assign(model, rows)))
+    return facts.withColumns({"n_centers": F.col("n_centers") == F.lit(k), "used": F.col("used") == F.lit(k)})
+
+
 def _score_facts(k, rows_scored, centers, score, direct) -> tuple:
     real = score is not None and direct is not None
     return (k, rows_scored, 1 <= centers <= k, real and -1 <= score <= 1 and score != 0,
@@ -284,12 +366,16 @@ QUERIES: dict[str, Query] = {
     "country_codes": q_country_codes,
     "parquet_roundtrip": q_parquet_roundtrip,
     "register_view": q_register_view,
+    "value_as_of": q_value_as_of,
+    "match_names": q_match_names,
+    "approximate_codes": q_approximate_codes,
     "first_day": q_first_day,
     "next_value": q_next_value,
     "first_crossing": q_first_crossing,
     "series_list": q_series_list,
     "array_index": q_array_index,
     "days_in_bands": q_days_in_bands,
+    "band_state": q_band_state,
     "feature_table": q_feature_table,
     "unpivot_features": q_unpivot_features,
     "transpose_features": q_transpose_features,
@@ -297,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "similar_by_abs": q_similar_by_abs,
     "similar_by_rel": q_similar_by_rel,
     "compare_curves": q_compare_curves,
+    "curve_distances": q_curve_distances,
     "normalize_headers": q_normalize_headers,
     "detect_dates": q_detect_dates,
     "detect_dates_row": q_detect_dates_row,
@@ -306,11 +393,14 @@ QUERIES: dict[str, Query] = {
     "scan_reports": q_scan_reports,
     "ingest_reports": q_ingest_reports,
     "stream_ingest_reports": q_stream_ingest_reports,
+    "refresh_reports": q_refresh_reports,
     "hash_split": q_hash_split,
     "assemble_features": q_assemble_features,
     "kmeans_k5": _kmeans(KMEANS_K),
     "kmeans_k3": _kmeans(REFIT_K),
     "kmeans_best_k": q_kmeans_best_k,
+    "kmeans_elbow": q_kmeans_elbow,
+    "kmeans_elbow_k": q_kmeans_elbow_k,
     "silhouette": q_silhouette,
     "k_sweep": q_k_sweep,
 }

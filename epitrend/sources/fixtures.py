@@ -12,6 +12,8 @@
                      formats, one DataFrame per header variant.
 ``stored_report_csvs`` E written once per session and scale as CSV report
                      files (the input of the directory scan).
+``early_report_files`` E as it stood before corrections: for ``refresh``.
+``spelled_reports``  a report row per customer under a misspelt country name.
 ``alias_table``      entity name -> three-letter code, for ``country_codes``.
 
 All of them are plain Spark plans over the driver tables, so their work
@@ -21,6 +23,7 @@ grows with the tables.
 from __future__ import annotations
 
 import threading
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -205,6 +208,30 @@ def raw_report_files(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [old, new]
 
 
+def early_report_files(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """E before it was corrected: file 2 has other counts, file 3 is missing, and
+    there is a file 9 that was withdrawn later."""
+    old, new = raw_report_files(spark, sf_dir)
+    return [old, new.where(F.col("file") == 2).withColumn("Confirmed", F.lit("7")),
+            old.where(F.col("file") == 0).withColumn("file", F.lit(9).cast("bigint"))]
+
+
+def spelled_reports(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> DataFrame:
+    """``Country, c_custkey``: every customer reports under its nation's country
+    name (``names`` in the order of nation keys), spelt in one of eight ways: as
+    listed, in capitals with a mark, or with up to four edits."""
+    customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    name = F.get(F.array(*map(F.lit, names)), F.col("c_nationkey"))
+    cut = lambda at: F.concat(F.substring(name, 1, at - 1), F.substring(name, at + 1, 100))
+    way = F.col("c_custkey") % 8
+    spelt = (F.when(way == 0, name).when(way == 1, F.concat(F.upper(name), F.lit("*"))).when(way == 2, cut(2))
+             .when(way == 3, F.concat(F.substring(name, 1, 3), F.substring(name, 3, 100)))
+             .when(way == 4, F.concat(name, F.lit("x")))
+             .when(way == 5, F.concat(cut(2), F.lit("x")))
+             .when(way == 6, F.concat(F.lit("zzzz"), name)).otherwise(cut(6)))
+    return customer.select(spelt.alias("Country"), "c_custkey")
+
+
 def region_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nation name (in lower case, with spaces) -> region name, as an alias
     table of ``rename_entities``: the roll-up after it is per region."""

@@ -1,6 +1,7 @@
 """Near-duplicate documents by HyperMinHash.
 
-A document's set holds the 64-bit hashes of its distinct word shingles. The
+A document's set holds the 64-bit hashes (xxh3 of the words, mixed in their
+order) of its distinct word shingles. The
 sketch splits them over 128 buckets and stores, per bucket, the smallest
 hash's count of leading zeros (6 bits) and the 10 bits after its first one;
 empty buckets borrow from others by a fixed random order. Bands of registers,
@@ -11,10 +12,13 @@ out before their full sets are compared.
 
 Documents with equal sets are one class from the start. Each class is compared
 with the smallest class of its buckets first, then with the medoids of buckets
-whose members are still in different components, and at last the full sets of
-all likely pairs across the components that remain in a bucket are compared
-where they meet. Large buckets are cut into blocks. Pairs inside one component
-need no comparison.
+whose members are still in different components (large buckets in blocks, each
+with medoids of its own), and at last the full sets of all likely pairs across
+the components that remain in a bucket are compared where they meet. Pairs
+inside one component need no comparison, so of a large bucket the members of
+its largest component meet only the others. What still grows with the square
+are buckets of thousands of documents that belong together in no way but share a
+band.
 
 Defined results: a null or blank text has an empty set and no links; a
 document with a null ``doc_id`` links with nothing, has a null component and
@@ -29,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epitrend.llm.common import begin_task, materialize, text_or_empty
+from epitrend.llm.common import begin_task, materialize, on_other_use, text_or_empty
 from epitrend.llm.components import components
 
 WORDS = 5
@@ -64,24 +68,36 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_SEEN: dict[bytes, int] = {}
+on_other_use(_SEEN.clear)
+_PLACES = np.random.Generator(np.random.PCG64(6)).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _word_hashes(parts: list[bytes]) -> np.ndarray:
+    """64-bit xxh3 of every word, looked up in a table that starts anew at a
+    million words."""
+    if len(_SEEN) > 1_000_000:
+        _SEEN.clear()
+    out = list(map(_SEEN.get, parts))
+    for i, h in enumerate(out):
+        if h is None:
+            out[i] = _SEEN[parts[i]] = xxhash.xxh3_64_intdigest(parts[i], 6)
+    return np.array(out, np.uint64)
+
+
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the text's word shingles."""
+    """Sorted distinct hashes of the text's word shingles. A word counts by its
+    xxh3 hash, mixed once more with its place in the shingle, so that words made
+    to agree under a sum or a polynomial do not."""
     parts = text.encode().lower().split()  # bytes: A-Z and ASCII white space only
     if not parts:
         return np.zeros(0, np.uint64)
-    raw = np.frombuffer(b" ".join(parts), np.uint8)
-    up, down = _Powers.of(len(raw))
-    prefix = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTES[raw] * up[:len(raw)], out=prefix[1:])
-    gaps = np.flatnonzero(raw == 32)
-    starts = np.concatenate([[0], gaps + 1])
-    ends = np.append(gaps, len(raw))
-    if len(parts) >= words:
-        starts, ends = starts[:len(parts) - words + 1], ends[words - 1:]
-    else:
-        starts, ends = starts[:1], ends[-1:]
-    h = (prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64)
-    return np.unique(_mix(h))
+    h = _word_hashes(parts)
+    n = min(len(parts), words)
+    total = np.zeros(len(parts) - n + 1, np.uint64)
+    for k in range(n):
+        total = _mix(total + (h[k:k + len(total)] ^ _PLACES[k % 64]))
+    return np.unique(total ^ _mix(np.array([n], np.uint64)))
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
@@ -201,14 +217,32 @@ def _hashes(words: int):
     return hashes
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Members of buckets dealt into groups ``key, i, j``. A bucket of more than
-    ``BLOCK`` classes is cut into blocks by a hash, and every two blocks meet in
-    a group of their own, so no group holds more than about two blocks."""
+def _own_blocks(members: DataFrame) -> DataFrame:
+    """Members of buckets dealt into groups ``key, i`` of about ``BLOCK``, one row
+    each."""
     size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int")
-    return (members.join(size, "key").withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return members.join(size, "key").withColumn("i", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
+
+
+def _cross_blocks(members: DataFrame) -> DataFrame:
+    """Members of buckets dealt into groups ``key, i, j`` in which every two of
+    different components meet. The largest component of a bucket is cut into
+    blocks that do not meet each other; the others' members, ``strays``, are cut
+    into blocks that meet them and each other. A bucket of copies with few
+    strays so makes hardly more rows than it has members."""
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("c"))
+    core = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("core"),
+                                    F.max("c").alias("n_core"), F.sum("c").alias("n_all"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    core = core.select("key", "core", blocks(F.col("n_core")).alias("cores"),
+                       blocks(F.col("n_all") - F.col("n_core")).alias("strays"))
+    inside = F.col("component") == F.col("core")
+    hash_ = F.xxhash64("id", F.lit(3))
+    own = F.when(inside, F.pmod(hash_, F.col("cores"))).otherwise(F.col("cores") + F.pmod(hash_, F.col("strays")))
+    last = F.col("cores") + F.col("strays") - 1
+    # Core blocks meet the strays' blocks, those meet all.
+    meets = F.sequence(F.when(inside, F.col("cores")).otherwise(F.lit(0)), last)
+    return (members.join(core, "key").withColumn("own", own.cast("int")).withColumn("other", F.explode(meets))
             .select("key", "id", "n", "component", "sketch", "own",
                     F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
 
@@ -220,7 +254,7 @@ class _Group:
         begin_task("minhash")
         self.regs = np.frombuffer(b"".join(g["sketch"]), np.uint16).reshape(-1, BUCKETS)
         self.n, self.component = g["n"].to_numpy(float), g["component"].to_numpy()
-        self.id, self.own = g["id"].to_numpy(), g["own"].to_numpy()
+        self.id = g["id"].to_numpy()
 
     def likely(self, k: int, rows: np.ndarray, threshold: float) -> np.ndarray:
         """Those of ``rows`` that may link with row k and are not in its component."""
@@ -260,8 +294,8 @@ def _all_links(g: pd.DataFrame, threshold: float, percent: int) -> pd.DataFrame:
     joined here is not compared, so there are fewer links than members."""
     m = _Group(g)
     sets = [np.frombuffer(s, np.uint64) for s in g["hashes"]]
-    i, j = int(g["i"].iloc[0]), int(g["j"].iloc[0])
-    second = np.flatnonzero(m.own == j)
+    i, j, own = int(g["i"].iloc[0]), int(g["j"].iloc[0]), g["own"].to_numpy()
+    second = np.flatnonzero(own == j)
     root = {c: c for c in m.component}
 
     def find(c):
@@ -271,7 +305,7 @@ def _all_links(g: pd.DataFrame, threshold: float, percent: int) -> pd.DataFrame:
         return c
 
     out = []
-    for k in np.flatnonzero(m.own == i):
+    for k in np.flatnonzero(own == i):
         rows = m.likely(k, second[second > k] if i == j else second, threshold)
         for r in rows:
             x, y = find(m.component[k]), find(m.component[r])
@@ -326,7 +360,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS,
     copies_of = classes.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     found = materialize(_verified(first, texts, percent, words), "found")
     label = materialize(components(found), "labels")
-    stars = _blocks(_mixed(members, label, heads)).groupBy("key", "i", "j") \
+    stars = _own_blocks(_mixed(members, label, heads)).groupBy("key", "i") \
         .applyInPandas(lambda g: _medoid_pairs(g, threshold), f"a {kind}, b {kind}").distinct()
     stars = materialize(stars.join(first, ["a", "b"], "left_anti"), "pairs")
     found = materialize(found.unionByName(_verified(stars, texts, percent, words)), "found")
@@ -334,7 +368,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS,
     open_ = materialize(_mixed(members, label, heads), "open")
     whole = texts.join(open_.select("id").distinct().hint("shuffle_hash"), "id", "left_semi") \
         .dropDuplicates(["id"]).select("id", _hashes(words)("text").alias("hashes"))
-    rest = _blocks(open_).join(whole, "id").groupBy("key", "i", "j") \
+    rest = _cross_blocks(open_).join(whole, "id").groupBy("key", "i", "j") \
         .applyInPandas(lambda g: _all_links(g, threshold, percent), f"a {kind}, b {kind}")
     found = found.unionByName(rest)
     label = components(found.unionByName(copies_of))
@@ -349,5 +383,7 @@ def keep_one(docs: DataFrame, percent: int = 80, words: int = WORDS, id_col: str
     """``docs`` with one document of each group of near-duplicates: that with
     the smallest id."""
     gone = near_duplicates(docs, percent, words, id_col, text_col).where("not kept") \
-        .select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs[id_col] == gone["_id"], "left_anti")
+        .select(F.col(id_col).alias("gone")).distinct()
+    names = [f"c{i}" for i in range(len(docs.columns))]  # no name of theirs can clash
+    own = F.col(names[docs.columns.index(id_col)])
+    return docs.toDF(*names).join(gone.hint("shuffle_hash"), own == F.col("gone"), "left_anti").toDF(*docs.columns)

@@ -8,7 +8,7 @@ import pytest
 
 from epitrend.llm.components import components
 from epitrend.llm.minhash import BUCKETS, band_rows, estimate, keep_one, near_duplicates, shingles, sketch
-from epitrend.llm import substring
+from epitrend.llm import minhash, substring
 from epitrend.llm.substring import cuts, measure, remove_repeats, removed_runs, units
 
 SCHEMA = "doc_id long, text string, lang string, rep string, n string, key string, component string"
@@ -94,6 +94,39 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_words_made_to_collide_are_told_apart(spark):
+    """Two words of 2,048 letters that agree under any polynomial modulo 2^64,
+    and words whose order or number alone differs."""
+    a = "a"
+    for _ in range(11):
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    texts = [a, b, "x y", "y x", "x x", "x", "x x x x x x", "p q r s t u", "u t s r q p", "p q r s t u"]
+    df = spark.createDataFrame([(i, t, *EXTRA) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(df).collect()}
+    assert got == {0: (1, 0), 1: (1, 1), 2: (1, 2), 3: (1, 3), 4: (1, 4), 5: (1, 5), 6: (1, 6), 7: (2, 7), 8: (2, 8), 9: (2, 7)}
+
+
+def test_rows_of_a_bucket_of_copies_grow_with_its_members(spark, monkeypatch):
+    """One large component and a few strays in a bucket: hardly more rows than
+    members, and every two of different components meet."""
+    monkeypatch.setattr("epitrend.llm.minhash.BLOCK", 16)
+    rows = [("k", i, 1, 0 if i >= 20 else i + 1, b"") for i in range(1000)] + [("m", i, 1, i, b"") for i in range(40)]
+    df = spark.createDataFrame(rows, "key string, id long, n long, component long, sketch binary")
+    groups: dict = {}
+    out = minhash._cross_blocks(df).collect()
+    for r in out:
+        groups.setdefault((r.key, r.i, r.j), []).append(r)
+    assert sum(r.key == "k" for r in out) <= 2 * 980 + 20 * 66
+    met = set()
+    for (key, i, j), g in groups.items():
+        assert len(g) <= 120
+        met |= {(key, *sorted((x.id, y.id))) for x in g for y in g if x.own == i and y.own == j and x.id != y.id}
+    part = {(r[0], r[1]): r[3] for r in rows}
+    for key, n in (("k", 1000), ("m", 40)):
+        assert all((key, x, y) in met for x in range(n) for y in range(x + 1, n) if part[key, x] != part[key, y])
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert near_duplicates(empty).count() == 0 and measure(empty).count() == 0

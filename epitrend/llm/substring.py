@@ -219,11 +219,11 @@ def _runs(rows: DataFrame, min_run: int) -> DataFrame:
     total = some.agg(F.sum("n")).first()[0] or 0
     hot = frozenset(r[0] for r in some.where(F.col("n") * 1000 > total).select("digest").collect())
     found = materialize(_repeats(_occurrences(rows, hot)), "repeats")
-    # The owners of hot digests: fewer than a thousand rows.
+    # The owners of hot digests: fewer than a thousand rows, one for each row.
     owners = found.where("salt > 0").groupBy("digest").agg(F.min(F.struct("owner", "owned")).alias("o"))
-    spread = found.where("salt > 0").drop("owner", "owned").join(F.broadcast(owners), "digest") \
-        .select("id", "place", F.col("o.owner").alias("owner"), F.col("o.owned").alias("owned"))
-    repeats = found.where("salt = 0").select("id", "place", "owner", "owned").unionByName(spread).where("owner < id")
+    repeats = found.join(F.broadcast(owners), "digest", "left") \
+        .select("id", "place", F.coalesce("o.owner", "owner").alias("owner"), F.coalesce("o.owned", "owned").alias("owned")) \
+        .where("owner < id")
     lists = repeats.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("place", "owner", "owned"))).alias("u"))
 
     def run(batches):

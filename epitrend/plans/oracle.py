@@ -3,7 +3,7 @@ the same Parquet tables, registered as views). Fixtures are CTEs."""
 
 from __future__ import annotations
 
-from epitrend.config import band_column
+from epitrend.config import CLEAN_COLUMNS, band_column
 from epitrend.operators.geo import listed_aliases
 from epitrend.plans import params as P
 
@@ -374,6 +374,22 @@ JOIN customer cu ON o.o_custkey = cu.c_custkey
 JOIN nation n ON cu.c_nationkey = n.n_nationkey
 JOIN region g ON n.n_regionkey = g.r_regionkey
 GROUP BY 1, 2""",
+    "profile_columns": _with(_CUSTOMERS) + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS n, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+        + (f"min({c}) AS low_number, max({c}) AS high_number" if c not in ("Date", "Country")
+           else "CAST(NULL AS DOUBLE) AS low_number, CAST(NULL AS DOUBLE) AS high_number")
+        + ", true AS distinct_ok FROM rpt" for c in CLEAN_COLUMNS),
+    "series_falls": _with(_CUSTOMERS) + """,
+step AS (SELECT *, lag(Active) OVER (PARTITION BY Country ORDER BY Date) AS before FROM rpt)
+SELECT Country, min(Date) AS since, arg_min(Active, Date) AS first, arg_max(Active, Date) AS last,
+       count(*) FILTER (WHERE Active < before) AS falls
+FROM step GROUP BY Country""",
+    "nearest_entities": _with(_CUSTOMERS, _BANDS) + """,
+apart AS (
+  SELECT a.Country, b.Country AS neighbour, CAST(""" + " + ".join(f"abs(a.{c} - b.{c})" for c in _BAND_COLS) + """ AS DOUBLE) AS distance
+  FROM feats a JOIN feats b ON a.Country <> b.Country),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY Country ORDER BY distance, neighbour) AS r FROM apart)
+SELECT Country, neighbour, CAST(r AS INTEGER) AS rank, distance FROM ranked WHERE r <= 5""",
     "value_as_of": _with(_CUSTOMERS) + f"""
 SELECT e.Country, r.Date AS observed, date_diff('day', r.Date, DATE '{P.AS_OF_LATE}') AS age,
        r.Confirmed, r.Deaths, r.Recovered, r.Active

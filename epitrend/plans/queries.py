@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from epitrend import operators as op
 from epitrend.config import KMEANS_K, REFIT_K, SEED, SWEEP_KS
+from epitrend.operators import profile as pf
 from epitrend.operators.geo import listed_aliases
 from epitrend.plans import params as P
 from epitrend.plans.clean_table import clean_raw, ingest_directory
@@ -94,6 +95,27 @@ def q_approximate_codes(spark, d):
     return op.approximate_codes(fx.spelled_reports(spark, d, P.COUNTRY_NAMES), listed)
 
 
+def q_profile_columns(spark, d):
+    """The profile of every column from stored partials per month: exact counts
+    and extremes, and whether the sketches keep within their stated bounds."""
+    clean = fx.stored_customer_reports(spark, d)
+    path = scratch_path(spark, "profile")
+    pf.profile_partials(clean.withColumn("month", F.date_format("Date", "yyyy-MM")), "month").write.parquet(path)
+    found = pf.finish_profile(spark.read.parquet(path))
+    names = clean.columns
+    exact = clean.agg(*[F.countDistinct(c).alias(f"d{i}") for i, c in enumerate(names)])
+    long = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("d"))
+                                            for i, c in enumerate(names)])).alias("r")).select("r.*")
+    near = F.abs(F.col("distinct") - F.col("d")) <= pf.DISTINCT_ERROR * F.col("d") + 1
+    return found.join(long, "column").select("column", "n", "nulls", "low_number", "high_number", near.alias("distinct_ok"))
+
+
+def q_series_falls(spark, d):
+    """Falls of every customer's active count, from states per quarter."""
+    clean = fx.stored_customer_reports(spark, d).withColumn("span", F.trunc("Date", "quarter"))
+    return pf.merge_falls(pf.fall_states(clean, "Active", span="span"))
+
+
 # ---- features (per customer: the rows grow with the tables) ---------------
 
 def q_first_day(spark, d):
@@ -172,6 +194,10 @@ def q_compare_curves(spark, d):
     return op.compare_curves(fx.stored_customer_reports(spark, d), *P.CURVES)
 
 
+def q_nearest_entities(spark, d):
+    return op.nearest_entities(_features(spark, d))
+
+
 def q_curve_distances(spark, d):
     return op.curve_distances(fx.stored_customer_reports(spark, d), P.BASELINE, P.THRESHOLD)
 
@@ -366,6 +392,8 @@ QUERIES: dict[str, Query] = {
     "country_codes": q_country_codes,
     "parquet_roundtrip": q_parquet_roundtrip,
     "register_view": q_register_view,
+    "profile_columns": q_profile_columns,
+    "series_falls": q_series_falls,
     "value_as_of": q_value_as_of,
     "match_names": q_match_names,
     "approximate_codes": q_approximate_codes,
@@ -383,6 +411,7 @@ QUERIES: dict[str, Query] = {
     "similar_by_abs": q_similar_by_abs,
     "similar_by_rel": q_similar_by_rel,
     "compare_curves": q_compare_curves,
+    "nearest_entities": q_nearest_entities,
     "curve_distances": q_curve_distances,
     "normalize_headers": q_normalize_headers,
     "detect_dates": q_detect_dates,

@@ -1,5 +1,5 @@
 """Incremental ingestion of report files as they arrive."""
 
-from epitrend.streaming.report_stream import read_rollup, start_ingest
+from epitrend.streaming.report_stream import compact_epochs, read_rollup, start_ingest
 
-__all__ = ["read_rollup", "start_ingest"]
+__all__ = ["compact_epochs", "read_rollup", "start_ingest"]

@@ -12,9 +12,11 @@ overlapping per kind; failing matches are dropped, not searched again):
 ``assign`` a password-like name, a sign and a value of 12 or more characters,
 ``access`` an access-key id of 18 or more, ``hex`` a hex run of 16 or more.
 
-Defined results: a null text is empty and has no spans; repeated rows give
+Defined results: a null or empty text has no spans; repeated rows give
 repeated rows; a null ``doc_id`` is carried through; without samples of both
-kinds no span is added.
+kinds no span is added; spans with one start go in the order of the kinds; a text
+of any length is scanned whole in one pass; an empty table trains a model of the
+common words alone and gives an empty result; ``redact`` keeps all columns of any name.
 """
 
 from __future__ import annotations
@@ -124,11 +126,11 @@ def random_strings(n: int = RANDOM_SAMPLES, seed: int = 11) -> list[str]:
 
 
 def _joined(words: Iterable[str], r: random.Random) -> Iterator[str]:
-    for w in batched(words, 5):
-        if len(w) == 5:
-            w = w[:4]
-            yield from (w[0], "_".join(w[:3]), "-".join(w[:3]).lower(), "".join([x.title() for x in w]),
-                        f"{w[0]}_{w[1]}_{int(r.random() * 3000)}", "/".join(w), "_".join(w[:2]).upper())
+    """Every word alone, and each four (or the rest) joined."""
+    for w in batched(words, 4):
+        yield from w
+        yield from ("_".join(w[:3]), "-".join(w[-3:]).lower(), "".join([x.title() for x in w]),
+                    f"{w[0]}_{w[-1]}_{int(r.random() * 3000)}", "/".join(w), "_".join(w[:2]).upper())
 
 
 def _own(texts: Iterable[str], r: random.Random) -> Iterator[str]:
@@ -173,10 +175,15 @@ def train_from_documents(docs: DataFrame, text_col: str = "text") -> MarkovPair:
 def find_spans(text: str, model: MarkovPair) -> list[tuple[int, int, int]]:
     """All spans of a text, those of the models included."""
     base = base_spans(text)
-    added = []
+    added, at, covered = [], 0, 0
     for m in TOKEN.finditer(text):
         s, e = m.span()
-        if not any(a < e and s < b for a, _, b in base) and model.is_secret(m.group()):
+        # Both run by their starts: base spans that begin before the token ends
+        # are passed once, and ``covered`` is how far they reach.
+        while at < len(base) and base[at][0] < e:
+            covered = max(covered, base[at][2])
+            at += 1
+        if covered <= s and model.is_secret(m.group()):
             added.append((s, 3, e))
     return sorted(base + added)
 

@@ -78,6 +78,59 @@ def test_all_words_of_all_documents_train(spark):
     assert got.ratio[code("Z"), code("X")] > 0
 
 
+def test_every_fifth_word_trains_too(spark):
+    """Only every fifth word differs, at any place in the five."""
+    for at in range(5):
+        words = ["plain"] * 20
+        words[at::5] = ["QZXV"] * 4
+        got = secrets.train_from_documents(spark.createDataFrame([(i, " ".join(words)) for i in range(500)], "doc_id long, text string"))
+        assert got.ratio[ord("Q") - 31, ord("Z") - 31] < -3
+    rest = secrets.train_from_documents(spark.createDataFrame([(i, "QZXV") for i in range(4000)], "doc_id long, text string"))
+    assert rest.ratio[ord("Q") - 31, ord("Z") - 31] < -3  # texts of one word
+
+
+def test_planted_keys_are_found_in_documents(spark):
+    """Random keys of 20 to 64 characters in five alphabets, inside real texts."""
+    r = random.Random(31)
+    docs = [x for x in spark.read.parquet(f"{SF01}/documents.parquet").collect() if x.text]
+    model = secrets.train_from_documents(spark.read.parquet(f"{SF01}/documents.parquet"))
+    keys = secrets.random_strings(500, seed=77)
+    rows, places = [], {}
+    for i, key in enumerate(keys):
+        text = docs[i % len(docs)].text[:3000]
+        cut = text.find(" ", r.randrange(len(text)))
+        head = text[:cut] if cut >= 0 else text
+        rows.append((i, head + " " + key + " " + text[len(head):], "x", 0.0, "c"))
+        places[i] = (len(head) + 1, len(head) + 1 + len(key))
+    got = {x.doc_id: x.spans for x in secrets.scan(spark.createDataFrame(rows, SCHEMA), model).collect()}
+    spans = {i: [tuple(p.split(":")) for p in s.split(",") if p] for i, s in got.items()}
+    covered = lambda i: any(int(s) <= places[i][0] and places[i][1] <= int(e) for _, s, e in spans[i])
+    for n, least in ((20, 0.9), (32, 0.97)):
+        some = [i for i, k in enumerate(keys) if len(k) >= n]
+        assert sum(map(covered, some)) >= least * len(some), (n, sum(map(covered, some)) / len(some))
+    false = sum(k == "markov" and (int(e) <= places[i][0] or int(s) >= places[i][1]) for i in spans for k, s, e in spans[i])
+    assert false == 0
+
+
+def test_spans_of_one_pass_equal_every_pair(spark):
+    model = _model()
+    r = random.Random(12)
+    for _ in range(200):
+        parts = []
+        for _ in range(r.randint(0, 30)):
+            key = "".join(r.choices("abcdefABCDEF0123456789", k=r.randint(5, 40)))
+            parts.append(r.choice([key, f"password={key}", "AKIA" + key.upper(), "0a" * 10 + key, "token: " + key, "word"]))
+        text = r.choice([" ", "/", ""]).join(parts)
+        base = secrets.base_spans(text)
+        want = sorted(base + [(m.start(), 3, m.end()) for m in secrets.TOKEN.finditer(text) if model.is_secret(m.group())
+                              and not any(a < m.end() and m.start() < b for a, _, b in base)])
+        assert secrets.find_spans(text, model) == want
+    import time
+    text = " ".join("password=" + "".join(r.choices("abcdef0123456789XYZ", k=30)) for _ in range(40_000))
+    start = time.time()
+    assert len(secrets.find_spans(text, model)) >= 40_000 and time.time() - start < 20  # 1.5 MB; a square would take minutes
+
+
 def test_trees_equal_a_walk_by_hand():
     r = np.random.default_rng(1)
     x = r.normal(size=(800, 5))
@@ -105,6 +158,14 @@ def test_held_out_accuracy(spark):
     assert len(held) > 40 and sum(p == q for p, q in held) >= 0.95 * len(held)
 
 
+def test_repeated_rows_of_a_sampled_id_train_once(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    one = labels.where("quality is not null").orderBy("doc_id").first()
+    hot = docs.where(F.col("doc_id") == one.doc_id).crossJoin(spark.range(300)).drop("id")
+    a, b = quality.train(docs, labels), quality.train(docs.unionByName(hot), labels)
+    assert (a.feature == b.feature).all() and np.allclose(a.leaf, b.leaf)
+
+
 def test_odd_rows_are_scored(spark):
     docs = spark.createDataFrame([(None, None, "x", 1.0, "c"), (1, "", "x", 1.0, "c"), (1, "", "x", 1.0, "c"), (2, "a" * 300_000, None, None, None)], SCHEMA)
     labels = spark.createDataFrame([(1, None, 0), (None, 1, 0), (2, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")

@@ -2,7 +2,7 @@
 
 First-fit decreasing. A document of more than ``capacity`` ids is cut into
 full pieces, each a sequence of its own, and a rest. All pieces are dealt into
-random groups by a hash of (document, start); the number of groups grows with
+random groups by a hash of (document, start, row); the number of groups grows with
 the number of pieces, so a group has about ``group_pieces`` of them at any
 input size. Each group is packed on its own: pieces by falling length, each
 into the first sequence with room for it. A tournament tree over the remaining
@@ -10,9 +10,11 @@ room of the sequences finds that sequence in O(log n).
 
 Only lengths, checksums and positions are shuffled, never the ids.
 
-Defined results: a null or blank text is one piece holding only the end id;
-repeated rows are packed as often as they occur; a null ``doc_id`` is carried
-through; an empty table gives an empty result.
+Defined results: a null or empty text is one piece holding only the end id;
+repeated rows are packed as often as they occur, and rows of one id, null
+included, spread over all groups; pieces of one length are packed in the order
+of id and start; a very long text is tokenised whole in one task; an empty table
+gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -118,11 +120,12 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: i
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES,
          seed: int = 17, id_col: str = "doc_id") -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``. Pieces longer than
-    ``capacity`` are an error."""
-    pieces = materialize(pieces, "pieces")
-    groups = max(1, -(-pieces.count() // group_pieces))
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), "start"),
-                                               F.lit(groups)))
+    ``capacity`` are an error. A row's own number, stored with it, is part of its
+    group's hash, so rows of one id spread over all groups."""
+    stored = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    groups = max(1, -(-stored.count() // group_pieces))
+    dealt = stored.withColumn("_group", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), "start", "_row"),
+                                               F.lit(groups))).drop("_row")
     schema = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes) + ", sequence_id long, offset long"
 
     def run(group: pd.DataFrame) -> pd.DataFrame:

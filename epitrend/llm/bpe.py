@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epitrend.llm.common import begin_task, materialize, on_other_use, text_or_empty
+from epitrend.llm.common import begin_task, join_on, materialize, on_other_use, text_or_empty
 
 VOCABULARY = "word_bpe_49k.json"
 LEAF = 4096          # characters of unsplit text encoded in one go
@@ -339,8 +339,7 @@ def _encoded(docs, vocabulary, leaf, id_col, text_col, columns, makers, finish)
 
     def assemble(group: pd.DataFrame) -> pd.DataFrame:
         bpe = load(path)
-        copies = int((group["_seq"] == 0).sum())
-        group = group.drop_duplicates("_seq").sort_values("_seq")
+        group = group.sort_values("_seq")
         parts, run = [], []
         for k, piece, ids in [*zip(group["_kind"], group["_piece"], group["_ids"]), (0, "", [])]:
             if k < 2 and run:
@@ -351,13 +350,17 @@ def _encoded(docs, vocabulary, leaf, id_col, text_col, columns, makers, finish)
             elif len(ids):
                 parts.append([int(i) for i in ids])
         row = finish(*[map(make, parts) for make in makers(bpe)])
-        return pd.DataFrame({id_col: [group["_id"].iloc[0]] * copies,
-                             **{n: [v] * copies for n, v in zip(names, row)}})
+        return pd.DataFrame({"_id": [group["_id"].iloc[0]], "_key": [group["_key"].iloc[0]],
+                             **{n: [v] for n, v in zip(names, row)}})
 
     # The texts are read once; what this stores has no text but that of long words.
     staged = materialize(rows.mapInPandas(first, f"{piece_schema}, {columns}"), "encoded")
     whole = staged.where("_kind = -1").select(F.col("_id").alias(id_col), *names)
-    grown = (staged.where("_kind >= 0").select(*piece_names).repartition("_id", "_key", "_seq")
+    # Copies of a text with long words are one: its pieces are encoded once, and
+    # the result goes back to every copy's row.
+    pieces = staged.where("_kind >= 0")
+    grown = (pieces.groupBy(*piece_names).agg(F.count(F.lit(1)).alias("_copies")).drop("_copies").repartition("_id", "_key", "_seq")
              .mapInPandas(leaves, piece_schema)
-             .groupBy("_id", "_key").applyInPandas(assemble, f"`{id_col}` {kind}, {columns}"))
-    return whole.unionByName(grown)
+             .groupBy("_id", "_key").applyInPandas(assemble, f"_id {kind}, _key string, {columns}"))
+    copies = join_on(pieces.where("_seq = 0").select("_id", "_key"), grown, ["_id", "_key"])
+    return whole.unionByName(copies.select(F.col("_id").alias(id_col), *names))

@@ -116,3 +116,25 @@ def test_packing_is_whole(spark, bpe):
     assert all(ids in want for ids in whole.values())
     assert sum(r["length"] for r in got) == sum(map(len, want))
     assert pack_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_hot_id_spreads_over_all_groups(spark):
+    """A third of the rows on one id and a third on null."""
+    rows = [((None, 7, i)[i % 3], "word " * (i % 5), "x", "clash") for i in range(3000)]
+    got = [r.sequence_id >> 32 for r in pack_documents(spark.createDataFrame(rows, SCHEMA), group_pieces=100).collect()]
+    sizes = np.bincount(got)
+    assert len(got) == 3000 and len(sizes) == 30 and sizes.max() <= 200
+
+
+def test_copies_of_a_long_word_are_encoded_once(spark, bpe):
+    """A third of the rows are copies of a text over the default leaf."""
+    long = "".join(random.Random(4).choices("theinabc", k=9000))
+    rows = [((None, 7, i)[i % 3], long if i % 3 == 1 else f"plain {i} " + long * (i == 0), "x", "c") for i in range(90)]
+    rows += [(7, "z" + long, "x", "c")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    want = sorted((r[0] if r[0] is not None else -1, hashlib.sha256(" ".join(map(str, bpe.tok.encode(r[1], add_special_tokens=False).ids)).encode()).hexdigest())
+                  for r in rows)
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.ids_sha256) for r in encode_digests(df).collect())
+    assert got == want
+    packed = pack_documents(df, with_ids=True).collect()
+    assert sum(r.length for r in packed) == sum(len(bpe.tok.encode(r[1], add_special_tokens=False).ids) + 1 for r in rows)

@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     """Fit on at most ``max_rows`` labelled documents that are not held out.
 
     The sample's ids are at most ``max_rows`` rows, so they are broadcast; only
-    the sampled documents' statistics reach the driver."""
+    the sampled documents' statistics, a row per id, reach the driver."""
     ids = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~is_held_out(id_col))
            .select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_y"))
            .orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows))
@@ -170,7 +170,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     got = (docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("t"))
            .join(F.broadcast(ids), "_id")
            .select(F.col("_id").cast("string").alias("id"), F.col("_y").alias("y"), "t")
-           .mapInPandas(run, schema).toPandas())
+           .mapInPandas(run, schema)
+           # One row per id, however often its document is repeated.
+           .groupBy("id").agg(F.min(F.struct("y", *FEATURES)).alias("r")).select("id", "r.*").toPandas())
     got = got.sort_values(list(got.columns))  # the same model for any layout
     return fit(got[list(FEATURES)].to_numpy(float), got["y"].to_numpy(float), **options)
 

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from epitrend.llm.common import join_on, materialize
 
 PART_TURNS = 64
-BLOCK_ROWS = 512
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
@@ -35,8 +34,8 @@ def prefixes(turns: DataFrame) -> DataFrame:
                         F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("digest")).distinct()
     key = ["conv_id", "turn", "role", "digest"]
     rows = materialize(rows, "turns")
-    blocks = 16 + rows.count() // BLOCK_ROWS
-    rows = materialize(rows.repartitionByRange(blocks, *key).withColumn("block", F.spark_partition_id()), "blocks")
+    # As many ranges as the session shuffles into.
+    rows = materialize(rows.repartitionByRange(*key).withColumn("block", F.spark_partition_id()), "blocks")
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "digest")
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)

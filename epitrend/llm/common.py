@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitrend.session import scratch_path
+from epitrend.session import delete_folder, scratch_path
 
 
 _CLEAR: list[Callable[[], None]] = []
@@ -38,12 +39,30 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_MADE: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """On leaving, deletes the tables that ``materialize`` has written inside,
+    but for those whose paths were put in the list."""
+    start, keep = len(_MADE), []
+    try:
+        yield keep
+    finally:
+        for path in _MADE[start:]:
+            if path not in keep:
+                delete_folder(spark, path)
+        _MADE[start:] = keep
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     This cuts the lineage like ``checkpoint`` does, keeps the columnar layout
     and survives lost executors. Used for tables that several later jobs read."""
     path = scratch_path(df.sparkSession, name)
+    _MADE.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from epitrend.llm.common import join_on, materialize, text_or_empty
 
 SAMPLES, EXPONENTIALS = 32, 16
-BLOCK_ROWS = 2048
 
 
 def _uses(samples: int = SAMPLES, n: int = EXPONENTIALS) -> list[tuple[int, int, int, int]]:
@@ -108,8 +107,8 @@ def followers(ids: DataFrame) -> DataFrame:
     followed by the first. The order is a range sort; at a range's end the
     next range's first row follows."""
     ids = materialize(ids, "ids")
-    ranges = 16 + ids.count() // BLOCK_ROWS
-    placed = materialize(ids.repartitionByRange(ranges, "id", "h0").withColumn("block", F.spark_partition_id()), "ranges")
+    # As many ranges as the session shuffles into.
+    placed = materialize(ids.repartitionByRange("id", "h0").withColumn("block", F.spark_partition_id()), "ranges")
     step = F.lead(F.struct("id", "h0")).over(Window.partitionBy("block").orderBy("id", "h0"))
     every = Window.orderBy("block")  # one row per range
     whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -42,8 +42,7 @@ def _chat_rows():
     return rows + rows[:10]
 
 
-def test_maximal_conversations_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr("epitrend.llm.chat.BLOCK_ROWS", 64)
+def test_maximal_conversations_equal_brute_force(spark, many_ranges):
     rows = _chat_rows()
     df = spark.createDataFrame([(*x, "clash", "clash") for x in rows], CHAT)
     want = _keep(rows)
@@ -55,8 +54,7 @@ def test_maximal_conversations_equal_brute_force(spark, monkeypatch):
     assert render(df.limit(0)).count() == 0
 
 
-def test_long_conversation_is_spread(spark, monkeypatch):
-    monkeypatch.setattr("epitrend.llm.chat.BLOCK_ROWS", 64)
+def test_long_conversation_is_spread(spark, many_ranges):
     df = spark.createDataFrame([(1, k, "u", str(k)) for k in range(3000)], "conv_id long, turn long, role string, text string")
     got = prefixes(df).toPandas().sort_values("turn")
     assert got["place"].tolist() == list(range(1, 3001)) and got["p1"].nunique() == 3000

@@ -34,8 +34,7 @@ def test_every_sample_uses_four_exponentials():
     assert len(set(_uses())) == SAMPLES
 
 
-def test_followers_across_ranges(spark, monkeypatch):
-    monkeypatch.setattr("epitrend.llm.fingerprints.BLOCK_ROWS", 8)
+def test_followers_across_ranges(spark, many_ranges):
     ids = random.Random(1).sample(range(10_000), 500)
     got = {r.id: r.next_id for r in followers(spark.createDataFrame([(i, i) for i in ids], "id long, h0 long")).collect()}
     ids.sort()

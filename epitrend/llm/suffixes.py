@@ -17,9 +17,16 @@ else (same document included) is removed; strings are judged on the input.
    many documents share) is split by content: its starts are filed anew under
    their whole string, where equal strings meet and nothing else does.
 
-Defined results: a null text is empty; repeated rows of one ``doc_id`` with
-one text are one document, so they are no repeats of each other; rows with a
-null ``doc_id`` are left whole and make no other a repeat.
+Of the starts that are listed in the end, most come from step 2 (85% at sf0.001,
+where whole passages and documents are copied), the others from sorted suffixes:
+those of the edges of passages and of repeats inside a run.
+
+Defined results: a null text is empty, an empty or short one is kept whole;
+repeated rows of one ``doc_id`` with one text are one document, so they are no
+repeats of each other; rows with a null ``doc_id`` are left whole and make no other
+a repeat; of equal strings all go, so there are no ties; a text of any length is
+one row of one task, and a run of one byte is sorted at once; an empty table gives
+an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -68,10 +75,15 @@ def suffix_array(s: np.ndarray, depth: int) -> np.ndarray:
     by_byte = np.searchsorted(s[direct], np.arange(257))
     pending: list[list[np.ndarray]] = [[] for _ in range(256)]
 
+    heads = np.concatenate([[0], change + 1])  # where runs of one byte begin
+
     def induce(order: np.ndarray) -> None:
-        """File the large suffixes before these ones under their first byte."""
+        """File the large suffixes before these ones under their first byte;
+        those of the same run of one byte are in ``order`` already."""
         prev = order[order > 0] - 1
         prev = prev[~small[prev]]
+        if order[0] < n:
+            prev = prev[s[prev] != s[prev + 1]]
         first = s[prev]
         by = np.argsort(first, kind="stable")
         prev, first = prev[by], first[by]
@@ -83,13 +95,19 @@ def suffix_array(s: np.ndarray, depth: int) -> np.ndarray:
     out = []
     for c in range(256):
         own = []
-        while pending[c]:  # runs of one byte come back to their own bucket
+        if pending[c]:
+            # Before each stands the rest of its run of one byte: one step back
+            # in all runs, then two steps, and so on.
             part = np.concatenate(pending[c])
-            pending[c] = []
-            own.append(part)
-            induce(part)
+            back = part - heads[np.searchsorted(heads, part, "right") - 1]
+            which = np.repeat(np.arange(len(part)), back)
+            step = np.arange(len(which)) - np.repeat(np.cumsum(back) - back, back) + 1
+            rest = (part[which] - step)[np.argsort(step, kind="stable")]
+            own = [np.concatenate([part, rest])]
+            induce(own[0])
         small_here = direct[by_byte[c]:by_byte[c + 1]]
-        induce(small_here)
+        if len(small_here):
+            induce(small_here)
         out += [*own, small_here]
     return np.concatenate(out)
 

@@ -27,6 +27,27 @@ def test_suffix_array_is_sorted():
         assert keys == sorted(keys)
 
 
+def test_runs_of_one_byte_are_sorted_at_once():
+    import time
+
+    r = random.Random(8)
+    for _ in range(100):  # runs of many lengths between each other
+        s = "".join(r.choice("abc") * r.choice([1, 2, 30]) for _ in range(r.randint(1, 30))).encode()
+        got = suffix_array(np.frombuffer(s, np.uint8), 64).tolist()
+        keys = [(s + bytes(64))[i:i + 64] for i in got]
+        assert sorted(got) == list(range(len(s))) and keys == sorted(keys)
+    start = time.time()
+    s = np.full(5_000_000, 97, np.uint8)
+    assert suffix_array(s, 200)[:3].tolist() == [4_999_999, 4_999_998, 4_999_997]
+    assert time.time() - start < 20
+
+
+def test_a_long_text_of_one_letter(spark):
+    rows = [(1, "a" * 5_000_000, *EXTRA), (2, "b" * 300 + "x" * 150, *EXTRA), (3, "", *EXTRA), (4, None, *EXTRA)]
+    got = {x.doc_id: (x.n_bytes, x.n_removed) for x in remove_repeated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: (5_000_000, 5_000_000), 2: (450, 300), 3: (0, 0), 4: (0, 0)}
+
+
 def test_repeated_starts_equal_brute_force():
     r = random.Random(4)
     for _ in range(100):

@@ -15,7 +15,8 @@ agree: neighbouring ids are then all pairs of one valid encoding, and a
 sequence whose neighbouring pairs are all valid is the encoding of its text.
 
 Defined results: a null or blank text has no ids, an empty decoded text and one
-row; repeated rows give repeated rows; a null ``doc_id`` is carried through.
+row; repeated rows give repeated rows; a null ``doc_id`` is carried through; an
+empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ Rendered text comes in parts of ``PART_TURNS`` turns. DataFrame functions only.
 
 Defined results: turns are ordered by (turn, role, md5 of text), a null turn
 first; a null role or text is empty; a repeated row counts once; rows with a
-null ``conv_id`` are one conversation, which goes before an equal one.
+null ``conv_id`` are one conversation, which goes before an equal one; an empty
+table gives an empty result; a conversation of any length is spread over ranges
+and parts, a single text is one value; other columns are not looked at.
 """
 
 from __future__ import annotations

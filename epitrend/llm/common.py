@@ -56,14 +56,20 @@ def scratch(spark: SparkSession) -> Iterator[list[str]]:
         _MADE[start:] = keep
 
 
+def store(df: DataFrame, name: str) -> str:
+    """Write ``df`` to the shared scratch folder; its path."""
+    path = scratch_path(df.sparkSession, name)
+    _MADE.append(path)
+    df.write.parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     This cuts the lineage like ``checkpoint`` does, keeps the columnar layout
     and survives lost executors. Used for tables that several later jobs read."""
-    path = scratch_path(df.sparkSession, name)
-    _MADE.append(path)
-    df.write.parquet(path)
+    path = store(df, name)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -19,7 +19,8 @@ method counts collisions for every pair whose first projections are near.
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null label or id, link with nothing; vectors of
 different lengths are not compared; rows of one ``vec_id`` with one vector are
-one vector.
+one vector; a cosine equal to the threshold links; an empty table gives an empty
+result; other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -22,7 +22,9 @@ band.
 
 Defined results: a null or blank text has an empty set and no links; a
 document with a null ``doc_id`` links with nothing, has a null component and
-is kept; rows of one ``doc_id`` are one document.
+is kept; rows of one ``doc_id`` are one document; equal sets go to the smallest
+id; a text of any length is one row of one task; an empty table gives an empty
+result; ``keep_one`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -7,9 +7,11 @@ flattened into arrays (feature, threshold, leaf values of full binary trees).
 Scoring walks all rows of a batch through a tree level by level with numpy.
 
 Defined results: a null text is empty and is scored like any other; a null
-label is no label; repeated label rows count as often as they occur; without
+label is no label; of an id with several labels one counts; without
 any label every score is 0.5, with labels of one kind only it is near that
-kind; a null ``doc_id`` is scored, not held out and never learnt from.
+kind; a null ``doc_id`` is scored, not held out and never learnt from; of repeated
+rows of a sampled id one is learnt from; a text of any length is read whole in
+one task; an empty table gives an empty result; ``keep_accepted`` keeps all columns.
 """
 
 from __future__ import annotations

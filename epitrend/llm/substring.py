@@ -2,7 +2,7 @@
 
 A gear hash rolls over the bytes of a text: ``h = (h << 1) + gear[byte]``. Its low
 16 bits follow from the last 16 bytes alone; where the highest ``BITS`` of them are
-zero, and no such place lies ``APART`` bytes before, a chunk ends (about 20 bytes
+zero, and no such place lies ``APART`` bytes before, a chunk ends (about 14 bytes
 on). Cuts so depend on the text around them and not on where it stands: what is
 inserted before a passage shifts nothing inside it. Two neighbouring chunks make
 a unit with a 64-bit digest, and the first document (smallest id) with a digest
@@ -13,13 +13,14 @@ owns it.
    owner's are repeats. Digests that hold more than a thousandth of the units of
    a sample of documents (fewer than a thousand) are dealt to ``SALTS`` tasks
    each; what is found does not depend on the sample.
-2. Overlapping or touching repeats of a document make a run. Its first and its
-   last unit are looked up in their owners, which give the ``REACH`` bytes before
-   and after, once per unit however many documents repeat it.
+2. Overlapping or touching repeats of a document that stand as far apart in one
+   owner make a run. The ends of its first and its last unit are looked up in the
+   owner, which gives the ``REACH`` bytes before and after, once per unit however
+   many documents repeat it.
 3. At each document the run is extended byte by byte on both sides as far as the
-   bytes agree. Runs of ``min_run`` bytes or more are removed, the first occurrence
-   stays. Units that a text repeats within itself are found there and extended
-   the same way.
+   bytes agree. Runs of ``min_run`` bytes or more (``REACH`` is as much, so one unit
+   tells) are removed, the first occurrence stays. Units that a text repeats within
+   itself are found there and extended the same way.
 
 Texts are shuffled once, for steps 2 and 3 together. A passage shorter than three
 cuts (a share that falls with its length: none of 150 passages of 51 words in the
@@ -36,7 +37,7 @@ of one task, its units are rows; other columns of any name are kept.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -47,8 +48,8 @@ from pyspark.sql import functions as F
 
 from epitrend.llm.common import begin_task, materialize
 
-BITS, APART, LONGEST = 3, 8, 64
-MIN_RUN, REACH = 100, 64
+BITS, APART, LONGEST = 3, 5, 64
+MIN_RUN, REACH = 100, 100
 SALTS, SAMPLE_DOCS = 64, 20_000
 _GEAR = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 16, 256, dtype=np.uint32)
 
@@ -60,14 +61,43 @@ def cuts(raw: bytes) -> np.ndarray:
         longer = h.copy()
         longer[s:] += h[:-s] << np.uint32(s)
         h = longer
-    at = np.flatnonzero(h & np.uint32(((1 << BITS) - 1) << (16 - BITS)) == 0) + 1
+    h &= np.uint32(0xFFFF)
+    at = np.flatnonzero(h < np.uint32(1 << (16 - BITS))) + 1
     if len(at):
         at = at[np.concatenate([[True], np.diff(at) >= APART])]
     at = np.unique(np.concatenate([[0], at, [len(raw)]]))
     wide = np.flatnonzero(np.diff(at) > LONGEST)
-    if len(wide):  # one repeated byte, for instance, is cut every LONGEST bytes
-        at = np.unique(np.concatenate([at, *[np.arange(at[i], at[i + 1], LONGEST) for i in wide]]))
-    return at
+    return np.unique(np.concatenate([at, *[_inner_cuts(h, int(at[i]), int(at[i + 1])) for i in wide]])) if len(wide) else at
+
+
+def _sliding(f: Callable, a: np.ndarray, width: int) -> np.ndarray:
+    """``f`` over every ``width`` neighbours."""
+    span = 1
+    while 2 * span <= width:
+        a = f(a[:-span], a[span:])
+        span *= 2
+    return f(a[:len(a) - (width - span)], a[width - span:]) if span < width else a
+
+
+def _inner_cuts(h: np.ndarray, start: int, end: int) -> np.ndarray:
+    """Cuts of a stretch without any: after hashes that are the smallest of some
+    ``LONGEST`` neighbours, ``APART`` from each other, so that a word repeated over
+    and over is cut in step with itself; ``LONGEST`` bytes on where there is none."""
+    inside = h[start + 15:end - 1]  # of bytes of this stretch alone
+    at = []
+    if len(inside) >= LONGEST:
+        low = _sliding(np.minimum, inside, LONGEST)
+        edge = np.zeros(LONGEST - 1, h.dtype)
+        at = (np.flatnonzero(_sliding(np.maximum, np.concatenate([edge, low, edge]), LONGEST) == inside) + start + 16).tolist()
+    found, last = [], start
+    for p in [*at, end]:
+        while p - last > LONGEST:
+            last += LONGEST
+            found.append(last)
+        if p < end and p - last >= APART:
+            found.append(p)
+            last = p
+    return np.array(found, np.int64)
 
 
 def units(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -124,7 +154,8 @@ def removed_runs(raw: bytes, found: list[tuple[int, int]], min_run: int = MIN_RU
     """Byte ranges to remove: ``found`` in other documents and repeated here,
     ``min_run`` long at least and cut at code points."""
     out = []
-    for s, e in _joined([*found, *(_own_repeats(raw) if len(raw) >= min_run else [])]):
+    own = _own_repeats(raw) if len(raw) >= min_run else []
+    for s, e in _joined([r for r in [*found, *own] if r[1] - r[0] >= min_run]):
         while s < e and raw[s] & 0xC0 == 0x80:
             s += 1
         while e < len(raw) and e > s and raw[e] & 0xC0 == 0x80:
@@ -209,7 +240,7 @@ def _repeats(occurrences: DataFrame) -> DataFrame:
     return laid.mapInArrow(run, f"id {kind}, place long, digest long, salt byte, owner {kind}, owned long")
 
 
-def _runs(rows: DataFrame, min_run: int) -> DataFrame:
+def _runs(rows: DataFrame) -> DataFrame:
     """``id, s, e`` of the runs of repeats, with the owners of the first and the
     last unit (``o1``, ``o2``) and their places there (``p1``, ``p2``)."""
     kind = dict(rows.dtypes)["id"]
@@ -230,15 +261,16 @@ def _runs(rows: DataFrame, min_run: int) -> DataFrame:
         for b in batches:
             out = []
             for i, u in zip(b["id"], b["u"]):
-                start, end, first = -1, -1, None
+                start, end, first, last = -1, -1, None, None
                 for p in [*u, None]:
                     s, n = (p["place"] // 1024, p["place"] % 1024) if p is not None else (1 << 62, 0)
-                    if s > end:
-                        if first is not None and end - start + 2 * REACH >= min_run:
+                    follows = p is not None and first is not None and s <= end and p["owner"] == last["owner"] \
+                        and s - p["owned"] // 1024 == start - first["owned"] // 1024
+                    if not follows:
+                        if first is not None:
                             out.append((i, start, end, first["owner"], first["owned"], last["owner"], last["owned"]))
                         start, first = s, p
-                    if p is not None and s + n >= end:
-                        end, last = s + n, p
+                    end, last = s + n, p
             yield pd.DataFrame(out, columns=["id", "s", "e", "o1", "p1", "o2", "p2"])
 
     return materialize(lists.mapInPandas(run, f"id {kind}, s long, e long, o1 {kind}, p1 long, o2 {kind}, p2 long"), "runs")
@@ -254,7 +286,7 @@ def _with_runs(docs: DataFrame, min_run: int, id_col: str, text_col: str) -> tup
     text = F.col(body).cast("string")
     usable = F.col(id_).isNotNull() & (F.coalesce(F.octet_length(text), F.lit(0)) >= min_run)
     rows = every.where(usable)
-    runs = _runs(rows.select(F.col(id_).alias("id"), text.alias("text")), min_run)
+    runs = _runs(rows.select(F.col(id_).alias("id"), text.alias("text")))
     ends = runs.select(F.col("o1").alias("o"), F.col("p1").alias("p"), F.lit(False).alias("after")) \
         .unionByName(runs.select(F.col("o2").alias("o"), F.col("p2").alias("p"), F.lit(True).alias("after"))).distinct()
     wanted = ends.groupBy("o").agg(F.collect_list(F.struct("p", "after")).alias("places"))

@@ -1,11 +1,15 @@
 """The pipeline's stages, each against brute force on its own input."""
 
+import os
+import random
+
+import numpy as np
+
 import __spark_entry__ as entry
 import corpus_pipeline
-from epitrend.llm import quality, secrets
+from epitrend.llm import common, quality, secrets, substring
 from epitrend.llm.bpe import WordBpe, vocabulary_path
 from epitrend.llm.common import table
-from epitrend.llm.substring import chunks, removed_runs
 from tests.conftest import SF001
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -51,18 +55,23 @@ def test_stages_equal_brute_force(spark):
     assert sorted(_rows(single)) == sorted(i for i in sets if find(i) == i) and single.columns == COLUMNS
 
     cut = stages["substring_dedup"](spark, single, SF001).cache()
-    owner: dict = {}
-    texts = {i: r.text.encode() for i, r in sorted(_rows(single).items())}
-    for i, raw in texts.items():
-        for *_, d in chunks(raw):
-            if d:
-                owner.setdefault(d, i)
+    texts = {i: (r.text or "").encode() for i, r in sorted(_rows(single).items())}
+    seen: set = set()
+    removed = again = 0
+    spans = {r.doc_id: r.spans for r in substring.measure(single).collect()}
     assert cut.columns == COLUMNS and sorted(_rows(cut)) == sorted(texts)
-    for i, r in _rows(cut).items():
-        raw = texts[i]
-        spans = removed_runs(raw, {int.from_bytes(d[:8], "big", signed=True) for *_, d in chunks(raw) if d and owner[d] < i})
-        kept = b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(raw)])).decode()
-        assert r.text == kept and r.n_chars == len(kept)
+    for i, raw in texts.items():  # by rising id, against all strings of 100 bytes
+        mask = np.zeros(len(raw), bool)
+        for k in range(len(raw) - 99):
+            if raw[k:k + 100] in seen:
+                mask[k:k + 100] = True
+            seen.add(raw[k:k + 100])
+        gone = [tuple(map(int, p.split(":"))) for p in spans[i].split(",") if p]
+        kept = b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in gone)], [*(s for s, _ in gone), len(raw)])).decode()
+        assert _rows_cache(cut)[i].text == kept and _rows_cache(cut)[i].n_chars == len(kept)
+        assert all(mask[a:b].all() and b - a >= 100 for a, b in gone)
+        removed, again = removed + len(raw) - len(kept.encode()), again + int(mask.sum())
+    assert removed >= 0.95 * again > 0, (removed, again)
 
     clean = stages["secrets"](spark, cut, SF001).cache()
     pair = secrets.train_from_documents(cut)
@@ -91,7 +100,7 @@ def _rows_cache(df):
 
 def test_registered(spark):
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert len(names) == 11 and "op3_chat" in entry.oracle_sql()
+    assert len(names) == 14 and "op3_chat" in entry.oracle_sql()
     assert entry.queries()["pipeline"](spark, SF001).count() > 0
 
 
@@ -100,3 +109,44 @@ def test_stages_take_empty_tables(spark):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF001)
         assert out.count() == 0, name
+
+
+def test_stages_take_odd_rows(spark):
+    """Nulls, repeated rows, a long text, ties and columns of any name."""
+    r = random.Random(3)
+    base = [x for x in table(spark, SF001, "documents").collect() if x.text and 200 < len(x.text) < 3000][:40]
+    long = " ".join(x.text for x in base) * 40
+    rows = [(x.doc_id, x.text, x.lang, x.source, x.n_chars) for x in base]
+    rows += [(None, base[0].text, None, None, None), (None, None, None, None, None), (900_001, None, "en", "s", 0),
+             (900_002, "", "en", "s", 0), (900_003, long, "en", "s", len(long)), (900_004, base[1].text, "en", "s", 1)]
+    rows += rows[:3] * 2
+    r.shuffle(rows)
+    names = ["_id", "gone", "id", "digest", "runs", "c0", "t", "score"]
+    docs = spark.createDataFrame([(*x, *names) for x in rows], "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"`{n}` string" for n in names))
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("quality", "near_dedup", "substring_dedup", "secrets"):
+        before = [x.doc_id for x in docs.collect()]
+        docs = common.materialize(stages[name](spark, docs, SF001), "odd")
+        got = docs.collect()
+        assert docs.columns == COLUMNS + names and all(x[5:] == tuple(names) for x in got)
+        assert {x.doc_id for x in got} <= set(before)
+        if name == "near_dedup":
+            assert sum(x.doc_id is None for x in got) == before.count(None)  # none is another's copy
+            assert 900_004 not in {x.doc_id for x in got} or base[1].doc_id not in {x.doc_id for x in got}
+        if name in ("substring_dedup", "secrets"):
+            assert len(got) == len(before)
+    pieces = stages["packing"](spark, docs, SF001).collect()
+    assert {p.doc_id for p in pieces} == {x.doc_id for x in docs.collect()}
+    assert sum(p.start == 0 for p in pieces) == docs.count()
+
+
+def test_scratch_tables_are_deleted(spark):
+    with common.scratch(spark) as keep:
+        common.materialize(spark.range(3), "gone")
+        keep.append(common.store(spark.range(5), "kept"))
+        paths = [p.removeprefix("file:") for p in common._MADE[-2:]]
+    assert [os.path.exists(p) for p in paths] == [False, True]
+    count = len(common._MADE)
+    assert corpus_pipeline.run(spark, SF001).count() > 0
+    assert all("pipeline-" in p for p in common._MADE[count:])

@@ -4,7 +4,15 @@ Every stage takes ``(spark, docs, sf_dir)`` and works on all that the stage
 before kept. All but the last return the columns of ``documents``, with
 ``n_chars`` following the text. ``run`` writes each stage's result to the
 shared folder and rereads it, so no stage recomputes another and a lost
-executor costs no more than its own tasks.
+executor costs no more than its own tasks; what a stage has written besides is
+deleted once its result is there.
+
+Defined results: a null text is scored as empty, stays null until it is packed
+and is then a document of the end id alone; documents with a null id are never
+another's copy and all stay that the classifier accepts; repeated rows of one id
+are one document to near_dedup, which keeps or drops them together; equal texts go
+to the smallest id; texts of any length are whole rows; empty tables give an empty
+result; other columns of any name are carried up to packing.
 """
 
 from __future__ import annotations
@@ -13,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epitrend.llm import minhash, packing, quality, secrets, substring
-from epitrend.llm.common import materialize, table
+from epitrend.llm.common import scratch, store, table
+from epitrend.session import delete_folder
 
 NEAR_PERCENT = 80  # similarity in per cent from which documents are near-duplicates
 
@@ -62,7 +71,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark) as keep:
+            out = stage(spark, docs, sf_dir)
+            path = store(out, f"pipeline-{name}")
+            keep.append(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            delete_folder(spark, before)
+        before = path
     return docs

@@ -16,7 +16,7 @@ from epitrend.operators.ingest import (coerce_measures, dated_partials, detect_d
                                        merge_partials, normalize_headers, rejected_dates,
                                        rejected_rows, report_partials, resolve_header, sum_dated)
 from epitrend.operators.matching import approximate_codes, match_names
-from epitrend.operators.neighbours import compared_blocks, nearest_entities
+from epitrend.operators.neighbours import compared_pairs, nearest_entities
 from epitrend.operators.profile import (fall_states, finish_profile, merge_falls, merge_profiles,
                                         profile_partials)
 from epitrend.operators.rollup import daily_rollup, qualify_entities
@@ -25,7 +25,7 @@ from epitrend.operators.snapshot import as_of_snapshot, latest_snapshot, top_bot
 __all__ = [
     "aligned_curves", "approximate_codes", "array_index", "as_of_snapshot", "assemble_features",
     "band_columns", "band_states", "baseline_diff", "best_k", "canonical_layout", "center_facts",
-    "chord_distances", "coerce_measures", "compare_curves", "compared_blocks", "country_codes",
+    "chord_distances", "coerce_measures", "compare_curves", "compared_pairs", "country_codes",
     "curve_distances", "daily_rollup", "dated_partials", "days_in_bands", "detect_dates", "elbow_k",
     "extend_band_state", "fall_states", "feature_table", "finish_band_states", "finish_partials",
     "finish_profile", "first_crossing", "first_day", "hash_split", "iso_aliases", "k_sweep", "kmeans_assign",

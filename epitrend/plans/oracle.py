@@ -56,6 +56,12 @@ rpt AS (
 _LATEST = """,
 latest AS (SELECT * FROM rpt WHERE Date = (SELECT max(Date) FROM rpt))"""
 
+# The last row of every entity up to a day.
+_LAST = f""",
+latest AS (
+  SELECT r.* FROM (SELECT DISTINCT Country, DATE '{P.AS_OF_LATE}' AS day FROM rpt) e
+  ASOF JOIN rpt r ON e.Country = r.Country AND e.day >= r.Date)"""
+
 
 def _band_sql(lo, up):
     return (f"CAST(abs(min(rn) FILTER (WHERE Confirmed >= {lo} AND Confirmed < {up})"
@@ -168,7 +174,7 @@ def _with(*ctes: str) -> str:
 
 
 def _top_bottom(measure: str) -> str:
-    return _with(_REPORTS, _LATEST) + f"""
+    return _with(_CUSTOMERS, _LAST) + f"""
 (SELECT 'top' AS side, Country, {measure} FROM latest
  ORDER BY {measure} DESC NULLS LAST, Country ASC NULLS FIRST LIMIT 5)
 UNION ALL
@@ -244,13 +250,13 @@ WITH rows AS (
 SELECT Date, Country, sum(Confirmed) AS Confirmed, sum(Deaths) AS Deaths,
        sum(Recovered) AS Recovered, sum(Confirmed - (Deaths + Recovered)) AS Active
 FROM rows GROUP BY Date, Country""",
-    "qualify_entities": _with(_REPORTS) + f"""
+    "qualify_entities": _with(_CUSTOMERS) + f"""
 SELECT * FROM rpt WHERE Country IN (
   SELECT Country FROM rpt GROUP BY Country
   HAVING count(*) >= {P.QUALIFY['min_rows']}
      AND bool_or(Date = DATE '{P.QUALIFY['on']}' AND Confirmed > {P.QUALIFY['gt']}))""",
-    "latest_snapshot": _with(_REPORTS, _LATEST) + "SELECT * FROM latest",
-    "as_of_snapshot": _with(_REPORTS) + f"SELECT * FROM rpt WHERE Date = DATE '{P.AS_OF}'",
+    "latest_snapshot": _with(_CUSTOMERS, _LATEST) + "SELECT * FROM latest",
+    "as_of_snapshot": _with(_CUSTOMERS) + f"SELECT * FROM rpt WHERE Date = DATE '{P.AS_OF}'",
     "top_bottom_confirmed": _top_bottom("Confirmed"),
     "top_bottom_deaths": _top_bottom("Deaths"),
     "top_bottom_recovered": _top_bottom("Recovered"),
@@ -270,7 +276,7 @@ FROM latest l
 LEFT JOIN aliases a
   ON trim(lower(regexp_replace(l.Country, '[^[:alnum:]]+', ' ', 'g'))) = a.k""",
     "parquet_roundtrip": _with(_REPORTS) + "SELECT * FROM rpt",
-    "register_view": _with(_REPORTS, _LATEST) + "SELECT * FROM latest",
+    "register_view": _with(_CUSTOMERS, _LATEST) + "SELECT * FROM latest",
     "first_day": _with(_CUSTOMERS) + """
 SELECT Country, min(Date) AS FirstDay FROM rpt WHERE Confirmed > 0 GROUP BY Country""",
     "next_value": _with(_CUSTOMERS) + """
@@ -390,11 +396,10 @@ apart AS (
   FROM feats a JOIN feats b ON a.Country <> b.Country),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY Country ORDER BY distance, neighbour) AS r FROM apart)
 SELECT Country, neighbour, CAST(r AS INTEGER) AS rank, distance FROM ranked WHERE r <= 5""",
-    "value_as_of": _with(_CUSTOMERS) + f"""
-SELECT e.Country, r.Date AS observed, date_diff('day', r.Date, DATE '{P.AS_OF_LATE}') AS age,
-       r.Confirmed, r.Deaths, r.Recovered, r.Active
-FROM (SELECT DISTINCT Country, DATE '{P.AS_OF_LATE}' AS day FROM rpt) e
-ASOF JOIN rpt r ON e.Country = r.Country AND e.day >= r.Date""",
+    "value_as_of": _with(_CUSTOMERS, _LAST) + f"""
+SELECT Country, Date AS observed, date_diff('day', Date, DATE '{P.AS_OF_LATE}') AS age,
+       Confirmed, Deaths, Recovered, Active
+FROM latest""",
     "match_names": _with(_MATCHED) + """
 SELECT s.Country, count(*) AS n, m.code, m.status, m.distance, m.candidates
 FROM spelled s JOIN matched m ON m.Country = s.Country GROUP BY ALL""",

@@ -42,20 +42,21 @@ def q_rename_entities(spark, d):
 
 
 def q_qualify_entities(spark, d):
-    return op.qualify_entities(fx.stored_reports(spark, d), **P.QUALIFY)
+    return op.qualify_entities(fx.stored_customer_reports(spark, d), **P.QUALIFY)
 
 
 def q_latest_snapshot(spark, d):
-    return op.latest_snapshot(fx.stored_reports(spark, d))
+    return op.latest_snapshot(fx.stored_customer_reports(spark, d))
 
 
 def q_as_of_snapshot(spark, d):
-    return op.as_of_snapshot(fx.stored_reports(spark, d), P.AS_OF)
+    return op.as_of_snapshot(fx.stored_customer_reports(spark, d), P.AS_OF)
 
 
 def _top_bottom(measure):
     def q(spark, d):
-        return op.top_bottom(op.latest_snapshot(fx.stored_reports(spark, d)), measure)
+        """Over the last values of all customers, whenever they reported."""
+        return op.top_bottom(op.value_as_of(fx.stored_customer_reports(spark, d), P.AS_OF_LATE), measure)
     return q
 
 
@@ -70,7 +71,7 @@ def q_parquet_roundtrip(spark, d):
 
 
 def q_register_view(spark, d):
-    register_view(fx.stored_reports(spark, d), "epitrend_reports")
+    register_view(fx.stored_customer_reports(spark, d), "epitrend_reports")
     return spark.sql("SELECT * FROM epitrend_reports "
                      "WHERE Date = (SELECT max(Date) FROM epitrend_reports)")
 

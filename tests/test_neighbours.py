@@ -42,8 +42,8 @@ def test_clusters_are_pruned_and_nulls_take_no_part(spark):
     rng = np.random.default_rng(3)
     rows = [(f"E{i}", *[float(v) for v in rng.normal(50 * (i % 10), 1, 3)]) for i in range(1000)]
     df = spark.createDataFrame(rows + [(None, 1.0, 1.0, 1.0), ("N", None, 1.0, 1.0)], "Country string, a double, b double, c double")
-    done, every = nb.compared_blocks(df, 5, block_rows=32)
-    assert every == 1_000_000 and done < 0.3 * every
+    done, every = nb.compared_pairs(df, 5, block_rows=32)
+    assert every == 1002 ** 2 and done < 0.15 * every
     got = _found(nb.nearest_entities(df, 5, block_rows=32))
     want = _brute(rows, 5)
     assert {e: [n for n, _ in v] for e, v in got.items()} == {e: [n for n, _ in v] for e, v in want.items()}
@@ -59,6 +59,12 @@ def test_agrees_with_the_baseline_comparison(spark):
     assert len(_found(nb.nearest_entities(same.select("Country", "days_1_to_100")))) == feats.count()  # all equal
 
 
+def test_curve_places_interleave_bins():
+    edges = [np.arange(1, 16, dtype=float)] * 2
+    away = np.array([[0.0, 0.0], [15, 0], [0, 15], [15, 15], [1, 0]])
+    assert nb.curve_place(away, edges).tolist() == [0, 0b10101010, 0b01010101, 0b11111111, 0b10]
+
+
 def test_pivots_lie_apart():
     x = np.array([[0.0, 0], [0, 1], [10, 0], [10, 1], [5, 9]])
     got = nb.spread_pivots(x, 3)

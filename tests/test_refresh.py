@@ -157,3 +157,24 @@ def test_compaction_keeps_the_answer_and_drops_dead_sums(spark, folders):
     rf.refresh(spark, src, store)
     assert _table(spark, store) == _batch(spark, src)
     assert rf.compact(spark, tempfile.mkdtemp(prefix="epitrend-store-")) == 0
+
+
+def test_band_states_follow_a_refresh(spark, folders):
+    """The dates that a refresh reports are all that the states read again."""
+    from epitrend import operators as op
+
+    src, store = folders
+    state = tempfile.mkdtemp(prefix="epitrend-state-")
+    bands = ((1, 3), (3, 30), (1, 100))
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    for step in range(3):
+        if step == 1:
+            _write(src, "01-23-2020.csv", [("Mexico", "2020-01-23 10:00:00", 30), ("Peru", "2020-02-26 10:00:00", 9)])
+        if step == 2:
+            os.remove(os.path.join(src, "01-22-2020.csv"))
+            _write(src, "03-01-2020.csv", [("Mexico", "2020-03-01 10:00:00", 300)])
+        done = rf.refresh(spark, src, store)
+        clean = rf.read_refreshed(spark, store)
+        op.extend_band_state(clean, state, bands, changed=done.dates)
+        got = op.finish_band_states(op.read_band_state(spark, state, bands), bands, first=True)
+        assert rows(got) == rows(op.days_in_bands(clean, bands, first=True)) != []

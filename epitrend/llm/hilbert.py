@@ -98,10 +98,13 @@ def _classes(vectors: DataFrame, id_col: str, vector_col: str, query: Column, k:
     rows = finite_vectors(vectors, vector_col, id=F.col(id_col).cast("long"), asked=F.coalesce(query, F.lit(False))) \
         .where("id is not null").where(F.exists("v", lambda x: x != 0))
 
+    # Vectors of floats stay floats where they are stored; all sums are doubles.
+    stored = "<f4" if dict(vectors.dtypes)[vector_col] == "array<float>" else "<f8"
+
     def run(batches):
         for b in batches:
             for at, m in matrices(b.column("v")):
-                m = (m + 0.0).astype("<f8")  # no negative zero
+                m = (m + 0.0).astype(stored)  # no negative zero
                 take = pa.array(at)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([digest(r) for r in m]), b.column("id").take(take), b.column("asked").take(take),
@@ -119,8 +122,10 @@ def _classes(vectors: DataFrame, id_col: str, vector_col: str, query: Column, k:
     return materialize(classes, "classes"), members
 
 
-def _matrix(raw, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(raw) if not isinstance(raw, bytes) else raw, "<f8").reshape(-1, dim)
+def _matrix(vectors: list[bytes], dim: int) -> np.ndarray:
+    """Stored vectors as rows of doubles."""
+    width = len(vectors[0]) // dim
+    return np.frombuffer(b"".join(vectors), f"<f{width}").reshape(-1, dim).astype(np.float64)
 
 
 def nearest(q: np.ndarray, x: np.ndarray, allowed: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -164,13 +169,13 @@ def build_index(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The curves' blocks (``part, seq, curve, dim, n, cids, firsts, asked, v``)
     and their headers with the rank of their first row."""
     pick = _some(classes.select("cid", "dim", "v"), SAMPLE)
-    grid = _Grid({int(d): _matrix(g["v"], int(d)) for d, g in pick.groupby("dim")})
+    grid = _Grid({int(d): _matrix(list(g["v"]), int(d)) for d, g in pick.groupby("dim")})
 
     def place(batches):
         for b in batches:
             for d in np.unique(b["dim"]):
                 g = b[b["dim"] == d]
-                m = _matrix(g["v"], int(d))
+                m = _matrix(list(g["v"]), int(d))
                 for c in range(CURVES):
                     yield g.assign(curve=np.int32(c), key=grid.keys(m, c))
 
@@ -217,7 +222,7 @@ def calibrate(classes: DataFrame, blocks: DataFrame, headers: DataFrame, recall:
     trials = _some(classes.where("asked").select("cid", "dim", "v"), TRIALS)
     if not len(trials):
         return LEAST
-    by_dim = {int(d): (list(g["cid"]), _matrix(g["v"], int(d))) for d, g in trials.groupby("dim")}
+    by_dim = {int(d): (list(g["cid"]), _matrix(list(g["v"]), int(d))) for d, g in trials.groupby("dim")}
 
     def brute(batches):
         for b in batches:
@@ -225,7 +230,7 @@ def calibrate(classes: DataFrame, blocks: DataFrame, headers: DataFrame, recall:
                 g = b[b["dim"] == d]
                 if len(g):
                     own = np.array([[c != n for c in g["cid"]] for n in names])
-                    for n, (at, dist) in zip(names, nearest(q, _matrix(g["v"], d), own, k)):
+                    for n, (at, dist) in zip(names, nearest(q, _matrix(list(g["v"]), d), own, k)):
                         top = _best(dist, g["first"].to_numpy()[at], k)
                         yield pd.DataFrame({"q": [n] * len(top), "cid": [g["cid"].iloc[i] for i in at[top]],
                                             "d": dist[top], "first": g["first"].to_numpy()[at[top]]})
@@ -263,7 +268,8 @@ def search(vectors: DataFrame, query: Column | None = None, k: int = K, recall:
     def rerank(batches):
         for b in batches:
             for r in b.itertuples(index=False):
-                x, firsts, names = _matrix(r.v, r.dim), np.frombuffer(r.firsts, "<i8"), _split(r.cids, 32)
+                firsts, names = np.frombuffer(r.firsts, "<i8"), _split(r.cids, 32)
+                x = _matrix(_split(r.v, len(r.v) // len(names)), r.dim)
                 place = r.start + np.arange(len(x))
                 for s in range(0, len(r.queries), 256):
                     part = r.queries[s:s + 256]

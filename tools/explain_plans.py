@@ -24,6 +24,7 @@ def main(argv):
     from epitrend.session import local_session, scratch_path
     from epitrend.sources import fixtures as fx
     from epitrend.sources.parquet import read_clean, write_clean
+    from pyspark.sql import functions as F
 
     spark = local_session(8)
     clean = read_clean(spark, write_clean(fx.reports(spark, sf_dir), scratch_path(spark, "plans")))
@@ -38,6 +39,12 @@ def main(argv):
         ("baseline_diff", op.baseline_diff(feats, "NATION_0")),
         ("similar_entities", op.similar_entities(op.baseline_diff(feats, "NATION_0"), "abs")),
         ("transpose_features", op.transpose_features(feats)),
+        ("value_as_of", op.value_as_of(clean, P.AS_OF)),
+        ("band_states of months, finished", op.finish_band_states(
+            op.band_states(clean.withColumn("span", F.trunc("Date", "month")), P.NATION_BANDS), P.NATION_BANDS)),
+        ("merge_falls of months", op.merge_falls(op.fall_states(
+            clean.withColumn("span", F.trunc("Date", "month")), "Active", span="span"))),
+        ("match_names", op.match_names(fx.spelled_reports(spark, sf_dir, P.COUNTRY_NAMES), op.iso_aliases(spark))),
     ]
     out = ["# Physical plans", "",
            f"Generated by `tools/explain_plans.py` on `{os.path.basename(sf_dir)}` with the clean",

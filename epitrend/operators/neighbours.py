@@ -45,16 +45,22 @@ def spread_pivots(sample: np.ndarray, n: int = PIVOTS) -> np.ndarray:
     return sample[chosen]
 
 
-def _nearest(x: np.ndarray, names: np.ndarray, y: np.ndarray, others: np.ndarray, k: int, bound: np.ndarray | None = None):
-    """Per row of ``x`` the ``k`` nearest rows of ``y`` with another name, as
-    places and distances; rows beyond ``bound`` need not be among them."""
-    for i in range(len(x)):
-        d = np.abs(y - x[i]).sum(axis=1)
-        at = np.flatnonzero((others != names[i]) & (d <= bound[i] if bound is not None else True))
+def _nearest(x: np.ndarray, y: np.ndarray, others: np.ndarray, k: int, same: bool, bound: np.ndarray | None = None):
+    """Places in ``y`` and distances of the ``k`` nearest rows (names decide ties)
+    of every row of ``x`` that has any within ``bound``; with ``same`` both are one
+    block and a row is not its own neighbour."""
+    every = np.abs(x[:, None, :] - y[None, :, :]).sum(axis=2)
+    if same:
+        np.fill_diagonal(every, np.inf)
+    fits = np.isfinite(every) if bound is None else every <= np.where(np.isfinite(bound), bound, np.finfo(float).max)[:, None]
+    for i in np.flatnonzero(fits.any(axis=1)):
+        at = np.flatnonzero(fits[i])
+        d = every[i, at]
         if len(at) > k:  # all that tie with the k-th stay until names decide
-            at = at[d[at] <= np.partition(d[at], k - 1)[k - 1]]
-        at = at[np.lexsort((others[at], d[at]))[:k]]
-        yield at, d[at]
+            near = d <= np.partition(d, k - 1)[k - 1]
+            at, d = at[near], d[near]
+        order = np.lexsort((others[at], d))[:k]
+        yield i, at[order], d[order]
 
 
 def curve_place(away: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
@@ -123,8 +129,9 @@ def _search(features: DataFrame, k: int, cols: Sequence[str] | None, entity: str
             while rest is not None and len(rest) and (b is None or len(rest) >= 2 * block_rows):
                 g, rest = rest.iloc[:block_rows], rest.iloc[block_rows:].reset_index(drop=True)
                 own = _matrix(g["x"])
-                found = list(_nearest(own, g["name"].to_numpy(), own, g["name"].to_numpy(), k))
-                bound = [float(d[-1]) if len(d) == k else float("inf") for _, d in found]
+                bound = [float("inf")] * len(g)
+                for i, _, d in _nearest(own, own, g["name"].to_numpy(), k, True):
+                    bound[i] = float(d[-1]) if len(d) == k else float("inf")
                 away = _matrix(g["away"])
                 out.append((int(g["part"].iloc[0]), seq, len(g), max(bound), away.min(axis=0).tolist(),
                             away.max(axis=0).tolist(), g["name"].tolist(), own.tobytes(), away.tobytes(), bound))
@@ -142,7 +149,8 @@ def _search(features: DataFrame, k: int, cols: Sequence[str] | None, entity: str
                                  lambda a, b: F.greatest(a, b)))
     pairs = asking.join(heads.drop("reach"), "stripe").where(gap <= F.col("reach")).select("q", "block")
     side = lambda name, *c: blocks.select(block.alias(name), *[F.col(x).alias(f"{name}_{x}") for x in c])
-    met = pairs.join(side("q", "names", "xs", "aways", "bounds"), "q").join(side("block", "names", "xs", "low", "high"), "block").drop("q", "block")
+    met = pairs.join(side("q", "names", "xs", "aways", "bounds"), "q").join(side("block", "names", "xs", "low", "high"), "block") \
+        .withColumn("same", F.col("q") == F.col("block")).drop("q", "block")
 
     def compare(batches):
         width = len(names)
@@ -151,12 +159,14 @@ def _search(features: DataFrame, k: int, cols: Sequence[str] | None, entity: str
                 q, y = np.frombuffer(r.q_xs).reshape(-1, width), np.frombuffer(r.block_xs).reshape(-1, width)
                 away, bound = np.frombuffer(r.q_aways).reshape(len(q), -1), np.array(r.q_bounds)
                 near = np.flatnonzero(np.maximum(np.array(r.block_low) - away, away - np.array(r.block_high)).max(axis=1) <= bound)
+                if r.same:
+                    near = np.arange(len(q))  # as the diagonal has to be that of both
                 if count:
                     yield pd.DataFrame({"n": [len(near) * len(y)]})
                     continue
                 own, other = np.array(r.q_names)[near], np.array(r.block_names)
-                out = [(own[i], other[j], float(d)) for i, (at, ds) in
-                       enumerate(_nearest(q[near], own, y, other, k, bound[near])) for j, d in zip(at, ds)]
+                out = [(own[i], other[j], float(d)) for i, at, ds in _nearest(q[near], y, other, k, r.same, bound[near])
+                       for j, d in zip(at, ds)]
                 yield pd.DataFrame(out, columns=["name", "neighbour", "distance"])
 
     return met.mapInPandas(compare, "n long" if count else f"name {kind}, neighbour {kind}, distance double")

@@ -40,10 +40,9 @@ def value_as_of(df: DataFrame, on: str | dt.date, cols: Sequence[str] = CLEAN_CO
     rows = df.where((F.col(date) <= day) & F.col(entity).isNotNull())
     if max_age is not None:
         rows = rows.where(F.col(date) >= F.date_sub(day, max_age))
-    last = rows.groupBy(entity).agg(F.max_by(F.struct(date, *cols), F.col(date)).alias("_last"))
-    return last.select(entity, F.col(f"_last.{date}").alias("observed"),
-                       F.date_diff(day, F.col(f"_last.{date}")).cast("long").alias("age"),
-                       *[F.col("_last").getField(c).alias(c) for c in cols])
+    # One max_by a column, not one of a struct: numbers fit a hash aggregate.
+    last = rows.groupBy(entity).agg(F.max(date).alias("observed"), *[F.max_by(c, date).alias(c) for c in cols])
+    return last.select(entity, "observed", F.date_diff(day, "observed").cast("long").alias("age"), *cols)
 
 
 def top_bottom(snapshot: DataFrame, measure: str, k: int = TOP_K,

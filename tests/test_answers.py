@@ -34,6 +34,7 @@ def test_value_as_of_pushes_the_date_filter(spark):
     path = write_clean(_clean(spark, [(d, "A", d) for d in range(20)]), tempfile.mkdtemp(prefix="epitrend-t-"))
     plan = op.value_as_of(read_clean(spark, path), DAY0)._jdf.queryExecution().toString()
     assert "PushedFilters: [" in plan and "LessThanOrEqual(Date" in plan and "Window" not in plan
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_curve_distances_equal_brute_force(spark):

@@ -69,3 +69,21 @@ def test_pivots_lie_apart():
     x = np.array([[0.0, 0], [0, 1], [10, 0], [10, 1], [5, 9]])
     got = nb.spread_pivots(x, 3)
     assert len({tuple(p) for p in got}) == 3 and len(nb.spread_pivots(np.ones((4, 2)), 3)) == 1
+
+
+def test_equal_vectors_are_not_searched(spark):
+    rows = [(f"E{i:04}", float(i % 50), float(i % 25), 0.0 if i % 2 else -0.0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "Country string, a double, b double, c double").repartition(7)
+    assert nb.compared_pairs(df, 5, block_rows=16) == (0, 2000 ** 2)
+    assert _found(nb.nearest_entities(df, 5, block_rows=16)) == _brute(rows, 5)
+
+
+@pytest.mark.parametrize("copies, k", [(2, 5), (5, 5), (6, 5), (3, 1)])
+def test_few_equal_rows_count_as_neighbours(spark, copies, k):
+    rng = random.Random(copies)
+    rows = [(f"E{i}", *[rng.choice([0.1, 0.7, 2.5, 40.0]) + i // copies % 9 for _ in range(3)]) for i in range(0, 240, copies)]
+    rows = [(f"{e}x{c}", *x) for e, *x in rows for c in range(copies)] + [("far", 1e6, 0.0, 0.0), ("odd", float("inf"), 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "Country string, a double, b double, c double").repartition(5)
+    want = _brute([r for r in rows if r[0] != "odd"], k)
+    got = _found(nb.nearest_entities(df, k, block_rows=8))
+    assert {e: [n for n, _ in v] for e, v in got.items()} == {e: [n for n, _ in v] for e, v in want.items()}

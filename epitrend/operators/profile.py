@@ -86,12 +86,21 @@ def finish_profile(partials: DataFrame, quantiles: Sequence[float] = (0.25, 0.5,
 
 def fall_states(df: DataFrame, measure: str, entity: str = ENTITY, date: str = DATE, span: str | None = None) -> DataFrame:
     """Per entity (and value of ``span``): ``since``, ``first``, ``last`` and ``falls``, the
-    rows of ``measure`` below the row before. Null values are no rows."""
+    rows of ``measure`` below the row before. Null values are no rows. The rows are
+    dealt by entity, which ``merge_falls`` needs as well: both make one shuffle."""
     keys = [entity] if span is None else [entity, span]
-    before = F.lag(measure).over(Window.partitionBy(*keys).orderBy(date))
-    rows = df.where(F.col(measure).isNotNull()).withColumn("_fell", (F.col(measure) < before).cast("long"))
-    return rows.groupBy(*keys).agg(F.min(date).alias("since"), F.min_by(measure, date).alias("first"),
-                                   F.max_by(measure, date).alias("last"), F.sum(F.coalesce("_fell", F.lit(0))).alias("falls"))
+    # The hash leads the sort: names often share their first characters.
+    series = Window.partitionBy(F.xxhash64(entity), *keys).orderBy(date)
+    upto = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value = F.col(measure)
+    dated = F.when(F.col(date).isNotNull(), value)
+    rows = df.where(value.isNotNull()).select(*keys, date, measure).repartition(entity) \
+        .withColumns({"_fell": F.coalesce((value < F.lag(measure).over(series)).cast("long"), F.lit(0)),
+                      "_next": F.lead(F.lit(True)).over(series)})
+    # The state stands at the last row of the sorted series: no aggregate beside the sort.
+    return rows.withColumns({"since": F.min(date).over(upto), "first": F.first(dated, ignorenulls=True).over(upto),
+                             "falls": F.sum("_fell").over(upto)}) \
+        .where(F.col("_next").isNull()).select(*keys, "since", "first", dated.alias("last"), "falls")
 
 
 def merge_falls(states: DataFrame, entity: str = ENTITY) -> DataFrame:

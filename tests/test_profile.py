@@ -67,3 +67,21 @@ def test_falls_of_any_cut_of_the_calendar(spark, spans):
     assert {r["Country"]: (r["first"], r["last"], r["falls"]) for r in got.collect()} == want
     plain = pf.fall_states(df, "v")
     assert {r["Country"]: (r["first"], r["last"], r["falls"]) for r in plain.collect()} == want
+
+
+def test_falls_shuffle_the_rows_once(spark):
+    rows = [(DAY0 + dt.timedelta(days=d), f"E{e}", float(d % 3)) for e in range(3) for d in range(9)]
+    df = spark.createDataFrame(rows, "Date date, Country string, v double").withColumn("span", F.trunc("Date", "week"))
+    plan = pf.merge_falls(pf.fall_states(df, "v", span="span"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("span", [None, "span"])
+def test_falls_with_null_dates(spark, span):
+    rows = [(DAY0, "A", 3.0, 1), (None, "A", 9.0, 2), (DAY0 + dt.timedelta(days=1), "A", 1.0, 1), (None, "B", 4.0, 2),
+            (DAY0, None, 2.0, 1), (DAY0 + dt.timedelta(days=1), None, 1.0, 1), (DAY0, "C", None, 1)]
+    df = spark.createDataFrame(rows, "Date date, Country string, v double, span int")
+    got = pf.merge_falls(pf.fall_states(df, "v", span=span)).collect()
+    # The value without a date is a row before the dated ones of its span.
+    assert {r["Country"]: (r["since"], r["first"], r["last"], r["falls"]) for r in got} == {
+        "A": (DAY0, 3.0, 1.0, 1 if span else 2), "B": (None, None, None, 0), None: (DAY0, 2.0, 1.0, 1)}

@@ -1,6 +1,7 @@
 """The physical plans keep the properties the design relies on at scale."""
 
 import contextlib
+import datetime as dt
 import io
 import re
 
@@ -92,3 +93,23 @@ def test_similar_entities_sides_share_the_feature_shuffle(clean):
         df.explain()
     text = buf.getvalue()
     assert "ReusedExchange" in text and "ReusedSubquery" in text
+
+
+def test_customer_reports_are_dealt_by_customer_once(spark, tmp_path):
+    day = lambda n: dt.datetime(2000, 1, n)
+    lines = [(1, day(1), 2.0, "R"), (1, day(1), 3.0, "A"), (2, day(1), 5.0, "N"), (2, day(2), None, "R"), (3, day(2), 7.0, None),
+             (1, day(3), 1.0, "A"), (4, day(1), None, "N"), (9, day(1), 1.0, "R"), (None, day(1), 1.0, "R"), (3, None, 4.0, "A"),
+             (3, None, 6.0, "R"), (5, None, 1.0, "N")]
+    spark.createDataFrame(lines, "l_orderkey long, l_shipdate timestamp, l_quantity double, l_returnflag string") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 10), (2, 10), (3, 11), (4, 12), (5, 13), (None, 14), (6, 15)], "o_orderkey long, o_custkey long") \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    df = fx.customer_reports(spark, str(tmp_path))
+    got = {(r["Country"][9:], r["Date"] and r["Date"].day): tuple(r)[2:] for r in df.collect()}
+    assert got == {("10", 1): (10.0, 2.0, 3.0, 5.0), ("10", 2): (10.0, 2.0, 3.0, 5.0), ("10", 3): (11.0, 2.0, 4.0, 5.0),
+                   ("11", None): (10.0, 6.0, 4.0, 0.0), ("11", 2): (17.0, 6.0, 4.0, 7.0),
+                   ("12", 1): (None, 0.0, 0.0, None), ("13", None): (1.0, 0.0, 0.0, 1.0)}
+    assert len(got) == df.count()
+    text = fx.customer_reports(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(o_custkey") == 1 and "Exchange hashpartitioning(Date" not in text
+    assert "Aggregate" not in text

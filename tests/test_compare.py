@@ -87,3 +87,40 @@ def test_transpose_of_all_entities(spark):
     assert t.columns == ["feature", "A", "B.x"] and t.count() == 7
     with pytest.raises(ValueError, match="more than 1"):
         op.transpose_features(f, max_entities=1)
+
+
+def test_transpose_without_entities(spark):
+    f = _features(spark, [("A", 1, 2, 3, 4, 5, 6, 7), ("B", 7, 6, 5, 4, 3, 2, 1)])
+    none = f.where("Country = 'Z'")
+    for t, cols in ((op.transpose_features(none), []), (op.transpose_features(f, []), []),
+                    (op.transpose_features(none, reports=f), ["A", "B"])):
+        assert t.columns == ["feature", *cols] and t.count() == 0
+    assert op.transpose_features(f.where("Country = 'A'"), reports=f).columns == ["feature", "A"]
+    with pytest.raises(ValueError, match="more than 1"):
+        op.transpose_features(none, reports=f, max_entities=1)
+
+
+def test_transpose_query_when_all_nations_skip_a_band(spark, tmp_path):
+    """Many orders on the first day: no nation is ever within the first band."""
+    import datetime as dt
+
+    import duckdb
+
+    from epitrend.plans.oracle import ORACLE_SQL
+    from epitrend.plans.queries import QUERIES
+
+    rows = {
+        "nation": ([(i, f"NATION_{i}") for i in range(25)], "n_nationkey int, n_name string"),
+        "customer": ([(i, i) for i in range(25)], "c_custkey long, c_nationkey int"),
+        "orders": ([(i, dt.datetime(1995, 1, 1 + d), "F", "2-HIGH") for i in range(25) for d in range(3)
+                    for _ in range(20)],
+                   "o_custkey long, o_orderdate timestamp, o_orderstatus string, o_orderpriority string"),
+    }
+    duck = duckdb.connect()
+    for t, (held, schema) in rows.items():
+        spark.createDataFrame(held, schema).coalesce(1).write.parquet(f"{tmp_path}/{t}.parquet")
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    got = QUERIES["transpose_features"](spark, str(tmp_path))
+    want = duck.execute(ORACLE_SQL["transpose_features"])
+    assert sorted(got.columns) == sorted(c[0] for c in want.description)
+    assert [tuple(r) for r in got.collect()] == want.fetchall() == []

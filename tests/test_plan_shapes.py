@@ -113,3 +113,9 @@ def test_customer_reports_are_dealt_by_customer_once(spark, tmp_path):
     text = fx.customer_reports(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning(o_custkey") == 1 and "Exchange hashpartitioning(Date" not in text
     assert "Aggregate" not in text
+
+
+def test_customers_are_not_broadcast_whatever_their_files_size(spark):
+    p = main_plan(plan(fx.reports(spark, SF001)))
+    assert re.search(r"SortMergeJoin.*\nLeft keys \[1\]: \[o_custkey", p)
+    assert len(re.findall(r"^\(\d+\) BroadcastExchange", p, re.M)) == 1  # nation
